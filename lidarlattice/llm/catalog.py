@@ -1,8 +1,8 @@
 """The registered queries of the text operators, and their SQL."""
 
-from lidarlattice.llm import sentencepiece_codec
+from lidarlattice.llm import html_extract, sentencepiece_codec, sharding, simhash, warc
 
-MODULES = (sentencepiece_codec,)
+MODULES = (html_extract, sharding, warc, simhash, sentencepiece_codec)
 
 
 def queries() -> dict:
