@@ -1,8 +1,8 @@
 """The registered queries of the text operators, and their SQL."""
 
-from lidarlattice.llm import html_extract, sentencepiece_codec, sharding, simhash, warc
+from lidarlattice.llm import html_extract, language_id, quality, sentencepiece_codec, sharding, simhash, warc
 
-MODULES = (html_extract, sharding, warc, simhash, sentencepiece_codec)
+MODULES = (html_extract, sharding, warc, language_id, simhash, quality, sentencepiece_codec)
 
 
 def queries() -> dict:

@@ -51,7 +51,7 @@ def responses(df: DataFrame, key_col: str = "page_id", url_col: str = "url", htm
     head = F.concat(F.lit(f"HTTP/1.1 200 OK{END}Content-Type: text/html; charset=utf-8{END}Content-Length: "), F.length(data).cast("string"), F.lit(END + END))
     block = F.concat(head, body)
     url = F.coalesce(F.col(url_col), F.lit(""))
-    seed = F.md5(F.encode(F.concat_ws(" ", F.lit("response"), F.coalesce(F.col(key_col).cast("string"), F.lit("")), url), "UTF-8"))
+    seed = F.md5(F.encode(F.concat_ws(" ", F.lit("response"), F.coalesce(F.col(key_col).cast("string"), F.lit("")), url, F.sha1(data)), "UTF-8"))
     uid = F.concat_ws("-", *[F.substring(seed, a, n) for a, n in ((1, 8), (9, 4), (13, 4), (17, 4), (21, 12))])
     fields = {
         "warc_type": F.lit("response"), "record_id": F.concat(F.lit("<urn:uuid:"), uid, F.lit(">")), "refers_to": F.lit(None).cast("string"), "concurrent_to": F.lit(None).cast("string"), "target_uri": url, "warc_date": F.lit(date),
