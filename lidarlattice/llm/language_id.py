@@ -29,6 +29,9 @@ ROWS, GRAMS = 1500, 20_000
 #: An n-gram belongs to a language if it is so frequent there, against its most frequent language.
 SHARE = 0.3
 
+#: Characters of texts whose n-grams are looked up together.
+GROUP = 1 << 19
+
 _LETTER: np.ndarray | None = None
 _ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0x165667B19E3779F9), np.uint64(0xD6E8FEB86659FD93))
 
@@ -75,6 +78,18 @@ def spans(points: np.ndarray, starts: np.ndarray, order: int) -> tuple[np.ndarra
     return h[ok], owner[ok]
 
 
+def grouped(texts: list) -> list[list]:
+    """Texts in order, in groups of about GROUP characters."""
+    out, size = [], GROUP
+    for t in texts:
+        if size >= GROUP:
+            out.append([])
+            size = 0
+        out[-1].append(t)
+        size += len(t)
+    return out
+
+
 class Filter:
     """The bit-sliced filter: cell masks, the languages, and how often strangers hit each."""
 
@@ -102,9 +117,16 @@ class Filter:
         return out
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
-        texts = [t or "" for t in texts]
-        if not texts:
-            return [], []
+        """Language and score of each text; n-grams of GROUP characters or one text are in memory at a time."""
+        langs: list[str] = []
+        scores: list[float] = []
+        for part in grouped([t or "" for t in texts]):
+            lang, score = self._predict(part)
+            langs += lang
+            scores += score
+        return langs, scores
+
+    def _predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
         points, starts = letters(texts)
         hits, total = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
         for order in ORDERS:
@@ -143,14 +165,14 @@ def fit(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: s
     def count(batches):
         for batch in batches:
             for part in slices(batch, "text"):
-                langs = np.array(part.column("lang").to_pylist(), object)
-                points, starts = letters(part.column("text").to_pylist())
                 index = {lang: i for i, lang in enumerate(languages)}
-                of = np.array([index[x] for x in langs])
-                for order in ORDERS:
-                    h, owner = spans(points, starts, order)
-                    for i in np.unique(of[owner]) if h.size else ():
-                        seen, n = np.unique(h[of[owner] == i], return_counts=True)
+                of_lang: dict[int, list[str]] = {}
+                for lang, t in zip(part.column("lang").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    of_lang.setdefault(index[lang], []).append(t)
+                for i, group in ((i, g) for i, ts in of_lang.items() for g in grouped(ts)):
+                    points, starts = letters(group)
+                    for order in ORDERS:
+                        seen, n = np.unique(spans(points, starts, order)[0], return_counts=True)
                         yield pa.RecordBatch.from_arrays([pa.array(np.full(seen.size, i, np.int32)), pa.array(seen.view(np.int64)), pa.array(n.astype(np.int64))], names=["i", "gram", "n"])
 
     counts = cut(some.mapInArrow(count, "i int, gram long, n long").groupBy("i", "gram").agg(F.sum("n").alias("n")).where("n >= 3"))
