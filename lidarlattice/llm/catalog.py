@@ -1,8 +1,8 @@
 """The registered queries of the text operators, and their SQL."""
 
-from lidarlattice.llm import html_extract, language_id, quality, sentencepiece_codec, sharding, simhash, toxicity, warc
+from lidarlattice.llm import decontaminate, html_extract, language_id, quality, sentencepiece_codec, sharding, simhash, toxicity, warc
 
-MODULES = (html_extract, sharding, warc, language_id, simhash, quality, toxicity, sentencepiece_codec)
+MODULES = (decontaminate, html_extract, sharding, warc, language_id, simhash, quality, toxicity, sentencepiece_codec)
 
 
 def queries() -> dict:

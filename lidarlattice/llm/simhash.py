@@ -225,6 +225,15 @@ def near_links(prints: DataFrame, distance: int = 4) -> DataFrame:
     return links.union(pairs.groupBy("key", "i", "j").applyInPandas(across, "a long, b long"))
 
 
+def _rooted(df: DataFrame, id_col: str, text_col: str, width: int, distance: int) -> tuple[DataFrame, DataFrame]:
+    """Rows (id, key: a hash of the text, bits), and (bits, root) for every fingerprint."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    rows = cut(fingerprints(df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), text.alias("text")), "text", width))
+    nodes = rows.select("bits").distinct()
+    roots = components(near_links(nodes, distance))
+    return rows, nodes.join(roots, F.col("bits") == F.col("node"), "left").select("bits", F.coalesce("root", "bits").alias("root"))
+
+
 def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4) -> DataFrame:
     """Rows (id, text) -> one row each: id, fingerprint (16 hex digits), component_id.
 
@@ -234,15 +243,29 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     with its component; a null id is never the smallest, and stays null where a component
     has no other. Other columns are left out; an empty table stays empty.
     """
-    rows = cut(fingerprints(df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "text", width))
-    nodes = rows.groupBy("bits").agg(F.min("id").alias("least"))
-    roots = components(near_links(nodes.select("bits"), distance))
-    rooted = nodes.join(roots, F.col("bits") == F.col("node"), "left").select("bits", "least", F.coalesce("root", "bits").alias("root"))
-    ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = rooted.join(ids, "root").select("bits", "component_id")
+    rows, rooted = _rooted(df, id_col, text_col, width, distance)
+    least = rows.groupBy("bits").agg(F.min("id").alias("least")).join(rooted, "bits")
+    ids = least.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = least.join(ids, "root").select("bits", "component_id")
     return rows.join(named, "bits").select(F.col("id").alias(id_col), F.lower(F.lpad(F.hex("bits"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4) -> DataFrame:
+    """One row of each component, with all its columns: the one with the smallest id.
+
+    Among rows of one id the smaller hash of the text decides, among equal rows any; rows
+    with a null id stay only where their component has no other.
+    """
+    rows, rooted = _rooted(df, id_col, text_col, width, distance)
+    one = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("one")
+    best = rows.groupBy("bits").agg(one).join(rooted, "bits").groupBy("root").agg(F.min("one").alias("one")).select("one.id", "one.key")
+    times = rows.groupBy("id", "key").count().withColumnsRenamed({"id": "i", "key": "k"})
+    chosen = best.join(times, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i"))).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("count").alias("_count"))
+    kept = df.join(chosen, (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id")))
+    once = kept.where("_count = 1").select(*df.columns)
+    return once.union(kept.where("_count > 1").dropDuplicates(["_id", "_key"]).select(*df.columns))
+
+
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
