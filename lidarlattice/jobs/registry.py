@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -564,10 +565,23 @@ def w1_condition(spark, d):
     return out.groupBy("chunk_id").agg(F.count("*").alias("n"), F.sum("l2_hqflag").cast("long").alias("n_hq"), F.round(F.avg(F.when(F.col("rh_100_a0") > 5, F.col("rhvdr_b"))), 6).alias("rhvdr_b"))
 
 
-@register("w2_grid", f"with {FIRST} " + " union all ".join(f"select *, {r} as res from ({_stats_sql(m, r)})" for r in (1000, 6000, 12000) for m in ("rh_98_a0", "cover_a0")))
+def _w2_sql() -> str:
+    tables, parts = [], []
+    for r in (1000, 6000, 12000):
+        for m in ("rh_98_a0", "cover_a0"):
+            tag = f"{m}_{r}"
+            named = _shan_sql(m, r)
+            for t in ("sv", "sb", "sc", "so", "shan"):
+                named = re.sub(rf"\b{t}\b(?= as \(| group| join| using)|(?<=from ){t}\b|(?<=join ){t}\b", f"{t}_{tag}", named)
+            tables.append(named)
+            parts.append(f"select g.*, round(h.shan, 6) as shan, {r} as res from ({_stats_sql(m, r)}) g left join shan_{tag} h using (win, row, col)")
+    return f"with {FIRST}, {', '.join(tables)} " + " union all ".join(parts)
+
+
+@register("w2_grid", _w2_sql())
 def w2_grid(spark, d):
     s = shots(spark, d).selectExpr("*", f"{OUT} as loc_out_umd")
-    return _rounded(workloads.grid_workload(s, src.windows(spark, WINDOWS), ["rh_98_a0", "cover_a0"], (1000, 6000, 12000)), _STAT_COLUMNS).drop("shan")
+    return _rounded(workloads.grid_workload(s, src.windows(spark, WINDOWS), ["rh_98_a0", "cover_a0"], (1000, 6000, 12000)), _STAT_COLUMNS)
 
 
 # -- chunks, profiles, mosaics ---------------------------------------------------------------

@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lidarlattice.functions import geo
 from lidarlattice.functions.metrics import nan_to_null, with_metrics
 from lidarlattice.operators.chunks import with_chunk
-from lidarlattice.operators.gridding import CELL, cell_counts, first_shot_per_fine_cell, grid_stats, mask_single, shannon, with_cell, with_xy
+from lidarlattice.operators.gridding import CELL, cell_counts, first_shot_per_fine_cell, grid_stats, mask_single, shannon_of, with_cell, with_xy
 from lidarlattice.operators.joins import grid_tag, join_shots, outlier_flag, window_join
 from lidarlattice.operators.quality import filter_l2a, filter_l2b, filter_l4a, hq_flags
 from lidarlattice.schema import BINS
@@ -35,19 +36,23 @@ def windowed_veg(shots: DataFrame, windows: DataFrame) -> DataFrame:
 def grid_workload(shots: DataFrame, windows: DataFrame, metrics: list[str], resolutions: tuple[int, ...]) -> DataFrame:
     """All built-in statistics of each metric, cell, window and resolution: (win, res, row, col, metric, stats, shan).
 
-    Fine cells are deduplicated once for all metrics and resolutions; resolutions are keys
-    of one aggregation each over the same deduplicated rows.
+    Fine cells are deduplicated once. Cells of all resolutions nest in 12 km cells, so the
+    rows are dealt by (window, 12 km cell) once and every aggregation below groups by those
+    keys and its own: it needs no exchange beyond that one, which the branches share.
     """
+    wide = geo.GridSpec(12000.0)
     first = first_shot_per_fine_cell(windowed_veg(shots, windows), ["x", "y", *metrics])
+    dealt = first.select("win", geo.cell_row("y", wide).alias("r12"), geo.cell_col("x", wide).alias("c12"), "x", "y", *[nan_to_null(m).alias(m) for m in metrics]).repartition("win", "r12", "c12")
+    keys = ["win", "r12", "c12", "row", "col"]
+    binned = [m for m in metrics if m in BINS]
     out = None
     for res in resolutions:
-        cells = with_cell(first.withColumns({m: nan_to_null(m) for m in metrics}), res)
-        stats = mask_single(grid_stats(cells, metrics))
-        diversity = None
-        for m in (m for m in metrics if m in BINS):
-            one = shannon(cells, m).withColumn("metric", F.lit(m))
-            diversity = one if diversity is None else diversity.unionByName(one)
-        part = (stats.join(diversity, [*CELL, "metric"], "left") if diversity is not None else stats.withColumn("shan", F.lit(None).cast("double"))).withColumn("res", F.lit(res))
+        if 12000 % res:
+            raise ValueError("cells must nest in 12 km cells")
+        cells = with_cell(dealt, res)
+        part = mask_single(grid_stats(cells, metrics, keys))
+        part = part.join(shannon_of(cells, binned, keys), [*keys, "metric"], "left") if binned else part.withColumn("shan", F.lit(None).cast("double"))
+        part = part.drop("r12", "c12").withColumn("res", F.lit(res))
         out = part if out is None else out.unionByName(part)
     return out
 

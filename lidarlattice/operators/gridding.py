@@ -90,6 +90,18 @@ def shannon(df: DataFrame, metric: str, keys: list[str] = CELL, bins: tuple[floa
     return cells.join(F.broadcast(bad), keys[0]).select(*keys, F.when((F.col("n") > 1) & (F.col("bad") == 0), h).alias("shan"))
 
 
+def shannon_of(df: DataFrame, metrics: list[str], keys: list[str] = CELL) -> DataFrame:
+    """The same for several metrics at once, a row per cell and metric; each value is a row on its way to its bin."""
+    limits = {m: BINS[m] for m in metrics}
+    one = lambda m, b: F.struct(F.lit(m).alias("metric"), F.when(valid(m), histogram_bin(m, b[0], b[2])).alias("bin"), ((F.col(m) < b[0]) | (F.col(m) > b[1])).cast("int").alias("out"))
+    binned = df.select(*keys, F.explode(F.array(*[one(m, b) for m, b in limits.items()])).alias("b")).select(*keys, "b.*").where("bin is not null")
+    counts = binned.groupBy(*keys, "metric", "bin").agg(F.count("*").alias("c"), F.max("out").alias("out"))
+    cells = counts.groupBy(*keys, "metric").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.ln("c")).alias("s"), F.max("out").alias("out"))
+    bad = cells.groupBy(keys[0], "metric").agg(F.max("out").alias("bad"))
+    h = F.greatest(F.lit(0.0), F.ln("n") - F.col("s") / F.col("n"))
+    return cells.join(F.broadcast(bad), [keys[0], "metric"]).select(*keys, "metric", F.when((F.col("n") > 1) & (F.col("bad") == 0), h).alias("shan"))  # a row per window and metric
+
+
 def mask_single(cells: DataFrame) -> DataFrame:
     """Statistics of cells with one shot are dropped; counts are never masked."""
     return cells.where("countf > 1")
