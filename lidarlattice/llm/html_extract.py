@@ -8,8 +8,8 @@ page are then chosen together: a node under a dropped ancestor is dropped, and t
 with the greatest total log-odds wins, found bottom-up in one pass. No page can keep a
 descendant of what it dropped, and a doubtful node goes with its subtree.
 
-The classifier is fitted on the driver from a bounded sample: SAMPLE pages in the order of
-a hash of their ids, used as fragments for LAYOUTS generated pages with known labels, and
+The classifier is fitted on the driver from a bounded sample: about SAMPLE pages, chosen by
+a hash, used as fragments for LAYOUTS generated pages with known labels, and
 as they are where their own markup names one article. Extraction is one narrow Arrow map.
 """
 
@@ -266,9 +266,16 @@ class Extractor:
 
 
 def fit(df: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> Extractor:
-    """Fit on at most `sample` pages, those with the least hash of their ids; no pages give a classifier from layouts alone."""
-    some = df.where(F.col(html_col).isNotNull()).select(F.xxhash64(id_col).alias("h"), F.substring(html_col, 1, SAMPLE_CHARS).alias("x")).orderBy("h", "x").limit(sample)
-    return Extractor([r["x"] for r in some.collect()])
+    """Fit on about `sample` pages, twice as many at most: those with the least hashes of id and length; no pages give a classifier from layouts alone.
+
+    The share of pages below a hash is thinned on the executors, so that what reaches the
+    driver does not grow with the number of tasks.
+    """
+    pages = df.where(F.col(html_col).isNotNull())
+    parts = 1 << 30
+    below = int(min(1.0, sample / max(1, pages.count())) * parts)
+    some = pages.where(F.pmod(F.xxhash64(id_col, F.length(html_col)), F.lit(parts)) < below).select(F.substring(html_col, 1, SAMPLE_CHARS).alias("x")).limit(2 * sample)
+    return Extractor(sorted(r["x"] for r in some.collect()))
 
 
 def main_text(df: DataFrame, extractor: Extractor, html_col: str = "html") -> DataFrame:
