@@ -778,3 +778,44 @@ def track_count(spark, d):
 @register("merge_summaries", f"with {SHOTS}, {FLAGS}, {SUMMARY} select chunk_id, cast(count(*) as bigint) as files, cast(sum(n_filt_shots) as bigint) as n, min(xmin_shots) as xmin, max(ymax_shots) as ymax from summary group by chunk_id")
 def merge_summaries(spark, d):
     return summaries(spark, d).groupBy("chunk_id").agg(F.count("*").alias("files"), F.sum("n_filt_shots").alias("n"), F.min("xmin_shots").alias("xmin"), F.max("ymax_shots").alias("ymax"))
+
+
+# -- single operators of the groups above ----------------------------------------------------
+
+
+def _part(name: str, of: str, keys: str, columns: str) -> None:
+    """Register some columns of another query under their operator's name."""
+    chosen = f"{keys}, {columns}"
+    whole = QUERIES[of]
+    register(name, f"select {chosen} from ({ORACLES[of]})")(lambda spark, d: whole(spark, d).select(*[c.strip() for c in chosen.split(",")]))
+
+
+for _name, _columns in {
+    "pavd_0_5_frac": "pavd_0_5_frac",
+    "pavd_max_h": "pavd_max_h",
+    "rhvdr": "rhvdr_b, rhvdr_m, rhvdr_t",
+    "even_pai_1m": "even_pai_1m_a0",
+    "fhd_pavd_5m": "fhd_pavd_5m_a0",
+    "even_pavd_5m": "even_pavd_5m_a0",
+    "pavd_halves": "pavd_bot_frac, pavd_top_frac",
+}.items():
+    _part(_name, "derived_metrics", "shot_num", _columns)
+for _stat in ("mean", "med", "sd", "iqr", "p95", "countf"):
+    _part(f"stat_{_stat}", "stat_builtin_1000m", "win, row, col, metric", _stat)
+for _count in ("shots_count", "orbits_uniq", "tracks_uniq"):
+    _part(_count, "cell_counts_1000m", "win, row, col", _count)
+_part("profile_alt_algo", "extract_l2a", "shot_num", "rh_95_a1, elev_lm_a1")
+_part("track_id", "beam_class", "shot_num", "track")
+_part("metric_label", "track_count", "track", "label, first")
+
+
+@register("elev_diff", f"with {SHOTS} select shot_num, round(elev_dem_tdx - elev_lm_a0, 6) as elev_diff_dem from shots")
+def elev_diff(spark, d):
+    return shots(spark, d).select("shot_num", r6(F.col("elev_dem_tdx") - F.col("elev_lm_a0")).alias("elev_diff_dem"))
+
+
+@register("cell_resolution", f"with {SHOTS} select distinct 12000 as res, 144000000e0 as area, {cell_sql(12000, PX, PY)[0]} as row, {cell_sql(12000, PX, PY)[1]} as col from shots")
+def cell_resolution(spark, d):
+    grid = geo.GridSpec(12000)
+    cells = gridding.with_cell(gridding.with_xy(shots(spark, d)), 12000).select("row", "col").distinct()
+    return cells.select(F.lit(int(grid.res)).alias("res"), F.lit(float(grid.cell_area)).alias("area"), "row", "col")
