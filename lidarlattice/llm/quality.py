@@ -135,7 +135,8 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, te
         below = F.when(F.col("y") == y, F.lit(int(min(1.0, want[y] / n) * parts))).otherwise(below)
     some = given.where(F.pmod(F.xxhash64("lid"), F.lit(parts)) < below)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("lid"), F.substring(text_col, 1, chars).alias("t"))
-    return texts.join(F.broadcast(some), "lid").orderBy(F.xxhash64("lid"), "lid", "t").collect()
+    got = texts.join(F.broadcast(some), "lid").limit(2 * rows).collect()  # the limit binds only where labelled ids repeat
+    return sorted(got, key=lambda r: (r["lid"], r["t"]))
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = LABELLED) -> Voter:

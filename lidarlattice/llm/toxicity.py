@@ -7,8 +7,8 @@ A sentence's feature for a landmark is the greatest kernel of its words, so lett
 set apart ("i d i o t", "i-d-i-o-t") are joined before. Landmarks are mined from labelled
 texts: words over-represented in toxic ones are covered by shared substrings. The features
 are whitened by the kernel matrix of the landmarks (Nyström), a linear SVM is trained on
-sentences, and a text's score is the calibrated margin of its worst sentence. Toxic texts
-teach a second time with a character inserted into their telling words.
+sentences, and a text's score is the calibrated margin of its worst sentence. Every third
+toxic text teaches a second time with a character inserted into its telling words.
 
 Because a feature is a weighted count of letter triples, all landmarks of a word are
 evaluated together by adding rows of one table. Words seen lately are kept; most have no
@@ -32,8 +32,8 @@ from lidarlattice.llm.quality import labelled, score_texts
 DECAY, GAP, FLOOR, LETTERS, PIECE = 0.7, 3, 0.45, 40, 24
 #: Bounds: labelled texts about, characters of each in training, landmarks, words a worker keeps.
 LABELLED, LEARN_CHARS, LANDMARKS, KEPT = 5000, 20_000, 48, 300_000
-#: Least log-likelihood ratio of a word that landmarks are mined from.
-SURPRISE = 25.0
+#: Least log-likelihood ratio of a substring that may be a landmark.
+SURPRISE = 30.0
 #: Mining ends when the best substring covers less than this share of what the first one covered.
 TAIL = 0.05
 #: Characters of texts whose new words are compared together.
@@ -122,21 +122,22 @@ def mine(toxic: list[set[str]], clean: list[set[str]], limit: int = LANDMARKS) -
     """Substrings that cover the words which toxic texts hold far more often than clean ones."""
     bad, good = Counter(w for t in toxic for w in t), Counter(w for t in clean for w in t)
     n, m = max(1, len(toxic)), max(1, len(clean))
-    strong = {w: a for w, a in bad.items() if 4 <= len(w) <= PIECE and a / n > 4 * (good[w] + 0.5) / m and surprise(a, good[w], n, m) > SURPRISE}
+    strong = {w: a for w, a in bad.items() if 4 <= len(w) <= PIECE and a >= 3 and a / n > 4 * (good[w] + 0.5) / m}
     parts: dict[str, set[str]] = {}
     for w in strong:
         for size in range(4, min(14, len(w)) + 1):
             for i in range(len(w) - size + 1):
                 parts.setdefault(w[i : i + size], set()).add(w)
-    against = Counter()
     four = {part for part in parts if len(part) == 4}
-    for w, b in good.items():
-        if not any(w[i : i + 4] in four for i in range(len(w) - 3)):
-            continue
-        for size in range(4, min(14, len(w)) + 1):
-            for part in {w[i : i + size] for i in range(len(w) - size + 1)}:
-                if part in parts:
-                    against[part] += b
+    within, against = Counter(), Counter()
+    for counts, held in ((bad, within), (good, against)):
+        for w, b in counts.items():
+            if any(w[i : i + 4] in four for i in range(len(w) - 3)):
+                for part in {w[i : i + size] for size in range(4, min(14, len(w)) + 1) for i in range(len(w) - size + 1)}:
+                    if part in parts:
+                        held[part] += b
+    parts = {part: words for part, words in parts.items() if within[part] / n > 4 * (against[part] + 0.5) / m and surprise(within[part], against[part], n, m) > SURPRISE}
+    strong = {w: strong[w] for words in parts.values() for w in words}
     out: list[str] = []
     left, least = set(strong), 0.0
     while left and len(out) < limit:
@@ -159,6 +160,7 @@ class Scorer:
         self.young: dict[str, np.ndarray | None] = {}
         self.old: dict[str, np.ndarray | None] = {}
         y = np.array(labels)
+        texts, y = self.distinct(texts, y)
         bags = [{plain(w) for w in set(tokens_of(t.lower()))} for t in texts]
         found = mine([b for b, v in zip(bags, y, strict=True) if v == 1], [b for b, v in zip(bags, y, strict=True) if v == 0])
         self.basis = Landmarks(found) if found else None
@@ -174,7 +176,7 @@ class Scorer:
         rows, sides = [np.zeros(m)], [-1.0]
         self.features(texts)  # fills the table of words
         random = np.random.default_rng(5)
-        disturbed = [self.disturb(t, random) for t, v in zip(texts, y, strict=True) if v == 1]
+        disturbed = [self.disturb(t, random) for t, v in zip(texts, y, strict=True) if v == 1][::3]
         texts, y = texts + disturbed, np.r_[y, np.ones(len(disturbed), int)]
         for v, hot in zip(y, self.features(texts), strict=True):
             rows += hot
@@ -183,6 +185,12 @@ class Scorer:
         margins = np.array(self.margins(texts))
         self.slope, self.shift = self.calibrate(margins, y)
 
+    @staticmethod
+    def distinct(texts: list[str], y: np.ndarray) -> tuple[list[str], np.ndarray]:
+        """Copies of a text teach once."""
+        first = list(dict(zip(reversed(texts), reversed(range(len(texts))), strict=True)).values())[::-1]
+        return [texts[i] for i in first], y[first]
+
     def train(self, x: np.ndarray, side: np.ndarray, empty: float, steps: int = 400) -> None:
         """A linear SVM (squared hinge, balanced classes) on whitened features; the first row stands for all sentences without features."""
         z = x @ self.white
