@@ -24,8 +24,8 @@ from lidarlattice.llm._common import cut, slices, table
 
 #: Words of a window, words of it that must be literal, least share of an item's windows, bits of the bitmap (a power of two).
 WINDOW, LITERAL, MIN_COVER, BITS = 6, 4, 0.3, 26
-#: Words of a table that a worker keeps, and characters of texts that are handled together.
-KEPT, GROUP = 300_000, 1 << 20
+#: Words of a table that a worker keeps, characters of texts that are handled together, and windows that are sent on together.
+KEPT, GROUP, PART = 60_000, 1 << 20, 16_384
 
 UNITS = frozenset(
     "mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers kilometre kilometres g kg mg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons "
@@ -51,16 +51,23 @@ class Templates:
     def code(self, raw: str) -> int:
         known = self.old.get(raw)
         if known is None:
-            word = _EDGE.sub("", raw)
-            known = ENDS if raw[-1] in ".!?:;" or raw.rstrip("\"')]»”").endswith((".", "!", "?")) else 0
-            if any(map(str.isalnum, word)):
+            mark = "" if raw.isalpha() else raw[-1] if raw[:-1].isalpha() and raw[-1] in ".,!?:;" else None
+            if mark is not None:  # letters, and a mark at most
+                word, number = raw[: len(raw) - len(mark)], False
+                known = ENDS if mark and mark != "," else 0
+            else:
+                word = _EDGE.sub("", raw)
+                number = _NUMBER.match(word) is not None
+                known = ENDS if raw[-1] in ".!?:;" or raw.rstrip("\"')]»”").endswith((".", "!", "?")) else 0
+            if mark is not None or any(map(str.isalnum, word)):
                 low = word.lower()
                 known |= xxhash.xxh64_intdigest(low) & _MASK or 16
-                known |= NUMBER if _NUMBER.match(word) else 0
+                known |= NUMBER if number else 0
                 known |= UNIT if low in UNITS else 0
-                known |= CAPITAL if word[0].isupper() and word[1:] == word[1:].lower() else 0
+                known |= CAPITAL if word != low and word[0].isupper() and word[1:] == low[1:] else 0
         if len(self.young) >= KEPT:
             self.old, self.young = self.young, {_BREAK: ENDS}
+        known = known or NUMBER  # of no word: never 0, so that it is found again
         self.young[raw] = known
         return known
 
@@ -108,6 +115,16 @@ class Templates:
         return [f"{k}={_EDGE.sub('', raws[at[i + k]]).lower()}" for k in range(width) if slot[i + k]]
 
 
+_TEMPLATES: list[Templates] = []
+
+
+def _templates() -> Templates:
+    """The worker's table, kept from task to task."""
+    if not _TEMPLATES:
+        _TEMPLATES.append(Templates())
+    return _TEMPLATES[0]
+
+
 def _grouped(texts: list) -> list[tuple[int, list]]:
     """Texts in order, in groups of about GROUP characters, each with its offset."""
     out, size = [], GROUP
@@ -126,8 +143,13 @@ _HITS = "id long, key long, place int, h long, width int, slots array<string>"
 def _windows(df: DataFrame, widths: list[int], bitmap=None) -> DataFrame:
     """Rows (id, key, text) -> windows, those only whose bit is set where a bitmap is given."""
 
+    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()))
+
+    def pack(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), types, strict=True)], names=["id", "key", "place", "h", "width", "slots"])
+
     def run(batches):
-        templates = Templates()
+        templates = _templates()
         for batch in batches:
             for part in slices(batch, "text"):
                 ids, keys, texts = (part.column(c).to_pylist() for c in ("id", "key", "text"))
@@ -142,10 +164,11 @@ def _windows(df: DataFrame, widths: list[int], bitmap=None) -> DataFrame:
                         for i in np.flatnonzero(ok).tolist():
                             k = offset + int(owner[i])
                             rows.append((ids[k], keys[k], int(place[i]), int(hashes[i]), width, templates.slots(i, width, state)))
+                            if len(rows) >= PART:
+                                yield pack(rows)
+                                rows = []
                 if rows:
-                    columns = list(zip(*rows, strict=True))
-                    types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()))
-                    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["id", "key", "place", "h", "width", "slots"])
+                    yield pack(rows)
 
     return df.mapInArrow(run, _HITS)
 
@@ -154,7 +177,7 @@ def _sizes(items: DataFrame) -> DataFrame:
     """Template words of each item."""
 
     def run(batches):
-        templates = Templates()
+        templates = _templates()
         for batch in batches:
             for part in slices(batch, "text"):
                 yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(templates.windows(part.column("text").to_pylist(), 1)[5].astype(np.int32))], names=["key", "words"])
