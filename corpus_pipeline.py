@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lidarlattice.llm import decontaminate, language_id, quality, sentencepiece_codec, simhash
 from lidarlattice.llm._common import cut, held_out, table
 
-#: Least part of the corrected n-gram hits that the winning language must have.
+#: Least part of a text's own n-grams that the winning language must hit, whatever the number of languages.
 LANGUAGE_SCORE = 0.28
 
 
@@ -33,10 +33,10 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a learned language: not those without letters, nor those that fit every language alike."""
+    """Documents in a learned language: not those without letters, nor those that fit none."""
     model = language_id.fit(docs.where(~held_out()))
-    named = language_id.identify(_packed(docs), model, keep_text=True)
-    return _unpacked(named.where((F.col("lang_pred") != "und") & (F.col("score") >= LANGUAGE_SCORE)), docs.columns)
+    named = language_id.identify(_packed(docs), model, keep_text=True, share=True)
+    return _unpacked(named.where((F.col("lang_pred") != "und") & (F.col("share") >= LANGUAGE_SCORE)), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

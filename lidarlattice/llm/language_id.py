@@ -118,15 +118,25 @@ class Filter:
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and score of each text; n-grams of GROUP characters or one text are in memory at a time."""
+        return self.predict_share(texts)[:2]
+
+    def predict_share(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float]]:
+        """Beside language and score: the winner's corrected hits as a share of the text's own n-grams.
+
+        Unlike the score, the share does not fall with the number of languages or with
+        their likeness.
+        """
         langs: list[str] = []
         scores: list[float] = []
+        shares: list[float] = []
         for part in grouped([t or "" for t in texts]):
-            lang, score = self._predict(part)
+            lang, score, share = self._predict(part)
             langs += lang
             scores += score
-        return langs, scores
+            shares += share
+        return langs, scores, shares
 
-    def _predict(self, texts: list[str]) -> tuple[list[str], list[float]]:
+    def _predict(self, texts: list[str]) -> tuple[list[str], list[float], list[float]]:
         points, starts = letters(texts)
         hits, total = np.zeros((len(texts), len(self.languages))), np.zeros(len(texts))
         for order in ORDERS:
@@ -139,10 +149,11 @@ class Filter:
         has_letter = np.array([bool(np.any(points[a:b])) for a, b in zip(starts, starts[1:], strict=False)])
         all_ = true.sum(1)
         if not self.languages:
-            return ["und"] * len(texts), [0.0] * len(texts)
+            return ["und"] * len(texts), [0.0] * len(texts), [0.0] * len(texts)
         best = true.argmax(1)
+        share = np.where(has_letter, true[np.arange(len(texts)), best] / np.maximum(1, total), 0.0)
         score = np.where(has_letter & (all_ > 0), true[np.arange(len(texts)), best] / np.maximum(all_, 1e-9), 0.0)
-        return [self.languages[b] if ok else "und" for b, ok in zip(best, has_letter, strict=True)], [min(1.0, float(s)) for s in score]
+        return [self.languages[b] if ok else "und" for b, ok in zip(best, has_letter, strict=True)], [min(1.0, float(s)) for s in score], [min(1.0, float(s)) for s in share]
 
 
 def fit(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: str = "doc_id", rows: int = ROWS, per_language: int = GRAMS) -> Filter:
@@ -183,18 +194,17 @@ def fit(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: s
     return Filter(languages, {int(i): part["gram"].to_numpy().view(np.uint64) for i, part in got.groupby("i")})
 
 
-def identify(df: DataFrame, model: Filter, text_col: str = "text", keep_text: bool = False) -> DataFrame:
+def identify(df: DataFrame, model: Filter, text_col: str = "text", keep_text: bool = False, share: bool = False) -> DataFrame:
     """Append lang_pred and score (0 to 1: the winner's part of the corrected counts) to every row.
 
-    A text that is null or has no letter is `und` with score 0. Rows stay as they are, with
+    With `share`, also share (0 to 1: the winner's part of the text's own n-grams). A text that is null or has no letter is `und` with score 0. Rows stay as they are, with
     repeats and nulls; an empty table stays empty.
     """
-    added = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
+    added = T.StructType([T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())] + [T.StructField("share", T.DoubleType())] * share)
     held = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batch):
-        lang, score = held.value.predict(batch.column(text_col).to_pylist())
-        return {"lang_pred": lang, "score": score}
+        return dict(zip(added.names, held.value.predict_share(batch.column(text_col).to_pylist()), strict=False))
 
     return map_text(df, run, added, text_col, keep_text)
 

@@ -4,6 +4,7 @@ import hashlib
 import re
 
 import sentencepiece
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lidarlattice.llm import language_id, quality, sentencepiece_codec, simhash
@@ -75,3 +76,17 @@ def test_stages_on_odd_rows(spark, tiny):
         assert stage(spark, odd.limit(0), tiny).collect() == []
     kept = corpus_pipeline.drop_near_duplicates(spark, odd, tiny).collect()
     assert sorted((r["doc_id"], r["text"]) for r in kept if r["text"] == "Of the and a text.") == [(4, "Of the and a text.")]
+
+
+def test_close_languages_keep_clean_documents(spark, small):
+    """The labels of each language split into six, as close varieties would be: no clean document may go, whatever the number of languages."""
+    docs = table(spark, small, "documents").where("lang is not null and n_chars >= 200")
+    split = docs.withColumn("lang", F.concat("lang", (F.col("doc_id") % 6).cast("string")))
+    clean = table(spark, small, "labels").where("quality = 1").select("doc_id")
+    few, many = (ids.join(clean, "doc_id").select("doc_id") for ids in (corpus_pipeline.keep_language(spark, d, small) for d in (docs, split)))
+    want = sorted(r["doc_id"] for r in docs.join(clean, "doc_id").select("doc_id").collect())
+    assert sorted(r["doc_id"] for r in few.collect()) == want
+    assert sorted(r["doc_id"] for r in many.collect()) == want
+    strange = spark.createDataFrame([(1, "xqzv wkjq zzxv qqwp vbnm kjhg xzcv qwpt", "en", "s", 40)], docs.schema)
+    held = split.where("lang is not null").unionByName(strange.withColumn("doc_id", F.lit(-5).cast("long")))
+    assert corpus_pipeline.keep_language(spark, held, small).where("doc_id = -5").count() == 0
