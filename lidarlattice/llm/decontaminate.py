@@ -8,6 +8,12 @@ are made; those left are hash-joined with the benchmark's windows. For each docu
 and alignment the slots must agree: one value of the item always meets the same value of
 the document, and different values meet different ones. Windows of consistent alignments
 count; a document is contaminated by an item of which they cover MIN_COVER or more.
+
+Windows with few literal words say too little as templates. So every item is also indexed
+by its plain words, in windows of the same width, whose values are in the hash: a copy word
+for word is always found. They decide alone for items without a window of enough literal
+words, again from MIN_COVER on; of other items all of them must be found, so that partial
+copies stay with the rule of the slots. Scripts without spaces are cut into characters.
 """
 
 from __future__ import annotations
@@ -35,6 +41,8 @@ UNITS = frozenset(
 _NUMBER = re.compile(r"[+\-$€£#]?\d[\d.,:/%]*(?:st|nd|rd|th)?[%€$£]?\Z")
 _EDGE = re.compile(r"^[^\w$€£#+\-]+|[^\w%€$£]+$")
 _BREAK = "\x1e"
+#: A character of a script without spaces between words: Thai to Burmese, Khmer, kana, Han.
+_DENSE = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
 #: Flags in the low bits of a word's code; the rest of the code is its hash, 0 for no word.
 CAPITAL, NUMBER, UNIT, ENDS = 1, 2, 4, 8
 _MASK = (1 << 64) - 16
@@ -71,11 +79,14 @@ class Templates:
         self.young[raw] = known
         return known
 
-    def windows(self, texts: list[str | None], width: int = WINDOW):
-        """Windows of texts: hashes, owners, places, whether enough is literal, and what slots() needs."""
+    def read(self, texts: list[str | None]):
+        """Words of texts, as templates and plain: each with hashes, owners, whether they are slots, and places in the raw words."""
         raws, counts = [], []
         for t in texts:
-            words = (t or "").replace("\n", f" {_BREAK} ").split()
+            t = t or ""
+            if not t.isascii() and _DENSE.search(t):
+                t = _DENSE.sub(r" \1 ", t)
+            words = t.replace("\n", f" {_BREAK} ").split()
             raws += words
             counts.append(len(words))
         get, code = self.young.get, self.code
@@ -91,13 +102,20 @@ class Templates:
             opened = np.cumsum(starts)
             first = np.r_[True, opened[at[1:]] > opened[at[:-1]]]
         flags, h, owner = flags[at], v[at] & np.uint64(_MASK), owner[at]
+        plain = h, owner, np.zeros(h.size, bool), at
         number = flags & NUMBER > 0
         after = np.r_[False, number[:-1] & (owner[1:] == owner[:-1])] if at.size else number
         unit = (flags & UNIT > 0) & after & ~number
         name = (flags & CAPITAL > 0) & ~first & ~unit & ~number
         h = np.where(number, _TYPED["number"], np.where(unit, _TYPED["unit"], np.where(name, _TYPED["name"], h)))
         keep = ~(name & np.r_[False, name[:-1] & (owner[1:] == owner[:-1])]) if at.size else name
-        h, owner, at, slot = h[keep], owner[keep], at[keep], (number | unit | name)[keep]
+        return len(texts), raws, (h[keep], owner[keep], (number | unit | name)[keep], at[keep]), plain
+
+    @staticmethod
+    def windows(read, width: int = WINDOW, plain: bool = False):
+        """Windows of read() texts: hashes, owners, places, whether enough is literal, what slots() needs, and words of each text."""
+        texts, raws, *kinds = read
+        h, owner, slot, at = kinds[plain]
         n = max(0, h.size - width + 1)
         g = np.zeros(n, np.uint64)
         for k in range(width):
@@ -105,7 +123,7 @@ class Templates:
             g ^= g >> np.uint64(31)
         typed = np.r_[0, np.cumsum(slot)]
         ok = (owner[:n] == owner[width - 1 :]) & (width - (typed[width:] - typed[:n]) >= min(LITERAL, width)) if n else np.empty(0, bool)
-        begin = np.searchsorted(owner, np.arange(len(texts) + 1))
+        begin = np.searchsorted(owner, np.arange(texts + 1))
         return g, owner[:n], np.arange(n) - begin[owner[:n]], ok, (raws, at, slot), np.diff(begin)
 
     @staticmethod
@@ -141,7 +159,7 @@ _HITS = "id long, key long, place int, h long, width int, slots array<string>"
 
 
 def _windows(df: DataFrame, widths: list[int], bitmap=None) -> DataFrame:
-    """Rows (id, key, text) -> windows, those only whose bit is set where a bitmap is given."""
+    """Rows (id, key, text) -> windows, those only whose bit is set where a bitmap is given. Widths of plain words are negative."""
 
     types = (pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.list_(pa.string()))
 
@@ -155,15 +173,16 @@ def _windows(df: DataFrame, widths: list[int], bitmap=None) -> DataFrame:
                 ids, keys, texts = (part.column(c).to_pylist() for c in ("id", "key", "text"))
                 rows: list[tuple] = []
                 for offset, group in _grouped(texts):
+                    read = templates.read(group)
                     for width in widths:
-                        g, owner, place, ok, state, _ = templates.windows(group, width)
+                        g, owner, place, ok, state, _ = templates.windows(read, abs(width), width < 0)
                         if bitmap is not None:
                             bit = g >> np.uint64(64 - BITS)
                             ok &= bitmap.value[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1) > 0
                         hashes = g.view(np.int64)
                         for i in np.flatnonzero(ok).tolist():
                             k = offset + int(owner[i])
-                            rows.append((ids[k], keys[k], int(place[i]), int(hashes[i]), width, templates.slots(i, width, state)))
+                            rows.append((ids[k], keys[k], int(place[i]), int(hashes[i]), width, templates.slots(i, abs(width), state)))
                             if len(rows) >= PART:
                                 yield pack(rows)
                                 rows = []
@@ -174,31 +193,31 @@ def _windows(df: DataFrame, widths: list[int], bitmap=None) -> DataFrame:
 
 
 def _sizes(items: DataFrame) -> DataFrame:
-    """Template words of each item."""
+    """Template words and plain words of each item."""
 
     def run(batches):
         templates = _templates()
         for batch in batches:
             for part in slices(batch, "text"):
-                yield pa.RecordBatch.from_arrays([part.column("key"), pa.array(templates.windows(part.column("text").to_pylist(), 1)[5].astype(np.int32))], names=["key", "words"])
+                read = templates.read(part.column("text").to_pylist())
+                yield pa.RecordBatch.from_arrays([part.column("key"), *(pa.array(templates.windows(read, 1, plain)[5].astype(np.int32)) for plain in (False, True))], names=["key", "words", "plain"])
 
-    return items.select("key", "text").mapInArrow(run, "key long, words int")
+    return items.select("key", "text").mapInArrow(run, "key long, words int, plain int")
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text") -> DataFrame:
     """Documents with a benchmark item in them: (key, id, item_id, cover, n_windows, reparameterised), a row per document and item.
 
     key is a hash of the text, so that rows that repeat share their result. An item of
-    fewer words than a window is one window; items without words, or with too few literal
-    words, match nothing. Null texts count as empty; an item whose id is null matches as
+    fewer words than a window is one window; items without words match nothing, items with
+    too few literal words match their plain words only. Null texts count as empty; an item whose id is null matches as
     null.
     """
     text = F.coalesce(F.col(item_text_col), F.lit(""))
     items = benchmark.select(F.col(item_col).cast("long").alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
     sizes = cut(_sizes(items.dropDuplicates(["key"])).where("words > 0"))
-    short = [r["words"] for r in sizes.where(F.col("words") < WINDOW).select("words").distinct().collect()]  # WINDOW - 1 of them at most
-    widths = [*short, WINDOW]
-    wanted = sizes.select(F.col("key").alias("k"), F.least("words", F.lit(WINDOW)).alias("w"))
+    wanted = sizes.select(F.col("key").alias("k"), F.explode(F.array(F.least("words", F.lit(WINDOW)), -F.least("plain", F.lit(WINDOW)))).alias("w"))
+    widths = sorted({WINDOW, -WINDOW} | {r["w"] for r in wanted.select("w").distinct().collect()})  # 2 * WINDOW of them at most
     index = cut(_windows(items.dropDuplicates(["key"]), widths).join(wanted, (F.col("key") == F.col("k")) & (F.col("width") == F.col("w"))).select(F.col("key").alias("item_key"), F.col("place").alias("item_place"), "h", "width", F.col("slots").alias("item_slots")))
 
     cells = F.shiftrightunsigned("h", 64 - BITS)
@@ -215,22 +234,25 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     slot_pairs = F.transform(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b")), lambda x: F.struct(F.substring_index(x["a"], "=", -1).alias("a"), F.substring_index(x["b"], "=", -1).alias("b")))
     aligned = (
         pairs.withColumn("values", slot_pairs)
-        .groupBy("key", "id", "item_key", (F.col("place") - F.col("item_place")).alias("shift"))
+        .groupBy("key", "id", "item_key", (F.col("width") < 0).alias("plain"), (F.col("place") - F.col("item_place")).alias("shift"))
         .agg(F.collect_set("item_place").alias("places"), F.array_distinct(F.flatten(F.collect_set("values"))).alias("values"))
         .withColumn("a", F.size(F.array_distinct(F.transform("values", lambda x: x["a"]))))
         .withColumn("b", F.size(F.array_distinct(F.transform("values", lambda x: x["b"]))))
         .where((F.col("a") == F.size("values")) & (F.col("b") == F.size("values")))
         .withColumn("changed", F.exists("values", lambda x: x["a"] != x["b"]))
     )
-    per_item = aligned.groupBy("key", "id", "item_key").agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n_windows"), F.min("changed").alias("reparameterised"))
-    totals = index.groupBy("item_key").agg(F.countDistinct("item_place").alias("n"))
+    per_item = aligned.groupBy("key", "id", "item_key", "plain").agg(F.size(F.array_distinct(F.flatten(F.collect_set("places")))).alias("n_windows"), F.min("changed").alias("reparameterised"))
+    places = [F.size(F.collect_set(F.when((F.col("width") < 0) == plain, F.col("item_place")))).alias(n) for n, plain in (("n_typed", False), ("n_plain", True))]
+    totals = index.groupBy("item_key").agg(*places)
     named = items.select(F.col("key").alias("item_key"), F.col("id").alias(item_col)).distinct()
     return (
         per_item.join(totals, "item_key")
-        .withColumn("cover", F.col("n_windows") / F.col("n"))
-        .where(F.col("cover") >= MIN_COVER)
+        .withColumn("cover", F.col("n_windows") / F.when(F.col("plain"), F.col("n_plain")).otherwise(F.col("n_typed")))
+        .where(F.col("cover") >= F.when(F.col("plain") & (F.col("n_typed") > 0), 1.0).otherwise(MIN_COVER))
+        .groupBy("key", "id", "item_key")
+        .agg(F.min(F.struct("plain", "cover", "n_windows", "reparameterised")).alias("by"))  # templates first
         .join(named, "item_key")
-        .select("key", "id", item_col, "cover", F.col("n_windows").cast("long").alias("n_windows"), "reparameterised")
+        .select("key", "id", item_col, "by.cover", F.col("by.n_windows").cast("long").alias("n_windows"), "by.reparameterised")
     )
 
 

@@ -162,6 +162,18 @@ def test_decontamination(spark):
     assert decontaminate.mark(df.limit(0), bench).collect() == [] and not any(r["contaminated"] for r in decontaminate.mark(df, bench.limit(0)).collect())
 
 
+def test_decontamination_finds_copies_word_for_word(spark):
+    items = ["What is 12 + 7 * 3 - 4 ?", "A B C D A C B D", "New York Los Angeles San Diego Santa Fe Las Vegas", "Paris is the capital of France", "如果小明有十二个苹果他还剩几个", "小明有几个", "Der Hund Bello von Herrn Karl Meier aus Bonn"]
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    rows = [(i, f"{before}{t}{after}", [i]) for i, t in enumerate(items[:4] + items[6:]) for before, after in (("", ""), ("we were asked: ", " and so on"), ("and then ", " or not"))]
+    rows = [(i, t, ids if i < 4 else [6]) for i, t, ids in rows]
+    rows += [(20, f"老师问大家{items[4]}呢", [4]), (21, f"老师问{items[5]}呢", [5]), (22, "老师问大家苹果还剩几个呢", []), (23, "What is 15 + 9 * 2 - 6 ?", []), (24, "D C B A B A D C", []), (25, "Berlin is the town of France", []), (26, "Der Hund Rex von Frau Eva Weber aus Kiel", [])]
+    docs = spark.createDataFrame([(k, t) for k, (_, t, _) in enumerate(rows)], "doc_id long, text string")
+    got = {r["doc_id"]: r["item_ids"] for r in decontaminate.mark(docs, bench).collect()}
+    assert got == {k: ids for k, (*_, ids) in enumerate(rows)}
+    assert sorted(r["doc_id"] for r in decontaminate.clean(docs, bench).collect()) == [k for k, (*_, ids) in enumerate(rows) if not ids]
+
+
 def test_decontamination_of_a_table_by_hand(spark, small):
     import re
 
