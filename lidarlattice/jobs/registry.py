@@ -180,6 +180,13 @@ def join_granules(spark, d):
     return joins.join_granules({"a": p.select(F.col("path_a").alias("path")), "b": p.where("o_orderkey % 10 <> 3").select(F.col("path_b").alias("path")), "c": p.where("o_orderkey % 7 <> 5").select(F.col("path_c").alias("path"))})
 
 
+@register("join_granules_all", f"with {PATHS}, k as (select *, substr(string_split(path_a, '/')[-1], 10, 23) as key from paths) select a.key, a.path_a as a, b.path_b as b, c.path_c as c from k a join k b on a.key = b.key join k c on a.key = c.key where b.o_orderkey % 10 <> 3 and c.o_orderkey % 7 <> 5")
+def join_granules_all(spark, d):
+    """As join_granules, over the orders of all years."""
+    p = src.file_paths(spark, d)
+    return joins.join_granules({"a": p.select(F.col("path_a").alias("path")), "b": p.where("o_orderkey % 10 <> 3").select(F.col("path_b").alias("path")), "c": p.where("o_orderkey % 7 <> 5").select(F.col("path_c").alias("path"))})
+
+
 @register("date_filter", f"with {PATHS}, g as (select substr(string_split(path_a, '/')[-1], 10, 23) as key, {_GDATE} as date from paths) select key from g where date between date '2019-04-17' and date '2023-03-16' and dayofyear(date) between 100 and 250")
 def date_filter(spark, d):
     return joins.date_filter(src.file_paths(spark, d).select(names.granule_key("path_a").alias("key")), "2019-04-17", "2023-03-16", (100, 250))
@@ -210,6 +217,13 @@ def granule_bbox_query(spark, d):
     return joins.granule_bbox_query(catalog, -112.14, 34.86, -112.1, 34.9).select("orbit")
 
 
+@register("granule_bbox_query_all", f"with {SHOTS}, c as (select orbit, min(lon_lm_a0) as xmin, max(lon_lm_a0) as xmax, min(lat_lm_a0) as ymin, max(lat_lm_a0) as ymax from shots group by orbit) select orbit from c where xmin <= -112.1e0 and xmax >= -112.14e0 and ymin <= 34.9e0 and ymax >= 34.86e0")
+def granule_bbox_query_all(spark, d):
+    """As granule_bbox_query, with a catalog of all shots."""
+    catalog = shots(spark, d).groupBy("orbit").agg(F.min("lon_lm_a0").alias("xmin"), F.max("lon_lm_a0").alias("xmax"), F.min("lat_lm_a0").alias("ymin"), F.max("lat_lm_a0").alias("ymax"))
+    return joins.granule_bbox_query(catalog, -112.14, 34.86, -112.1, 34.9).select("orbit")
+
+
 # -- projection and cells --------------------------------------------------------------------
 
 
