@@ -23,15 +23,27 @@ def held_out(doc_id="doc_id"):
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of `df` with a reliable checkpoint in the shared folder (`spark.checkpoint.dir`).
 
-    A folder of our own is set only where the session names none, as in tests.
+    A folder of our own is set only where the session names none and has no other machines
+    to share it with, as in tests; on a cluster that is an error.
     """
     sc = df.sparkSession.sparkContext
     if sc.getCheckpointDir() is None:
-        own = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        sc.setCheckpointDir(own or tempfile.mkdtemp(prefix="spark-checkpoint-"))
+        given = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if given is None and not sc.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(given or tempfile.mkdtemp(prefix="spark-checkpoint-"))
     return df.checkpoint(eager=True)
 
 
+#: Rows of keys that may be broadcast: some tens of MB.
+FEW = 1_000_000
+
+
+def few(keys: DataFrame) -> DataFrame:
+    """The same rows with a broadcast hint if they are FEW or less, counted first; beyond that Spark joins by a shuffle."""
+    return F.broadcast(keys) if keys.count() <= FEW else keys
+
+
 #: Rows of one Arrow batch that are handled at a time; texts are of any length, so the
 #: batch is walked in slices that hold about this many characters.
 SLICE_BYTES = 16 << 20
@@ -56,11 +68,14 @@ def map_text(df: DataFrame, per_slice: Callable[[pa.RecordBatch], dict], added:
     """Append columns that `per_slice` computes from Arrow slices of `df`; the text itself is left out unless kept.
 
     `per_slice` gets a record batch and returns {column: list or array} for `added`.
-    Rows are neither moved nor dropped: the map is narrow, so a lost task just runs again.
+    Columns of `df` that have the name of an added one, in whatever case, are replaced by
+    it. Rows are neither moved nor dropped: the map is narrow, so a lost task just runs
+    again.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
-    kept = [f for f in df.schema.fields if keep_text or f.name != text_col]
+    new_names = {f.name.lower() for f in added.fields}
+    kept = [f for f in df.schema.fields if (keep_text or f.name != text_col) and (f.name.lower() not in new_names or f.name == text_col)]
     schema = T.StructType(kept + list(added.fields))
     arrow = to_arrow_schema(schema)
 

@@ -1,19 +1,25 @@
 """Benchmark decontamination on templates: typed placeholders, a hash join of windows, slot consistency.
 
-Words are put in lower case; numbers, units after numbers and names (capitalised words
-within a sentence, runs as one) become placeholders, so that a question whose numbers and
-names were changed keeps its template. Windows of WINDOW template words are hashed. A
-bitmap of fixed size over the benchmark's hashes thins the documents' windows where they
-are made; those left are hash-joined with the benchmark's windows. For each document, item
-and alignment the slots must agree: one value of the item always meets the same value of
-the document, and different values meet different ones. Windows of consistent alignments
-count; a document is contaminated by an item of which they cover MIN_COVER or more.
+Words are put in lower case; numbers, units after numbers ("12 km" and "12km") and names
+become placeholders, so that a question whose numbers and names were changed keeps its
+template. A name is a run of capitalised words, one placeholder whose slot holds the whole
+run; a capitalised word that opens a sentence belongs to it unless it is one of OPENERS.
+Windows of WINDOW template words are hashed. A bitmap of fixed size over the benchmark's
+hashes thins the documents' windows where they are made; those left are hash-joined with
+the benchmark's windows. For each document, item and alignment the slots must agree: one
+value of the item always meets the same value of the document, and different values meet
+different ones. Windows of consistent alignments count; a document is contaminated by an
+item of which they cover MIN_COVER or more.
 
 Windows with few literal words say too little as templates. So every item is also indexed
 by its plain words, in windows of the same width, whose values are in the hash: a copy word
 for word is always found. They decide alone for items without a window of enough literal
 words, again from MIN_COVER on; of other items all of them must be found, so that partial
 copies stay with the rule of the slots. Scripts without spaces are cut into characters.
+
+Stock phrases that many items and many documents share make no pairs by themselves: an item
+needs a share of its windows, so one of its rarest windows must be among them, and only
+those look for candidates. The windows of candidates are then joined by document and item.
 """
 
 from __future__ import annotations
@@ -25,8 +31,9 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from lidarlattice.llm._common import cut, slices, table
+from lidarlattice.llm._common import cut, few, slices, table
 
 #: Words of a window, words of it that must be literal, least share of an item's windows, bits of the bitmap (a power of two).
 WINDOW, LITERAL, MIN_COVER, BITS = 6, 4, 0.3, 26
@@ -36,16 +43,27 @@ KEPT, GROUP, PART = 60_000, 1 << 20, 16_384
 UNITS = frozenset(
     "mm cm m km in ft yd mi inch inches foot feet yard yards mile miles meter meters metre metres kilometer kilometers kilometre kilometres g kg mg lb lbs oz gram grams kilogram kilograms pound pounds ounce ounces ton tons "
     "s sec second seconds min minute minutes h hr hour hours day days week weeks month months year years l ml liter liters litre litres gallon gallons cup cups degree degrees percent dollar dollars cent cents euro euros usd eur "
-    "kmh mph kw kwh w v hz".split()
+    "kmh mph km/h m/s kw kwh w v hz".split()
+)
+#: Words that open sentences without being names.
+OPENERS = frozenset(
+    "a an the this that these those it its he she we they you i his her their our my your there here what which who whom whose when where why how if then so but and or nor yet for of in on at by to from with without after before during while "
+    "since until because although though as each every all both some any no not many much more most few several one two three is are was were be do does did can could will would shall should may might must let find given suppose assume "
+    "calculate compute write explain describe show prove consider use choose select name list answer solve "
+    "le la les un une des du de ce cette il elle on nous vous ils elles et ou si dans pour avec est que qui quel quelle quand comment pourquoi "
+    "el los las una unos unas y o en con por para es que cual cuando como donde se su "
+    "der die das ein eine einen einem einer und oder wenn in im mit auf er sie es wir ihr ist sind was wer wie wo wann warum welche welcher".split()
 )
 _NUMBER = re.compile(r"[+\-$€£#]?\d[\d.,:/%]*(?:st|nd|rd|th)?[%€$£]?\Z")
+_GLUED = re.compile(r"([+\-]?\d[\d.,]*)([^\W\d_]+(?:/[a-z]+)?)\Z")
 _EDGE = re.compile(r"^[^\w$€£#+\-]+|[^\w%€$£]+$")
 _BREAK = "\x1e"
 #: A character of a script without spaces between words: Thai to Burmese, Khmer, kana, Han.
 _DENSE = re.compile("([\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\uff66-\uff9f\U00020000-\U0003ffff])")
 #: Flags in the low bits of a word's code; the rest of the code is its hash, 0 for no word.
-CAPITAL, NUMBER, UNIT, ENDS = 1, 2, 4, 8
-_MASK = (1 << 64) - 16
+CAPITAL, NUMBER, UNIT, ENDS, STOPS, OPENS, GLUED = 1, 2, 4, 8, 16, 32, 64
+_BITS = 7
+_MASK = (1 << 64) - (1 << _BITS)
 _TYPED = {k: np.uint64(xxhash.xxh64_intdigest(f"<{k}>") & _MASK) for k in ("number", "unit", "name")}
 
 
@@ -53,7 +71,7 @@ class Templates:
     """Codes of raw words, two generations of a bounded table."""
 
     def __init__(self):
-        self.young: dict[str, int] = {_BREAK: ENDS}
+        self.young: dict[str, int] = {_BREAK: ENDS | STOPS}
         self.old: dict[str, int] = {}
 
     def code(self, raw: str) -> int:
@@ -62,25 +80,28 @@ class Templates:
             mark = "" if raw.isalpha() else raw[-1] if raw[:-1].isalpha() and raw[-1] in ".,!?:;" else None
             if mark is not None:  # letters, and a mark at most
                 word, number = raw[: len(raw) - len(mark)], False
-                known = ENDS if mark and mark != "," else 0
+                known = (STOPS if mark == "," else ENDS | STOPS) if mark else 0
             else:
                 word = _EDGE.sub("", raw)
                 number = _NUMBER.match(word) is not None
-                known = ENDS if raw[-1] in ".!?:;" or raw.rstrip("\"')]»”").endswith((".", "!", "?")) else 0
+                known = ENDS | STOPS if raw[-1] in ".!?:;" or raw.rstrip("\"')]»”").endswith((".", "!", "?")) else STOPS if raw[-1] in ",)]" else 0
+                if not number and (parts := _GLUED.match(word)) and parts[2].lower() in UNITS:
+                    known |= GLUED
             if mark is not None or any(map(str.isalnum, word)):
                 low = word.lower()
-                known |= xxhash.xxh64_intdigest(low) & _MASK or 16
+                known |= xxhash.xxh64_intdigest(low) & _MASK or 1 << _BITS
                 known |= NUMBER if number else 0
                 known |= UNIT if low in UNITS else 0
                 known |= CAPITAL if word != low and word[0].isupper() and word[1:] == low[1:] else 0
+                known |= OPENS if low in OPENERS else 0
         if len(self.young) >= KEPT:
-            self.old, self.young = self.young, {_BREAK: ENDS}
+            self.old, self.young = self.young, {_BREAK: ENDS | STOPS}
         known = known or NUMBER  # of no word: never 0, so that it is found again
         self.young[raw] = known
         return known
 
     def read(self, texts: list[str | None]):
-        """Words of texts, as templates and plain: each with hashes, owners, whether they are slots, and places in the raw words."""
+        """Words of texts, as templates and plain: each with hashes, owners, whether they are slots, and the raw words that each stands for."""
         raws, counts = [], []
         for t in texts:
             t = t or ""
@@ -92,30 +113,43 @@ class Templates:
         get, code = self.young.get, self.code
         v = np.fromiter([get(r) or code(r) for r in raws], np.uint64, len(raws))
         owner = np.repeat(np.arange(len(texts)), counts)
-        flags = (v & np.uint64(15)).astype(np.int8)
+        if (v & np.uint64(GLUED)).any():  # a number and its unit in one word become two
+            glued = (v & np.uint64(GLUED) > 0).tolist()
+            raws = [p for r, g in zip(raws, glued, strict=True) for p in (self.parts(r) if g else (r,))]
+            owner = np.repeat(owner, 1 + np.array(glued))
+            v = np.fromiter([get(r) or code(r) for r in raws], np.uint64, len(raws))
+        flags = (v & np.uint64((1 << _BITS) - 1)).astype(np.int16)
         starts = np.r_[True, (flags[:-1] & ENDS > 0) | (owner[1:] != owner[:-1])] if len(raws) else np.empty(0, bool)
-        # a word after a token without letters (a dash, a bracket) starts a sentence if that token does
-        word = v >> np.uint64(4) > 0
-        at = np.flatnonzero(word)
-        first = np.zeros(at.size, bool)
-        if at.size:
-            opened = np.cumsum(starts)
-            first = np.r_[True, opened[at[1:]] > opened[at[:-1]]]
+        stops = np.r_[True, flags[:-1] & STOPS > 0] if len(raws) else starts
+        # a word after a token without letters (a dash, a bracket) starts a sentence, or ends a run, if that token does
+        at = np.flatnonzero(v >> np.uint64(_BITS) > 0)
+        since = lambda marks: np.r_[True, (seen := np.cumsum(marks))[at[1:]] > seen[at[:-1]]] if at.size else np.zeros(0, bool)
+        first, apart = since(starts), since(starts | stops)
         flags, h, owner = flags[at], v[at] & np.uint64(_MASK), owner[at]
-        plain = h, owner, np.zeros(h.size, bool), at
+        plain = h, owner, np.zeros(h.size, bool), at, at + 1
         number = flags & NUMBER > 0
         after = np.r_[False, number[:-1] & (owner[1:] == owner[:-1])] if at.size else number
         unit = (flags & UNIT > 0) & after & ~number
-        name = (flags & CAPITAL > 0) & ~first & ~unit & ~number
+        name = (flags & CAPITAL > 0) & ~(first & (flags & OPENS > 0)) & ~unit & ~number
         h = np.where(number, _TYPED["number"], np.where(unit, _TYPED["unit"], np.where(name, _TYPED["name"], h)))
-        keep = ~(name & np.r_[False, name[:-1] & (owner[1:] == owner[:-1])]) if at.size else name
-        return len(texts), raws, (h[keep], owner[keep], (number | unit | name)[keep], at[keep]), plain
+        keep = ~(name & np.r_[False, name[:-1]] & ~apart) if at.size else name
+        kept = np.flatnonzero(keep)
+        ends = at[np.r_[kept[1:], at.size] - 1] + 1 if at.size else at
+        return len(texts), raws, (h[keep], owner[keep], (number | unit | name)[keep], at[keep], ends), plain
+
+    @staticmethod
+    def parts(raw: str) -> tuple[str, str]:
+        """A number and the unit glued to it, each with the marks on its side."""
+        at = next(i for i, c in enumerate(raw) if c.isdigit())
+        while raw[at].isdigit() or raw[at] in ".,":
+            at += 1
+        return raw[:at], raw[at:]
 
     @staticmethod
     def windows(read, width: int = WINDOW, plain: bool = False):
         """Windows of read() texts: hashes, owners, places, whether enough is literal, what slots() needs, and words of each text."""
         texts, raws, *kinds = read
-        h, owner, slot, at = kinds[plain]
+        h, owner, slot, at, ends = kinds[plain]
         n = max(0, h.size - width + 1)
         g = np.zeros(n, np.uint64)
         for k in range(width):
@@ -124,13 +158,13 @@ class Templates:
         typed = np.r_[0, np.cumsum(slot)]
         ok = (owner[:n] == owner[width - 1 :]) & (width - (typed[width:] - typed[:n]) >= min(LITERAL, width)) if n else np.empty(0, bool)
         begin = np.searchsorted(owner, np.arange(texts + 1))
-        return g, owner[:n], np.arange(n) - begin[owner[:n]], ok, (raws, at, slot), np.diff(begin)
+        return g, owner[:n], np.arange(n) - begin[owner[:n]], ok, (raws, at, ends, slot), np.diff(begin)
 
     @staticmethod
     def slots(i: int, width: int, state) -> list[str]:
-        """Raw values of the slots of the window at i, in order, with their places in it."""
-        raws, at, slot = state
-        return [f"{k}={_EDGE.sub('', raws[at[i + k]]).lower()}" for k in range(width) if slot[i + k]]
+        """Raw values of the slots of the window at i, in order: a name's are all words of its run."""
+        raws, at, ends, slot = state
+        return [" ".join(filter(None, (_EDGE.sub("", r).lower() for r in raws[at[k] : ends[k]]))) for k in range(i, i + width) if slot[k]]
 
 
 _TEMPLATES: list[Templates] = []
@@ -228,10 +262,20 @@ def contamination(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     held = docs.sparkSession.sparkContext.broadcast(bitmap)
 
     body = F.coalesce(F.col(text_col), F.lit(""))
-    hits = cut(_windows(docs.select(F.col(id_col).alias("id"), F.xxhash64(body).alias("key"), body.alias("text")), widths, held))
-
-    pairs = hits.join(index, ["h", "width"]).where(F.size("slots") == F.size("item_slots"))
-    slot_pairs = F.transform(F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b")), lambda x: F.struct(F.substring_index(x["a"], "=", -1).alias("a"), F.substring_index(x["b"], "=", -1).alias("b")))
+    hits = cut(_windows(docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(body).alias("key"), body.alias("text")), widths, held))
+
+    # of n places of an item, more than n - least must be rare for one of them to be among any `least` that are found
+    plain = F.col("width") < 0
+    both = Window.partitionBy("item_key")
+    shared = index.groupBy("h", "width").agg(F.count("*").alias("shared"))
+    order = Window.partitionBy("item_key", plain).orderBy("shared", "h", "item_place")
+    n = F.count("*").over(Window.partitionBy("item_key", plain))
+    least = F.ceil(n * F.when(plain & (F.max(~plain).over(both)), 1.0).otherwise(MIN_COVER) - 1e-9)
+    rare = index.join(shared, ["h", "width"]).select("h", "width", "item_key", F.row_number().over(order).alias("rank"), n.alias("n"), least.alias("least")).where("rank <= n - least + 1")
+    found = hits.join(rare.select("h", "width", "item_key").distinct(), ["h", "width"]).select("key", "id", "item_key").distinct()
+    candidates = found.select(F.col("key").alias("k"), F.col("id").alias("i"), "item_key")
+    pairs = hits.join(candidates, (F.col("key") == F.col("k")) & _same("id", "i")).drop("k", "i").join(index, ["h", "width", "item_key"]).where(F.size("slots") == F.size("item_slots"))
+    slot_pairs = F.arrays_zip(F.col("item_slots").alias("a"), F.col("slots").alias("b"))
     aligned = (
         pairs.withColumn("values", slot_pairs)
         .groupBy("key", "id", "item_key", (F.col("width") < 0).alias("plain"), (F.col("place") - F.col("item_place")).alias("shift"))
@@ -279,9 +323,14 @@ def mark(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col
 
 
 def clean(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that no benchmark item contaminates, with all their columns."""
-    bad = contamination(docs, benchmark, id_col, text_col).select(F.col("key").alias("_bad_key")).distinct()
-    return docs.join(bad, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_bad_key"), "left_anti")
+    """The documents that no benchmark item contaminates, with all their columns, whatever their names.
+
+    Only the keys of contaminated rows meet the texts: as a broadcast where they are few, in
+    a join otherwise.
+    """
+    bad = cut(contamination(docs, benchmark, id_col, text_col).select(F.col("key").alias("k"), F.col("id").alias("i")).distinct())
+    packed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"), F.col(id_col).cast("long").alias("id"))
+    return packed.join(few(bad), (F.col("key") == F.col("k")) & _same("id", "i"), "left_anti").select("doc.*")
 
 
 def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:

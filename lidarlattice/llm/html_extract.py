@@ -25,17 +25,18 @@ from pyspark.sql import types as T
 
 from lidarlattice.llm._common import map_text, table
 from lidarlattice.llm.boosting import BoostedTrees
-from lidarlattice.llm.html_nodes import BLOCKS, CLOSES_P, SAME, SCOPE, VOID, plain_text, squeeze, tokens
+from lidarlattice.llm.html_nodes import BLOCKS, CLOSES_P, SAME, SCOPE, VOID, attributes, plain_text, squeeze, tokens
 from lidarlattice.llm.page_layouts import Layouts
 
-#: Bounds of the training sample: real pages, characters of each, generated pages.
-SAMPLE, SAMPLE_CHARS, LAYOUTS = 200, 20_000, 700
+#: Bounds of the training sample: real pages about, characters of a page that may teach (longer pages do not), generated pages.
+SAMPLE, LONGEST, LAYOUTS = 200, 100_000, 700
 
-_ATTRIBUTE = re.compile(r"(?:^|[\s\"'])(class|id|role|itemprop|data-y)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_ATTRIBUTE = frozenset("class id role itemprop data-y".split())
 _WORD = re.compile(r"[a-z]+")
 _POINT = re.compile(r"[.,;!?:]")
 _ASIDE = frozenset("nav header footer aside form menu dialog button select".split())
 _CONTROLS = frozenset("form input button select textarea label fieldset option".split())
+_TABLE = frozenset("table tr tbody thead tfoot body html".split())
 _HEADS = frozenset("h1 h2 h3 h4 h5 h6".split())
 
 
@@ -46,11 +47,18 @@ class Page:
         self.tag, self.parent, self.words, self.label = ["#root"], [-1], [()], [-1]
         self.blocks: list[list[tuple[int, str]]] = []
         self.links: list[int] = [0]
-        stack, names, block, link = [0], ["#root"], [], False
+        names, block, link = ["#root"], [], False
         nodes = [0]  # the nearest node of each open element
+        bars = [0]  # the place of the nearest block among the open elements
+        places: dict[str, list[int]] = {}  # where each name is open: finds an element without a walk through the others
 
         def pop_to(k):
-            del stack[k:], names[k:], nodes[k:]
+            for name in names[k:]:
+                places[name].pop()
+            del names[k:], nodes[k:], bars[k:]
+
+        def last(*some):
+            return max((places[name][-1] for name in some if places.get(name)), default=0)
 
         def end_block():
             nonlocal block
@@ -68,38 +76,32 @@ class Page:
                 if name in BLOCKS:
                     end_block()
                     link = False
-                    if name in CLOSES_P and "p" in names:
-                        k = len(names) - 1 - names[::-1].index("p")
-                        if not BLOCKS.intersection(names[k + 1 :]):
-                            pop_to(k)
+                    if name in CLOSES_P and names[bars[-1]] == "p":
+                        pop_to(bars[-1])
                     if name in SAME:
-                        closes, scope = SAME[name].split(), SCOPE[name].split()
-                        for k in range(len(names) - 1, 0, -1):
-                            if names[k] in closes:
-                                pop_to(k)
-                                break
-                            if names[k] in scope:
-                                break
+                        k = last(*SAME[name].split())
+                        if k > last(*SCOPE[name].split()):
+                            pop_to(k)
                 elif name == "a":
                     link = True
                 elif name == "br" or name == "img":
                     block.append((nodes[-1], " "))
-                if name in ("html", "body") and name in names:
+                if name in ("html", "body") and places.get(name):
                     continue
-                found = _ATTRIBUTE.findall(data) if "=" in data else ()
+                found = [(k, v) for k, v in attributes(data) if k in _ATTRIBUTE] if "=" in data else []
                 control = name in _CONTROLS and name not in BLOCKS
                 if name in BLOCKS or control or (found and name not in VOID and name != "a"):
                     self.tag.append(name)
                     self.parent.append(nodes[-1])
-                    said = [(k.lower(), a or b or c) for k, a, b, c in found]
-                    self.label.append(next((int(v) for k, v in said if k == "data-y" and v in ("0", "1")), -1))
-                    self.words.append(tuple(w for k, v in said if k != "data-y" for w in _WORD.findall(v.lower())))
+                    self.label.append(next((int(v) for k, v in found if k == "data-y" and v in ("0", "1")), -1))
+                    self.words.append(tuple(w for k, v in found if k != "data-y" for w in _WORD.findall(v.lower())))
                     self.links.append(0)
                     node = len(self.tag) - 1
                 else:
                     node = nodes[-1]
                 if name not in VOID:
-                    stack.append(node)
+                    places.setdefault(name, []).append(len(names))
+                    bars.append(len(names) if name in BLOCKS else bars[-1])
                     names.append(name)
                     nodes.append(node)
             else:
@@ -108,12 +110,10 @@ class Page:
                 if name in BLOCKS:
                     end_block()
                     link = False
-                for k in range(len(names) - 1, 0, -1):
-                    if names[k] == name:
-                        pop_to(k)
-                        break
-                    if (names[k] in BLOCKS and name not in BLOCKS) or (names[k] in ("table", "td", "th") and name not in ("table", "tr", "tbody", "thead", "tfoot", "body", "html")):
-                        break
+                bar = last("table", "td", "th") if name not in _TABLE else 0
+                k = last(name)
+                if k and k >= max(bar, bars[-1] if name not in BLOCKS else 0):
+                    pop_to(k)
         end_block()
 
 
@@ -231,9 +231,9 @@ class Extractor:
     """A fitted classifier with its table of attribute words."""
 
     def __init__(self, pages: list[str], seed: int = 7):
-        lines = [line for source in pages for line in plain_text(source[:SAMPLE_CHARS]).split("\n")]
-        long = [line[:700] for line in lines if len(line) > 60] or [line for line in lines if line]
-        short = [w for line in lines[:4000] for w in line.split()[:6] if w]
+        lines = [line for source in pages for line in plain_text(source).split("\n")]
+        long = [line for line in lines if len(line) > 60] or [line for line in lines if line]
+        short = [w for line in lines for w in line.split()[:6] if w]
         drawn = Layouts(long, short, seed)
         train = []
         for _ in range(LAYOUTS):
@@ -244,7 +244,7 @@ class Extractor:
                 if labels[k] < 0:
                     labels[k] = labels[page.parent[k]]
             train.append((page, labels))
-        train += [(page, own_labels(page)) for page in (Page(source[:SAMPLE_CHARS]) for source in pages)]
+        train += [(page, own_labels(page)) for page in (Page(source) for source in pages)]
         self.scores = word_scores(train)
         x = np.concatenate([features(page, self.scores) for page, _ in train])
         y = np.concatenate([np.array(labels) for _, labels in train])
@@ -268,13 +268,14 @@ class Extractor:
 def fit(df: DataFrame, id_col: str = "page_id", html_col: str = "html", sample: int = SAMPLE) -> Extractor:
     """Fit on about `sample` pages, twice as many at most: those with the least hashes of id and length; no pages give a classifier from layouts alone.
 
-    The share of pages below a hash is thinned on the executors, so that what reaches the
-    driver does not grow with the number of tasks.
+    Pages of more than LONGEST characters teach nothing, so that the sample is bounded in
+    size without cutting a page. The share of pages below a hash is thinned on the
+    executors, so that what reaches the driver does not grow with the number of tasks.
     """
-    pages = df.where(F.col(html_col).isNotNull())
+    pages = df.where(F.col(html_col).isNotNull() & (F.length(html_col) <= LONGEST))
     parts = 1 << 30
     below = int(min(1.0, sample / max(1, pages.count())) * parts)
-    some = pages.where(F.pmod(F.xxhash64(id_col, F.length(html_col)), F.lit(parts)) < below).select(F.substring(html_col, 1, SAMPLE_CHARS).alias("x")).limit(2 * sample)
+    some = pages.where(F.pmod(F.xxhash64(id_col, F.length(html_col)), F.lit(parts)) < below).select(F.col(html_col).alias("x")).limit(2 * sample)
     return Extractor(sorted(r["x"] for r in some.collect()))
 
 

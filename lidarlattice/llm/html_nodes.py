@@ -17,7 +17,10 @@ CLOSES_P = BLOCKS - frozenset("body html button legend option optgroup td th tr
 SAME = {"li": "li", "dt": "dt dd", "dd": "dt dd", "tr": "tr td th", "td": "td th", "th": "td th", "option": "option", "optgroup": "option optgroup", "thead": "tbody thead tfoot tr td th", "tbody": "tbody thead tfoot tr td th", "tfoot": "tbody thead tfoot tr td th"}
 SCOPE = {"li": "ul ol menu dir", "dt": "dl", "dd": "dl", "tr": "table", "td": "table", "th": "table", "thead": "table", "tbody": "table", "tfoot": "table", "option": "select", "optgroup": "select"}
 
-_TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']++|\"[^\"<]{0,4000}\"|'[^'<]{0,4000}'|[\"'])*+)(?:>|\Z)|<[!?/][^>]*(?:>|\Z)", re.S)
+#: Attributes as the standard reads them: a quoted value runs to its closing quote, whatever it holds; a quote that nothing closes is a letter of a name.
+_ATTRIBUTES = r"(?:[\s/]++|[^\s/>][^\s/>=]*+(?:\s*+=\s*+(?:\"[^\"]*+\"|'[^']*+'|(?![\"'])[^\s>]++)?+)?+)*+"
+_TOKEN = re.compile(rf"<!--(?:-?>|.*?(?:--!?>|\Z))|<(/?)([a-zA-Z][^\s/>]*+)({_ATTRIBUTES})(?:>|\Z)|<(?:[!?]|/(?![a-zA-Z]))[^>]*+(?:>|\Z)", re.S)
+_ENDS = {name: re.compile(rf"</{name}(?=[\s/>]){_ATTRIBUTES}(?:>|\Z)", re.I) for name in RAW}
 _SPACE = re.compile(r"\s+")
 
 
@@ -45,11 +48,19 @@ def tokens(source: str) -> Iterator[tuple[str, str, str]]:
             continue
         yield "open", name, m[3]
         if name in RAW:
-            end = re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I).search(source, at)
+            end = _ENDS[name].search(source, at)
             at = end.end() if end else n
             yield "close", name, ""
 
 
+_PAIR = re.compile(r"([^\s/>][^\s/>=]*+)(?:\s*+=\s*+(?:\"([^\"]*+)\"|'([^']*+)'|((?![\"'])[^\s>]++))?+)?+")
+
+
+def attributes(data: str) -> list[tuple[str, str]]:
+    """(name in lower case, raw value) of the attributes of a tag, in order."""
+    return [(k.lower(), a or b or c) for k, a, b, c in _PAIR.findall(data)]
+
+
 def squeeze(text: str) -> str:
     """Character references decoded, white space turned into single spaces, trimmed."""
     return _SPACE.sub(" ", html.unescape(text) if "&" in text else text).strip()

@@ -22,7 +22,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lidarlattice.llm._common import cut, map_text, table
+from lidarlattice.llm._common import cut, few, map_text, table
 from lidarlattice.llm.components import components
 
 BLOCKS = 6
@@ -251,19 +251,22 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 4, distance: int = 4) -> DataFrame:
-    """One row of each component, with all its columns: the one with the smallest id.
+    """One row of each component, with all its columns, whatever their names: the one with the smallest id.
 
     Among rows of one id the smaller hash of the text decides, among equal rows any; rows
-    with a null id stay only where their component has no other.
+    with a null id stay only where their component has no other. Only the keys of rows that
+    go meet the texts: as a broadcast where they are few, in a join otherwise.
     """
     rows, rooted = _rooted(df, id_col, text_col, width, distance)
     one = F.min(F.struct(F.col("id").isNull().alias("none"), "id", "key")).alias("one")
-    best = rows.groupBy("bits").agg(one).join(rooted, "bits").groupBy("root").agg(F.min("one").alias("one")).select("one.id", "one.key")
-    times = rows.groupBy("id", "key").count().withColumnsRenamed({"id": "i", "key": "k"})
-    chosen = best.join(times, (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i"))).select(F.col("id").alias("_id"), F.col("key").alias("_key"), F.col("count").alias("_count"))
-    kept = df.join(chosen, (F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))) == F.col("_key")) & F.col(id_col).eqNullSafe(F.col("_id")))
-    once = kept.where("_count = 1").select(*df.columns)
-    return once.union(kept.where("_count > 1").dropDuplicates(["_id", "_key"]).select(*df.columns))
+    best = rows.groupBy("bits").agg(one).join(rooted, "bits").groupBy("root").agg(F.min("one").alias("one")).select(F.col("one.id").alias("i"), F.col("one.key").alias("k"))
+    times = rows.groupBy("id", "key").count()
+    same = (F.col("key") == F.col("k")) & F.col("id").eqNullSafe(F.col("i"))
+    judged = cut(times.join(best, same, "left").select("id", "key", "count", F.col("k").isNotNull().alias("chosen")).where("not chosen or count > 1").withColumnsRenamed({"id": "i", "key": "k"}))
+    packed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("doc"), F.col(id_col).alias("id"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("key"))
+    once = packed.join(few(judged.select("i", "k")), same, "left_anti")
+    again = packed.join(few(judged.where("chosen").select("i", "k")), same).dropDuplicates(["id", "key"]).select("doc", "id", "key")
+    return once.union(again).select("doc.*")
 
 
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

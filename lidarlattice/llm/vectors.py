@@ -29,8 +29,8 @@ SHARD, BLOCK = 8192, 2048
 SEEDS, PROMISING = 128, 32
 
 
-def maxscore(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: np.ndarray, k: int):
-    """Yield (query, vectors, scores): the k best per query by score, ties to the smaller id; own[i] is a query's own id.
+def maxscore(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, rows: np.ndarray, own: np.ndarray, k: int):
+    """Yield (query, ids, scores): the k best per query by score, ties to the smaller id; own[i] is the row of query i, which is no candidate.
 
     Integers in float64 stay exact below 2^53; beyond, 64-bit integers are used.
     """
@@ -39,13 +39,13 @@ def maxscore(queries: np.ndarray, vectors: np.ndarray, ids: np.ndarray, own: np.
         queries, vectors = queries.astype(np.float64), vectors.astype(np.float64)
     order = np.argsort(ids, kind="stable")
     vectors, ids = np.ascontiguousarray(vectors[order]), ids[order]
+    place = {row: at for at, row in enumerate(rows[order].tolist())}
     high, low = vectors.max(axis=0), vectors.min(axis=0)
     columns = np.ascontiguousarray(vectors.T)  # the postings of each term
     seeds = np.linspace(0, len(ids) - 1, min(SEEDS, len(ids))).astype(np.int64)
     seed_scores = queries @ vectors[seeds].T
     for n, q in enumerate(queries):
-        mine = np.searchsorted(ids, own[n])
-        mine = int(mine) if mine < len(ids) and ids[mine] == own[n] else -1
+        mine = place.get(int(own[n]), -1)
         bound = np.maximum(q * high, q * low)
         terms = np.argsort(-bound, kind="stable")
         tail = np.r_[np.cumsum(bound[terms][::-1])[::-1], 0]  # tail[i]: bound of terms i and later
@@ -89,35 +89,37 @@ def _matrix(arrays) -> np.ndarray:
 def top_k(df: DataFrame, k: int, every: int, id_col: str = "vec_id", vector_col: str = "embedding", scale: int = 256, shards: int | None = None, block: int = BLOCK) -> DataFrame:
     """Rows (id, vector of floats) -> (query_id, rank, vec_id, score) for the rows whose id is divisible by `every`.
 
-    Components become floor(scale * x). Candidates are all rows but the query's own id.
-    Rows with a null id, a null vector, or null or non-finite components take no part; of
-    rows that share an id the least vector counts; vectors of unequal width are compared as
-    if filled with zeros. Ties go to the smaller id. An empty table gives no rows.
+    Components become floor(scale * x). Candidates are all rows but the query's own row:
+    rows that share an id are all kept, as candidates and as queries, each with its own
+    result (so a query id that repeats gives k rows for each of its rows). Rows with a null
+    id, a null vector, or null or non-finite components take no part; vectors of unequal
+    width are compared as if filled with zeros. Ties go to the smaller id. Other columns are
+    left out, whatever their names. An empty table gives no rows.
     """
     x = F.col(vector_col)
     good = F.col(id_col).isNotNull() & x.isNotNull() & F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < float("inf")))
     whole = df.where(good).select(F.col(id_col).alias("vid"), F.transform(x, lambda v: F.floor(v.cast("double") * scale).cast("long")).alias("v"))
-    rows = cut(whole.groupBy("vid").agg(F.min("v").alias("v")))
+    rows = cut(whole.withColumn("row", F.monotonically_increasing_id()))  # the checkpoint fixes the numbers
     n = rows.count()
     shards = shards or max(1, -(-n // SHARD))
     asked = rows.where(F.col("vid") % every == 0)
     blocks = max(1, -(-asked.count() // block))
-    spread = lambda parts: F.pmod(F.xxhash64("vid"), F.lit(parts)).cast("int")
-    spread_q = F.pmod(F.xxhash64(F.lit("query"), "vid"), F.lit(blocks)).cast("int")
-    candidates = rows.select(spread(shards).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "vid", "v")
-    queries = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), spread_q.alias("block"), "vid", "v")
+    spread = lambda parts: F.pmod(F.xxhash64("row"), F.lit(parts)).cast("int")
+    spread_q = F.pmod(F.xxhash64(F.lit("query"), "row"), F.lit(blocks)).cast("int")
+    candidates = rows.select(spread(shards).alias("shard"), F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))).alias("block"), "row", "vid", "v")
+    queries = asked.select(F.explode(F.sequence(F.lit(0), F.lit(shards - 1))).alias("shard"), spread_q.alias("block"), "row", "vid", "v")
 
     def run(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
         out = []
         if len(left) and len(right):
-            own, ids = right["vid"].to_numpy(np.int64), left["vid"].to_numpy(np.int64)
+            asked, own = right["vid"].to_numpy(np.int64), right["row"].to_numpy(np.int64)
             both = _matrix([*left["v"], *right["v"]])
-            for i, found, scores in maxscore(both[len(left) :], both[: len(left)], ids, own, k):
-                out.append(pd.DataFrame({"query_id": own[i], "vec_id": found, "score": scores}))
-        return pd.concat(out) if out else pd.DataFrame({c: np.empty(0, np.int64) for c in ("query_id", "vec_id", "score")})
+            for i, found, scores in maxscore(both[len(left) :], both[: len(left)], left["vid"].to_numpy(np.int64), left["row"].to_numpy(np.int64), own, k):
+                out.append(pd.DataFrame({"row": own[i], "query_id": asked[i], "vec_id": found, "score": scores}))
+        return pd.concat(out) if out else pd.DataFrame({c: np.empty(0, np.int64) for c in ("row", "query_id", "vec_id", "score")})
 
-    found = candidates.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block")).applyInPandas(run, "query_id long, vec_id long, score long")
-    order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    found = candidates.groupBy("shard", "block").cogroup(queries.groupBy("shard", "block")).applyInPandas(run, "row long, query_id long, vec_id long, score long")
+    order = Window.partitionBy("row").orderBy(F.desc("score"), "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
@@ -129,10 +131,10 @@ QUERIES = {"op3_maxscore": op3_maxscore}
 #: Exact integers on both sides; DuckDB scores every pair, so the check is made on the tables as they are given.
 ORACLE_SQL = {
     "op3_maxscore": """
-with v as (select vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
+with v as materialized (select row_number() over () as n, vec_id, list_transform(embedding, lambda x: cast(floor(256 * cast(x as double)) as bigint)) as v from embeddings
            where vec_id is not null and embedding is not null and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
-s as (select q.vec_id as query_id, c.vec_id, cast(list_dot_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score from v q join v c on q.vec_id % 50 = 0 and q.vec_id <> c.vec_id),
-r as (select *, row_number() over (partition by query_id order by score desc, vec_id) as rank from s)
+s as (select q.n, q.vec_id as query_id, c.vec_id, cast(list_dot_product(cast(q.v as double[]), cast(c.v as double[])) as bigint) as score from v q join v c on q.vec_id % 50 = 0 and q.n <> c.n),
+r as (select *, row_number() over (partition by n order by score desc, vec_id) as rank from s)
 select query_id, cast(rank as int) as rank, vec_id, score from r where rank <= 5
 """
 }
