@@ -28,6 +28,23 @@ class GridSpec:
         return self.res * self.res
 
 
+@dataclass(frozen=True)
+class DegreeGrid:
+    """A global grid in degrees, anchored at (-180, 90); its size in metres is that at the equator."""
+
+    res: float
+    x0: float = -180.0
+    y0: float = 90.0
+
+    @property
+    def metres(self) -> float:
+        return self.res * 111320.0
+
+    @property
+    def cell_area(self) -> float:
+        return self.metres * self.metres
+
+
 def col(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -42,11 +59,11 @@ def project_y(lat) -> Column:
     return F.lit(AXIS) * q / F.lit(2 * K0)
 
 
-def cell_col(x, grid: GridSpec) -> Column:
+def cell_col(x, grid: GridSpec | DegreeGrid) -> Column:
     return F.floor((col(x) - F.lit(grid.x0)) / F.lit(grid.res)).cast("long")
 
 
-def cell_row(y, grid: GridSpec) -> Column:
+def cell_row(y, grid: GridSpec | DegreeGrid) -> Column:
     return F.floor((F.lit(grid.y0) - col(y)) / F.lit(grid.res)).cast("long")
 
 

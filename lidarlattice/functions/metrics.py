@@ -1,4 +1,9 @@
-"""Derived structure metrics of a shot; arrays of profile bins are handled with higher-order functions."""
+"""Derived structure metrics of a shot, in plain sums over the profile bins.
+
+Every value that several metrics need (sums, counts and the entropy of the profile) is one
+column of a first projection, so that it is computed once a row and the generated code of
+each step stays small.
+"""
 
 from __future__ import annotations
 
@@ -12,25 +17,38 @@ from lidarlattice.schema import MISSING, PAVD
 
 
 def nan_to_null(c) -> Column:
-    return F.when(~F.isnan(col(c)), col(c))
+    return F.nanvl(col(c), F.lit(None).cast("double"))
+
 
+def total(terms) -> Column:
+    return reduce(lambda a, b: a + b, terms)
 
-def bins() -> Column:
-    return F.array(*PAVD)
 
+def profile_sums() -> dict[str, Column]:
+    """What the metrics share, under names with a leading underscore.
 
-def total(columns: list[str]) -> Column:
-    return reduce(lambda a, b: a + b, [F.col(c) for c in columns])
+    _all sums every bin (null if one is missing). The others look at the filled bins only:
+    their sum, the sum of v ln v, their number, and the index of the highest one.
+    """
+    filled = [(i, F.col(c), F.col(c) > 0) for i, c in enumerate(PAVD, 1)]
+    return {
+        "_all": total([v for _, v, _ in filled]),
+        "_sum": total([F.when(some, v).otherwise(F.lit(0.0)) for _, v, some in filled]),
+        "_vlogv": total([F.when(some, v * F.ln(v)).otherwise(F.lit(0.0)) for _, v, some in filled]),
+        "_filled": total([F.when(some, 1).otherwise(0) for *_, some in filled]),
+        "_top": F.coalesce(*[F.when(some, i) for i, _, some in reversed(filled)], F.lit(0)),
+    }
 
 
 def pavd_0_5_frac() -> Column:
     """Share of the lowest bin; 1 for shots of 5 m or less; null for a zero or missing profile."""
-    return F.when(F.col("rh_100_a0") > 5, F.try_divide(F.col(PAVD[0]), total(PAVD))).when(F.col("rh_100_a0") <= 5, F.lit(1.0))
+    return F.when(F.col("rh_100_a0") > 5, F.try_divide(F.col(PAVD[0]), F.col("_all"))).when(F.col("rh_100_a0") <= 5, F.lit(1.0))
 
 
 def pavd_max_h() -> Column:
     """Upper height of the first fullest bin."""
-    return F.array_position(bins(), F.array_max(bins())).cast("double") * 5
+    bins = F.array(*PAVD)
+    return F.array_position(bins, F.greatest(*PAVD)).cast("double") * 5
 
 
 def rhvdr() -> dict[str, Column]:
@@ -47,37 +65,36 @@ def even_pai_1m() -> Column:
     return F.try_divide(F.col("fhd_pai_1m_a0"), F.when(top > 0, top))
 
 
-def _shannon(values: Column) -> Column:
-    """-sum p ln p over the positive values."""
-    positive = F.filter(values, lambda v: v > 0)
-    whole = F.aggregate(positive, F.lit(0.0), lambda a, v: a + v)
-    return F.aggregate(positive, F.lit(0.0), lambda a, v: a - (v / whole) * F.ln(v / whole))
+def _entropy() -> Column:
+    """-sum p ln p over the filled bins: ln of their sum less sum(v ln v) over it."""
+    return F.ln("_sum") - F.col("_vlogv") / F.col("_sum")
 
 
 def fhd_pavd_5m() -> Column:
-    n = F.size(F.filter(bins(), lambda v: v > 0))
-    return F.when(~(F.col("rh_100_a0") > 5) | (n == 0), F.lit(MISSING)).when(n == 1, F.lit(0.0)).otherwise(_shannon(bins()))
+    return F.when(~(F.col("rh_100_a0") > 5) | (F.col("_filled") == 0), F.lit(MISSING)).when(F.col("_filled") == 1, F.lit(0.0)).otherwise(_entropy())
 
 
 def even_pavd_5m() -> Column:
     """Shannon over ln of the index of the highest filled bin."""
-    top = F.array_max(F.transform(bins(), lambda v, i: F.when(v > 0, i + 1).otherwise(0)))
-    return F.when(~(F.col("rh_100_a0") > 5) | (top == 0), F.lit(MISSING)).when(top == 1, F.lit(0.0)).otherwise(_shannon(bins()) / F.ln(top.cast("double")))
+    top = F.col("_top")
+    return F.when(~(F.col("rh_100_a0") > 5) | (top == 0), F.lit(MISSING)).when(top == 1, F.lit(0.0)).otherwise(F.when(F.col("_filled") == 1, F.lit(0.0)).otherwise(_entropy()) / F.ln(top.cast("double")))
 
 
 def pavd_halves() -> dict[str, Column]:
-    """Shares of the profile below and above half the canopy height."""
-    half = F.when(F.rint(F.col("rh_100_a0") / 2) > 5, F.rint(F.col("rh_100_a0") / 10)).otherwise(F.lit(1.0)).cast("int")
-    low = F.aggregate(F.slice(bins(), F.lit(1), F.greatest(half, F.lit(1))), F.lit(0.0), lambda a, v: a + v)
-    bottom = F.try_divide(low, total(PAVD))
+    """Shares of the profile below and above half the canopy height: the lowest k bins, k a tenth of the height in metres, rounded, 1 for low canopies."""
+    half = F.when(F.rint(F.col("rh_100_a0") / 2) > 5, F.rint(F.col("rh_100_a0") / 10)).otherwise(F.lit(1.0))
+    low = total([F.col(PAVD[0]), *[F.when(half > i, F.col(c)).otherwise(F.lit(0.0)) for i, c in enumerate(PAVD) if i]])
     tall = F.col("rh_100_a0") > 5
-    return {"pavd_bot_frac": F.when(tall, bottom).otherwise(F.lit(MISSING)), "pavd_top_frac": F.when(tall, 1 - bottom).otherwise(F.lit(MISSING))}
+    return {"pavd_bot_frac": F.when(tall, F.try_divide(low, F.col("_all"))).otherwise(F.lit(MISSING))}
 
 
 def with_metrics(df):
-    """All derived metrics, one projection."""
-    df = df.withColumns({"pavd_0_5_frac": pavd_0_5_frac(), "pavd_max_h": pavd_max_h(), **rhvdr(), "even_pai_1m_a0": even_pai_1m(), "fhd_pavd_5m_a0": fhd_pavd_5m()})
-    return df.withColumns({"even_pavd_5m_a0": even_pavd_5m(), **pavd_halves()})
+    """All derived metrics."""
+    kept = df.columns
+    df = df.withColumns(profile_sums())
+    df = df.withColumns({"pavd_0_5_frac": pavd_0_5_frac(), "pavd_max_h": pavd_max_h(), **rhvdr(), "even_pai_1m_a0": even_pai_1m(), "fhd_pavd_5m_a0": fhd_pavd_5m(), "even_pavd_5m_a0": even_pavd_5m(), **pavd_halves()})
+    df = df.withColumn("pavd_top_frac", F.when(F.col("rh_100_a0") > 5, 1 - F.col("pavd_bot_frac")).otherwise(F.lit(MISSING)))
+    return df.drop(*[c for c in df.columns if c.startswith("_") and c not in kept])
 
 
 def nodata_recode(df, columns: dict[str, int]):

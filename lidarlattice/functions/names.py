@@ -26,6 +26,11 @@ def granule_orbit(path) -> Column:
     return F.element_at(F.split(base_name(path), "_"), 4)
 
 
+def orbit_number(orbit) -> Column:
+    """The number of an orbit's name: O08943 -> 8943."""
+    return F.substring(col(orbit), 2, 5).cast("int")
+
+
 def granule_sub_orbit(path) -> Column:
     return F.element_at(F.split(base_name(path), "_"), 5).cast("double")
 
@@ -44,9 +49,9 @@ def decimal_date(at) -> Column:
 
 
 def delta_time_fields(seconds) -> dict[str, Column]:
-    """Seconds since 2018-01-01 -> date, time of day, day of year."""
+    """Seconds since 2018-01-01 UTC -> date, decimal year, time of day, day of year; the session's zone must be UTC."""
     t = F.timestamp_seconds(col(seconds) + F.lit(1514764800.0))
-    return {"date": F.to_date(t), "time": F.date_format(t, "HH:mm:ss"), "doy": F.dayofyear(t)}
+    return {"date": F.to_date(t), "date_dec": decimal_date(t), "time": F.date_format(t, "HH:mm:ss"), "doy": F.dayofyear(t)}
 
 
 def beam_class(beam) -> Column:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from lidarlattice.functions import geo, metrics, names
 from lidarlattice.jobs import workloads
 from lidarlattice.operators import chunks, gridding, joins, quality, validate, vector
-from lidarlattice.schema import BINS, DEGRADE_OK, PAVD, POWER_BEAMS, WINDOWS
-from lidarlattice.sources import extract, shots as src
+from lidarlattice.schema import BINS, COVERAGE_BEAMS, DEGRADE_OK, NODATA_255, NODATA_32767, PAVD, POWER_BEAMS, RH_VALUES, WINDOWS
+from lidarlattice.sources import extract, files
+from lidarlattice.sources import shots as src
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -66,6 +67,9 @@ FIRST = f"{VEG}, firsts as (select * from (select *, cast(floor(x / 30e0) as big
 VALID = lambda m: f"({m} > -9999 and not isnan({m}) and {m} < cast('inf' as double))"
 
 
+_DEC = lambda t: f"year({t}) + date_diff('microsecond', make_timestamp(year({t}), 1, 1, 0, 0, 0.0), cast({t} as timestamp)) / cast(date_diff('microsecond', make_timestamp(year({t}), 1, 1, 0, 0, 0.0), make_timestamp(year({t}) + 1, 1, 1, 0, 0, 0.0)) as double)"
+
+
 def shots(spark, d) -> DataFrame:
     return src.shots(spark, d)
 
@@ -85,41 +89,100 @@ def firsts(spark, d, columns: list[str]) -> DataFrame:
 # -- sources ---------------------------------------------------------------------------------
 
 
+_AT = "datediff(date, date'2018-01-01') * 86400e0 + ok % 86400"
+_LAND = "named_struct('landsat_treecover', ok % 100 * 1e0, 'landsat_water_persistence', ls_waterp, 'leaf_off_flag', leafoff_flag, 'leaf_off_doy', leafoff_doy, 'leaf_on_doy', (pk + 100) % 366, 'pft_class', pft, 'region_class', region, 'urban_proportion', urb_prop) as land_cover_data"
+
+
+def _granule(product: str) -> str:
+    return f"concat('/archive/SHOT0{product}_2020193060840_O', lpad(cast(orbit as string), 5, '0'), '_0', cast(sub_orbit as string), '_T00094_02_003_01_V002.h5') as granule"
+
+
 def beams_l2a(spark, d) -> DataFrame:
     """The shots as decoded beam records: nested structs and a 101-value height profile."""
+    others = ", ".join(f"'sensitivity_a{n}', sens_a2 - {n - 2} / 1000e0, 'quality_flag_a{n}', cast((ok + {n}) % 2 as int)" for n in range(1, 7))
     return shots(spark, d).selectExpr(
-        "shot_num as shot_number", "cast(orbit as string) as orbit", "sub_orbit", "beam", "ok * 60.5e0 as delta_time", "lon_lm_a0 as lon_lowestmode", "lat_lm_a0 as lat_lowestmode", "elev_lm_a0 as elev_lowestmode", "elev_dem_tdx as digital_elevation_model",
-        "sol_elev as solar_elevation", "deg_flag as degrade_flag", "surf_flag as surface_flag", "l2a_qflag_a0 as quality_flag", "sens_a0 as sensitivity", "num_modes_a0 as num_detectedmodes",
-        "named_struct('stale_return_flag', stale_flag, 'sensitivity_a2', sens_a2, 'lon_lowestmode_a1', lon_lm_a0, 'lat_lowestmode_a1', lat_lm_a0, 'elev_lowestmode_a1', elev_lm_a0 + 1, 'sensitivity_a1', sens_a2, 'quality_flag_a1', l2a_qflag_a0, 'num_detectedmodes_a1', num_modes_a0, 'rh_a1', transform(sequence(0, 100), p -> rh_100_a0 * p)) as geolocation",
-        "named_struct('pft_class', pft, 'region_class', region, 'landsat_water_persistence', ls_waterp, 'urban_proportion', urb_prop, 'leaf_off_flag', leafoff_flag, 'leaf_off_doy', leafoff_doy) as land_cover_data",
-        "transform(sequence(0, 100), p -> rh_100_a0 * p / 100e0) as rh",
+        "shot_num as shot_number", _granule("2_A"), "beam", f"{_AT} as delta_time", "lon_lm_a0 as lon_lowestmode", "lat_lm_a0 as lat_lowestmode", "elev_lm_a0 as elev_lowestmode", "elev_lm_a0 + rh_100_a0 as elev_highestreturn",
+        "elev_dem_tdx + 2 as digital_elevation_model_srtm", "elev_dem_tdx as digital_elevation_model", "sol_elev as solar_elevation", "ok % 360 * 1e0 as solar_azimuth", "deg_flag as degrade_flag", "surf_flag as surface_flag", "l2a_qflag_a0 as quality_flag", "cast(1 + pk % 6 as int) as selected_algorithm",
+        "sk * 10e0 as energy_total", "sens_a0 as sensitivity", "num_modes_a0 as num_detectedmodes",
+        f"named_struct('stale_return_flag', stale_flag, {others}, 'lon_lowestmode_a1', lon_lm_a0, 'lat_lowestmode_a1', lat_lm_a0, 'elev_lowestmode_a1', elev_lm_a0 + 1, 'num_detectedmodes_a1', num_modes_a0, 'rh_a1', transform(sequence(0, 100), p -> rh_100_a0 * p)) as geolocation",
+        _LAND, "transform(sequence(0, 100), p -> rh_100_a0 * p / 100e0) as rh",
+    )
+
+
+def beams_l2b(spark, d) -> DataFrame:
+    z = ", ".join(PAVD)
+    return shots(spark, d).where("pk % 10 <> 3").selectExpr(
+        "shot_num as shot_number", _granule("2_B"), "beam", "rh_100_a0 * 100 as rh100", "cover_a0 as cover", "pai_a0 as pai", "fhd_pai_1m_a0 as fhd_normal", "1e0 + ok % 3 as omega", "0.5e0 as rossg", "1e0 - cover_l1 / 10 as pgap_theta", "cover_l1 / 100 as pgap_theta_error",
+        "l2a_qflag_a0 as l2a_quality_flag", "l2b_qflag_a0 as l2b_quality_flag", "l2b_algrun_flag as algorithmrun_flag", "sens_a0 as sensitivity", "cast(1 + pk % 6 as int) as selected_l2a_algorithm", "num_modes_a0 as num_detectedmodes", "stale_flag as stale_return_flag", "surf_flag as surface_flag",
+        f"named_struct('delta_time', {_AT}, 'solar_elevation', sol_elev, 'solar_azimuth', ok % 360 * 1e0, 'lon_lowestmode', lon_lm_a0, 'lat_lowestmode', lat_lm_a0, 'elev_lowestmode', elev_lm_a0, 'elev_highestreturn', elev_lm_a0 + rh_100_a0, 'digital_elevation_model', elev_dem_tdx, 'local_beam_azimuth', pk % 7 * 0.1e0, 'local_beam_elevation', 1.5e0, 'degrade_flag', deg_flag) as geolocation",
+        _LAND, "transform(sequence(1, 30), i -> cover_l1 * i) as cover_z", "transform(sequence(1, 30), i -> pai_l1 * i) as pai_z", f"concat(array({z}), array_repeat(0e0, 10)) as pavd_z",
+    )
+
+
+def beams_l4a(spark, d) -> DataFrame:
+    others = ", ".join(f"'sensitivity_a{n}', sens_a2 - {n - 2} / 1000e0" for n in (1, 2, 3, 4, 5, 6, 10))
+    return shots(spark, d).where("sk % 7 <> 5").selectExpr(
+        "shot_num as shot_number", _granule("4_A"), "beam", f"{_AT} as delta_time", "sol_elev as solar_elevation", "lon_lm_a0 as lon_lowestmode", "lat_lm_a0 as lat_lowestmode", "elev_lm_a0 as elev_lowestmode", "deg_flag as degrade_flag", "surf_flag as surface_flag", "sens_a0 as sensitivity",
+        f"named_struct('stale_return_flag', stale_flag, {others}) as geolocation", "l2a_qflag_a0 as l2_quality_flag", "l4a_qflag_a0 as l4_quality_flag", "cast(1 + pk % 6 as int) as selected_algorithm", "l4a_algrun_flag as algorithm_run_flag", "cast(pk % 2 as int) as predictor_limit_flag",
+        "cast(sk % 2 as int) as response_limit_flag", "agbd_a0 as agbd", "agbd_a0 / 10 as agbd_se", "agbd_a0 / 2 as agbd_pi_lower", "agbd_a0 * 2 as agbd_pi_upper", "pft as predict_stratum", _LAND,
     )
 
 
-@register("extract_l2a", f"with {SHOTS} select shot_num, cast(orbit as varchar) as orbit, cast(sub_orbit as double) as sub_orbit, beam, cast(dayofyear(timestamp '2018-01-01' + to_microseconds(cast(ok * 60.5e0 * 1000000 as bigint))) as int) as doy, strftime(timestamp '2018-01-01' + to_microseconds(cast(ok * 60.5e0 * 1000000 as bigint)), '%H:%M:%S') as time, stale_flag, sens_a2, pft, urb_prop, round(rh_100_a0 * 50 / 100e0, 6) as rh_50_a0, round(rh_100_a0 * 98 / 100e0, 6) as rh_98_a0, round(rh_100_a0 * 95 / 100e0, 6) as rh_95_a1, elev_lm_a0 + 1 as elev_lm_a1 from shots")
+_WHEN = "(timestamp '2018-01-01' + to_microseconds(cast((date_diff('day', date '2018-01-01', date) * 86400 + ok % 86400) * 1000000 as bigint)))"
+_TIME_SQL = {"delta_time": "date_diff('day', date '2018-01-01', date) * 86400e0 + ok % 86400", "date": f"cast({_WHEN} as date)", "date_dec": f"round({_DEC(_WHEN)}, 9)", "time": f"strftime({_WHEN}, '%H:%M:%S')", "doy": f"cast(dayofyear({_WHEN}) as int)"}
+_ID_SQL = {"shot_num": "shot_num", "orbit": "'O' || lpad(cast(orbit as varchar), 5, '0')", "sub_orbit": "cast(sub_orbit as double)", "beam": "beam", **_TIME_SQL}
+_LAND_SQL = {"ls_treecov": "ok % 100 * 1e0", "ls_waterp": "ls_waterp", "leafoff_flag": "leafoff_flag", "leafoff_doy": "leafoff_doy", "leafon_doy": "cast((pk + 100) % 366 as int)", "pft": "pft", "region": "region", "urb_prop": "urb_prop"}
+_SAME = lambda names: {n: n for n in names.split()}
+_SENS = lambda ns: {f"sens_a{n}": f"round(sens_a2 - {n - 2} / 1000e0, 9)" for n in ns}
+_L2A_SQL = (
+    _ID_SQL | _SAME("sol_elev lon_lm_a0 lat_lm_a0 elev_lm_a0 elev_dem_tdx stale_flag deg_flag surf_flag sens_a0 l2a_qflag_a0 num_modes_a0") | {"sol_azim": "ok % 360 * 1e0", "elev_hr_a0": "round(elev_lm_a0 + rh_100_a0, 6)", "elev_dem_srtm": "round(elev_dem_tdx + 2, 6)"}
+    | {f"l2a_qflag_a{n}": f"cast((ok + {n}) % 2 as int)" for n in range(1, 7)} | {"l2a_selalg_a0": "cast(1 + pk % 6 as int)", "energy_total": "sk * 10e0"} | _LAND_SQL | _SENS(range(1, 7)) | {f"rh_{p}_a0": f"round(rh_100_a0 * {p} / 100e0, 6)" for p in RH_VALUES}
+)
+_L2A_A1_SQL = {"lon_lm_a1": "lon_lm_a0", "lat_lm_a1": "lat_lm_a0", "elev_lm_a1": "round(elev_lm_a0 + 1, 6)", "sens_a1": "round(sens_a2 + 1 / 1000e0, 9)", "l2a_qflag_a1": "cast((ok + 1) % 2 as int)", "num_modes_a1": "num_modes_a0", **{f"rh_{p}_a1": f"round(rh_100_a0 * {p} / 100e0, 6)" for p in RH_VALUES}}
+_L2B_SQL = (
+    _ID_SQL | _SAME("sol_elev lon_lm_a0 lat_lm_a0 elev_lm_a0 elev_dem_tdx stale_flag deg_flag surf_flag sens_a0 l2a_qflag_a0 l2b_qflag_a0 l2b_algrun_flag num_modes_a0 cover_a0 pai_a0 fhd_pai_1m_a0") | {"sol_azim": "ok % 360 * 1e0", "elev_hr_a0": "round(elev_lm_a0 + rh_100_a0, 6)", "beam_azim": "round(pk % 7 * 0.1e0, 6)", "beam_elev": "1.5e0", "l2a_sel_alg_a0": "cast(1 + pk % 6 as int)"}
+    | {"omega": "1e0 + ok % 3", "rossg": "0.5e0", "pgap_theta_a0": "round(1e0 - cover_l1 / 10, 6)", "pgap_theta_err_a0": "round(cover_l1 / 100, 6)", "rh_100_a0": "round(rh_100_a0, 6)"} | _LAND_SQL | {f"cover_l{i}": f"round(cover_l1 * {i}, 6)" for i in range(1, 22)} | {f"pai_l{i}": f"round(pai_l1 * {i}, 6)" for i in range(1, 22)} | _SAME(" ".join(PAVD))
+)
+_L4A_SQL = (
+    _ID_SQL | _SAME("sol_elev lon_lm_a0 lat_lm_a0 elev_lm_a0 stale_flag deg_flag surf_flag sens_a0 l2a_qflag_a0 l4a_qflag_a0 l4a_algrun_flag agbd_a0") | _SENS((1, 2, 3, 4, 5, 6, 10))
+    | {"l2a_selalg_a0": "cast(1 + pk % 6 as int)", "agbd_pi_low_a0": "agbd_a0 / 2", "agbd_pi_upper_a0": "agbd_a0 * 2", "agbd_se_a0": "round(agbd_a0 / 10, 9)", "l4a_pred_lim_flag": "cast(pk % 2 as int)", "l4a_resp_lim_flag": "cast(sk % 2 as int)", "l4a_pred_strat": "cast(pft as varchar)"} | _LAND_SQL
+)
+
+
+def _as_sql(columns: dict[str, str], where: str = "true") -> str:
+    return f"with {SHOTS} select {', '.join(f'{e} as {n}' for n, e in columns.items())} from shots where {where}"
+
+
+def _as_given(df: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """All columns, those that SQL rounds rounded alike."""
+    digits = {n: int(m[1]) for n, e in columns.items() if (m := re.match(r"round\(.*, (\d+)\)$", e))}
+    return df.select(*[F.round(c, digits[c]).alias(c) if c in digits else F.col(c) for c in columns])
+
+
+@register("extract_l2a", _as_sql(_L2A_SQL))
 def extract_l2a(spark, d):
-    out = extract.extract_l2a(beams_l2a(spark, d), algorithms=(0, 1))
-    return out.select("shot_num", "orbit", "sub_orbit", "beam", "doy", "time", "stale_flag", "sens_a2", "pft", "urb_prop", r6("rh_50_a0").alias("rh_50_a0"), r6("rh_98_a0").alias("rh_98_a0"), r6("rh_95_a1").alias("rh_95_a1"), "elev_lm_a1")
+    out = extract.extract_l2a(beams_l2a(spark, d))
+    assert set(out.columns) == set(_L2A_SQL)
+    return _as_given(out, _L2A_SQL)
+
 
+@register("profile_alt_algo", _as_sql({"shot_num": "shot_num"} | _L2A_A1_SQL))
+def profile_alt_algo(spark, d):
+    return _as_given(extract.extract_l2a(beams_l2a(spark, d), algorithms=(1,)), {"shot_num": "shot_num"} | _L2A_A1_SQL)
 
-@register("extract_l2b", f"with {SHOTS} select shot_num, lon_lm_a0, rh_100_a0 * 100 / 100 as rh_100_a0, cover_a0, l2b_qflag_a0, pai_l1 * 3 as pai_l3, pavd_0_5, pavd_95_100 from shots where pk % 10 <> 3")
+
+@register("extract_l2b", _as_sql(_L2B_SQL, "pk % 10 <> 3"))
 def extract_l2b(spark, d):
-    z = ", ".join(PAVD)
-    beams = shots(spark, d).where("pk % 10 <> 3").selectExpr(
-        "shot_num as shot_number", "rh_100_a0 * 100 as rh100", "cover_a0 as cover", "pai_a0 as pai", "fhd_pai_1m_a0 as fhd_normal", "l2a_qflag_a0 as l2a_quality_flag", "l2b_qflag_a0 as l2b_quality_flag", "l2b_algrun_flag as algorithmrun_flag", "sens_a0 as sensitivity",
-        "stale_flag as stale_return_flag", "surf_flag as surface_flag", "named_struct('lon_lowestmode', lon_lm_a0, 'lat_lowestmode', lat_lm_a0, 'elev_lowestmode', elev_lm_a0, 'degrade_flag', deg_flag) as geolocation",
-        "transform(sequence(1, 30), i -> cover_l1 * i) as cover_z", "transform(sequence(1, 30), i -> pai_l1 * i) as pai_z", f"concat(array({z}), array_repeat(0e0, 10)) as pavd_z",
-    )
-    return extract.extract_l2b(beams).select("shot_num", "lon_lm_a0", "rh_100_a0", "cover_a0", "l2b_qflag_a0", "pai_l3", "pavd_0_5", "pavd_95_100")
+    out = extract.extract_l2b(beams_l2b(spark, d))
+    assert set(out.columns) == set(_L2B_SQL)
+    return _as_given(out, _L2B_SQL)
 
 
-@register("extract_l4a", f"with {SHOTS} select shot_num, lat_lm_a0, sens_a2, l4a_qflag_a0, agbd_a0, agbd_a0 / 10 as agbd_se_a0, cast(pft as varchar) as l4a_pred_strat from shots where sk % 7 <> 5")
+@register("extract_l4a", _as_sql(_L4A_SQL, "sk % 7 <> 5"))
 def extract_l4a(spark, d):
-    beams = shots(spark, d).where("sk % 7 <> 5").selectExpr(
-        "shot_num as shot_number", "lon_lm_a0 as lon_lowestmode", "lat_lm_a0 as lat_lowestmode", "elev_lm_a0 as elev_lowestmode", "sens_a0 as sensitivity", "named_struct('sensitivity_a2', sens_a2) as geolocation", "l2a_qflag_a0 as l2_quality_flag", "l4a_qflag_a0 as l4_quality_flag",
-        "l4a_algrun_flag as algorithm_run_flag", "agbd_a0 as agbd", "agbd_a0 / 10 as agbd_se", "agbd_a0 / 2 as agbd_pi_lower", "agbd_a0 * 2 as agbd_pi_upper", "pft as predict_stratum",
-    )
-    return extract.extract_l4a(beams).select("shot_num", "lat_lm_a0", "sens_a2", "l4a_qflag_a0", "agbd_a0", "agbd_se_a0", "l4a_pred_strat")
+    out = extract.extract_l4a(beams_l4a(spark, d))
+    assert set(out.columns) == set(_L4A_SQL)
+    return _as_given(out, _L4A_SQL)
 
 
 @register("profile_select", "select vec_id, " + ", ".join(f"round(cast(embedding[{p + 1}] as double), 6) as rh_{p}_a0" for p in (0, 5, 25, 50)) + " from embeddings")
@@ -131,7 +194,7 @@ def profile_select(spark, d):
 @register("union_beams", f"with {SHOTS} select beam, count(*) as n from shots group by beam")
 def union_beams(spark, d):
     s = shots(spark, d)
-    return extract.union_beams([s.where(F.col("beam") == b) for b in s.select("beam").distinct().toPandas()["beam"]]).groupBy("beam").agg(F.count("*").alias("n"))
+    return extract.union_beams([s.where(names.beam_class("beam") == kind) for kind in ("power", "coverage")]).groupBy("beam").agg(F.count("*").alias("n"))
 
 
 # -- names and dates -------------------------------------------------------------------------
@@ -150,7 +213,6 @@ def granule_parts(spark, d):
 
 
 _GDATE = "cast(make_date(cast(substr(string_split(path_a, '/')[-1], 10, 4) as int), 1, 1) + (cast(substr(string_split(path_a, '/')[-1], 14, 3) as int) - 1) as date)"
-_DEC = lambda t: f"year({t}) + date_diff('microsecond', make_timestamp(year({t}), 1, 1, 0, 0, 0.0), cast({t} as timestamp)) / cast(date_diff('microsecond', make_timestamp(year({t}), 1, 1, 0, 0, 0.0), make_timestamp(year({t}) + 1, 1, 1, 0, 0, 0.0)) as double)"
 
 
 @register("granule_date", f"with {PATHS}, g as (select o_orderkey, {_GDATE} as date from paths) select o_orderkey, date, round({_DEC('date')}, 6) as date_dec from g")
@@ -166,7 +228,7 @@ def decimal_date(spark, d):
 @register("delta_time_fields", "with t as (select event_id, timestamp '2018-01-01' + to_microseconds(cast(floor(event_id * 1234.5e0) * 1000000 as bigint)) as ts from events) select event_id, cast(ts as date) as date, strftime(ts, '%H:%M:%S') as time, cast(dayofyear(ts) as int) as doy from t")
 def delta_time_fields(spark, d):
     e = spark.read.parquet(f"{d}/events.parquet").select("event_id", F.floor(F.col("event_id") * F.lit(1234.5)).cast("double").alias("delta"))
-    return e.select("event_id", *[c.alias(n) for n, c in names.delta_time_fields("delta").items()])
+    return e.select("event_id", *[c.alias(n) for n, c in names.delta_time_fields("delta").items() if n != "date_dec"])
 
 
 @register("beam_class", f"with {SHOTS} select shot_num, case when beam in ({', '.join(repr(b) for b in POWER_BEAMS)}) then 'power' else 'coverage' end as kind, cast(orbit as varchar) || '-' || beam as track from shots")
@@ -174,19 +236,19 @@ def beam_class(spark, d):
     return shots(spark, d).select("shot_num", names.beam_class("beam").alias("kind"), geo.track_id("orbit", "beam").alias("track"))
 
 
-@register("join_granules", f"with {PATHS}, k as (select *, substr(string_split(path_a, '/')[-1], 10, 23) as key from paths) select a.key, a.path_a as a, b.path_b as b, c.path_c as c from k a join k b on a.key = b.key join k c on a.key = c.key where b.o_orderkey % 10 <> 3 and c.o_orderkey % 7 <> 5 and year(a.o_orderdate) = 1997 and year(b.o_orderdate) = 1997 and year(c.o_orderdate) = 1997")
-def join_granules(spark, d):
-    p = src.file_paths(spark, d).where(F.year("o_orderdate") == 1997)
-    return joins.join_granules({"a": p.select(F.col("path_a").alias("path")), "b": p.where("o_orderkey % 10 <> 3").select(F.col("path_b").alias("path")), "c": p.where("o_orderkey % 7 <> 5").select(F.col("path_c").alias("path"))})
+_JOIN_GRANULES = f"with {PATHS}, k as (select *, substr(string_split(path_a, '/')[-1], 10, 23) as key from paths) select a.key, a.path_a as a, b.path_b as b, c.path_c as c from k a join k b on a.key = b.key join k c on a.key = c.key where b.o_orderkey % 10 <> 3 and c.o_orderkey % 7 <> 5"
 
 
-@register("join_granules_all", f"with {PATHS}, k as (select *, substr(string_split(path_a, '/')[-1], 10, 23) as key from paths) select a.key, a.path_a as a, b.path_b as b, c.path_c as c from k a join k b on a.key = b.key join k c on a.key = c.key where b.o_orderkey % 10 <> 3 and c.o_orderkey % 7 <> 5")
-def join_granules_all(spark, d):
-    """As join_granules, over the orders of all years."""
+@register("join_granules", _JOIN_GRANULES)
+def join_granules(spark, d):
+    """The files of three products, of which the second and third lack some."""
     p = src.file_paths(spark, d)
     return joins.join_granules({"a": p.select(F.col("path_a").alias("path")), "b": p.where("o_orderkey % 10 <> 3").select(F.col("path_b").alias("path")), "c": p.where("o_orderkey % 7 <> 5").select(F.col("path_c").alias("path"))})
 
 
+register("join_granules_all", _JOIN_GRANULES)(join_granules)
+
+
 @register("date_filter", f"with {PATHS}, g as (select substr(string_split(path_a, '/')[-1], 10, 23) as key, {_GDATE} as date from paths) select key from g where date between date '2019-04-17' and date '2023-03-16' and dayofyear(date) between 100 and 250")
 def date_filter(spark, d):
     return joins.date_filter(src.file_paths(spark, d).select(names.granule_key("path_a").alias("key")), "2019-04-17", "2023-03-16", (100, 250))
@@ -211,19 +273,18 @@ def checksum_audit(spark, d):
     return joins.checksum_audit(t.where("name % 11 <> 0"), manifest)
 
 
-@register("granule_bbox_query", f"with {SHOTS}, c as (select orbit, min(lon_lm_a0) as xmin, max(lon_lm_a0) as xmax, min(lat_lm_a0) as ymin, max(lat_lm_a0) as ymax from shots where ln = 1 and pk % 5 = 0 group by orbit) select orbit from c where xmin <= -112.1e0 and xmax >= -112.14e0 and ymin <= 34.9e0 and ymax >= 34.86e0")
-def granule_bbox_query(spark, d):
-    catalog = shots(spark, d).where("ln = 1 and pk % 5 = 0").groupBy("orbit").agg(F.min("lon_lm_a0").alias("xmin"), F.max("lon_lm_a0").alias("xmax"), F.min("lat_lm_a0").alias("ymin"), F.max("lat_lm_a0").alias("ymax"))
-    return joins.granule_bbox_query(catalog, -112.14, 34.86, -112.1, 34.9).select("orbit")
+_BBOX = f"with {SHOTS}, c as (select orbit, min(lon_lm_a0) as xmin, max(lon_lm_a0) as xmax, min(lat_lm_a0) as ymin, max(lat_lm_a0) as ymax from shots group by orbit) select orbit from c where xmin <= -112.1e0 and xmax >= -112.14e0 and ymin <= 34.9e0 and ymax >= 34.86e0"
 
 
-@register("granule_bbox_query_all", f"with {SHOTS}, c as (select orbit, min(lon_lm_a0) as xmin, max(lon_lm_a0) as xmax, min(lat_lm_a0) as ymin, max(lat_lm_a0) as ymax from shots group by orbit) select orbit from c where xmin <= -112.1e0 and xmax >= -112.14e0 and ymin <= 34.9e0 and ymax >= 34.86e0")
-def granule_bbox_query_all(spark, d):
-    """As granule_bbox_query, with a catalog of all shots."""
+@register("granule_bbox_query", _BBOX)
+def granule_bbox_query(spark, d):
     catalog = shots(spark, d).groupBy("orbit").agg(F.min("lon_lm_a0").alias("xmin"), F.max("lon_lm_a0").alias("xmax"), F.min("lat_lm_a0").alias("ymin"), F.max("lat_lm_a0").alias("ymax"))
     return joins.granule_bbox_query(catalog, -112.14, 34.86, -112.1, 34.9).select("orbit")
 
 
+register("granule_bbox_query_all", _BBOX)(granule_bbox_query)
+
+
 # -- projection and cells --------------------------------------------------------------------
 
 
@@ -276,6 +337,17 @@ def clip_polygon(spark, d):
     return shots(spark, d).where(geo.in_polygon("lon_lm_a0", "lat_lm_a0", [(-112.1, 34.9), (-111.9, 34.9), (-112.1, 35.1)])).select("shot_num")
 
 
+_TRIANGLES = "polys as (select n_nationkey as polygon_id, -112.15e0 + 0.06e0 * (n_nationkey % 5) as px, 34.85e0 + 0.06e0 * (n_nationkey // 5) as py from nation)"
+
+
+@register("clip_polygon_table", f"with {SHOTS}, {_TRIANGLES} select shot_num, polygon_id from shots, polys where lat_lm_a0 >= py and lat_lm_a0 < py + 0.07e0 and lon_lm_a0 > px and (lon_lm_a0 - px) / 0.07e0 + (lat_lm_a0 - py) / 0.07e0 < 1e0")
+def clip_polygon_table(spark, d):
+    """Triangles that overlap a little: a shot may be in two."""
+    corner = spark.read.parquet(f"{d}/nation.parquet").selectExpr("n_nationkey as polygon_id", "-112.15e0 + 0.06e0 * (n_nationkey % 5) as px", "34.85e0 + 0.06e0 * (n_nationkey div 5) as py")
+    polygons = corner.selectExpr("polygon_id", "array(named_struct('x', px, 'y', py), named_struct('x', px + 0.07e0, 'y', py), named_struct('x', px, 'y', py + 0.07e0)) as vertices")
+    return joins.polygon_tag(shots(spark, d).select("shot_num", "lon_lm_a0", "lat_lm_a0"), polygons).select("shot_num", "polygon_id")
+
+
 @register("perc_cover", f"with {VEG}, n as (select {cell_sql(6000)[0]} as row, {cell_sql(6000)[1]} as col, count(*) as n from veg group by all) select row, col, round(n * 490.8738521234052e0 / 36000000e0 * 100, 9) as perccover from n")
 def perc_cover(spark, d):
     n = gridding.with_cell(veg(spark, d), 6000).groupBy("row", "col").agg(F.count("*").alias("n"))
@@ -284,26 +356,38 @@ def perc_cover(spark, d):
 
 # -- filters, flags, derived metrics ---------------------------------------------------------
 
-_TROP = "coalesce(pft = 2 and region in (4, 5, 6), false)"
+_IN_TROPICS = "coalesce(region in (4, 5, 6), false)"
+_LIMIT = f"(case when pft = 2 and {_IN_TROPICS} then 0.98e0 when not (pft = 2 and {_IN_TROPICS}) then 0.95e0 end)"
 _BASE = "sens_a0 > 0.9e0 and sens_a0 <= 1e0 and surf_flag = 1 and stale_flag = 0 and elev_lm_a0 > -200 and elev_lm_a0 < 9000"
-F2A = f"{_BASE} and sens_a2 > 0.9e0 and sens_a2 <= 1e0 and rh_100_a0 >= 0 and rh_100_a0 < 120 and l2a_qflag_a0 = 1 and sens_a2 > (case when {_TROP} then 0.98e0 else 0.95e0 end) and abs(elev_dem_tdx - elev_lm_a0) < 150"
+_TALL = "rh_100_a0 >= 0 and rh_100_a0 < 120"
+_NEAR = "elev_dem_tdx - elev_lm_a0 < 150 and elev_dem_tdx - elev_lm_a0 > -150"
+_OPTIONS = f"ls_waterp < 10 and urb_prop < 50 and deg_flag in ({_DEG}) and not (leafoff_flag = 1) and (beam in ({', '.join(repr(b) for b in POWER_BEAMS)}) or (sol_elev < 0 and beam in ({', '.join(repr(b) for b in COVERAGE_BEAMS)})))"
+F2A = f"{_BASE} and sens_a2 > 0.9e0 and sens_a2 <= 1e0 and {_TALL} and l2a_qflag_a0 = 1 and sens_a2 > {_LIMIT} and {_NEAR}"
 
 
-@register("filter_l2a", f"with {SHOTS} select shot_num from shots where {F2A} and ls_waterp < 10 and urb_prop < 50 and deg_flag in ({_DEG}) and leafoff_flag = 0 and (beam in ({', '.join(repr(b) for b in POWER_BEAMS)}) or sol_elev < 0)")
+@register("filter_l2a", f"with {SHOTS} select shot_num from shots where {F2A} and {_OPTIONS}")
 def filter_l2a(spark, d):
     return quality.filter_l2a(shots(spark, d), leaf_on_only=True, night_coverage_only=True).select("shot_num")
 
 
-@register("filter_l2b", f"with {SHOTS} select shot_num from shots where pk % 10 <> 3 and {_BASE} and rh_100_a0 >= 0 and rh_100_a0 < 120 and l2a_qflag_a0 = 1 and l2b_qflag_a0 = 1")
+@register("filter_l2a_algorithm", f"with {SHOTS} select shot_num from shots where sens_a0 > 0.9e0 and sens_a0 <= 1e0 and surf_flag = 1 and stale_flag = 0 and elev_lm_a0 + 1 > -200 and elev_lm_a0 + 1 < 9000 and sens_a2 > 0.9e0 and sens_a2 <= 1e0 and {_TALL} and sens_a2 > {_LIMIT} and elev_dem_tdx - (elev_lm_a0 + 1) < 150 and elev_dem_tdx - (elev_lm_a0 + 1) > -150")
+def filter_l2a_algorithm(spark, d):
+    """By the elevation and height of another ground algorithm."""
+    return quality.filter_l2a(extract.extract_l2a(beams_l2a(spark, d), algorithms=(0, 1)), apply_qflag=False, apply_deg_flag=False, max_waterp=None, max_urban=None, algorithm=1).select("shot_num")
+
+
+@register("filter_l2b", f"with {SHOTS} select shot_num from shots where pk % 10 <> 3 and {_BASE} and {_TALL} and l2b_algrun_flag = 1 and l2a_qflag_a0 = 1 and l2b_qflag_a0 = 1 and {_NEAR} and {_OPTIONS}")
 def filter_l2b(spark, d):
-    return quality.filter_l2b(src.products(spark, d)[1], apply_l2b_qflag=True).select("shot_num")
+    return quality.filter_l2b(extract.extract_l2b(beams_l2b(spark, d), vprofs=False), leaf_on_only=True, night_coverage_only=True).select("shot_num")
 
 
-@register("filter_l4a", f"with {SHOTS} select shot_num, cast(sens_a2 >= (case when {_TROP} then 0.98e0 else 0.95e0 end) as int) as fixed from shots where sk % 7 <> 5 and {_BASE} and sens_a2 > 0.9e0 and sens_a2 <= 1e0 and l2a_qflag_a0 = 1")
+@register("filter_l4a", f"with {SHOTS} select shot_num, coalesce(cast(sens_a2 >= {_LIMIT} as int), 0) as fixed, cast(l4a_algrun_flag = 1 and {_OPTIONS} as int) as strict from shots where sk % 7 <> 5 and {_BASE} and sens_a2 > 0.9e0 and sens_a2 <= 1e0 and l2a_qflag_a0 = 1 and l4a_qflag_a0 = 1")
 def filter_l4a(spark, d):
-    l4a = src.products(spark, d)[2]
+    """By default, with the sensitivity rule, and with every option."""
+    l4a = extract.extract_l4a(beams_l4a(spark, d))
     fixed = quality.filter_l4a(l4a, fix_sens=True).select("shot_num", F.lit(1).alias("f"))
-    return quality.filter_l4a(l4a).join(fixed, "shot_num", "left").select("shot_num", F.coalesce("f", F.lit(0)).alias("fixed"))
+    strict = quality.filter_l4a(l4a, apply_algrun=True, apply_deg_flag=True, night_coverage_only=True, leaf_on_only=True, max_waterp=10, max_urban=50).select("shot_num", F.lit(1).alias("s"))
+    return quality.filter_l4a(l4a).join(fixed, "shot_num", "left").join(strict, "shot_num", "left").select("shot_num", F.coalesce("f", F.lit(0)).alias("fixed"), F.coalesce("s", F.lit(0)).alias("strict"))
 
 
 @register("hq_flags", f"with {SHOTS}, {FLAGS} select shot_num, l2_hqflag, l4a_hqflag from flagged")
@@ -317,14 +401,22 @@ def ground_veg_split(spark, d):
     return ground.agg(F.count("*").alias("n")).select(F.lit("ground").alias("part"), "n").unionByName(vegetation.agg(F.count("*").alias("n")).select(F.lit("veg").alias("part"), "n"))
 
 
-@register("nodata_recode", f"with {SHOTS} select shot_num, case when urb_prop = 255 then -9999 else urb_prop end as urb_prop, case when leafoff_doy = 32767 then -9999 else leafoff_doy end as leafoff_doy from shots")
+_CODES = dict.fromkeys(NODATA_255, 255) | dict.fromkeys(NODATA_32767, 32767)
+
+
+@register("nodata_recode", f"with {SHOTS}, l as (select shot_num, {', '.join(f'{e} as {n}' for n, e in _LAND_SQL.items())} from shots) select shot_num, {', '.join(f'case when {c} = {code} then -9999 else {c} end as {c}' for c, code in _CODES.items())} from l")
 def nodata_recode(spark, d):
-    return metrics.nodata_recode(shots(spark, d).select("shot_num", "urb_prop", "leafoff_doy"), {"urb_prop": 255, "leafoff_doy": 32767})
+    land = extract.extract_l2a(beams_l2a(spark, d)).select("shot_num", *_CODES)
+    return metrics.nodata_recode(land, _CODES)
+
 
+_NEEDED = ("lon_lm_a0", "lat_lm_a0", "elev_lm_a0", "date_dec", "orbit", "cover_a0", "pai_a0")
 
-@register("drop_missing", f"with {SHOTS} select shot_num from shots where cover_a0 is not null and pai_a0 is not null and not isnan(pai_a0)")
+
+@register("drop_missing", f"with {SHOTS} select shot_num from shots where cover_a0 is not null and not isnan(pai_a0) and " + " and ".join(f"{c} is not null" for c in _NEEDED))
 def drop_missing(spark, d):
-    return quality.drop_missing(shots(spark, d).select("shot_num", "cover_a0", "pai_a0"), ["cover_a0", "pai_a0"]).select("shot_num")
+    """Position, elevation, date and orbit, and two columns that do have missing values here."""
+    return quality.drop_missing(shots(spark, d).select("shot_num", *_NEEDED), list(_NEEDED)).select("shot_num")
 
 
 _SUM = " + ".join(PAVD)
@@ -427,10 +519,10 @@ def neighbour_files(spark, d):
     return joins.neighbour_files(s, s.select("chunk_id"), 0.05)
 
 
-@register("union_neighbours", f"with {SHOTS} select shot_num from shots where lon_lm_a0 between -112.05e0 and -110.95e0 and lat_lm_a0 between 33.95e0 and 35.05e0")
+@register("union_neighbours", f"with {SHOTS}, c as (select distinct {CHUNK} as chunk_id, floor(lon_lm_a0) as cx, floor(lat_lm_a0) as cy from shots) select chunk_id, count(*) as n, count(distinct shot_num) as shots from c join shots on lon_lm_a0 between cx - 0.05e0 and cx + 1.05e0 and lat_lm_a0 between cy - 0.05e0 and cy + 1.05e0 group by chunk_id")
 def union_neighbours(spark, d):
-    b = geo.chunk_bounds(F.lit("112W34N"), buffer=0.05)
-    return shots(spark, d).where(F.col("lon_lm_a0").between(b["xmin"], b["xmax"]) & F.col("lat_lm_a0").between(b["ymin"], b["ymax"])).select("shot_num")
+    """The shots of every chunk with those around it."""
+    return joins.with_neighbours(shots(spark, d), 0.05).groupBy("chunk_id").agg(F.count("*").alias("n"), F.countDistinct("shot_num").alias("shots"))
 
 
 @register("window_join", f"with {SHOTS}, {WIN} select win, count(*) as n, count(distinct shot_num) as shots from shots join windows on date between first_day and last_day group by win")
@@ -438,9 +530,11 @@ def window_join(spark, d):
     return joins.window_join(shots(spark, d).select("shot_num", "date"), src.windows(spark, WINDOWS)).groupBy("win").agg(F.count("*").alias("n"), F.countDistinct("shot_num").alias("shots"))
 
 
-@register("metric_date_pairs", f"with {WIN}, m(metric) as (values ('cover_a0'), ('rh_98_a0')) select metric, win from m cross join windows")
+@register("metric_date_pairs", f"with {SHOTS}, {WIN}, m as (select distinct 'rh_' || cast(l as varchar) || '_a0' as metric from (select unnest([25, 50, 75, 95, 98, 100]) as l) where exists (select 1 from shots where rh_100_a0 > 0)), r as (select distinct win from shots join windows on date between first_day and last_day) select metric, win from m, r")
 def metric_date_pairs(spark, d):
-    return spark.sql("select explode(array('cover_a0', 'rh_98_a0')) as metric").crossJoin(src.windows(spark, WINDOWS)).select("metric", "win")  # two short configured lists
+    """The metrics that the shots have values of, with each window that holds shots."""
+    used = joins.window_join(shots(spark, d), src.windows(spark, WINDOWS))
+    return gridding.metric_windows(used, [f"rh_{p}_a0" for p in (25, 50, 75, 95, 98, 100)])
 
 
 # -- gridding --------------------------------------------------------------------------------
@@ -541,29 +635,45 @@ def skip_empty(spark, d):
     return f.groupBy("win").agg(F.count("*").alias("n"))
 
 
-_FULL = "w.win = '20190417_20230316'"
+def _nni_sql(source: str, res: float) -> str:
+    row, col = cell_sql(res)
+    return (
+        f"p as (select *, {row} as row, {col} as col from {source}), nn as (select a.win, a.row, a.col, a.shot_num, min(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) as d from p a join p b on a.win = b.win and a.row = b.row and a.col = b.col and a.shot_num <> b.shot_num group by all), "
+        f"nni as (select win, row, col, round(avg(d) / (0.5e0 * sqrt({lit(res * res)} / count(*))), 5) as shots_nni from nn group by win, row, col)"
+    )
 
 
-@register("shots_nni", f"with {VEG}, p as (select *, {cell_sql(1000)[0]} as row, {cell_sql(1000)[1]} as col from veg where win = '20190417_20230316'), nn as (select a.row, a.col, a.shot_num, min(sqrt((a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y))) as d from p a join p b on a.row = b.row and a.col = b.col and a.shot_num <> b.shot_num group by all) select row, col, round(avg(d) / (0.5e0 * sqrt(1000000e0 / count(*))), 5) as shots_nni from nn group by row, col")
+@register("shots_nni", f"with {VEG}, {_nni_sql('veg', 1000)} select win, row, col, shots_nni from nni")
 def shots_nni(spark, d):
-    v = gridding.with_cell(veg(spark, d).where("win = '20190417_20230316'"), 1000)
-    return vector.nearest_neighbour_index(v, ["row", "col"], "x", "y", 1e6).withColumn("shots_nni", F.round("shots_nni", 5))
+    v = gridding.with_cell(veg(spark, d), 1000)
+    return vector.nearest_neighbour_index(v, ["win", "row", "col"], "x", "y", 1e6).withColumn("shots_nni", F.round("shots_nni", 5))
 
 
-_BSE = (
-    f"with {FIRST}, v as (select {cell_sql(1000)[0]} as row, {cell_sql(1000)[1]} as col, rh_98_a0 as m, date_dec, shot_num from firsts where win = '20190417_20230316'), "
-    "c as (select *, row_number() over (partition by row, col order by date_dec, shot_num) as i, count(*) over (partition by row, col) as n from v), sizes as (select distinct n from c where n >= 10), "
-    "draws as (select n, b, i, row_number() over (partition by n, b order by md5(cast(b as varchar) || ':' || cast(i as varchar)), i) as r from sizes, lateral (select unnest(range(1, case when n <= 12 then 401 else 151 end)) as b), lateral (select unnest(range(1, n + 1)) as i)), "
-    "sets as (select n, b, list_sort(list(i)) as s from draws where r <= round_even(0.7e0 * n, 0) group by n, b), firstsets as (select n, s, row_number() over (partition by n order by min(b)) as k from sets group by n, s), "
-    "used as (select n, k, unnest(s) as i from firstsets where k <= 100), means as (select row, col, k, avg(m) as mean from c join used using (n, i) group by row, col, k), "
-    "e as (select row, col, stddev_samp(mean) as meanbse from means group by row, col) select distinct c.row, c.col, round(meanbse, 6) as meanbse from c left join e using (row, col)"
-)
+def _bse_sql(m: str, res: float, source: str = "firsts", tag: str = "") -> str:
+    """Tables up to bse{tag} (win, row, col, meanbse): the draws by md5, of which one table of keys serves cells of every size."""
+    row, col = cell_sql(res)
+    t = lambda n: f"{n}{tag}"
+    return (
+        f"{t('bv')} as (select win, {row} as row, {col} as col, {m} as m, date_dec, shot_num from {source} where {VALID(m)}), "
+        f"{t('bc')} as (select *, row_number() over (partition by win, row, col order by date_dec, shot_num) as i, count(*) over (partition by win, row, col) as n from {t('bv')}), {t('bz')} as (select distinct n from {t('bc')} where n >= 10), "
+        f"{t('bk')} as materialized (select b, i, md5(cast(b as varchar) || ':' || cast(i as varchar)) as k from (select unnest(range(1, 401)) as b), (select unnest(range(1, coalesce((select max(n) from {t('bz')}), 0) + 1)) as i) where b <= 150 or i <= 12), "
+        f"{t('bd')} as (select n, b, i, row_number() over (partition by n, b order by k, i) as r from {t('bz')} join {t('bk')} on i <= n and (b <= 150 or n <= 12)), "
+        f"{t('bs')} as (select n, b, list_sort(list(i)) as s from {t('bd')} where r <= round_even(0.7e0 * n, 0) group by n, b), {t('bf')} as (select n, s, row_number() over (partition by n order by min(b)) as k from {t('bs')} group by n, s), "
+        f"{t('bu')} as (select n, k, unnest(s) as i from {t('bf')} where k <= 100), {t('bm')} as (select win, row, col, k, avg(m) as mean from {t('bc')} join {t('bu')} using (n, i) group by all), "
+        f"{t('be')} as (select win, row, col, stddev_samp(mean) as meanbse from {t('bm')} group by all), {t('bse')} as (select distinct c.win, c.row, c.col, round(meanbse, 6) as meanbse from {t('bc')} c left join {t('be')} using (win, row, col))"
+    )
 
 
-@register("stat_meanbse", _BSE)
+@register("stat_meanbse", f"with {FIRST}, {_bse_sql('agbd_a0', 1000)} select * from bse")
 def stat_meanbse(spark, d):
-    f = gridding.with_cell(firsts(spark, d, ["rh_98_a0"]).where("win = '20190417_20230316'"), 1000)
-    return _rounded(vector.mean_subsample_error(f, ["row", "col"], "rh_98_a0", ["date_dec", "shot_num"]), ["meanbse"])
+    f = gridding.with_cell(firsts(spark, d, ["agbd_a0"]), 1000)
+    return _rounded(vector.mean_subsample_error(f, ["win", "row", "col"], "agbd_a0", ["date_dec", "shot_num"]), ["meanbse"])
+
+
+@register("stat_meanbse_pai", f"with {FIRST}, {_bse_sql('pai_a0', 6000)} select * from bse")
+def stat_meanbse_pai(spark, d):
+    f = gridding.with_cell(firsts(spark, d, ["pai_a0"]), 6000)
+    return _rounded(vector.mean_subsample_error(f, ["win", "row", "col"], "pai_a0", ["date_dec", "shot_num"]), ["meanbse"])
 
 
 @register("entry", f"with {FIRST} select win, row, col, mean, countf from ({_stats_sql('rh_98_a0', 1000)})")
@@ -575,7 +685,7 @@ def entry(spark, d):
 @register("w1_condition", f"with {SHOTS}, {TAGGED}, j as (select *, case when orbit % 17 = 0 then 1 else 0 end as loc_out_umd from tagged where {F2A} and pk % 10 <> 3 and sk % 7 <> 5), f as (select *, case when {L2} then 1 when not ({L2}) then 0 end as l2_hqflag from j) select {CHUNK} as chunk_id, count(*) as n, sum(l2_hqflag) as n_hq, round(avg(case when rh_100_a0 > 5 then rh_50_a0 / rh_98_a0 end), 6) as rhvdr_b from f group by 1")
 def w1_condition(spark, d):
     a, b, c = src.products(spark, d)
-    out = workloads.condition_shots(a, b, c, coarse_cells(spark, d), outlier_list(spark, d))
+    out = workloads.condition_shots(a, b, c, coarse_cells(spark, d), outlier_list(spark, d), max_dem_diff=None)
     return out.groupBy("chunk_id").agg(F.count("*").alias("n"), F.sum("l2_hqflag").cast("long").alias("n_hq"), F.round(F.avg(F.when(F.col("rh_100_a0") > 5, F.col("rhvdr_b"))), 6).alias("rhvdr_b"))
 
 
@@ -598,9 +708,85 @@ def w2_grid(spark, d):
     return _rounded(workloads.grid_workload(s, src.windows(spark, WINDOWS), ["rh_98_a0", "cover_a0"], (1000, 6000, 12000)), _STAT_COLUMNS)
 
 
+def _product_sql(metrics_: dict[str, str], resolutions, source: str, family: str) -> tuple[list[str], list[str]]:
+    """Tables and selects of all eight statistics; metrics_: name -> its histogram's metric."""
+    tables, parts = [], []
+    for r in resolutions:
+        for m in metrics_:
+            tag = f"_{family}_{m}_{r}"
+            named = _shan_sql(m, r, source)
+            for t in ("sv", "sb", "sc", "so", "shan"):
+                named = re.sub(rf"\b{t}\b(?= as \(| group| join| using)|(?<=from ){t}\b|(?<=join ){t}\b", f"{t}{tag}", named)
+            tables += [named, _bse_sql(m, r, source, tag)]
+            parts.append(f"select '{family}' as family, g.*, round(h.shan, 6) as shan, e.meanbse, {r} as res from ({_stats_sql(m, r, source)}) g left join shan{tag} h using (win, row, col) left join bse{tag} e using (win, row, col)")
+    return tables, parts
+
+
+def _grid_product_sql() -> str:
+    resolutions = (1000, 6000, 12000)
+    ground = f"ground as (select f.*, {PX} as x, {PY} as y, w.win from flagged f join windows w on f.date between w.first_day and w.last_day where loc_out_umd = 0)"
+    tables = ["firsts_qf as (select *, case when l4a_hqflag = 1 then agbd_a0 end as agbd_a0_qf from firsts)", ground]
+    tables.append("ground_firsts as (select * from (select *, row_number() over (partition by win, cast(floor(x / 30e0) as bigint), cast(floor(-y / 30e0) as bigint) order by date_dec, shot_num) as rn from ground) where rn = 1)")
+    vf, gf = _product_sql({"agbd_a0": "", "agbd_a0_qf": ""}, resolutions, "firsts_qf", "vf"), _product_sql({"elev_lm_a0": ""}, (6000,), "ground_firsts", "gf")
+    return f"with {FIRST}, {', '.join(tables + vf[0] + gf[0])} " + " union all ".join(vf[1] + gf[1])
+
+
+@register("w2_product", _grid_product_sql())
+def w2_product(spark, d):
+    """All eight statistics of biomass, with and without its own flag, at three resolutions, and of the ground elevation at 6 km."""
+    s = shots(spark, d).selectExpr("*", f"{OUT} as loc_out_umd")
+    cells, _ = workloads.grid_product(s, src.windows(spark, WINDOWS), ["agbd_a0"])
+    return _rounded(cells.where("family = 'vf' or res = 6000"), (*_STAT_COLUMNS, "meanbse"))
+
+
+def _w2_counts_sql() -> str:
+    ground = VEG.replace("where l2_hqflag = 1", "where loc_out_umd = 0").replace("veg as (", "ground as (").split(f"{WIN}, ")[1]
+    tables, parts = [ground], []
+    for family, source in (("ga", "ground"), ("va", "veg")):
+        for r in (1000, 6000):
+            tag = f"_{family}_{r}"
+            tables.append(re.sub(r"\b(p|nn|nni)\b(?= as \()|(?<=from )(p|nn)\b|(?<=join )p\b", lambda m: m[0] + tag, _nni_sql(source, r)))
+            row, col = cell_sql(r)
+            counted = f"select win, {row} as row, {col} as col, count(date_dec) as shots_count, count(distinct orbit) as orbits_uniq, count(distinct cast(orbit as varchar) || '-' || beam) as tracks_uniq from {source} group by all"
+            parts.append(f"select '{family}' as family, {r} as res, c.*, shots_nni from ({counted}) c left join nni{tag} using (win, row, col)")
+    return f"with {VEG}, {', '.join(tables)} " + " union all ".join(parts)
+
+
+@register("w2_counts", _w2_counts_sql())
+def w2_counts(spark, d):
+    """The four bands of sampling density for ground and high-quality shots."""
+    s = shots(spark, d).selectExpr("*", f"{OUT} as loc_out_umd")
+    return workloads.count_workload(s, src.windows(spark, WINDOWS), (1000, 6000)).withColumn("shots_nni", F.round("shots_nni", 5))
+
+
+def conditioned(spark, d) -> DataFrame:
+    """Beam records, as files of three products -> conditioned shots."""
+    path, tables = files.shared_folder(spark), {"l2a": beams_l2a, "l2b": beams_l2b, "l4a": beams_l4a}
+    for name, beams in tables.items():
+        files.write_shots(beams(spark, d), f"{path}/{name}")
+    a, b, c = (extract_(files.read_shots(spark, f"{path}/{name}")) for name, extract_ in zip(tables, (extract.extract_l2a, extract.extract_l2b, extract.extract_l4a), strict=True))
+    return workloads.condition_shots(a, b, c, coarse_cells(spark, d), outlier_list(spark, d))
+
+
+_BEAM_SHOTS = f"beam_shots as (select * replace ({_DEC(_WHEN)} as date_dec, rh_100_a0 * 98 / 100e0 as rh_98_a0, cover_l1 * 1 as cover_l1) from shots)"
+_CHAIN = (
+    f"{SHOTS}, {_BEAM_SHOTS}, {TAGGED.replace('from shots', 'from beam_shots')}, cj as (select *, case when orbit % 17 = 0 then 1 else 0 end as loc_out_umd from tagged where {F2A} and pk % 10 <> 3 and sk % 7 <> 5), "
+    f"cf as (select *, case when {L2} then 1 when not ({L2}) then 0 end as l2_hqflag from cj), {WIN}, cv as (select f.*, {PX} as x, {PY} as y, w.win from cf f join windows w on f.date between w.first_day and w.last_day where l2_hqflag = 1), "
+    "firsts as (select * from (select *, row_number() over (partition by win, cast(floor(x / 30e0) as bigint), cast(floor(-y / 30e0) as bigint) order by date_dec, shot_num) as rn from cv) where rn = 1)"
+)
+
+
+@register("w1_w2_chain", f"with {_CHAIN} " + " union all ".join(f"select *, {r} as res from ({_stats_sql(m, r)})" for m in ("rh_98_a0", "pai_a0") for r in (1000, 6000)))
+def w1_w2_chain(spark, d):
+    """From beam records over conditioned shots to gridded statistics."""
+    cells = workloads.grid_workload(conditioned(spark, d), src.windows(spark, WINDOWS), ["rh_98_a0", "pai_a0"], (1000, 6000))
+    return _rounded(cells.drop("shan"), _STAT_COLUMNS)
+
+
 # -- chunks, profiles, mosaics ---------------------------------------------------------------
 
-_PROFILED = ["agbd_a0", "pai_a0", "cover_a0", "urb_prop", "leafoff_doy"]
+#: The shots' own numeric columns: not the keys that they are derived from.
+_PROFILED = [c for c in src.SHOT if c not in ("shot_num", "beam", "date", "ok", "pk", "sk", "ln")]
 
 
 def _profile_sql(c: str) -> str:
@@ -618,7 +804,7 @@ def _profile_sql(c: str) -> str:
 
 @register("column_profile", f"with {SHOTS} " + " union all ".join(map(_profile_sql, _PROFILED)))
 def column_profile(spark, d):
-    out = chunks.column_profile(chunks.with_chunk(shots(spark, d)), _PROFILED)
+    out = chunks.column_profile(chunks.with_chunk(shots(spark, d).select(*_PROFILED)))
     return _rounded(out, ["med_fin", "mean_valid", "med_valid", "sd_valid", "p05_valid", "p25_valid", "p75_valid", "p95_valid", "iqr_valid"])
 
 
@@ -669,7 +855,10 @@ def validity_masks(spark, d):
     return validate.validity_masks(pixels(spark, d), water, (6, 7)).select("row", "col", r6("value").alias("value"))
 
 
-@register("terrain_slope", f"with {_K0}, {_PIX}, g as (select row, col, case when lag(col) over r = col - 1 and lead(col) over r = col + 1 then (lead(value) over r - lag(value) over r) / 60e0 end as gx, case when lag(row) over c = row - 1 and lead(row) over c = row + 1 then (lead(value) over c - lag(value) over c) / 60e0 end as gy from pix window r as (partition by row order by col), c as (partition by col order by row)) select row, col, round(degrees(atan(sqrt(gx * gx + gy * gy))), 6) as slope from g")
+_SLOPES = "g as (select row, col, case when lag(col) over r = col - 1 and lead(col) over r = col + 1 then (lead(value) over r - lag(value) over r) / 60e0 end as gx, case when lag(row) over c = row - 1 and lead(row) over c = row + 1 then (lead(value) over c - lag(value) over c) / 60e0 end as gy from pix window r as (partition by row order by col), c as (partition by col order by row))"
+
+
+@register("terrain_slope", f"with {_K0}, {_PIX}, {_SLOPES} select row, col, round(degrees(atan(sqrt(gx * gx + gy * gy))), 6) as slope from g")
 def terrain_slope(spark, d):
     return _rounded(validate.terrain_slope(pixels(spark, d).withColumnRenamed("value", "elev"), 30.0), ["slope"])
 
@@ -689,12 +878,17 @@ def valid_percent(spark, d):
     return _rounded(validate.valid_percent(pixels(spark, d), 5, 60.0), ["valid_perc"])
 
 
+_ALS_FULL = "als as (select row // 20 as row, col // 20 as col, avg(value) as mean, quantile_cont(value, 0.25) as p25, quantile_cont(value, 0.5) as med, quantile_cont(value, 0.75) as p75, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) as iqr, quantile_cont(value, 0.95) as p95, stddev_pop(value) as sd, avg(slope) as slope_mean, stddev_pop(slope) as slope_sd, quantile_cont(slope, 0.95) as slope_p95 from pix join (select row, col, degrees(atan(sqrt(gx * gx + gy * gy))) as slope from g) using (row, col) group by 1, 2)"
 _ALS = "als as (select row // 20 as row, col // 20 as col, avg(value) as mean, quantile_cont(value, 0.5) as med, quantile_cont(value, 0.75) - quantile_cont(value, 0.25) as iqr, quantile_cont(value, 0.95) as p95, stddev_pop(value) as sd from pix group by 1, 2)"
 
 
-@register("als_cell_stats", f"with {_K0}, {_PIX}, {_ALS} select row, col, round(mean, 6) as mean, round(med, 6) as med, round(iqr, 6) as iqr, round(p95, 6) as p95, round(sd, 6) as sd from als")
+_ALS_COLUMNS = "mean p25 med p75 iqr p95 sd slope_mean slope_sd slope_p95".split()
+
+
+@register("als_cell_stats", f"with {_K0}, {_PIX}, {_SLOPES}, {_ALS_FULL} select row, col, {', '.join(f'round({c}, 6) as {c}' for c in _ALS_COLUMNS)} from als")
 def als_cell_stats(spark, d):
-    return _rounded(validate.als_cell_stats(pixels(spark, d), 20), _STAT_COLUMNS)
+    slope = validate.terrain_slope(pixels(spark, d).withColumnRenamed("value", "elev"), 30.0)
+    return _rounded(validate.als_cell_stats(pixels(spark, d).join(slope, ["row", "col"]), 20, slope="slope"), _ALS_COLUMNS)
 
 
 @register("als_shannon", f"with {_K0}, {_PIX}, b as (select row // 20 as row, col // 20 as col, floor((value + 99e0) / {lit(219 / 74)}) as bin, count(*) as c from pix where value >= -99e0 and value < 120e0 group by 1, 2, 3), n as (select row, col, sum(c) as n, sum(c * ln(c)) as s, count(*) as bins from b group by 1, 2) select row, col, round(case when bins >= 2 then ln(n) - s / n end, 6) as shan from n")
@@ -784,14 +978,72 @@ def w3_validation(spark, d):
     return _rounded(validate.accuracy(p, ["stat", "site"]).join(fit, ["stat", "site"]).select("stat", "site", "n", "rmse", "adj_r2"), ["rmse", "adj_r2"])
 
 
-@register("track_count", f"with {SHOTS} select cast(orbit as varchar) || '-' || beam as track, replace('rh_98_a0', '_', '-') as label, strftime(min(date), '%Y%m%d') as first from shots group by 1")
+@register("track_count", f"with {SHOTS} select cast(orbit as varchar) || '-' || beam as track, replace(case when min(date_dec) > 2019.05e0 then 'rh_98_a0' else 'cover_a0' end, '_', '-') as label, strftime(min(date), '%Y%m%d') as first from shots group by 1")
 def track_count(spark, d):
-    return shots(spark, d).groupBy(geo.track_id("orbit", "beam").alias("track")).agg(F.min("date").alias("d")).select("track", names.metric_label(F.lit("rh_98_a0")).alias("label"), names.date_label("d").alias("first"))
+    t = shots(spark, d).groupBy(geo.track_id("orbit", "beam").alias("track")).agg(F.min("date").alias("d"), F.min("date_dec").alias("t"))
+    return t.withColumn("metric", F.when(F.col("t") > 2019.05, "rh_98_a0").otherwise("cover_a0")).select("track", names.metric_label("metric").alias("label"), names.date_label("d").alias("first"))
 
 
 @register("merge_summaries", f"with {SHOTS}, {FLAGS}, {SUMMARY} select chunk_id, cast(count(*) as bigint) as files, cast(sum(n_filt_shots) as bigint) as n, min(xmin_shots) as xmin, max(ymax_shots) as ymax from summary group by chunk_id")
 def merge_summaries(spark, d):
-    return summaries(spark, d).groupBy("chunk_id").agg(F.count("*").alias("files"), F.sum("n_filt_shots").alias("n"), F.min("xmin_shots").alias("xmin"), F.max("ymax_shots").alias("ymax"))
+    """Summaries written as files and read again as one table."""
+    path, s = files.shared_folder(spark), summaries(spark, d)
+    files.write_summaries(s, path)
+    return files.read_summaries(spark, path, s.schema).groupBy("chunk_id").agg(F.count("*").alias("files"), F.sum("n_filt_shots").alias("n"), F.min("xmin_shots").alias("xmin"), F.max("ymax_shots").alias("ymax"))
+
+
+# -- files: what is written is read again ----------------------------------------------------
+
+_FILED = "shot_num, orbit, sub_orbit, beam, date, lon_lm_a0, lat_lm_a0, elev_lm_a0, cover_a0, urb_prop"
+
+
+@register("write_shots", f"with {SHOTS} select {_FILED} from shots")
+def write_shots(spark, d):
+    path = files.shared_folder(spark)
+    files.write_shots(shots(spark, d).selectExpr(*_FILED.split(", ")), path)
+    return files.read_shots(spark, path)
+
+
+@register("read_shots_csv", f"with {SHOTS} select {_FILED} from shots")
+def read_shots_csv(spark, d):
+    path, s = files.shared_folder(spark), shots(spark, d).selectExpr(*_FILED.split(", "))
+    files.write_shots(s, path, "csv")
+    return files.read_shots(spark, path, s.schema)
+
+
+@register("write_chunks", f"with {SHOTS} select {CHUNK} as chunk_id, count(*) as n, round(sum(elev_lm_a0), 2) as elev from shots group by 1")
+def write_chunks(spark, d):
+    path = files.shared_folder(spark)
+    files.write_chunks(chunks.with_chunk(shots(spark, d).select("shot_num", "lon_lm_a0", "lat_lm_a0", "elev_lm_a0")), path)
+    return files.read_shots(spark, path).groupBy("chunk_id").agg(F.count("*").alias("n"), F.round(F.sum("elev_lm_a0"), 2).alias("elev"))
+
+
+@register("export_va", f"with {_CHAIN}, c163 as (select 163 as n_columns) select {CHUNK} as chunk_id, shot_num, case when urb_prop = 255 then -9999 else urb_prop end as urb_prop, orbit_grid as ease72_og, round(rh_98_a0, 6) as rh_98_a0, n_columns from cf, c163 where l2_hqflag = 1")
+def export_va(spark, d):
+    """The exported table of every chunk, all columns in order."""
+    path = files.shared_folder(spark)
+    files.export_shots(conditioned(spark, d), None, path)
+    back = spark.read.csv(path, header=True)
+    n = len(back.columns) - 1  # beside chunk_id, which the folders hold
+    return back.select("chunk_id", "shot_num", F.col("urb_prop").cast("int").alias("urb_prop"), "ease72_og", F.round(F.col("rh_98_a0").cast("double"), 6).alias("rh_98_a0"), F.lit(n).alias("n_columns"))
+
+
+@register("write_grid", f"with {FIRST} select 'grid_' || replace(metric, '_', '-') || '_vf_' || win || '_1000m' as product, count(*) as n, cast(sum(countf) as bigint) as shots from ({' union all '.join(_stats_sql(m, 1000) for m in METRICS)}) group by 1")
+def write_grid(spark, d):
+    """Cells under a folder for each product, by name."""
+    path = files.shared_folder(spark)
+    cells = _stats(spark, d, 1000).withColumns({"family": F.lit("vf"), "res": F.lit(1000)})
+    files.write_products(cells, src.windows(spark, WINDOWS), path)
+    return spark.read.parquet(path).groupBy("product").agg(F.count("*").alias("n"), F.sum("countf").alias("shots"))
+
+
+@register("read_validation", f"{_PAIRED} select 'RH98' as metric, 6000 as res, 'site' || site as site, row, col, round(am, 6) as als_mean, round(gm, 6) as grid_mean from j")
+def read_validation(spark, d):
+    """Validation tables of two sites, written under names that say what they hold."""
+    path, j = files.shared_folder(spark), joined(spark, d)
+    for site in ("0", "1"):
+        files.write_shots(j.where(F.col("site") == site).select("row", "col", "als_mean", "grid_mean"), f"{path}/grid_RH98_6000m_val_als_98p_site{site}.csv", "csv")
+    return _rounded(validate.read_validation(spark, path), ["als_mean", "grid_mean"]).select("metric", "res", "site", F.col("row").cast("long").alias("row"), F.col("col").cast("long").alias("col"), "als_mean", "grid_mean")
 
 
 # -- single operators of the groups above ----------------------------------------------------
@@ -818,7 +1070,6 @@ for _stat in ("mean", "med", "sd", "iqr", "p95", "countf"):
     _part(f"stat_{_stat}", "stat_builtin_1000m", "win, row, col, metric", _stat)
 for _count in ("shots_count", "orbits_uniq", "tracks_uniq"):
     _part(_count, "cell_counts_1000m", "win, row, col", _count)
-_part("profile_alt_algo", "extract_l2a", "shot_num", "rh_95_a1, elev_lm_a1")
 _part("track_id", "beam_class", "shot_num", "track")
 _part("metric_label", "track_count", "track", "label, first")
 
@@ -828,8 +1079,15 @@ def elev_diff(spark, d):
     return shots(spark, d).select("shot_num", r6(F.col("elev_dem_tdx") - F.col("elev_lm_a0")).alias("elev_diff_dem"))
 
 
-@register("cell_resolution", f"with {SHOTS} select distinct 12000 as res, 144000000e0 as area, {cell_sql(12000, PX, PY)[0]} as row, {cell_sql(12000, PX, PY)[1]} as col from shots")
+_TENTH = geo.DegreeGrid(0.1)
+
+
+@register("cell_resolution", f"with {SHOTS} select distinct 12000e0 as res, 144000000e0 as area, {cell_sql(12000, PX, PY)[0]} as row, {cell_sql(12000, PX, PY)[1]} as col from shots union all select distinct {lit(_TENTH.metres)}, {lit(_TENTH.cell_area)}, cast(floor((90e0 - lat_lm_a0) / 0.1e0) as bigint), cast(floor((lon_lm_a0 + 180e0) / 0.1e0) as bigint) from shots")
 def cell_resolution(spark, d):
-    grid = geo.GridSpec(12000)
-    cells = gridding.with_cell(gridding.with_xy(shots(spark, d)), 12000).select("row", "col").distinct()
-    return cells.select(F.lit(int(grid.res)).alias("res"), F.lit(float(grid.cell_area)).alias("area"), "row", "col")
+    """The cells that hold shots, of a grid in metres and one in degrees, with size and area."""
+    s = gridding.with_xy(shots(spark, d))
+    parts = []
+    for grid, metres, x, y in ((geo.GridSpec(12000), 12000.0, "x", "y"), (_TENTH, _TENTH.metres, "lon_lm_a0", "lat_lm_a0")):
+        cells = s.select(geo.cell_row(y, grid).alias("row"), geo.cell_col(x, grid).alias("col")).distinct()
+        parts.append(cells.select(F.lit(metres).alias("res"), F.lit(float(grid.cell_area)).alias("area"), "row", "col"))
+    return parts[0].unionByName(parts[1])

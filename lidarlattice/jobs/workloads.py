@@ -11,38 +11,47 @@ from lidarlattice.operators.chunks import with_chunk
 from lidarlattice.operators.gridding import CELL, cell_counts, first_shot_per_fine_cell, grid_stats, mask_single, shannon_of, with_cell, with_xy
 from lidarlattice.operators.joins import grid_tag, join_shots, outlier_flag, window_join
 from lidarlattice.operators.quality import filter_l2a, filter_l2b, filter_l4a, hq_flags
-from lidarlattice.schema import BINS
+from lidarlattice.operators.vector import nearest_neighbour_index, subsample_errors
+from lidarlattice.schema import BINS, RESOLUTIONS
 
 
-def condition_shots(l2a: DataFrame, l2b: DataFrame, l4a: DataFrame, cells: DataFrame, outliers: DataFrame) -> DataFrame:
+def condition_shots(l2a: DataFrame, l2b: DataFrame, l4a: DataFrame, cells: DataFrame, outliers: DataFrame, max_dem_diff: float | None = 150) -> DataFrame:
     """Filter each product, join on the shot, tag the coarse cell, flag outliers and quality, derive metrics, name the chunk.
 
     Filters run before the joins, the products are joined on the shot id, and everything
-    after the joins is narrow but for the small tables of cells and outliers.
+    after the joins is narrow but for the small tables of cells and outliers. `max_dem_diff`
+    is the second product's limit (None where its table has no elevation model).
     """
     a = filter_l2a(l2a, apply_deg_flag=False, max_waterp=None, max_urban=None)
-    b = filter_l2b(l2b).drop("elev_lm_a0", "sens_a0", "surf_flag", "stale_flag", "l2a_qflag_a0", "rh_100_a0")
-    c = filter_l4a(l4a).select("shot_num", "l4a_qflag_a0", "l4a_algrun_flag", "agbd_a0")
+    b = filter_l2b(l2b, apply_l2b_qflag=False, apply_algrun=False, apply_deg_flag=False, max_dem_diff=max_dem_diff, max_waterp=None, max_urban=None)
+    c = filter_l4a(l4a, apply_l4a_qflag=False)
     joined = join_shots(join_shots(a, b, ["shot_num", "lon_lm_a0", "lat_lm_a0"]), c, ["shot_num"])
-    flagged = hq_flags(outlier_flag(grid_tag(joined, cells), outliers))
+    flagged = hq_flags(outlier_flag(grid_tag(joined.withColumn("elev_diff_dem", F.col("elev_dem_tdx") - F.col("elev_lm_a0")), cells), outliers))
     return with_chunk(with_metrics(flagged))
 
 
+def with_flagged_biomass(shots: DataFrame) -> DataFrame:
+    """agbd_a0_qf: biomass of the shots that the product's own flag accepts."""
+    return shots.withColumn("agbd_a0_qf", F.when(F.col("l4a_hqflag") == 1, F.col("agbd_a0")))
+
+
 def windowed_veg(shots: DataFrame, windows: DataFrame) -> DataFrame:
     """High-quality shots with projected coordinates, a row per window that holds them."""
     return window_join(with_xy(hq_flags(shots).where("l2_hqflag = 1")), windows)
 
 
-def grid_workload(shots: DataFrame, windows: DataFrame, metrics: list[str], resolutions: tuple[int, ...]) -> DataFrame:
-    """All built-in statistics of each metric, cell, window and resolution: (win, res, row, col, metric, stats, shan).
+def windowed_ground(shots: DataFrame, windows: DataFrame) -> DataFrame:
+    """Shots of granules that are not outliers, with projected coordinates, a row per window that holds them."""
+    return window_join(with_xy(shots.where("loc_out_umd = 0")), windows)
 
-    Fine cells are deduplicated once. Cells of all resolutions nest in 12 km cells, so the
-    rows are dealt by (window, 12 km cell) once and every aggregation below groups by those
-    keys and its own: it needs no exchange beyond that one, which the branches share.
-    """
+
+def _grid(shots: DataFrame, metrics: list[str], resolutions: tuple[int, ...], errors: bool) -> DataFrame:
+    """Statistics of each metric, cell, window and resolution of windowed shots."""
     wide = geo.GridSpec(12000.0)
-    first = first_shot_per_fine_cell(windowed_veg(shots, windows), ["x", "y", *metrics])
-    dealt = first.select("win", geo.cell_row("y", wide).alias("r12"), geo.cell_col("x", wide).alias("c12"), "x", "y", *[nan_to_null(m).alias(m) for m in metrics]).repartition("win", "r12", "c12")
+    first = first_shot_per_fine_cell(shots, ["x", "y", *metrics])
+    order = ["date_dec", "shot_num"] if errors else []
+    named = [nan_to_null(m).alias(m) for m in metrics if m not in order]
+    dealt = first.select("win", geo.cell_row("y", wide).alias("r12"), geo.cell_col("x", wide).alias("c12"), "x", "y", *order, *named).repartition("win", "r12", "c12")
     keys = ["win", "r12", "c12", "row", "col"]
     binned = [m for m in metrics if m in BINS]
     out = None
@@ -52,16 +61,50 @@ def grid_workload(shots: DataFrame, windows: DataFrame, metrics: list[str], reso
         cells = with_cell(dealt, res)
         part = mask_single(grid_stats(cells, metrics, keys))
         part = part.join(shannon_of(cells, binned, keys), [*keys, "metric"], "left") if binned else part.withColumn("shan", F.lit(None).cast("double"))
+        if errors:
+            part = part.join(subsample_errors(cells, keys, metrics, order, dealt=True), [*keys, "metric"], "left")
         part = part.drop("r12", "c12").withColumn("res", F.lit(res))
         out = part if out is None else out.unionByName(part)
     return out
 
 
-def count_workload(shots: DataFrame, windows: DataFrame, resolutions: tuple[int, ...]) -> DataFrame:
-    """Sampling density on all vegetation shots: (win, res, row, col, counts)."""
-    veg = windowed_veg(shots, windows)
+def grid_workload(shots: DataFrame, windows: DataFrame, metrics: list[str], resolutions: tuple[int, ...], errors: bool = False) -> DataFrame:
+    """Statistics of high-quality shots for each metric, cell, window and resolution: (win, res, row, col, metric, stats, shan), with `errors` also meanbse.
+
+    Fine cells are deduplicated once. Cells of all resolutions nest in 12 km cells, so the
+    rows are dealt by (window, 12 km cell) once and every aggregation below groups by those
+    keys and its own: it needs no exchange beyond that one, which the branches share.
+    """
+    return _grid(windowed_veg(shots, windows), metrics, resolutions, errors)
+
+
+def _counts(shots: DataFrame, resolutions: tuple[int, ...]) -> DataFrame:
+    """Shots, orbits, tracks and the nearest-neighbour index of each cell, window and resolution of windowed shots; no index for cells of one shot."""
     out = None
     for res in resolutions:
-        part = cell_counts(with_cell(veg, res)).withColumn("res", F.lit(res))
+        cells = with_cell(shots, res)
+        part = cell_counts(cells).join(nearest_neighbour_index(cells, CELL, "x", "y", float(res) * res), CELL, "left").withColumn("res", F.lit(res))
         out = part if out is None else out.unionByName(part)
     return out
+
+
+def count_workload(shots: DataFrame, windows: DataFrame, resolutions: tuple[int, ...]) -> DataFrame:
+    """Sampling density of all ground and all high-quality shots: (family, win, res, row, col, shots_count, orbits_uniq, tracks_uniq, shots_nni); never masked."""
+    families = {"ga": windowed_ground(shots, windows), "va": windowed_veg(shots, windows)}
+    parts = [_counts(df, resolutions).withColumn("family", F.lit(name)) for name, df in families.items()]
+    return parts[0].unionByName(parts[1])
+
+
+def grid_product(shots: DataFrame, windows: DataFrame, metrics: list[str], resolutions: tuple[int, ...] = RESOLUTIONS) -> tuple[DataFrame, DataFrame]:
+    """The whole grid product of conditioned shots: (statistics, counts).
+
+    Statistics (family, win, res, row, col, metric, eight statistics) are those of every
+    metric on the first high-quality shot of each fine cell (vf), biomass also with its own
+    flag, and of the elevation on the first ground shot (gf). Counts are those of
+    count_workload.
+    """
+    flagged = with_flagged_biomass(hq_flags(shots))
+    chosen = [*metrics, *(["agbd_a0_qf"] if "agbd_a0" in metrics and "agbd_a0_qf" not in metrics else [])]
+    veg = _grid(window_join(with_xy(flagged.where("l2_hqflag = 1")), windows), chosen, resolutions, True).withColumn("family", F.lit("vf"))
+    ground = _grid(windowed_ground(shots, windows), ["elev_lm_a0"], resolutions, True).withColumn("family", F.lit("gf"))
+    return veg.unionByName(ground), count_workload(shots, windows, resolutions)

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lidarlattice.functions import geo
 from lidarlattice.schema import MISSING
@@ -26,21 +27,39 @@ def chunk_summary(df: DataFrame) -> DataFrame:
     )
 
 
-def column_profile(df: DataFrame, columns: list[str], key: str = "chunk_id", batch: int = 4) -> DataFrame:
-    """Counts of every kind of value and statistics per chunk and column, computed side by side and then turned into rows."""
+#: Percentiles of valid values in a column profile.
+PERCENTS = (5, 25, 50, 75, 95)
+
+
+def numeric_columns(df: DataFrame, without: tuple[str, ...] = ()) -> list[str]:
+    """Names of the columns that a profile can describe."""
+    return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType) and f.name not in without]
+
+
+def column_profile(df: DataFrame, columns: list[str] | None = None, key: str = "chunk_id", batch: int = 4, accuracy: int | None = None) -> DataFrame:
+    """Counts of every kind of value and statistics per chunk and column (all numeric ones by default), computed side by side and then turned into rows.
+
+    Exact percentiles keep the different values of a chunk and column; with `accuracy` they
+    are approximate ones of bounded memory.
+    """
+    columns = numeric_columns(df, (key,)) if columns is None else columns
+
+    def percentiles(c, ps):
+        return F.percentile_approx(c, list(ps), accuracy) if accuracy else F.percentile(c, F.array(*map(F.lit, ps)))
+
     parts = []
     for at in range(0, len(columns), batch):
         aggregates = []
         for name in columns[at : at + batch]:
             c = F.col(name).cast("double")
-            finite = c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf"))
+            finite = F.abs(c) < float("inf")
             ok = finite & (c != MISSING)
             v, f = F.when(ok, c), F.when(finite, c)
             count = lambda cond: F.count(F.when(cond, 1))
             stats = {
                 "n_all": F.count("*"), "n_notna": count(c.isNotNull() & ~F.isnan(c)), "n_notnafin": count(finite), "n_valid": count(ok), "n_n9999": count(c == MISSING), "n_255": count(c == 255), "n_32767": count(c == 32767),
-                "n_neg": count(finite & (c < 0)), "n_neg_valid": count(ok & (c < 0)), "min_fin": F.min(f), "med_fin": F.percentile(f, F.lit(0.5)), "max_fin": F.max(f), "min_valid": F.min(v), "mean_valid": F.avg(v), "med_valid": F.percentile(v, F.lit(0.5)),
-                "max_valid": F.max(v), "sd_valid": F.stddev_samp(v), **{f"p{p:02d}_valid": F.percentile(v, F.lit(p / 100)) for p in (5, 25, 75, 95)},
+                "n_neg": count(finite & (c < 0)), "n_neg_valid": count(ok & (c < 0)), "min_fin": F.min(f), "med_fin": percentiles(f, [0.5])[0], "max_fin": F.max(f), "min_valid": F.min(v), "mean_valid": F.avg(v),
+                "max_valid": F.max(v), "sd_valid": F.stddev_samp(v), "p": percentiles(v, [p / 100 for p in PERCENTS]),
             }
             aggregates.append(F.struct(F.lit(name).alias("field_name"), *[a.alias(n) for n, a in stats.items()]).alias(f"_{name}"))
         wide = df.groupBy(key).agg(*aggregates)
@@ -48,7 +67,8 @@ def column_profile(df: DataFrame, columns: list[str], key: str = "chunk_id", bat
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out.withColumn("iqr_valid", F.col("p75_valid") - F.col("p25_valid"))
+    at = {n: F.col("p")[i] for i, n in enumerate("p05_valid p25_valid med_valid p75_valid p95_valid".split())}
+    return out.withColumns(at | {"iqr_valid": at["p75_valid"] - at["p25_valid"]}).drop("p")
 
 
 def union_tiles(tiles: DataFrame, keys: list[str], value: str, priority: str, fill: float | None = MISSING) -> DataFrame:

@@ -46,14 +46,14 @@ def cell_counts(df: DataFrame, keys: list[str] = CELL) -> DataFrame:
 
 
 Stat = Callable[[Column], Column]
-STATS: dict[str, Stat] = {
-    "mean": F.avg,
-    "med": lambda c: F.percentile(c, F.lit(0.5)),
-    "sd": F.stddev_samp,
-    "iqr": lambda c: F.percentile(c, F.lit(0.75)) - F.percentile(c, F.lit(0.25)),
-    "p95": lambda c: F.percentile(c, F.lit(0.95)),
-    "countf": F.count,
-}
+#: Aggregates of a metric's valid values, and what is read off the one array of percentiles afterwards.
+STATS: dict[str, Stat] = {"mean": F.avg, "sd": F.stddev_samp, "quantiles": lambda c: F.percentile(c, F.array(*map(F.lit, (0.25, 0.5, 0.75, 0.95)))), "countf": F.count}
+OF_QUANTILES: dict[str, Stat] = {"med": lambda q: q[1], "iqr": lambda q: q[2] - q[0], "p95": lambda q: q[3]}
+
+
+def approximate(accuracy: int = 10_000) -> dict[str, Stat]:
+    """STATS with percentiles of bounded memory, for cells of so many different values that exact ones do not fit."""
+    return STATS | {"quantiles": lambda c: F.percentile_approx(c, [0.25, 0.5, 0.75, 0.95], accuracy)}
 
 
 def grid_stats(df: DataFrame, metrics: list[str], keys: list[str] = CELL, stats: dict[str, Stat] | None = None, batch: int = 8) -> DataFrame:
@@ -61,14 +61,15 @@ def grid_stats(df: DataFrame, metrics: list[str], keys: list[str] = CELL, stats:
 
     Metrics are aggregated side by side, `batch` at a time to stay within generated code's
     limits, and turned into rows afterwards. A stat is any function from a column to an
-    aggregate, so callers may add their own.
+    aggregate, so callers may add their own; one named "quantiles" gives med, iqr and p95.
     """
     stats = stats or STATS
+    read = lambda m: [f(m["quantiles"]).alias(s) for s, f in OF_QUANTILES.items()] if "quantiles" in stats else []
     parts = []
     for at in range(0, len(metrics), batch):
         some = metrics[at : at + batch]
         wide = df.groupBy(*keys).agg(*[F.struct(*[f(F.when(valid(m), F.col(m))).alias(s) for s, f in stats.items()]).alias(m) for m in some])
-        parts.append(wide.select(*keys, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("s")) for m in some])).alias("m")).select(*keys, "m.metric", "m.s.*"))
+        parts.append(wide.select(*keys, F.explode(F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).alias("s")) for m in some])).alias("m")).select(*keys, "m.metric", *[F.col(f"m.s.{s}") for s in stats if s != "quantiles"], *read(F.col("m.s"))))
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
@@ -102,6 +103,12 @@ def shannon_of(df: DataFrame, metrics: list[str], keys: list[str] = CELL) -> Dat
     return cells.join(F.broadcast(bad), [keys[0], "metric"]).select(*keys, "metric", F.when((F.col("n") > 1) & (F.col("bad") == 0), h).alias("shan"))  # a row per window and metric
 
 
+def metric_windows(df: DataFrame, metrics: list[str]) -> DataFrame:
+    """(metric, win) for each metric and window of `df` with a valid value: one pass that keeps a flag for each metric and window."""
+    held = df.groupBy("win").agg(*[F.max(F.coalesce(valid(m), F.lit(False))).alias(m) for m in metrics])
+    return held.select(F.explode(F.array_compact(F.array(*[F.when(F.col(m), m) for m in metrics]))).alias("metric"), "win")
+
+
 def mask_single(cells: DataFrame) -> DataFrame:
     """Statistics of cells with one shot are dropped; counts are never masked."""
     return cells.where("countf > 1")

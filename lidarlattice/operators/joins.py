@@ -38,8 +38,36 @@ def grid_tag(df: DataFrame, cells: DataFrame) -> DataFrame:
     return df.join(cells, ["c72", "r72"]).drop("c72", "r72")
 
 
+def polygon_tag(df: DataFrame, polygons: DataFrame, x: str = "lon_lm_a0", y: str = "lat_lm_a0", id_col: str = "polygon_id", step: float = 0.05) -> DataFrame:
+    """Rows with the id of each polygon that holds them; rows in none are dropped. polygons: (id, vertices: array of struct x, y).
+
+    Even-odd rule, half open: a point on a shared edge is in one polygon only. The edges are
+    listed under every band of `step` in y that they cross, so that a point meets those of
+    its band by an equi-join, and a test of x leaves few of them.
+    """
+    closed = F.concat("vertices", F.slice("vertices", 1, 1))
+    ends = F.zip_with(F.slice(closed, F.lit(1), F.size("vertices")), F.slice(closed, F.lit(2), F.size("vertices")), lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")))
+    edges = polygons.select(F.col(id_col), F.explode(ends).alias("e")).where("e.ay <> e.by")
+    band = lambda c: F.floor(c / F.lit(step)).cast("long")
+    e = F.col("e")
+    listed = edges.withColumn("_band", F.explode(F.sequence(band(F.least(e["ay"], e["by"])), band(F.greatest(e["ay"], e["by"])))))
+    sides = listed.groupBy("_band", id_col).agg(F.collect_list("e").alias("_edges"), F.min(F.least(e["ax"], e["bx"])).alias("_xmin"), F.max(F.greatest(e["ax"], e["bx"])).alias("_xmax"))
+    px, py = F.col(x), F.col(y)
+    crossed = F.filter("_edges", lambda e: ((e["ay"] > py) != (e["by"] > py)) & (px < (e["bx"] - e["ax"]) * (py - e["ay"]) / (e["by"] - e["ay"]) + e["ax"]))
+    met = df.withColumn("_band", band(py)).join(sides, "_band").where(px.between(F.col("_xmin"), F.col("_xmax")))
+    return met.where(F.size(crossed) % 2 == 1).drop("_band", "_edges", "_xmin", "_xmax")
+
+
+def clip_polygons(df: DataFrame, polygons: DataFrame, x: str = "lon_lm_a0", y: str = "lat_lm_a0") -> DataFrame:
+    """Rows that lie in any of the polygons, once each: a row needs a key of its own for that, shot_num."""
+    inside = polygon_tag(df.select("shot_num", x, y), polygons, x, y).select("shot_num").distinct()
+    return df.join(inside, "shot_num", "left_semi")
+
+
 def outlier_flag(df: DataFrame, outliers: DataFrame, remove: bool = False) -> DataFrame:
-    """loc_out_umd: 1 where the orbit-grid id is listed. outliers: (orbit_grid)."""
+    """loc_out_umd: 1 where the orbit-grid id is listed. outliers: (orbit_grid). Orbits in text ("O08943") become numbers."""
+    if dict(df.dtypes)["orbit"] == "string":
+        df = df.withColumn("orbit", names.orbit_number("orbit"))
     keyed = df.withColumn("orbit_grid", geo.orbit_grid_id("orbit", "sub_orbit", "grid_id"))
     listed = outliers.select("orbit_grid").distinct()
     if remove:
@@ -47,9 +75,15 @@ def outlier_flag(df: DataFrame, outliers: DataFrame, remove: bool = False) -> Da
     return keyed.join(listed.withColumn("hit", F.lit(1)), "orbit_grid", "left").withColumn("loc_out_umd", F.coalesce("hit", F.lit(0))).drop("hit")
 
 
+#: Windows that a plan may list.
+MOST_WINDOWS = 1000
+
+
 def window_join(df: DataFrame, windows: DataFrame, date_col: str = "date") -> DataFrame:
-    """A row per shot and window that holds its date; windows: (win, first_day, last_day), a short configured list, which the plan turns into an array literal."""
-    listed = windows.collect()
+    """A row per shot and window that holds its date; windows: (win, first_day, last_day), a configured list of MOST_WINDOWS at most, which the plan turns into an array literal."""
+    listed = windows.limit(MOST_WINDOWS + 1).collect()
+    if len(listed) > MOST_WINDOWS:
+        raise ValueError(f"more than {MOST_WINDOWS} windows")
     spans = F.array(*[F.when(F.col(date_col).between(F.lit(w["first_day"]), F.lit(w["last_day"])), F.lit(w["win"])) for w in listed])
     return df.withColumn("win", F.explode(F.filter(spans, lambda w: w.isNotNull())))
 
@@ -75,6 +109,16 @@ def neighbour_files(summaries: DataFrame, chunks: DataFrame, distance: float = 0
     )
 
 
+def with_neighbours(df: DataFrame, distance: float = 0.25) -> DataFrame:
+    """Shots with the id of every one-degree chunk that holds them or lies within `distance` degrees, of the chunks that hold a shot; a shot near an edge has several rows."""
+    if not 0 <= distance < 1:
+        raise ValueError("distance must be below one degree")
+    around = lambda c: F.explode(F.sequence(F.ceil(F.col(c) - 1 - distance).cast("int"), F.floor(F.col(c) + distance).cast("int")))
+    held = df.select(geo.chunk_id("lon_lm_a0", "lat_lm_a0").alias("chunk_id")).distinct()
+    spread = df.withColumn("cx", around("lon_lm_a0")).withColumn("cy", around("lat_lm_a0")).withColumn("chunk_id", geo.chunk_id("cx", "cy"))
+    return spread.drop("cx", "cy").join(held, "chunk_id", "left_semi")
+
+
 def already_done(wanted: DataFrame, manifest: DataFrame, on: str) -> DataFrame:
     return wanted.join(manifest, on, "left_anti")
 

@@ -16,17 +16,24 @@ def validity_masks(pixels: DataFrame, water: DataFrame, urban: tuple[int, int],
     return pixels.where(ok).join(wet, ["row", "col"], "left_semi")
 
 
-def terrain_slope(dem: DataFrame, size: float) -> DataFrame:
-    """Slope in degrees from the four neighbours of a gridded elevation; null at edges and gaps."""
-    along, down = Window.partitionBy("row").orderBy("col"), Window.partitionBy("col").orderBy("row")
+def terrain_slope(dem: DataFrame, size: float, tile: int = 256) -> DataFrame:
+    """Slope in degrees from the four neighbours of a gridded elevation; null at edges and gaps.
+
+    Pixels are dealt once, by square tiles with a rim of one pixel; both directions are
+    windows within a tile.
+    """
+    tiles = lambda c: F.explode(F.array_distinct(F.array(*[F.floor((F.col(c) + d) / tile) for d in (-1, 0, 1)])))
+    dealt = dem.select("row", "col", "elev").withColumn("tr", tiles("row")).withColumn("tc", tiles("col")).repartition("tr", "tc")
+    along, down = Window.partitionBy("tr", "tc", "row").orderBy("col"), Window.partitionBy("tr", "tc", "col").orderBy("row")
 
     def gradient(w, axis):
         before, after = F.lag("elev").over(w), F.lead("elev").over(w)
         close = (F.lag(axis).over(w) == F.col(axis) - 1) & (F.lead(axis).over(w) == F.col(axis) + 1)
         return F.when(close, (after - before) / F.lit(2.0 * size))
 
-    g = dem.withColumns({"gx": gradient(along, "col"), "gy": gradient(down, "row")})
-    return g.select("row", "col", F.degrees(F.atan(F.sqrt(F.col("gx") ** 2 + F.col("gy") ** 2))).alias("slope"))
+    g = dealt.withColumns({"gx": gradient(along, "col"), "gy": gradient(down, "row")})
+    own = (F.col("tr") == F.floor(F.col("row") / tile)) & (F.col("tc") == F.floor(F.col("col") / tile))
+    return g.where(own).select("row", "col", F.degrees(F.atan(F.sqrt(F.col("gx") ** 2 + F.col("gy") ** 2))).alias("slope"))
 
 
 def als_to_footprint(pixels: DataFrame, factor: int, p: float = 0.98) -> DataFrame:
@@ -47,11 +54,13 @@ def valid_percent(pixels: DataFrame, factor: int, least: float = 90.0) -> DataFr
     return pixels.groupBy(*keys).agg((F.avg("valid") * 100).alias("valid_perc")).where(F.col("valid_perc") >= least)
 
 
-def als_cell_stats(pixels: DataFrame, factor: int, value: str = "value") -> DataFrame:
+def als_cell_stats(pixels: DataFrame, factor: int, value: str = "value", slope: str | None = None) -> DataFrame:
+    """Mean, percentiles, spread of the pixels of a coarse cell; with `slope` also the mean, population deviation and 95th percentile of that column."""
     keys = [F.floor(F.col(c) / factor).alias(c) for c in ("row", "col")]
     p = F.percentile(value, F.array(*[F.lit(x) for x in (0.25, 0.5, 0.75, 0.95)]))
-    wide = pixels.groupBy(*keys).agg(F.avg(value).alias("mean"), p.alias("p"), F.stddev_pop(value).alias("sd"))
-    return wide.select("row", "col", "mean", F.col("p")[1].alias("med"), (F.col("p")[2] - F.col("p")[0]).alias("iqr"), F.col("p")[3].alias("p95"), "sd")
+    steep = [F.avg(slope).alias("slope_mean"), F.stddev_pop(slope).alias("slope_sd"), F.percentile(slope, F.lit(0.95)).alias("slope_p95")] if slope else []
+    wide = pixels.groupBy(*keys).agg(F.avg(value).alias("mean"), p.alias("p"), F.stddev_pop(value).alias("sd"), *steep)
+    return wide.select("row", "col", "mean", F.col("p")[0].alias("p25"), F.col("p")[1].alias("med"), F.col("p")[2].alias("p75"), (F.col("p")[2] - F.col("p")[0]).alias("iqr"), F.col("p")[3].alias("p95"), "sd", *[c for c in wide.columns if c.startswith("slope_")])
 
 
 def als_shannon(pixels: DataFrame, factor: int, low: float, high: float, steps: int, value: str = "value") -> DataFrame:
@@ -114,7 +123,11 @@ def union_regions(regions: dict[str, DataFrame]) -> DataFrame:
 
 
 def read_validation(spark, path: str) -> DataFrame:
-    """Validation tables (CSV with quoted polygons); metric, resolution and region come from the file names <x>_<metric>_<res>m_val_als_<p>p_<region>.csv."""
-    parts = F.split(F.element_at(F.split(F.col("_metadata.file_name"), "/"), -1), "[_.]")
-    df = spark.read.option("header", True).option("escape", '"').option("inferSchema", True).csv(path)
-    return df.select("*", parts[1].alias("metric"), F.regexp_replace(parts[2], "m$", "").cast("int").alias("res"), F.element_at(parts, -2).alias("site"))
+    """Validation tables (CSV with quoted polygons) under `path`, each a file or a folder of part files.
+
+    Metric, resolution and region come from the names <x>_<metric>_<res>m_val_als_<p>p_<region>.csv.
+    """
+    pattern = r"[^/_]*_([^/_]+)_(\d+)m_val_als_[^/_]+_([^/.]+)\.csv"
+    part = lambda i: F.regexp_extract(F.col("_metadata.file_path"), pattern, i)
+    df = spark.read.option("header", True).option("escape", '"').option("inferSchema", True).option("recursiveFileLookup", True).csv(path)
+    return df.select("*", part(1).alias("metric"), part(2).cast("int").alias("res"), part(3).alias("site"))

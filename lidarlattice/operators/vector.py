@@ -1,92 +1,257 @@
-"""Group statistics that columns cannot express: nearest-neighbour index, subsample standard error, many polygons.
+"""Group statistics that columns cannot express: nearest-neighbour index and subsample standard error.
 
-Each works on one cell at a time in numpy; a cell of any size costs near-linear time and
-bounded memory.
+Both work in numpy on groups of limited size. The groups of the subsample error are limited
+by the fine cells that deduplication leaves in a grid cell. The shots of a cell for the
+nearest-neighbour index have no such limit, so cells of many shots are cut into tiles.
 """
 
 from __future__ import annotations
 
 import hashlib
-from functools import cache
+from collections.abc import Callable
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lidarlattice.operators.quality import valid
+from lidarlattice.schema import MISSING
+
 #: Draws of the subsample error, draws for small cells, distinct sets that are used, share of a cell, least cell.
 DRAWS, DRAWS_SMALL, SETS, SHARE, LEAST = 150, 400, 100, 0.7, 10
+#: Places of a leaf of the search tree, places of a tile about, queries that are searched together.
+LEAF, TILE, QUERIES = 32, 50_000, 1 << 15
+
+
+class Places:
+    """Points split at medians, the longer side first, into leaves of equal size; lines and clusters make the tree no deeper."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        n = len(x)
+        self.depth = max(0, int(np.ceil(np.log2(max(1, n) / LEAF))))
+        order, edges = np.arange(n), np.array([0, n])
+        for _ in range(self.depth):
+            starts, sizes = edges[:-1], np.diff(edges)
+            px, py = x[order], y[order]
+            span = lambda p, at=starts: np.maximum.reduceat(p, at) - np.minimum.reduceat(p, at)
+            node = np.repeat(np.arange(len(starts)), sizes)
+            order = order[np.lexsort((np.where((span(px) >= span(py))[node], px, py), node))]
+            edges = np.r_[np.c_[starts, starts + sizes // 2].ravel(), n]
+        sizes = np.diff(edges)
+        self.order, self.x, self.y = order, x[order], y[order]
+        self.leaf = np.repeat(np.arange(len(sizes)), sizes)
+        self.boxes = [np.stack([f.reduceat(p, edges[:-1]) for p in (self.x, self.y) for f in (np.minimum, np.maximum)])]
+        for _ in range(self.depth):
+            pair = self.boxes[0].reshape(4, -1, 2)
+            self.boxes.insert(0, np.stack([pair[0].min(1), pair[1].max(1), pair[2].min(1), pair[3].max(1)]))
+        # leaves as rows of one width, filled up with points that are infinitely far
+        at = edges[:-1, None] + np.arange(int(sizes.max()))
+        self.at = np.where(at < edges[1:, None], at, -2)
+        self.lx, self.ly = (np.where(self.at >= 0, p[np.minimum(at, n - 1)], np.inf) for p in (self.x, self.y))
+
+    def nearest(self, qx: np.ndarray, qy: np.ndarray, best: np.ndarray, own: np.ndarray) -> np.ndarray:
+        """`best`, lessened to the distance of each query to its nearest point; own[i] is the place in the tree of query i, which does not count (-1: none).
+
+        The search goes down only to boxes that are nearer than the best distance known.
+        """
+        best = best.copy()
+
+        def look(q, leaves):
+            for a in range(0, len(q), QUERIES):
+                i, f = q[a : a + QUERIES], leaves[a : a + QUERIES]
+                d = np.hypot(self.lx[f] - qx[i, None], self.ly[f] - qy[i, None])
+                d[self.at[f] == own[i, None]] = np.inf
+                np.minimum.at(best, i, d.min(axis=1))
+
+        home = np.where(own >= 0, self.leaf[own], -1)
+        inside = np.flatnonzero(home >= 0)
+        look(inside, home[inside])
+        for a in range(0, len(qx), QUERIES):
+            q = np.arange(a, min(a + QUERIES, len(qx)))
+            node = np.zeros(len(q), np.int64)
+            for level in range(1, self.depth + 1):
+                q, node = np.repeat(q, 2), np.repeat(2 * node, 2)
+                node[1::2] += 1
+                x0, x1, y0, y1 = self.boxes[level][:, node]
+                gap = np.hypot(np.maximum(0, np.maximum(x0 - qx[q], qx[q] - x1)), np.maximum(0, np.maximum(y0 - qy[q], qy[q] - y1)))
+                near = gap < best[q]
+                q, node = q[near], node[near]
+            new = node != home[q]
+            look(q[new], node[new])
+        return best
+
+
+def by_runs(df: DataFrame, keys: list[str], order: list[str], run: Callable[[pd.DataFrame, list[tuple[int, int]]], pd.DataFrame], schema: str, dealt: bool = False) -> DataFrame:
+    """Rows of equal keys handed to `run` many groups at a time: a frame in order, and the (start, end) of each group in it.
+
+    Rows are dealt by the keys and sorted by them within partitions, so a task streams
+    through its groups and holds a batch and one group at most. `dealt`: the rows of a group
+    are in one partition already.
+    """
+    rows = (df if dealt else df.repartition(*keys)).sortWithinPartitions(*keys, *order)
+
+    def stream(batches):
+        held: list[pd.DataFrame] = []  # the group that may go on in the next batch
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            changes = np.flatnonzero((pdf[keys].iloc[1:].to_numpy() != pdf[keys].iloc[:-1].to_numpy()).any(axis=1)) + 1
+            if held and (pdf[keys].iloc[0].to_numpy() != held[-1][keys].iloc[0].to_numpy()).any():
+                yield from whole(held)
+                held = []
+            if changes.size:
+                yield from whole([*held, pdf.iloc[: changes[-1]]])
+                held = [pdf.iloc[changes[-1] :]]
+            else:
+                held.append(pdf)
+        if held:
+            yield from whole(held)
+
+    def whole(parts):
+        pdf = pd.concat(parts, ignore_index=True)
+        values = pdf[keys].to_numpy()
+        edges = [0, *(np.flatnonzero((values[1:] != values[:-1]).any(axis=1)) + 1).tolist(), len(pdf)]
+        out = run(pdf, list(zip(edges, edges[1:], strict=False)))
+        if len(out):
+            yield out
+
+    return rows.mapInPandas(stream, schema)
 
 
 def nearest_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Distance of each point to the nearest other, by buckets of about one point, widened ring by ring."""
-    n = len(x)
-    if n < 2:
-        return np.full(n, np.nan)
-    side = max(1, int(np.sqrt(n)))
-    span = max(np.ptp(x), np.ptp(y), 1e-9)
-    step = span / side
-    bx, by = np.minimum(((x - x.min()) / step).astype(np.int64), side - 1), np.minimum(((y - y.min()) / step).astype(np.int64), side - 1)
-    order = np.argsort(bx * side + by, kind="stable")
-    key = (bx * side + by)[order]
-    first, last = np.searchsorted(key, np.arange(side * side), "left"), np.searchsorted(key, np.arange(side * side), "right")
-    best = np.full(n, np.inf)
-    todo = np.arange(n)
-    for ring in range(side + 1):
-        for dx in range(-ring, ring + 1):
-            for dy in range(-ring, ring + 1) if abs(dx) == ring else {-ring, ring}:
-                cx, cy = bx[todo] + dx, by[todo] + dy
-                inside = (cx >= 0) & (cx < side) & (cy >= 0) & (cy < side)
-                who, cell = todo[inside], (cx * side + cy)[inside]
-                size = last[cell] - first[cell]
-                for k in range(int(size.max(initial=0))):
-                    some = size > k
-                    a, b = who[some], order[first[cell[some]] + k]
-                    d = np.hypot(x[a] - x[b], y[a] - y[b])
-                    np.minimum.at(best, a[a != b], d[a != b])
-        todo = todo[best[todo] > ring * step]
-        if not todo.size:
-            break
-    return best
-
-
-def nearest_neighbour_index(df: DataFrame, keys: list[str], x: str, y: str, area: float) -> DataFrame:
-    """Per cell: mean nearest distance over that expected of n random points in `area`; cells of one point give no row."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        n = len(pdf)
-        if n < 2:
-            return pd.DataFrame(columns=[*keys, "shots_nni"])
-        d = nearest_distances(pdf[x].to_numpy(float), pdf[y].to_numpy(float))
-        return pd.DataFrame([[*pdf[keys].iloc[0], float(d.mean() / (0.5 * np.sqrt(area / n)))]], columns=[*keys, "shots_nni"])
-
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return df.select(*keys, x, y).groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", shots_nni double")
-
-
-@cache
-def subsample(n: int) -> np.ndarray:
-    """Index sets for a cell of n: draw b takes the `ss` indices with the least md5 of 'b:i'; the first SETS distinct sets count."""
-    ss = int(np.rint(SHARE * n))
-    sets: dict[tuple, None] = {}
+    """Distance of each point to the nearest other one; NaN for a single point."""
+    if len(x) < 2:
+        return np.full(len(x), np.nan)
+    if len(x) <= 4 * LEAF:
+        d = np.hypot(x[:, None] - x, y[:, None] - y)
+        np.fill_diagonal(d, np.inf)
+        return d.min(axis=1)
+    tree = Places(x, y)
+    out = np.empty(len(x))
+    out[tree.order] = tree.nearest(tree.x, tree.y, np.full(len(x), np.inf), np.arange(len(x)))
+    return out
+
+
+def nearest_neighbour_index(df: DataFrame, keys: list[str], x: str, y: str, area: float, tile: int = TILE) -> DataFrame:
+    """Per cell: mean nearest distance over that expected of n random points in `area`; cells of one point give no row.
+
+    Shots at one place are counted first: where there are two or more, their distance is 0.
+    A cell of many places is cut into square tiles of about `tile` of them (more only where
+    places cluster). A place finds its nearest one within its tile, and is then sent to
+    those other tiles of its cell that are nearer than that: few places beside the edges.
+    Rows without coordinates take no part.
+    """
+    named = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
+    at = [*keys, "_tx", "_ty"]
+    places = df.select(*keys, F.col(x).cast("double").alias("_x"), F.col(y).cast("double").alias("_y")).where("_x is not null and _y is not null").groupBy(*keys, "_x", "_y").agg(F.count("*").alias("_w"))
+    least, most = ({a: f(f"_{a}") for a in "xy"} for f in (F.min, F.max))
+    cells = places.groupBy(*keys).agg(F.ceil(F.sqrt(F.count("*") / F.lit(float(tile)))).cast("int").alias("_cut"), least["x"].alias("_x0"), least["y"].alias("_y0"), F.greatest(*[most[a] - least[a] for a in "xy"]).alias("_span"))
+    tile_of = lambda a, shift=0.0: F.greatest(F.lit(0), F.least(F.col("_cut") - 1, F.floor((F.col(f"_{a}") + shift - F.col(f"_{a}0")) * F.col("_cut") / (F.col("_span") + 1e-9)).cast("int")))
+    dealt = places.join(cells, keys).withColumns({"_tx": tile_of("x"), "_ty": tile_of("y")})
+
+    def within(pdf: pd.DataFrame, groups) -> pd.DataFrame:
+        px, py = pdf["_x"].to_numpy(), pdf["_y"].to_numpy()
+        d = np.concatenate([nearest_distances(px[a:b], py[a:b]) for a, b in groups])
+        return pdf.assign(_d=np.where(pdf["_w"].to_numpy() > 1, 0.0, np.where(np.isnan(d), np.inf, d)))
+
+    columns = f"{named}, _x double, _y double, _w long, _cut int, _x0 double, _y0 double, _span double, _tx int, _ty int"
+    dealt = dealt.select(*keys, "_x", "_y", "_w", "_cut", "_x0", "_y0", "_span", "_tx", "_ty")
+    large = F.col("_cut") > 1
+    small = by_runs(dealt.where(~large), at, [], within, f"{columns}, _d double")
+    first = by_runs(dealt.where(large), at, [], within, f"{columns}, _d double")
+
+    def visits(found: DataFrame) -> DataFrame:
+        """Places as queries to the other tiles within their distance."""
+        reach = F.least("_d", F.col("_span") + 1)
+        spread = found.withColumns({"_ox": F.col("_tx"), "_oy": F.col("_ty"), "_tx": F.explode(F.sequence(tile_of("x", -reach), tile_of("x", reach)))}).withColumn("_ty", F.explode(F.sequence(tile_of("y", -reach), tile_of("y", reach))))
+        return spread.where("_tx <> _ox or _ty <> _oy").select(*at, "_x", "_y", "_d")
+
+    def across(there: pd.DataFrame, asking: pd.DataFrame) -> pd.DataFrame:
+        if asking.empty or there.empty:
+            return pd.DataFrame(columns=[*keys, "_x", "_y", "_e"])
+        tree = Places(there["_x"].to_numpy(), there["_y"].to_numpy())
+        e = tree.nearest(asking["_x"].to_numpy(), asking["_y"].to_numpy(), asking["_d"].to_numpy(), np.full(len(asking), -1))
+        return asking[[*keys, "_x", "_y"]].assign(_e=e)
+
+    split = dealt.where(large).select(*at, "_x", "_y").groupBy(*at).cogroup(visits(first).groupBy(*at)).applyInPandas(across, f"{named}, _x double, _y double, _e double")
+    asked = first.select(*keys, "_x", "_y", "_w", "_d").unionByName(split.select(*keys, "_x", "_y", F.lit(0).cast("long").alias("_w"), F.col("_e").alias("_d")))
+    best = asked.groupBy(*keys, "_x", "_y").agg(F.sum("_w").alias("_w"), F.min("_d").alias("_d"))
+    whole = small.select(*keys, "_w", "_d").unionByName(best.select(*keys, "_w", "_d")).groupBy(*keys).agg(F.sum("_w").alias("_n"), F.sum(F.col("_w") * F.col("_d")).alias("_s"))
+    return whole.where("_n > 1").select(*keys, (F.col("_s") / F.col("_n") / (0.5 * F.sqrt(F.lit(float(area)) / F.col("_n")))).alias("shots_nni"))
+
+
+#: Columns of the table of draws that a worker keeps; draws of larger cells are made one at a time.
+KEPT = 1 << 15
+_KEYS = np.empty((DRAWS, 0), np.uint64)
+
+
+def _keys(b: int, start: int, stop: int) -> np.ndarray:
+    """The first 64 bits of md5('b:i') for i from start + 1 to stop."""
+    md5 = hashlib.md5
+    return np.frombuffer(b"".join([md5(f"{b}:{i}".encode()).digest()[:8] for i in range(start + 1, stop + 1)]), ">u8").astype(np.uint64)
+
+
+def _draw(b: int, n: int) -> np.ndarray:
+    """Keys of the draw b for indices up to n: they do not depend on the cell's size, so a table of them serves all cells."""
+    global _KEYS
+    if b > DRAWS or n > KEPT:
+        return _keys(b, 0, n)
+    if _KEYS.shape[1] < n:
+        wide = min(KEPT, max(n, 2 * _KEYS.shape[1], 256))
+        _KEYS = np.concatenate([_KEYS, np.stack([_keys(k, _KEYS.shape[1], wide) for k in range(1, DRAWS + 1)])], axis=1)
+    return _KEYS[b - 1, :n]
+
+
+def subsample(n: int):
+    """Yield index sets for a cell of n: draw b takes the share of indices with the least md5 of 'b:i'; the first SETS distinct sets count."""
+    size, seen = int(np.rint(SHARE * n)), set()
     for b in range(1, (DRAWS_SMALL if n <= 12 else DRAWS) + 1):
-        keyed = sorted((hashlib.md5(f"{b}:{i}".encode()).hexdigest(), i) for i in range(1, n + 1))
-        sets.setdefault(tuple(sorted(i - 1 for _, i in keyed[:ss])))
-        if len(sets) == SETS:
-            break
-    return np.array(list(sets))
+        chosen = np.sort(np.argpartition(_draw(b, n), size - 1)[:size]) if size < n else np.arange(n)
+        name = hashlib.md5(chosen.tobytes()).digest()
+        if name not in seen:
+            seen.add(name)
+            yield chosen
+            if len(seen) == SETS:
+                return
+
+
+#: Values of a cell up to which its sets are kept, a few hundred sizes at a time.
+FEW = 2000
+
+
+@lru_cache(maxsize=256)
+def _sets(n: int) -> np.ndarray:
+    return np.array(list(subsample(n)), np.int16)
+
+
+def _error(v: np.ndarray) -> float | None:
+    n = len(v)
+    if n < LEAST:
+        return None
+    means = v[_sets(n)].mean(axis=1) if n <= FEW else np.array([v[s].mean() for s in subsample(n)])
+    return float(np.std(means, ddof=1)) if len(means) > 1 else None
+
+
+def subsample_errors(df: DataFrame, keys: list[str], metrics: list[str], order: list[str], dealt: bool = False) -> DataFrame:
+    """Per cell and metric: standard deviation of the means of subsamples of its valid values, in order; fewer than LEAST of them give null.
+
+    `dealt`: the rows of a cell are in one partition already.
+    """
+
+    def run(pdf: pd.DataFrame, groups) -> pd.DataFrame:
+        cells, rows = pdf[keys].to_numpy(object), []
+        for m in metrics:
+            values = pdf[m].to_numpy(float)
+            ok = np.isfinite(values) & (values > MISSING)
+            rows += [[*cells[a], m, _error(values[a:b][ok[a:b]])] for a, b in groups if ok[a:b].any()]
+        return pd.DataFrame(rows, columns=[*keys, "metric", "meanbse"])
+
+    named = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
+    return by_runs(df.select(*dict.fromkeys([*keys, *order, *metrics])), keys, order, run, f"{named}, metric string, meanbse double", dealt)
 
 
 def mean_subsample_error(df: DataFrame, keys: list[str], metric: str, order: list[str]) -> DataFrame:
-    """Per cell: standard deviation of the means of subsamples; cells of fewer than LEAST values give null."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        v = pdf.sort_values(order)[metric].to_numpy(float)
-        out = None
-        if len(v) >= LEAST:
-            means = v[subsample(len(v))].mean(axis=1)
-            out = float(np.std(means, ddof=1)) if len(means) > 1 else None
-        return pd.DataFrame([[*pdf[keys].iloc[0], out]], columns=[*keys, "meanbse"])
-
-    types = {f.name: f.dataType.simpleString() for f in df.schema.fields}
-    return df.where(F.col(metric).isNotNull()).select(*dict.fromkeys([*keys, *order, metric])).groupBy(*keys).applyInPandas(run, ", ".join(f"{k} {types[k]}" for k in keys) + ", meanbse double")
+    """The same for one metric: a row for each cell that has a valid value."""
+    return subsample_errors(df.where(valid(metric)), keys, [metric], order).drop("metric")

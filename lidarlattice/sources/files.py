@@ -2,13 +2,30 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lidarlattice.functions.metrics import nodata_recode
 from lidarlattice.functions.names import date_label, metric_label
-from lidarlattice.schema import NODATA_255, NODATA_32767
+from lidarlattice.schema import EXPORT, NODATA_255, NODATA_32767
+
+
+def shared_folder(spark: SparkSession) -> str:
+    """A new folder for written tables, under the folder that all executors share (`spark.checkpoint.dir`).
+
+    Where the session names none, a folder of this machine serves a local session, as in
+    tests; on a cluster that is an error.
+    """
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if base is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        base = tempfile.mkdtemp(prefix="spark-tables-")
+    return f"{base.rstrip('/')}/tables-{uuid.uuid4().hex}"
 
 
 def read_shots(spark: SparkSession, source: DataFrame | str, schema: T.StructType | None = None) -> DataFrame:
@@ -33,11 +50,17 @@ def write_chunks(df: DataFrame, path: str, files_per_chunk: int = 1) -> None:
     df.repartition("chunk_id", spread).write.mode("overwrite").partitionBy("chunk_id").parquet(path)
 
 
-def export_shots(df: DataFrame, order: list[str], path: str, codec: str = "gzip") -> None:
-    """High-quality shots in a fixed column order with missing codes recoded, per chunk."""
+def export_shots(df: DataFrame, order: list[str] | None, path: str, codec: str = "gzip") -> None:
+    """High-quality shots of each chunk in a fixed column order (EXPORT by default) with missing codes recoded, as CSV.
+
+    Shots outside every chunk are left out, and each shot is in its own chunk only. The
+    orbit-grid id is written as ease72_og; columns that the table lacks are written empty.
+    """
     codes = dict.fromkeys(NODATA_255, 255) | dict.fromkeys(NODATA_32767, 32767)
-    kept = nodata_recode(df.where("l2_hqflag = 1"), codes).select(*dict.fromkeys([*order, "chunk_id"]))
-    kept.repartition("chunk_id").write.mode("overwrite").option("compression", codec).partitionBy("chunk_id").csv(path, header=True)
+    kept = nodata_recode(df.where("l2_hqflag = 1 and chunk_id is not null"), codes)
+    source = lambda c: "orbit_grid" if c == "ease72_og" and c not in kept.columns else c
+    columns = [F.col(source(c)).alias(c) if source(c) in kept.columns else F.lit(None).cast("string").alias(c) for c in dict.fromkeys([*(order or EXPORT), "chunk_id"])]
+    kept.select(*columns).repartition("chunk_id").write.mode("overwrite").option("compression", codec).partitionBy("chunk_id").csv(path, header=True)
 
 
 def product_name(metric, family, first, last, res):
@@ -49,6 +72,17 @@ def write_grid(cells: DataFrame, path: str) -> None:
     cells.repartition("family", "metric", "win", "res").write.mode("overwrite").partitionBy("family", "metric", "win", "res").parquet(path)
 
 
+def write_products(cells: DataFrame, windows: DataFrame, path: str) -> None:
+    """Cells (family, metric, win, res, ...) under one folder for each product, named by product_name(); windows: (win, first_day, last_day)."""
+    named = cells.join(F.broadcast(windows), "win").withColumn("product", product_name("metric", "family", "first_day", "last_day", "res"))  # a row per window
+    named.drop("first_day", "last_day").repartition("product").write.mode("overwrite").partitionBy("product").parquet(path)
+
+
+def write_summaries(summaries: DataFrame, path: str) -> None:
+    """Chunk summaries as CSV files with a header, by chunk."""
+    summaries.repartition("chunk_id").write.mode("overwrite").csv(path, header=True)
+
+
 def read_summaries(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
     """All per-chunk summary files of a folder as one table."""
     return spark.read.csv(folder, header=True, schema=schema)

@@ -1,6 +1,8 @@
 """Hand-made rows, golden numbers and properties of the shot operators."""
 
+import hashlib
 import math
+import time
 
 import numpy as np
 import pytest
@@ -62,6 +64,23 @@ def test_filter_l2a(spark, change, kept):
     assert quality.filter_l2a(table(spark, shot(**change))).count() == kept
 
 
+@pytest.mark.parametrize("options,change,kept", [
+    ({"leaf_on_only": True}, {"leafoff_flag": 255}, 1), ({"leaf_on_only": True}, {"leafoff_flag": 1}, 0), ({"leaf_on_only": True}, {"leafoff_flag": None}, 0), ({}, {"leafoff_flag": 1}, 1),
+    ({"night_coverage_only": True}, {"beam": "BEAM0000"}, 1), ({"night_coverage_only": True}, {"beam": "BEAM0000", "sol_elev": 5.0}, 0), ({"night_coverage_only": True}, {"beam": "BEAM0101", "sol_elev": 5.0}, 1), ({"night_coverage_only": True}, {"beam": "BEAM9999"}, 0),
+    ({}, {"pft": None, "region": 4}, 0), ({}, {"pft": None, "region": 1}, 1), ({"apply_deg_flag": False}, {"deg_flag": 4}, 1), ({"max_dem_diff": None}, {"elev_dem_tdx": 500.0}, 1), ({}, {"elev_dem_tdx": -41.0}, 1), ({}, {"elev_dem_tdx": -50.0}, 0), ({"max_waterp": None}, {"ls_waterp": 50}, 1), ({"max_urban": 10}, {"urb_prop": 20}, 0),
+])
+def test_filter_options(spark, options, change, kept):
+    assert quality.filter_l2a(table(spark, shot(**change)), **options).count() == kept
+    if "pft" not in change:
+        assert quality.filter_l2b(table(spark, shot(**change)), **options).count() == kept
+
+
+def test_filters_of_the_other_products(spark):
+    rows = table(spark, shot(), shot(l2b_algrun_flag=0), shot(l2b_qflag_a0=0), shot(l2a_qflag_a0=0), shot(l4a_qflag_a0=0), shot(l4a_algrun_flag=0), shot(sens_a2=0.94), shot(deg_flag=4, leafoff_flag=1, ls_waterp=20, urb_prop=60))
+    assert quality.filter_l2b(rows).count() == 4 and quality.filter_l2b(rows, apply_algrun=False, apply_l2b_qflag=False, apply_l2a_qflag=False, apply_deg_flag=False, max_waterp=None, max_urban=None).count() == 8
+    assert quality.filter_l4a(rows).count() == 6 and quality.filter_l4a(rows, fix_sens=True).count() == 5 and quality.filter_l4a(rows, apply_algrun=True, apply_deg_flag=True, max_waterp=10, max_urban=50, leaf_on_only=True).count() == 4
+
+
 @pytest.mark.parametrize("change,l2,l4", [({}, 1, 1), ({"deg_flag": 4}, 0, 0), ({"deg_flag": None}, 0, 0), ({"pai_a0": float("nan")}, None, None), ({"pai_a0": -1.0}, 0, 0), ({"cover_a0": None}, None, None), ({"cover_a0": None, "l2b_qflag_a0": 0}, 0, 0), ({"leafoff_flag": 1}, 0, 0), ({"leafoff_flag": None}, 1, 1), ({"agbd_a0": -9999.0}, 1, 0), ({"agbd_a0": float("nan")}, 1, None), ({"loc_out_umd": 1}, 0, 0)])
 def test_flags(spark, change, l2, l4):
     r = quality.hq_flags(table(spark, shot(**change))).first()
@@ -123,6 +142,60 @@ def test_nearest_distances():
     assert np.allclose(vector.nearest_distances(np.zeros(4), np.zeros(4)), 0)
 
 
+def test_nearest_distances_on_tracks_and_clusters():
+    rng = np.random.default_rng(3)
+    for n in (130, 1000, 3000):
+        t = rng.uniform(0, 1000, n)
+        for x, y in ((t, 0.3 * t), (np.round(t, -2), np.round(rng.uniform(0, 1000, n), -2)), (t, rng.choice([0.0, 60.0, 120.0], n)), (np.exp(t / 60), np.exp(t / 70))):
+            d = np.hypot(x[:, None] - x, y[:, None] - y)
+            np.fill_diagonal(d, np.inf)
+            assert np.allclose(vector.nearest_distances(x, y), d.min(axis=1))
+    start = time.process_time()
+    vector.nearest_distances(t := rng.uniform(0, 1000, 50_000), 0.3 * t)
+    assert time.process_time() - start < 5  # a line is no worse than a square
+
+
+def test_nearest_neighbour_index_of_cells_in_tiles(spark):
+    rng = np.random.default_rng(4)
+    rows = [("a", float(x), float(y)) for x, y in rng.uniform(0, 1000, (300, 2))] + [("a", 5.0, 5.0)] * 3 + [("a", 900.0 + i, 10.0) for i in range(40)] + [("b", 1.0, 1.0), ("b", 4.0, 5.0), ("c", 1.0, 2.0), ("d", 7.0, 7.0), ("d", 7.0, 7.0), ("e", None, 1.0)]
+    df = spark.createDataFrame(rows, "cell string, px double, py double")
+    want = {}
+    for cell in "abd":
+        p = np.array([(x, y) for c, x, y in rows if c == cell])
+        d = np.hypot(p[:, None, 0] - p[None, :, 0], p[:, None, 1] - p[None, :, 1])
+        np.fill_diagonal(d, np.inf)
+        want[cell] = d.min(axis=1).mean() / (0.5 * np.sqrt(1e6 / len(p)))
+    for tile in (50_000, 60, 15, 2):
+        got = {r["cell"]: r["shots_nni"] for r in vector.nearest_neighbour_index(df, ["cell"], "px", "py", 1e6, tile).collect()}
+        assert got.keys() == want.keys() and all(got[c] == pytest.approx(want[c]) for c in want)
+    assert vector.nearest_neighbour_index(df.limit(0), ["cell"], "px", "py", 1e6).collect() == []
+
+
+def test_subsamples_and_missing_codes(spark):
+    def slow(n):
+        sets = {}
+        for b in range(1, (400 if n <= 12 else 150) + 1):
+            keyed = sorted((hashlib.md5(f"{b}:{i}".encode()).hexdigest(), i) for i in range(1, n + 1))
+            sets.setdefault(tuple(sorted(i - 1 for _, i in keyed[: int(np.rint(0.7 * n))])))
+            if len(sets) == 100:
+                break
+        return [list(s) for s in sets]
+
+    for n in (10, 12, 13, 200, 5):
+        assert [s.tolist() for s in vector.subsample(n)] == slow(n)
+    values = [float(i) for i in range(11)]
+    rows = [("a", i, v) for i, v in enumerate([*values, -9999.0, float("nan"), float("inf"), None])] + [("b", i, float(i)) for i in range(9)] + [("c", 1, -9999.0)]
+    got = {r["cell"]: r["meanbse"] for r in vector.mean_subsample_error(spark.createDataFrame(rows, "cell string, i int, m double"), ["cell"], "m", ["i"]).collect()}
+    assert got.keys() == {"a", "b"} and got["b"] is None and got["a"] == pytest.approx(np.std([np.mean(np.array(values)[s]) for s in slow(11)], ddof=1))
+
+
+def test_polygons_with_a_shared_edge(spark):
+    squares = spark.createDataFrame([(1, [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)]), (2, [(2.0, 0.0), (4.0, 0.0), (4.0, 2.0), (2.0, 2.0)]), (3, [(0.0, 0.0), (4.0, 0.0), (2.0, 1.0)])], "polygon_id int, vertices array<struct<x: double, y: double>>")
+    points = spark.createDataFrame([("p", 1.0, 1.5), ("q", 2.0, 1.5), ("r", 2.0, 0.5), ("s", 9.0, 1.0), ("t", None, 1.0)], "shot_num string, lon_lm_a0 double, lat_lm_a0 double")
+    assert sorted((r["shot_num"], r["polygon_id"]) for r in joins.polygon_tag(points, squares).collect()) == [("p", 1), ("q", 2), ("r", 2), ("r", 3)]
+    assert sorted(r["shot_num"] for r in joins.clip_polygons(points, squares).collect()) == ["p", "q", "r"]
+
+
 def test_mosaics(spark):
     tiles = spark.createDataFrame([(1, 1, 1, 5.0), (1, 1, 2, None), (1, 1, 3, float("nan")), (2, 2, 1, 7.0), (2, 2, 2, 8.0), (3, 3, 1, None)], "row int, col int, p int, v double")
     assert sorted((r["row"], r["v"]) for r in chunks.union_tiles(tiles, ["row", "col"], "v", "p").collect()) == [(1, 5.0), (2, 8.0), (3, -9999.0)]
