@@ -1,8 +1,8 @@
-"""Derived structure metrics of a shot, in plain sums over the profile bins.
+"""Derived structure metrics of a shot, from arrays of its profile bins.
 
-Every value that several metrics need (sums, counts and the entropy of the profile) is one
-column of a first projection, so that it is computed once a row and the generated code of
-each step stays small.
+Every value that several metrics need (sums and the entropy of the profile) is one column
+of a first projection, so that no function over an array stands within another, and each
+is evaluated once a row.
 """
 
 from __future__ import annotations
@@ -20,23 +20,24 @@ def nan_to_null(c) -> Column:
     return F.nanvl(col(c), F.lit(None).cast("double"))
 
 
-def total(terms) -> Column:
-    return reduce(lambda a, b: a + b, terms)
+def bins() -> Column:
+    return F.array(*PAVD)
 
 
 def profile_sums() -> dict[str, Column]:
     """What the metrics share, under names with a leading underscore.
 
-    _all sums every bin (null if one is missing). The others look at the filled bins only:
-    their sum, the sum of v ln v, their number, and the index of the highest one.
+    _all sums every bin (null if one is missing). _sum, _vlogv and _top look at the filled
+    bins only: their sum, the sum of v ln v, and the index of the highest one. _max is the
+    fullest bin's value: where it is the sum, one bin is filled.
     """
-    filled = [(i, F.col(c), F.col(c) > 0) for i, c in enumerate(PAVD, 1)]
+    over = lambda f: F.aggregate(bins(), F.lit(0.0), lambda a, v: a + F.when(v > 0, f(v)).otherwise(F.lit(0.0)))
     return {
-        "_all": total([v for _, v, _ in filled]),
-        "_sum": total([F.when(some, v).otherwise(F.lit(0.0)) for _, v, some in filled]),
-        "_vlogv": total([F.when(some, v * F.ln(v)).otherwise(F.lit(0.0)) for _, v, some in filled]),
-        "_filled": total([F.when(some, 1).otherwise(0) for *_, some in filled]),
-        "_top": F.coalesce(*[F.when(some, i) for i, _, some in reversed(filled)], F.lit(0)),
+        "_all": reduce(lambda a, b: a + b, map(F.col, PAVD)),
+        "_sum": over(lambda v: v),
+        "_vlogv": over(lambda v: v * F.ln(v)),
+        "_top": F.array_max(F.transform(bins(), lambda v, i: F.when(v > 0, i + 1).otherwise(0))),
+        "_max": F.array_max(bins()),
     }
 
 
@@ -47,8 +48,7 @@ def pavd_0_5_frac() -> Column:
 
 def pavd_max_h() -> Column:
     """Upper height of the first fullest bin."""
-    bins = F.array(*PAVD)
-    return F.array_position(bins, F.greatest(*PAVD)).cast("double") * 5
+    return F.array_position(bins(), F.col("_max")).cast("double") * 5
 
 
 def rhvdr() -> dict[str, Column]:
@@ -70,29 +70,32 @@ def _entropy() -> Column:
     return F.ln("_sum") - F.col("_vlogv") / F.col("_sum")
 
 
+def _profile_metric(value: Column, none_but_first: Column) -> Column:
+    """`value`; 0 where `none_but_first`, -9999 for low canopies and empty profiles."""
+    return F.when(~(F.col("rh_100_a0") > 5) | (F.col("_sum") == 0), F.lit(MISSING)).when(none_but_first, F.lit(0.0)).otherwise(value)
+
+
 def fhd_pavd_5m() -> Column:
-    return F.when(~(F.col("rh_100_a0") > 5) | (F.col("_filled") == 0), F.lit(MISSING)).when(F.col("_filled") == 1, F.lit(0.0)).otherwise(_entropy())
+    return _profile_metric(_entropy(), F.col("_sum") == F.col("_max"))
 
 
 def even_pavd_5m() -> Column:
     """Shannon over ln of the index of the highest filled bin."""
-    top = F.col("_top")
-    return F.when(~(F.col("rh_100_a0") > 5) | (top == 0), F.lit(MISSING)).when(top == 1, F.lit(0.0)).otherwise(F.when(F.col("_filled") == 1, F.lit(0.0)).otherwise(_entropy()) / F.ln(top.cast("double")))
+    return _profile_metric(F.when(F.col("_sum") == F.col("_max"), F.lit(0.0)).otherwise(_entropy() / F.ln(F.col("_top").cast("double"))), F.col("_top") == 1)
 
 
-def pavd_halves() -> dict[str, Column]:
-    """Shares of the profile below and above half the canopy height: the lowest k bins, k a tenth of the height in metres, rounded, 1 for low canopies."""
-    half = F.when(F.rint(F.col("rh_100_a0") / 2) > 5, F.rint(F.col("rh_100_a0") / 10)).otherwise(F.lit(1.0))
-    low = total([F.col(PAVD[0]), *[F.when(half > i, F.col(c)).otherwise(F.lit(0.0)) for i, c in enumerate(PAVD) if i]])
-    tall = F.col("rh_100_a0") > 5
-    return {"pavd_bot_frac": F.when(tall, F.try_divide(low, F.col("_all"))).otherwise(F.lit(MISSING))}
+def pavd_bot_frac() -> Column:
+    """Share of the profile below half the canopy height: its lowest k bins, k a tenth of the height in metres, rounded, 1 for low canopies."""
+    k = F.when(F.rint(F.col("rh_100_a0") / 2) > 5, F.rint(F.col("rh_100_a0") / 10)).otherwise(F.lit(1.0)).cast("int")
+    low = F.aggregate(F.slice(bins(), F.lit(1), F.greatest(k, F.lit(1))), F.lit(0.0), lambda a, v: a + v)
+    return F.when(F.col("rh_100_a0") > 5, F.try_divide(low, F.col("_all"))).otherwise(F.lit(MISSING))
 
 
 def with_metrics(df):
     """All derived metrics."""
     kept = df.columns
     df = df.withColumns(profile_sums())
-    df = df.withColumns({"pavd_0_5_frac": pavd_0_5_frac(), "pavd_max_h": pavd_max_h(), **rhvdr(), "even_pai_1m_a0": even_pai_1m(), "fhd_pavd_5m_a0": fhd_pavd_5m(), "even_pavd_5m_a0": even_pavd_5m(), **pavd_halves()})
+    df = df.withColumns({"pavd_0_5_frac": pavd_0_5_frac(), "pavd_max_h": pavd_max_h(), **rhvdr(), "even_pai_1m_a0": even_pai_1m(), "fhd_pavd_5m_a0": fhd_pavd_5m(), "even_pavd_5m_a0": even_pavd_5m(), "pavd_bot_frac": pavd_bot_frac()})
     df = df.withColumn("pavd_top_frac", F.when(F.col("rh_100_a0") > 5, 1 - F.col("pavd_bot_frac")).otherwise(F.lit(MISSING)))
     return df.drop(*[c for c in df.columns if c.startswith("_") and c not in kept])
 
