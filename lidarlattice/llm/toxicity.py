@@ -1,18 +1,22 @@
 """Toxicity scores from a subsequence string-kernel SVM with Nyström landmarks.
 
 The kernel of a word and a landmark counts the three-letter subsequences they share, each
-damped by DECAY for every letter it skips (GAP at most), and is scaled by the landmark's own kernel: a
-landmark that is contained whole gives 1, inserted characters and gaps lower it smoothly.
-A sentence's feature for a landmark is the greatest kernel of its words, so letters that are
-set apart ("i d i o t", "i-d-i-o-t") are joined before. Landmarks are mined from labelled
-texts: words over-represented in toxic ones are covered by shared substrings. The features
-are whitened by the kernel matrix of the landmarks (Nyström), a linear SVM is trained on
-sentences, and a text's score is the calibrated margin of its worst sentence. Every third
-toxic text teaches a second time with a character inserted into its telling words.
-
-Because a feature is a weighted count of letter triples, all landmarks of a word are
+damped by DECAY for every letter it skips (GAP at most), is scaled by the landmark's own
+kernel and counted above FLOOR only: a landmark that is contained whole gives 1, inserted
+characters and gaps lower it smoothly. A sentence's kernel with a landmark is the sum over
+its different words (MOST at most, so that one long sentence is no worse than two); letters
+that are set apart ("i d i o t", "i-d-i-o-t") are joined before. Landmarks are mined from
+labelled texts: words over-represented in toxic ones are covered by shared substrings, and
+whole words of clean texts that hold such a substring are landmarks too, so that an innocent
+word and an insult made from it can be told apart. The kernels of a sentence with the
+landmarks are whitened by the same kernel among the landmarks (Nyström), a linear SVM is
+trained on sentences, and a text's score is the calibrated margin of its two worst ones.
+Every third toxic text teaches a second time with a character inserted into its telling
+words.
+
+Because a kernel is a weighted count of letter triples, all landmarks of a word are
 evaluated together by adding rows of one table. Words seen lately are kept; most have no
-feature above the floor. Scoring is one narrow Arrow map over whole texts.
+kernel above the floor. Scoring is one narrow Arrow map over whole texts.
 """
 
 from __future__ import annotations
@@ -24,14 +28,17 @@ from itertools import combinations
 
 import numpy as np
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lidarlattice.llm._common import held_out, table
 from lidarlattice.llm.quality import labelled, score_texts
 
-#: Damping per skipped letter, letters skipped at most, floor of a feature, letters that are told apart, longest piece of a word that is compared at once.
-DECAY, GAP, FLOOR, LETTERS, PIECE = 0.7, 3, 0.45, 40, 24
-#: Bounds: labelled texts about, characters of each in training, landmarks, words a worker keeps.
-LABELLED, LEARN_CHARS, LANDMARKS, KEPT = 5000, 20_000, 48, 300_000
+#: Damping per skipped letter, letters skipped at most, floor of a word's kernel, greatest sum of a sentence, letters that are told apart, longest piece of a word that is compared at once.
+DECAY, GAP, FLOOR, MOST, LETTERS, PIECE = 0.7, 3, 0.45, 3.0, 40, 24
+#: Bounds: labelled texts about, characters of a text that may teach (longer ones do not), landmarks, words a worker keeps.
+LABELLED, LONGEST, LANDMARKS, KEPT = 5000, 200_000, 48, 300_000
+#: How often a toxic text counts in the calibration: to miss one is worse than to flag a clean one.
+CARE = 1.5
 #: Least log-likelihood ratio of a substring that may be a landmark.
 SURPRISE = 30.0
 #: Mining ends when the best substring covers less than this share of what the first one covered.
@@ -119,10 +126,10 @@ def surprise(a: int, b: int, n: int, m: int) -> float:
 
 
 def mine(toxic: list[set[str]], clean: list[set[str]], limit: int = LANDMARKS) -> list[str]:
-    """Substrings that cover the words which toxic texts hold far more often than clean ones."""
+    """Substrings that cover the words which toxic texts hold far more often than clean ones, and the clean words that hold them."""
     bad, good = Counter(w for t in toxic for w in t), Counter(w for t in clean for w in t)
     n, m = max(1, len(toxic)), max(1, len(clean))
-    strong = {w: a for w, a in bad.items() if 4 <= len(w) <= PIECE and a >= 3 and a / n > 4 * (good[w] + 0.5) / m}
+    strong = {w: a for w, a in bad.items() if len(w) >= 4 and a >= 3 and a / n > 4 * (good[w] + 0.5) / m}
     parts: dict[str, set[str]] = {}
     for w in strong:
         for size in range(4, min(14, len(w)) + 1):
@@ -150,40 +157,44 @@ def mine(toxic: list[set[str]], clean: list[set[str]], limit: int = LANDMARKS) -
         best = max((part for part in worth if best in part and worth[part] >= 0.8 * worth[best]), key=lambda part: (len(part), worth[part], part))
         out.append(best)
         left -= parts[best]
-    return out
+    # clean words that hold a landmark: those of three texts or more that are not rarer among clean ones
+    held = [w for w, b in good.items() if b >= 3 and b / m >= bad[w] / n and any(part in w for part in out)]
+    return out + sorted(held, key=lambda w: (-good[w], w))[: limit - len(out)]
 
 
 class Scorer:
-    """Landmarks, the SVM's weights on their features, and the calibration of the worst sentence's margin."""
+    """Landmarks, the SVM's weights on their features, and the calibration of the worst sentences' margins."""
 
     def __init__(self, texts: list[str], labels: list[int]):
         self.young: dict[str, np.ndarray | None] = {}
         self.old: dict[str, np.ndarray | None] = {}
-        y = np.array(labels)
-        texts, y = self.distinct(texts, y)
+        texts, y = self.distinct(texts, np.array(labels))
         bags = [{plain(w) for w in set(tokens_of(t.lower()))} for t in texts]
         found = mine([b for b, v in zip(bags, y, strict=True) if v == 1], [b for b, v in zip(bags, y, strict=True) if v == 0])
         self.basis = Landmarks(found) if found else None
         if self.basis is None:  # no text is told apart by its words
             return
-        m = len(self.basis.landmarks)
-        raw = self.basis.kernels(self.basis.landmarks)
-        norms = np.sqrt([sum(v * v for v in Landmarks.triples(w).values()) for w in self.basis.landmarks])
-        gram = raw * norms[None, :] / norms[:, None]
+        gram = self.floored(self.basis.kernels(self.basis.landmarks))
         values, vectors = np.linalg.eigh((gram + gram.T) / 2)
-        self.white = vectors / np.sqrt(np.maximum(values, 1e-2))
-        self.beta, self.bias = np.zeros(m), -1.0
-        rows, sides = [np.zeros(m)], [-1.0]
-        self.features(texts)  # fills the table of words
+        self.white = vectors / np.sqrt(np.maximum(values, 0.05))
+        self.beta, self.bias = np.zeros(len(found)), -1.0
+        hot = self.features(texts)
         random = np.random.default_rng(5)
         disturbed = [self.disturb(t, random) for t, v in zip(texts, y, strict=True) if v == 1][::3]
-        texts, y = texts + disturbed, np.r_[y, np.ones(len(disturbed), int)]
-        for v, hot in zip(y, self.features(texts), strict=True):
-            rows += hot
-            sides += [1.0 if v == 1 else -1.0] * len(hot)
-        self.train(np.array(rows), np.array(sides), 1 + (y == 0).sum())
-        margins = np.array(self.margins(texts))
-        self.slope, self.shift = self.calibrate(margins, y)
+        hot += self.features(disturbed)
+        y = np.r_[y, np.ones(len(disturbed), int)]
+        # a sentence without a feature is one and the same row, as often as clean texts have it
+        rows, sides = [np.zeros(len(found))], [-1.0]
+        for v, some in zip(y, hot, strict=True):
+            rows += some
+            sides += [1.0 if v == 1 else -1.0] * len(some)
+        empty = sum(len(_SENTENCE.split(t)) - len(h) for t, h, v in zip(texts, hot, y, strict=False) if v == 0)
+        self.train(np.array(rows), np.array(sides), float(max(1, empty)))
+        self.curve = self.calibrate(np.array([self.worst(h) for h in hot]), y)
+
+    @staticmethod
+    def floored(kernels: np.ndarray) -> np.ndarray:
+        return np.maximum(kernels - FLOOR, 0) / (1 - FLOOR)
 
     @staticmethod
     def distinct(texts: list[str], y: np.ndarray) -> tuple[list[str], np.ndarray]:
@@ -194,9 +205,9 @@ class Scorer:
     def train(self, x: np.ndarray, side: np.ndarray, empty: float, steps: int = 400) -> None:
         """A linear SVM (squared hinge, balanced classes) on whitened features; the first row stands for all sentences without features."""
         z = x @ self.white
-        weight = np.where(side > 0, 1 / max(1, (side > 0).sum()), 1.0)
-        weight[0] = empty
-        weight[side < 0] /= weight[side < 0].sum()
+        # each side weighs 1; on the clean side half of it is for sentences without features, as margins of the others decide
+        weight = 1 / np.where(side > 0, max(1, (side > 0).sum()), 2 * max(1, (side < 0).sum() - 1))
+        weight[0] = 0.5 * empty / (empty + 1)
         w, b, vw, vb = np.zeros(z.shape[1]), 0.0, np.zeros(z.shape[1]), 0.0
         rate = 0.5 / (1 + float((np.linalg.norm(z, axis=1) ** 2 * weight).sum()))
         for _ in range(steps):
@@ -207,21 +218,20 @@ class Scorer:
         self.beta, self.bias = self.white @ w, float(b)
 
     @staticmethod
-    def calibrate(margins: np.ndarray, y: np.ndarray) -> tuple[float, float]:
-        """Slope and shift of the logistic curve through the training texts' margins, with smoothed targets."""
+    def calibrate(margins: np.ndarray, y: np.ndarray) -> np.ndarray:
+        """Weights of the logistic curve through the training texts' margins (a row each) and of a constant, with smoothed targets; a toxic text counts CARE times."""
         n1, n0 = (y == 1).sum(), (y == 0).sum()
         target = np.where(y == 1, (n1 + 1) / (n1 + 2), 1 / (n0 + 2))
-        a, c = 1.0, 0.0
+        x, rest = np.c_[margins, np.ones(len(y))], np.array([1.0, 0.0, 0.0])
+        times, w = np.where(y == 1, CARE, 1.0), rest.copy()
         for _ in range(50):
-            p = 1 / (1 + np.exp(-np.clip(a * margins + c, -30, 30)))
-            h = p * (1 - p) + 1e-9
-            g = np.array([((p - target) * margins).sum() + 1e-3 * (a - 1), (p - target).sum()])
-            hess = np.array([[(h * margins**2).sum() + 1e-3, (h * margins).sum()], [(h * margins).sum(), h.sum()]])
-            step = np.linalg.solve(hess, g)
-            a, c = a - step[0], c - step[1]
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            ridge = np.array([1e-3, 1e-3, 0])
+            step = np.linalg.solve((x * (times * p * (1 - p) + 1e-9)[:, None]).T @ x + np.diag(ridge), x.T @ (times * (p - target)) + ridge * (w - rest))
+            w = w - step
             if np.abs(step).max() < 1e-8:
                 break
-        return float(a), float(c)
+        return w
 
     def disturb(self, text: str, random) -> str:
         """The text with a letter or a mark inserted into each word that holds a landmark nearly whole."""
@@ -246,7 +256,7 @@ class Scorer:
             else:
                 new.append(w)
         if new:
-            k = np.maximum(self.basis.kernels([plain(w) for w in new]) - FLOOR, 0) / (1 - FLOOR)
+            k = self.floored(self.basis.kernels([plain(w) for w in new]))
             some = k.any(axis=1)
             for w, f, ok in zip(new, k, some, strict=True):
                 self.young[w] = f if ok else None
@@ -260,7 +270,7 @@ class Scorer:
                 self.learn_words(missing)
             hot = [f for w in words if (f := self.young.get(w)) is not None]
             if hot:
-                out.append(np.max(hot, axis=0))
+                out.append(np.minimum(np.sum(hot, axis=0), MOST))
         return out
 
     def features(self, texts: list[str | None]) -> list[list[np.ndarray]]:
@@ -280,21 +290,23 @@ class Scorer:
                 group, size = [], 0
         return out
 
-    def margins(self, texts: list[str | None]) -> list[float]:
-        """The greatest margin of each text's sentences, that of a sentence without features included."""
-        return [max([0.0, *(float(f @ self.beta) for f in hot)]) + self.bias for hot in self.features(texts)]
+    def worst(self, hot: list[np.ndarray]) -> list[float]:
+        """The two greatest margins of a text's sentences, those of sentences without features included."""
+        some = sorted([0.0, 0.0, *(float(f @ self.beta) for f in hot)])
+        return [some[-1] + self.bias, some[-2] + self.bias]
 
     def score(self, texts: list[str | None]) -> list[float]:
         """0 to 1; a model without landmarks gives 0 to every text."""
-        if self.basis is None:
+        if self.basis is None or not texts:
             return [0.0] * len(texts)
-        a = np.clip(self.slope * np.array(self.margins(texts)) + self.shift, -30, 30)
-        return (1 / (1 + np.exp(-a))).tolist()
+        margins = np.array([self.worst(hot) for hot in self.features(texts)])
+        return (1 / (1 + np.exp(-np.clip(margins @ self.curve[:2] + self.curve[2], -30, 30)))).tolist()
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows: int = LABELLED) -> Scorer:
     """Fit on about `rows` labelled rows of the learning folds (those not held out)."""
-    got = labelled(docs.where(~held_out(id_col)), labels.where(~held_out(id_col)), label_col, id_col, text_col, rows, LEARN_CHARS)
+    short = docs.where(~held_out(id_col) & (F.length(text_col) <= LONGEST))
+    got = sorted(labelled(short, labels.where(~held_out(id_col)), label_col, id_col, text_col, rows).collect(), key=lambda r: (r["lid"], r["t"], r["y"]))
     model = Scorer([r["t"] for r in got], [r["y"] for r in got])
     model.young, model.old = {}, {}
     return model
@@ -303,8 +315,9 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: st
 def score_toxicity(df: DataFrame, model: Scorer, text_col: str = "text", threshold: float = 0.5) -> DataFrame:
     """Append score and predicted (1 if score >= threshold) to every row.
 
-    Null and empty texts have no sentence and get the score of a text without features.
-    Rows are neither dropped nor moved; repeats and null ids stay; an empty table stays empty.
+    Null and empty texts have no sentence and get the score of a text without features; long
+    texts are read whole. Rows are neither dropped nor moved; repeats and null ids stay;
+    columns named like the new ones are replaced; an empty table stays empty.
     """
     return score_texts(df, model, text_col, threshold)
 
