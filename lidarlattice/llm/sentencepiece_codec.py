@@ -60,7 +60,6 @@ class Codec:
         self.fits: dict[tuple[str, str], bool] = {}
         self.young: dict[str, tuple[int, str, str]] = {}
         self.old: dict[str, tuple[int, str, str]] = {}
-        self.shown = {p: (str(i), p.replace(SPACE, " ")) for p, i in self.pieces.items()}
         self.shorter = {p: next((p[:k] for k in range(len(p) - 1, 0, -1) if p[:k] in self.pieces), None) for p in self.pieces}
 
     def merge(self, text: str) -> list[str]:
@@ -130,20 +129,15 @@ class Codec:
         return out
 
     def word(self, word: str) -> tuple[int, str, str]:
-        """Number of ids, the ids as text, and what they decode to, for one word.
+        """Number of ids, the ids as text, and what these ids decode to, for one word (bytes of a character never go on in the next word).
 
         Two tables hold the words seen lately: when the young one is full it becomes the
         old one, so that frequent words stay known within a fixed bound.
         """
         known = self.old.get(word)
         if known is None:
-            pieces = self.split(word)
-            try:
-                shown = [self.shown[p] for p in pieces]
-                known = len(shown), ",".join([x for x, _ in shown]), "".join([x for _, x in shown])
-            except KeyError:  # a character that becomes byte ids
-                ids = self.ids(pieces)
-                known = len(ids), ",".join(map(str, ids)), self.join(ids)
+            ids = self.ids(self.split(word))
+            known = len(ids), ",".join(map(str, ids)), self.join(ids)
         if len(word) <= CACHE_CHARS:
             if len(self.young) >= CACHE_WORDS:
                 self.old, self.young = self.young, {}
@@ -195,34 +189,41 @@ def codec(path: str) -> Codec:
 
 
 def default_model() -> str:
+    """The path of the public model on this machine; workers look up their own."""
     import public_tokenizers
 
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
-def encode_texts(df: DataFrame, model: str, text_col: str = "text") -> DataFrame:
-    """Append `ids` (array of int) and `decoded` to every row; a null text counts as empty and has no ids."""
+def encode_texts(df: DataFrame, model: str | None = None, text_col: str = "text") -> DataFrame:
+    """Append `ids` (array of int) and `decoded` to every row; a null text counts as empty and has no ids.
+
+    `model` is a path that every worker can read; by default each looks up the public model.
+    Columns named like the new ones are replaced.
+    """
     added = T.StructType([T.StructField("ids", T.ArrayType(T.IntegerType())), T.StructField("decoded", T.StringType())])
 
     def run(batch):
-        c = codec(model)
+        c = codec(model or default_model())
         ids = [c.encode(t) for t in batch.column(text_col).to_pylist()]
         return {"ids": ids, "decoded": [c.decode(i) for i in ids]}
 
     return map_text(df, run, added, text_col, keep_text=True)
 
 
-def digest_texts(df: DataFrame, model: str, text_col: str = "text") -> DataFrame:
+def digest_texts(df: DataFrame, model: str | None = None, text_col: str = "text") -> DataFrame:
     """Encode and decode every row's text and keep digests only.
 
     Every row of `df` gives one row: its columns without the text, then n_tokens,
     ids_sha256, decoded_sha256. Null and empty texts have no ids (digests of the empty
-    string); repeated rows and null ids stay as they are; an empty table stays empty.
+    string), long ones are read whole; repeated rows and null ids stay as they are; columns
+    named like the new ones are replaced; an empty table stays empty. `model`: as in
+    encode_texts.
     """
     added = T.StructType([T.StructField("n_tokens", T.LongType()), T.StructField("ids_sha256", T.StringType()), T.StructField("decoded_sha256", T.StringType())])
 
     def run(batch):
-        c = codec(model)
+        c = codec(model or default_model())
         rows = [c.digest(t) for t in batch.column(text_col).to_pylist()]
         return dict(zip(("n_tokens", "ids_sha256", "decoded_sha256"), zip(*rows, strict=True) if rows else ((), (), ()), strict=True))
 
@@ -231,7 +232,7 @@ def digest_texts(df: DataFrame, model: str, text_col: str = "text") -> DataFrame
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return digest_texts(docs, default_model())
+    return digest_texts(docs)
 
 
 QUERIES = {"op10_sentencepiece": op10_sentencepiece}
