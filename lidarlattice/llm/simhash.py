@@ -1,9 +1,10 @@
 """SimHash near-duplicates: pigeonhole blocks, a join on blocks, Hamming checks, components.
 
 Fingerprints are made on the executors, one narrow map. Equal fingerprints are one node
-from then on. Two fingerprints that differ in at most `distance` bits agree in at least
-BLOCKS - distance of BLOCKS blocks, so each is listed under every choice of that many
-blocks (15 keys of about 21 bits for a distance of 4). The rows of one key are compared in
+from then on. Two fingerprints that differ in at most `distance` of 64 bits agree in at
+least n - distance of n blocks, so each is listed under every choice of that many blocks: 15
+keys of about 21 bits for a distance of 4 and 6 blocks. There are as many blocks as keep the
+fingerprints of a key few (7 blocks: 35 keys of 27 bits, 8 blocks: 70 keys of 32). The rows of one key are compared in
 a sorted stream: short runs pair by pair, each pair at the first key it shares only; long
 runs by a search that drops what it has reached, which keeps a spanning forest instead of
 all pairs. A run beyond RUN fingerprints is handled in chunks of RUN, and its pairs of
@@ -25,7 +26,8 @@ from pyspark.sql import types as T
 from lidarlattice.llm._common import cut, few, map_text, table
 from lidarlattice.llm.components import components
 
-BLOCKS = 6
+#: Blocks that may be chosen, and fingerprints of a key (spread evenly) above which there are more blocks.
+BLOCKS, CROWD = (6, 7, 8), 64
 #: Fingerprints of one key that are compared in memory at once, and those compared pair by pair.
 RUN, SHORT = 8192, 32
 
@@ -59,13 +61,18 @@ def fingerprints(df: DataFrame, text_col: str = "text", width: int = 4) -> DataF
     return map_text(df, run, T.StructType([T.StructField("bits", T.LongType())]), text_col)
 
 
-def _layout(distance: int) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
-    """(shift, width) of each block and the choices of blocks, for a distance below BLOCKS."""
-    if not 0 <= distance < BLOCKS:
-        raise ValueError(f"distance must be 0 to {BLOCKS - 1}")
-    widths = [64 // BLOCKS + (i < 64 % BLOCKS) for i in range(BLOCKS)]
-    shifts = [0, *accumulate(widths)][:BLOCKS]
-    return list(zip(shifts, widths, strict=True)), list(combinations(range(BLOCKS), BLOCKS - distance))
+def _layout(distance: int, blocks: int) -> tuple[list[tuple[int, int]], list[tuple[int, ...]]]:
+    """(shift, width) of each block and the choices of blocks, for a distance below their number."""
+    if not 0 <= distance < blocks:
+        raise ValueError(f"distance must be 0 to {blocks - 1}")
+    widths = [64 // blocks + (i < 64 % blocks) for i in range(blocks)]
+    shifts = [0, *accumulate(widths)][:blocks]
+    return list(zip(shifts, widths, strict=True)), list(combinations(range(blocks), blocks - distance))
+
+
+def blocks_for(prints: int, distance: int) -> int:
+    """The least number of blocks whose keys hold CROWD fingerprints or fewer, if spread evenly; else the greatest."""
+    return next((n for n in BLOCKS if distance < n and prints <= CROWD << (64 * (n - distance) // n)), BLOCKS[-1])
 
 
 def _forest(prints: np.ndarray, distance: int, others: np.ndarray | None = None) -> list[tuple[int, np.ndarray]]:
@@ -104,13 +111,13 @@ def _forest(prints: np.ndarray, distance: int, others: np.ndarray | None = None)
 _FOUND = "a long, b long, key long, chunk int"
 
 
-def _stream(distance: int):
+def _stream(distance: int, n_blocks: int):
     """Over rows (key, bits) in order: links (a, b), and the rows of overlong runs as (a, null, key, chunk)."""
-    blocks, choices = _layout(distance)
-    first = np.full(1 << BLOCKS, len(choices), np.int64)  # by the blocks in which a pair agrees: its first choice
+    blocks, choices = _layout(distance, n_blocks)
+    first = np.full(1 << n_blocks, len(choices), np.int64)  # by the blocks in which a pair agrees: its first choice
     for c in range(len(choices) - 1, -1, -1):
         need = sum(1 << b for b in choices[c])
-        first[[m for m in range(1 << BLOCKS) if m & need == need]] = c
+        first[[m for m in range(1 << n_blocks) if m & need == need]] = c
 
     def agree(x):
         return sum(((x >> np.uint64(s)) & np.uint64((1 << w) - 1) == 0).astype(np.int64) << i for i, (s, w) in enumerate(blocks))
@@ -184,12 +191,13 @@ def _stream(distance: int):
     return run
 
 
-def near_links(prints: DataFrame, distance: int = 4) -> DataFrame:
-    """Distinct fingerprints (`bits`) -> links (a, b) whose components are those of all pairs within `distance`.
+def near_links(prints: DataFrame, distance: int = 4, n_blocks: int | None = None) -> DataFrame:
+    """Distinct fingerprints (`bits`) -> links (a, b) whose components are those of all pairs within `distance`, by `n_blocks` blocks (blocks_for() of their number by default).
 
     Every link is a pair within the distance, and whatever such pairs connect, links connect.
     """
-    blocks, choices = _layout(distance)
+    n_blocks = n_blocks or blocks_for(prints.count(), distance)
+    blocks, choices = _layout(distance, n_blocks)
 
     def key(c, chosen):
         value, at = F.lit(c).cast("long"), 0
@@ -200,7 +208,7 @@ def near_links(prints: DataFrame, distance: int = 4) -> DataFrame:
         return F.shiftleft(F.lit(c).cast("long"), 44).bitwiseOR(value.bitwiseAND(F.lit((1 << at) - 1))) if at <= 44 else F.shiftleft(F.lit(c).cast("long"), 44).bitwiseOR(F.xxhash64(value).bitwiseAND(F.lit((1 << 44) - 1)))
 
     keyed = prints.select(F.explode(F.array(*[key(c, chosen) for c, chosen in enumerate(choices)])).alias("key"), "bits")
-    found = cut(keyed.repartition("key").sortWithinPartitions("key", "bits").mapInArrow(_stream(distance), _FOUND))
+    found = cut(keyed.repartition("key").sortWithinPartitions("key", "bits").mapInArrow(_stream(distance, n_blocks), _FOUND))
     links = found.where("b is not null").select("a", "b")
 
     rest = found.where("b is null").select("key", "chunk", F.col("a").alias("bits"))
