@@ -7,7 +7,8 @@ import re
 import numpy as np
 from pyspark.sql import functions as F
 
-from lidarlattice.llm import decontaminate, html_extract, warc
+from lidarlattice.llm import decontaminate, html_extract, language_id, quality, toxicity, warc
+from lidarlattice.llm._common import held_out
 from lidarlattice.llm.html_nodes import plain_text, tokens
 
 # -- pages -----------------------------------------------------------------------------------
@@ -182,6 +183,9 @@ def slow_template(text):
     for raw in text.split():
         word = re.sub(r"^\W+|\W+$", "", raw)
         low = word.lower()
+        if not word:  # a mark by itself is no word, but may end a sentence or a run of names
+            start, run = start or raw[-1] in ".!?:;", run and raw[-1] not in ".,!?:;"
+            continue
         if re.fullmatch(r"[\d.,]+", word):
             kind = "<number>"
         elif low in decontaminate.UNITS and out and out[-1][0] == "<number>":
@@ -271,3 +275,90 @@ def test_names_slots_and_stock_phrases(spark):
     assert all(got[i] == (ids, changed) for i, _, ids, changed in rows if ids is not None)
     assert got[4][0] == sorted(r["item_id"] for r in bench.collect() if r["item_id"] > 1 and slow_match(r["text"], rows[3][1])[0])
     assert decontaminate.clean(docs, bench).columns == docs.columns and F.col is not None
+
+
+# -- classifiers -----------------------------------------------------------------------------
+
+
+def test_masks_name_all_languages_that_hold_an_ngram(spark, small):
+    docs = spark.read.parquet(f"{small}/documents.parquet").where(~held_out() & F.col("lang").isNotNull())
+    model = language_id.fit(docs)
+    counts = {lang: {} for lang in model.languages}
+    for r in docs.collect():  # fewer than the sample's bound: all rows teach
+        text = " " + re.sub(r"[\W\d_]+", " ", (r["text"] or "").lower()).strip() + " "
+        for n in language_id.ORDERS:
+            for k in range(len(text) - n + 1):
+                gram = text[k : k + n]
+                if gram.strip() and " " not in gram[1:-1]:
+                    counts[r["lang"]].setdefault(n, {})[gram] = counts[r["lang"]].get(n, {}).get(gram, 0) + 1
+    for n in language_id.ORDERS:
+        grams = sorted(set().union(*(c[n] for c in counts.values())))
+        points = np.array([[0 if x == " " else ord(x) for x in g] for g in grams], np.uint32)
+        h = np.concatenate([language_id.grams(p, n) for p in points])
+        masks = model.masks(h)
+        for i, lang in enumerate(model.languages):
+            mine, whole = counts[lang][n], sum(counts[lang][n].values())
+            for k, least in enumerate(language_id.LEVELS):
+                want = np.array([g in mine and mine[g] / whole >= least for g in grams])
+                got = model.of(masks, i) >> model.kind(k) & 1 > 0
+                assert got[want].all() and got[~want].mean() < 0.06
+    assert language_id.layout(4)[0] is np.uint16 and language_id.layout(100)[1] == 5
+
+
+def test_more_languages_than_a_word_holds(spark):
+    rows = [(n, f"l{n:03d}", " ".join(f"{chr(97 + n % 26)}{chr(97 + n // 26)}{chr(97 + k % 26)}{chr(97 + (k * 7 + n) % 26)}" for k in range(60))) for n in range(100)]
+    model = language_id.fit(spark.createDataFrame(rows, "doc_id long, lang string, text string"))
+    assert model.words == 5 and model.predict([t for *_, t in rows])[0] == [lang for _, lang, _ in rows]
+
+
+def test_votes_by_brute_force():
+    rng = np.random.default_rng(7)
+    terms = [np.abs(rng.normal(size=quality.TERMS)).astype(np.float32) * (rng.random(quality.TERMS) < 0.02) for _ in range(120)]
+    terms += terms[:40]  # ties
+    labels = rng.integers(0, 2, len(terms)).tolist()
+    voter = quality.Voter(terms, labels, rank=20)
+    texts = ["a plain text of a few words", "", None, "A B C 1 2 3 !!", "the same the same the same"]
+    got = voter.score(texts, neighbours=7)
+    for text, score in zip(texts, got, strict=True):
+        x = quality.term_counts(text)[None].astype(np.float64) * voter.idf
+        v = (x / np.linalg.norm(x)) @ voter.project
+        cosines = ((v / max(np.linalg.norm(v), 1e-9)) @ voter.vectors)[0]
+        near = sorted(range(len(labels)), key=lambda i: (-round(float(cosines[i]), 6), i))[:7]
+        w = np.maximum(cosines[near], 1e-3) ** quality.STEEP
+        assert np.isclose(score, (w * np.array(labels)[near]).sum() / w.sum(), atol=2e-3)
+    assert np.allclose(voter.score(texts, block=1, neighbours=7), got, atol=1e-5)
+
+
+def test_terms_know_words():
+    """Texts of one shape but other words differ."""
+    a, b = quality.term_counts("the cat sat on the mat"), quality.term_counts("los dos van con sus pan")
+    assert not np.allclose(a, b) and np.allclose(quality.term_counts("x" * 70_000 + " y")[-1], 0)
+
+
+def test_subsequence_kernel_by_brute_force():
+    rng = random.Random(2)
+
+    def kernel(a, b):
+        total = 0.0
+        for i, j, k in itertools.combinations(range(len(a)), 3):
+            if k - i - 2 > toxicity.GAP:
+                continue
+            for p, q, r in itertools.combinations(range(len(b)), 3):
+                if r - p - 2 <= toxicity.GAP and (a[i], a[j], a[k]) == (b[p], b[q], b[r]):
+                    total += toxicity.DECAY ** (k - i - 2 + r - p - 2)
+        return total
+
+    landmarks = ["^idiot$", "^abc$", "lalala", "^stupid"]
+    words = [*landmarks, "^xidiotx$", "^i-di.ot$", "^stuapid$"] + ["".join(rng.choice("abclidot^") for _ in range(rng.randint(1, 20))) for _ in range(40)]
+    got = toxicity.Landmarks(landmarks).kernels(words)
+    for w, row in zip(words, got, strict=True):
+        for z, k in zip(landmarks, row, strict=True):
+            assert np.isclose(k, min(1.0, kernel(w, z) / kernel(z, z)), atol=1e-5)
+
+
+def test_toxic_texts_are_found_and_clean_ones_left(spark):
+    """Held-out labels: recall and the share of clean texts flagged, not accuracy, which a scorer that always says 0 has too."""
+    folder = "/root/testdata/sf0.1"
+    r = toxicity.op9_toxicity(spark, folder).join(spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").where("held_out and toxic is not null").select("toxic", "predicted").collect()
+    bad, good = [x["predicted"] for x in r if x["toxic"] == 1], [x["predicted"] for x in r if x["toxic"] == 0]
+    assert len(bad) > 50 and sum(bad) / len(bad) > 0.78 and sum(good) / len(good) < 0.015

@@ -82,8 +82,12 @@ def cluster(rng, n, flips, centre):
     return out
 
 
-@pytest.mark.parametrize("run,short", [(8192, 32), (50, 5), (16, 2)])
-def test_links_connect_what_all_pairs_connect(spark, monkeypatch, run, short):
+def test_blocks_grow_with_the_fingerprints():
+    assert [simhash.blocks_for(n, 4) for n in (0, 10**8, 10**9, 10**10, 10**13)] == [6, 6, 7, 8, 8] and simhash.blocks_for(10, 6) == 7
+
+
+@pytest.mark.parametrize("run,short,blocks", [(8192, 32, None), (50, 5, 6), (16, 2, 6), (50, 5, 7), (40, 4, 8)])
+def test_links_connect_what_all_pairs_connect(spark, monkeypatch, run, short, blocks):
     """Dense groups, chains and strangers; small bounds force chunks and pairs of chunks."""
     monkeypatch.setattr(simhash, "RUN", run)
     monkeypatch.setattr(simhash, "SHORT", short)
@@ -100,7 +104,7 @@ def test_links_connect_what_all_pairs_connect(spark, monkeypatch, run, short):
 
     cloudpickle.register_pickle_by_value(simhash)  # so that the bounds above reach the workers
     try:
-        links = near_links(df)
+        links = near_links(df, n_blocks=blocks)
         found = links.collect()
         roots = dict(tuple(r) for r in components(links).collect())
     finally:
