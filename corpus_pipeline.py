@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from lidarlattice.llm import decontaminate, language_id, quality, sentencepiece_codec, simhash
 from lidarlattice.llm._common import cut, held_out, table
 
-#: Least part of a text's own n-grams that the winning language must hit, whatever the number of languages.
+#: Least part of the bits of a text's own n-grams that the winning language must have, whatever the number of languages.
 LANGUAGE_SCORE = 0.28
 
 
@@ -51,7 +51,7 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the documents' ids and decoded texts."""
-    return sentencepiece_codec.digest_texts(docs.select("doc_id", "text"), sentencepiece_codec.default_model())
+    return sentencepiece_codec.digest_texts(docs.select("doc_id", "text"))
 
 
 STAGES = [
