@@ -107,13 +107,15 @@ def term_counts(text: str | None) -> np.ndarray:
 class Voter:
     """Term weights, the projection, and the labelled vectors with their labels."""
 
-    def __init__(self, terms: list[np.ndarray], labels: list[int], rank: int = RANK, seed: int = 11):
+    def __init__(self, terms: np.ndarray, labels: list[int], rank: int = RANK, seed: int = 11):
+        """`terms` has a row of term_counts() for each label; it is weighted and scaled in place."""
         self.labels = np.array(labels, np.float32)
-        if not terms:
+        x, n = terms, len(terms)
+        if not n:
             return
-        x, n = np.stack(terms), len(terms)
-        self.idf = np.log((1 + n) / (1 + (x > 0).sum(0))).astype(np.float32) + 0.2
-        x = self.unit(x * self.idf)
+        self.idf = (np.log((1 + n) / (1 + np.count_nonzero(x, axis=0))) + 0.2).astype(np.float32)
+        x *= self.idf
+        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-9)[:, None]
         rank = min(rank, n, TERMS)
         draw = np.random.default_rng(seed).standard_normal((TERMS, min(rank + 10, n))).astype(np.float32)
         basis, _ = np.linalg.qr(x @ draw)
@@ -162,7 +164,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label_col: str, id_col: str, te
         below = F.when(F.col("y") == y, F.lit(int(min(1.0, want[y] / n) * parts))).otherwise(below)
     some = given.where(F.pmod(F.xxhash64("lid"), F.lit(parts)) < below)
     texts = docs.where(F.col(text_col).isNotNull()).select(F.col(id_col).alias("lid"), F.col(text_col).alias("t"))
-    return texts.join(F.broadcast(some), "lid").limit(2 * rows)  # the limit binds only where labelled ids repeat
+    return texts.join(F.broadcast(some), "lid")  # bounded where labelled ids do not repeat; the callers' limits bind where they do
 
 
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text", rows: int = LABELLED) -> Voter:
@@ -172,14 +174,15 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
         for batch in batches:
             for part in slices(batch, "t"):
                 terms = [term_counts(t) for t in part.column("t").to_pylist()]
-                at = [np.flatnonzero(x) for x in terms]
-                yield pa.RecordBatch.from_arrays([part.column("lid").cast(pa.string()), part.column("y").cast(pa.int32()), pa.array([a.astype(np.int16) for a in at], pa.list_(pa.int16())), pa.array([x[a] for x, a in zip(terms, at, strict=True)], pa.list_(pa.float32()))], names=["lid", "y", "at", "x"])
+                at = [np.flatnonzero(x).astype(np.int16) for x in terms]
+                columns = [part.column("lid").cast(pa.string()), part.column("y").cast(pa.int32()), pa.array([a.tobytes() for a in at], pa.binary()), pa.array([x[a].tobytes() for x, a in zip(terms, at, strict=True)], pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["lid", "y", "at", "x"])
 
     some = labelled(docs.where(~held_out(id_col)), labels.where(~held_out(id_col)), label_col, id_col, text_col, rows)
-    got = sorted(some.mapInArrow(count, "lid string, y int, at array<short>, x array<float>").collect(), key=lambda r: (r["lid"], r["at"], r["x"], r["y"]))
-    terms = [np.zeros(TERMS, np.float32) for _ in got]
+    got = sorted(some.mapInArrow(count, "lid string, y int, at binary, x binary").limit(2 * rows).collect(), key=lambda r: (r["lid"], r["at"], r["x"], r["y"]))
+    terms = np.zeros((len(got), TERMS), np.float32)
     for out, r in zip(terms, got, strict=True):
-        out[r["at"]] = r["x"]
+        out[np.frombuffer(r["at"], np.int16)] = np.frombuffer(r["x"], np.float32)
     return Voter(terms, [r["y"] for r in got])
 
 

@@ -306,7 +306,7 @@ class Scorer:
 def fit(docs: DataFrame, labels: DataFrame, label_col: str = "toxic", id_col: str = "doc_id", text_col: str = "text", rows: int = LABELLED) -> Scorer:
     """Fit on about `rows` labelled rows of the learning folds (those not held out)."""
     short = docs.where(~held_out(id_col) & (F.length(text_col) <= LONGEST))
-    got = sorted(labelled(short, labels.where(~held_out(id_col)), label_col, id_col, text_col, rows).collect(), key=lambda r: (r["lid"], r["t"], r["y"]))
+    got = sorted(labelled(short, labels.where(~held_out(id_col)), label_col, id_col, text_col, rows).limit(2 * rows).collect(), key=lambda r: (r["lid"], r["t"], r["y"]))
     model = Scorer([r["t"] for r in got], [r["y"] for r in got])
     model.young, model.old = {}, {}
     return model
