@@ -316,7 +316,7 @@ def test_votes_by_brute_force():
     terms = [np.abs(rng.normal(size=quality.TERMS)).astype(np.float32) * (rng.random(quality.TERMS) < 0.02) for _ in range(120)]
     terms += terms[:40]  # ties
     labels = rng.integers(0, 2, len(terms)).tolist()
-    voter = quality.Voter(terms, labels, rank=20)
+    voter = quality.Voter(np.stack(terms).astype(np.float32), labels, rank=20)
     texts = ["a plain text of a few words", "", None, "A B C 1 2 3 !!", "the same the same the same"]
     got = voter.score(texts, neighbours=7)
     for text, score in zip(texts, got, strict=True):
