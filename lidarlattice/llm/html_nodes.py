@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 #: Values fixed by the HTML standard.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -66,13 +66,16 @@ def squeeze(text: str) -> str:
     return _SPACE.sub(" ", html.unescape(text) if "&" in text else text).strip()
 
 
-def plain_text(source: str) -> str:
-    """All text of a page, a line per block."""
+def plain_text(source: str, see: Callable[[str, str], None] | None = None) -> str:
+    """All text of a page, a line per block; `see` is told the name and attributes of every opening tag on the way."""
     lines, parts = [], []
     for kind, name, data in tokens(source):
         if kind == "text":
             parts.append(data)
-        elif name in BLOCKS:
+            continue
+        if see and kind == "open":
+            see(name, data)
+        if name in BLOCKS:
             if line := squeeze("".join(parts)):
                 lines.append(line)
             parts = []

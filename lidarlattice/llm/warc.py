@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lidarlattice.llm._common import SLICE_BYTES, slices, table
-from lidarlattice.llm.html_nodes import attributes, plain_text, tokens
+from lidarlattice.llm.html_nodes import attributes, plain_text
 
 #: One WARC record: its named header fields that are used here, other fields as lines, and the block.
 RECORD = T.StructType(
@@ -101,16 +101,16 @@ def derive(record: dict) -> list[dict]:
     head, _, payload = (record["block"] or b"").partition(b"\r\n\r\n")
     kind, source = readable(head, payload)
     hyper = kind in ("", "text/html", "application/xhtml+xml")
-    text = plain_text(source) if hyper else source if kind.startswith("text/") else ""
-    language, links, charset = "", 0, ""
-    for what, name, data in tokens(source) if hyper else ():
-        if what == "open":
-            if name == "html":
-                language = language or _attribute(data, "lang")
-            elif name == "meta":
-                charset = charset or _attribute(data, "charset")
-            elif name == "a":
-                links += bool(_attribute(data, "href"))
+    found = {"html": "", "meta": "", "a": 0}  # the language, the charset, the links
+
+    def see(name, data):
+        if name == "a":
+            found["a"] += bool(_attribute(data, "href"))
+        elif name == "html" or name == "meta":
+            found[name] = found[name] or _attribute(data, "lang" if name == "html" else "charset")
+
+    text = plain_text(source, see) if hyper else source if kind.startswith("text/") else ""
+    language, charset, links = found.values()
     status, *headers = head.decode(errors="replace").split(END)
     metadata_id, conversion_id = derived_id(record["record_id"], "metadata"), derived_id(record["record_id"], "conversion")
     lines = [f"via-status: {status}", *(f"via-header: {h}" for h in headers), *([f"via-concurrent-to: {record['concurrent_to']}"] if record["concurrent_to"] else [])]
