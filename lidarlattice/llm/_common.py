@@ -69,21 +69,24 @@ def map_text(df: DataFrame, per_slice: Callable[[pa.RecordBatch], dict], added:
 
     `per_slice` gets a record batch and returns {column: list or array} for `added`.
     Columns of `df` that have the name of an added one, in whatever case, are replaced by
-    it. Rows are neither moved nor dropped: the map is narrow, so a lost task just runs
-    again.
+    it; other names may be anything, dots and repeated ones included. Rows are neither moved
+    nor dropped: the map is narrow, so a lost task just runs again.
     """
     from pyspark.sql.pandas.types import to_arrow_schema
 
     new_names = {f.name.lower() for f in added.fields}
-    kept = [f for f in df.schema.fields if (keep_text or f.name != text_col) and (f.name.lower() not in new_names or f.name == text_col)]
-    schema = T.StructType(kept + list(added.fields))
+    names = [f.name for f in df.schema.fields]
+    kept = [i for i, c in enumerate(names) if (keep_text or c != text_col) and (c.lower() not in new_names or c == text_col)]
+    # columns go by position: a map resolves names, and those of a user may hold dots
+    plain = [f"c{i}" for i in range(len(names))]
+    schema = T.StructType([T.StructField(plain[i], df.schema.fields[i].dataType) for i in kept] + [T.StructField(f"n{i}", f.dataType) for i, f in enumerate(added.fields)])
     arrow = to_arrow_schema(schema)
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, text_col):
+            for part in slices(pa.RecordBatch.from_arrays(batch.columns, names=names), text_col):
                 new = per_slice(part)
-                columns = [part.column(f.name) for f in kept] + [pa.array(new[f.name], type=arrow.field(f.name).type) for f in added.fields]
+                columns = [part.column(i) for i in kept] + [pa.array(new[f.name], type=arrow.field(f"n{i}").type) for i, f in enumerate(added.fields)]
                 yield pa.RecordBatch.from_arrays([c.cast(arrow.field(i).type) for i, c in enumerate(columns)], schema=arrow)
 
-    return df.mapInArrow(run, schema)
+    return df.toDF(*plain).mapInArrow(run, schema).toDF(*[names[i] for i in kept], *added.names)

@@ -1,8 +1,8 @@
 """The registered queries of the text operators, and their SQL."""
 
-from lidarlattice.llm import decontaminate, html_extract, language_id, quality, sentencepiece_codec, sharding, simhash, toxicity, vectors, warc
+from lidarlattice.llm import byte_bpe, decontaminate, html_extract, language_id, quality, sentencepiece_codec, sharding, simhash, toxicity, vectors, warc
 
-MODULES = (decontaminate, html_extract, vectors, sharding, warc, language_id, simhash, quality, toxicity, sentencepiece_codec)
+MODULES = (decontaminate, html_extract, vectors, sharding, warc, language_id, simhash, quality, toxicity, sentencepiece_codec, byte_bpe)
 
 
 def queries() -> dict:
