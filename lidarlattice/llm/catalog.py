@@ -1,8 +1,8 @@
 """The registered queries of the text operators, and their SQL."""
 
-from lidarlattice.llm import byte_bpe, decontaminate, html_extract, language_id, quality, sentencepiece_codec, sharding, simhash, spelling, toxicity, vectors, warc
+from lidarlattice.llm import byte_bpe, collocations, decontaminate, html_extract, language_id, quality, sentencepiece_codec, sharding, simhash, spelling, toxicity, vectors, warc
 
-MODULES = (decontaminate, html_extract, vectors, sharding, warc, language_id, simhash, quality, toxicity, sentencepiece_codec, spelling, byte_bpe)
+MODULES = (decontaminate, html_extract, vectors, sharding, warc, language_id, simhash, quality, toxicity, sentencepiece_codec, collocations, spelling, byte_bpe)
 
 
 def queries() -> dict:
