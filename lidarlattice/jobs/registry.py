@@ -56,7 +56,7 @@ OUT = "cast(case when ok % 17 = 0 then 1 else 0 end as int)"
 _DEG = ", ".join(map(str, DEGRADE_OK))
 _NUM = lambda c: f"(case when isnan({c}) then null else {c} end)"
 L2 = (
-    f"coalesce(deg_flag in ({_DEG}), false) and l2b_algrun_flag = 1 and l2b_qflag_a0 = 1 and ls_waterp < 10 and urb_prop < 50 and not coalesce(leafoff_flag = 1, false) and loc_out_umd = 0 and {_NUM('pai_a0')} >= 0 and {_NUM('pai_l1')} >= 0 "
+    f"coalesce(deg_flag in ({_DEG}), false) and l2b_algrun_flag = 1 and l2b_qflag_a0 = 1 and ls_waterp < 10 and urb_prop < 50 and not (leafoff_flag = 1) and loc_out_umd = 0 and {_NUM('pai_a0')} >= 0 and {_NUM('pai_l1')} >= 0 "
     f"and {_NUM('pavd_0_5')} >= 0 and {_NUM('cover_a0')} between 0 and 1 and {_NUM('cover_l1')} between 0 and 1 and abs(elev_dem_tdx - elev_lm_a0) < 150"
 )
 L4 = f"l2_hqflag = 1 and l4a_algrun_flag = 1 and l4a_qflag_a0 = 1 and {_NUM('agbd_a0')} >= 0"
@@ -332,7 +332,7 @@ def bbox_filter(spark, d):
     return kept.select("shot_num", geo.in_bbox("lon_lm_a0", "lat_lm_a0", -112.1, 34.9, -112.0, 35.0, half_open=True).cast("int").alias("inner_box"))
 
 
-@register("clip_polygon", f"with {SHOTS} select shot_num from shots where lat_lm_a0 >= 34.9e0 and lat_lm_a0 < 35.1e0 and lon_lm_a0 > -112.1e0 and (lon_lm_a0 + 112.1e0) / 0.2e0 + (lat_lm_a0 - 34.9e0) / 0.2e0 < 1e0")
+@register("clip_polygon", f"with {SHOTS} select shot_num from shots where lat_lm_a0 >= 34.9e0 and lat_lm_a0 < 35.1e0 and lon_lm_a0 >= -112.1e0 and (lon_lm_a0 + 112.1e0) / 0.2e0 + (lat_lm_a0 - 34.9e0) / 0.2e0 < 1e0")
 def clip_polygon(spark, d):
     return shots(spark, d).where(geo.in_polygon("lon_lm_a0", "lat_lm_a0", [(-112.1, 34.9), (-111.9, 34.9), (-112.1, 35.1)])).select("shot_num")
 
@@ -340,7 +340,7 @@ def clip_polygon(spark, d):
 _TRIANGLES = "polys as (select n_nationkey as polygon_id, -112.15e0 + 0.06e0 * (n_nationkey % 5) as px, 34.85e0 + 0.06e0 * (n_nationkey // 5) as py from nation)"
 
 
-@register("clip_polygon_table", f"with {SHOTS}, {_TRIANGLES} select shot_num, polygon_id from shots, polys where lat_lm_a0 >= py and lat_lm_a0 < py + 0.07e0 and lon_lm_a0 > px and (lon_lm_a0 - px) / 0.07e0 + (lat_lm_a0 - py) / 0.07e0 < 1e0")
+@register("clip_polygon_table", f"with {SHOTS}, {_TRIANGLES} select shot_num, polygon_id from shots, polys where lat_lm_a0 >= py and lat_lm_a0 < py + 0.07e0 and lon_lm_a0 >= px and (lon_lm_a0 - px) / 0.07e0 + (lat_lm_a0 - py) / 0.07e0 < 1e0")
 def clip_polygon_table(spark, d):
     """Triangles that overlap a little: a shot may be in two."""
     corner = spark.read.parquet(f"{d}/nation.parquet").selectExpr("n_nationkey as polygon_id", "-112.15e0 + 0.06e0 * (n_nationkey % 5) as px", "34.85e0 + 0.06e0 * (n_nationkey div 5) as py")
@@ -390,9 +390,14 @@ def filter_l4a(spark, d):
     return quality.filter_l4a(l4a).join(fixed, "shot_num", "left").join(strict, "shot_num", "left").select("shot_num", F.coalesce("f", F.lit(0)).alias("fixed"), F.coalesce("s", F.lit(0)).alias("strict"))
 
 
-@register("hq_flags", f"with {SHOTS}, {FLAGS} select shot_num, l2_hqflag, l4a_hqflag from flagged")
+#: Some shots whose leaf flag is not known: their flags stay undecided.
+_NO_LEAF = "case when ok % 13 = 5 then null else leafoff_flag end"
+
+
+@register("hq_flags", f"with {SHOTS.replace('shots as (', 'all_shots as (')}, shots as (select * replace ({_NO_LEAF} as leafoff_flag) from all_shots), {FLAGS} select shot_num, l2_hqflag, l4a_hqflag from flagged")
 def hq_flags(spark, d):
-    return flagged(spark, d).select("shot_num", "l2_hqflag", "l4a_hqflag")
+    s = shots(spark, d).withColumn("leafoff_flag", F.expr(_NO_LEAF)).selectExpr("*", f"{OUT} as loc_out_umd")
+    return quality.hq_flags(s).select("shot_num", "l2_hqflag", "l4a_hqflag")
 
 
 @register("ground_veg_split", f"with {SHOTS}, {FLAGS} select 'ground' as part, count(*) as n from flagged where loc_out_umd = 0 union all select 'veg', count(*) from flagged where l2_hqflag = 1")
@@ -789,23 +794,39 @@ def w1_w2_chain(spark, d):
 _PROFILED = [c for c in src.SHOT if c not in ("shot_num", "beam", "date", "ok", "pk", "sk", "ln")]
 
 
-def _profile_sql(c: str) -> str:
+def _profile_sql(c: str, source: str = "shots", more: str = "") -> str:
     x = f"cast({c} as double)"
-    fin = f"({x} is not null and not isnan({x}) and abs({x}) < cast('inf' as double))"
+    here = f"({x} is not null and not isnan({x}))"
+    fin = f"({here} and abs({x}) < cast('inf' as double))"
     ok = f"({fin} and {x} <> -9999)"
     n = lambda e: f"count(case when {e} then 1 end)"
     v, f = f"(case when {ok} then {x} end)", f"(case when {fin} then {x} end)"
     quant = ", ".join(f"round(quantile_cont({v}, {p / 100}), 6) as p{p:02d}_valid" for p in (5, 25, 75, 95))
     return (
-        f"select {CHUNK} as chunk_id, '{c}' as field_name, count(*) as n_all, {n(f'{x} is not null and not isnan({x})')} as n_notna, {n(fin)} as n_notnafin, {n(ok)} as n_valid, {n(f'{x} = -9999')} as n_n9999, {n(f'{x} = 255')} as n_255, {n(f'{x} = 32767')} as n_32767, {n(f'{fin} and {x} < 0')} as n_neg, {n(f'{ok} and {x} < 0')} as n_neg_valid, "
-        f"min({f}) as min_fin, round(quantile_cont({f}, 0.5), 6) as med_fin, max({f}) as max_fin, min({v}) as min_valid, round(avg({v}), 6) as mean_valid, round(quantile_cont({v}, 0.5), 6) as med_valid, max({v}) as max_valid, round(stddev_samp({v}), 6) as sd_valid, {quant}, round(quantile_cont({v}, 0.75) - quantile_cont({v}, 0.25), 6) as iqr_valid from shots group by 1"
+        f"select {more}{CHUNK} as chunk_id, '{c}' as field_name, count(*) as n_all, {n(here)} as n_notna, {n(f'{here} and not {fin}')} as n_notnafin, {n(ok)} as n_valid, {n(f'{x} = -9999')} as n_n9999, {n(f'{x} = 255')} as n_255, {n(f'{x} = 32767')} as n_32767, {n(f'{fin} and {x} < 0')} as n_neg, {n(f'{ok} and {x} < 0')} as n_neg_valid, "
+        f"min({f}) as min_fin, round(quantile_cont({f}, 0.5), 6) as med_fin, max({f}) as max_fin, min({v}) as min_valid, round(avg({v}), 6) as mean_valid, round(quantile_cont({v}, 0.5), 6) as med_valid, max({v}) as max_valid, round(stddev_samp({v}), 6) as sd_valid, {quant}, round(quantile_cont({v}, 0.75) - quantile_cont({v}, 0.25), 6) as iqr_valid from {source} group by all"
     )
 
 
-@register("column_profile", f"with {SHOTS} " + " union all ".join(map(_profile_sql, _PROFILED)))
+_PROFILE_ROUNDED = ["med_fin", "mean_valid", "med_valid", "sd_valid", "p05_valid", "p25_valid", "p75_valid", "p95_valid", "iqr_valid"]
+#: A column with infinities of both signs, beside those with nulls, NaN and missing codes.
+_ENDLESS = "case when ok % 103 = 0 then cast('inf' as double) when ok % 107 = 0 then cast('-inf' as double) else sol_elev end"
+
+
+@register("column_profile", f"with {SHOTS}, endless as (select * replace ({_ENDLESS} as sol_elev) from shots) " + " union all ".join(_profile_sql(c, "endless") for c in _PROFILED))
 def column_profile(spark, d):
-    out = chunks.column_profile(chunks.with_chunk(shots(spark, d).select(*_PROFILED)))
-    return _rounded(out, ["med_fin", "mean_valid", "med_valid", "sd_valid", "p05_valid", "p25_valid", "p75_valid", "p95_valid", "iqr_valid"])
+    s = shots(spark, d).withColumn("sol_elev", F.expr(_ENDLESS))
+    return _rounded(chunks.column_profile(chunks.with_chunk(s.select(*_PROFILED))), _PROFILE_ROUNDED)
+
+
+_RECODED = ", ".join(f"case when {c} = {code} then -9999 else {c} end as {c}" for c, code in (dict.fromkeys(NODATA_255, 255) | dict.fromkeys(NODATA_32767, 32767)).items() if c in _PROFILED)
+_FAMILIES = {"ga": "loc_out_umd = 0", "va": "l2_hqflag = 1"}
+
+
+@register("export_profile", f"with {SHOTS}, {FLAGS}, recoded as (select * replace ({_RECODED}) from flagged), " + ", ".join(f"{k} as (select * from recoded where {w})" for k, w in _FAMILIES.items()) + " " + " union all ".join(_profile_sql(c, k, f"'{k}' as family, ") for k in _FAMILIES for c in _PROFILED))
+def export_profile(spark, d):
+    """Profiles of the exported ground and vegetation tables, after recoding."""
+    return _rounded(chunks.export_profile(chunks.with_chunk(flagged(spark, d)), _PROFILED), _PROFILE_ROUNDED)
 
 
 _TILE = "select ok % 200 as row, pk % 200 as col, ln as priority, max(case when sk % 5 = 0 then null else qty end) as value from k0 group by 1, 2, 3"

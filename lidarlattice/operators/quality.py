@@ -87,7 +87,7 @@ def hq_flags(df: DataFrame, remove: bool = False) -> DataFrame:
     number = nan_to_null
     l2 = (
         F.coalesce(F.col("deg_flag").isin(*DEGRADE_OK), F.lit(False)) & (F.col("l2b_algrun_flag") == 1) & (F.col("l2b_qflag_a0") == 1) & (F.col("ls_waterp") < 10) & (F.col("urb_prop") < 50)
-        & ~F.coalesce(F.col("leafoff_flag") == 1, F.lit(False)) & (F.col("loc_out_umd") == 0) & (number("pai_a0") >= 0) & (number("pai_l1") >= 0) & (number("pavd_0_5") >= 0)
+        & (F.col("leafoff_flag") != 1) & (F.col("loc_out_umd") == 0) & (number("pai_a0") >= 0) & (number("pai_l1") >= 0) & (number("pavd_0_5") >= 0)
         & number("cover_a0").between(0, 1) & number("cover_l1").between(0, 1) & (F.abs(F.col("elev_dem_tdx") - F.col("elev_lm_a0")) < 150)
     )
     df = df.withColumn("l2_hqflag", l2.cast("int"))

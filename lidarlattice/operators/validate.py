@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lidarlattice.operators.percentiles import percentiles
+
 THRESHOLDS = (2, *range(5, 55, 5))
 
 
@@ -73,9 +75,9 @@ def als_shannon(pixels: DataFrame, factor: int, low: float, high: float, steps:
 
 
 def shotcount_deciles(cells: DataFrame, count: str = "shots_count", width: int = 5) -> DataFrame:
-    """Percentiles 10 to 100 of the shot count, and a histogram of `width` shots: (kind, at, value)."""
+    """Percentiles 10 to 100 of the shot count, exact at any number of cells, and a histogram of `width` shots: (kind, at, value)."""
     tenths = [x / 10 for x in range(1, 11)]
-    deciles = cells.agg(F.percentile(count, F.array(*map(F.lit, tenths))).alias("p")).select(F.posexplode("p")).select(F.lit("percentile").alias("kind"), ((F.col("pos") + 1) * 10).cast("long").alias("at"), F.col("col").cast("double").alias("value"))
+    deciles = percentiles(cells, [], count, tenths).select(F.posexplode("percentiles")).select(F.lit("percentile").alias("kind"), ((F.col("pos") + 1) * 10).cast("long").alias("at"), F.col("col").cast("double").alias("value"))
     histogram = cells.groupBy((F.floor(F.col(count) / width) * width).cast("long").alias("at")).agg(F.count("*").cast("double").alias("value")).select(F.lit("histogram").alias("kind"), "at", "value")
     return deciles.unionByName(histogram)
 

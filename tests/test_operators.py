@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lidarlattice.functions import geo, metrics, names
-from lidarlattice.operators import chunks, gridding, joins, quality, validate, vector
+from lidarlattice.operators import chunks, gridding, joins, lineage, percentiles, quality, validate, vector
 from lidarlattice.schema import PAVD
 from lidarlattice.sources import files
 from lidarlattice.sources import shots as src
@@ -81,7 +81,7 @@ def test_filters_of_the_other_products(spark):
     assert quality.filter_l4a(rows).count() == 6 and quality.filter_l4a(rows, fix_sens=True).count() == 5 and quality.filter_l4a(rows, apply_algrun=True, apply_deg_flag=True, max_waterp=10, max_urban=50, leaf_on_only=True).count() == 4
 
 
-@pytest.mark.parametrize("change,l2,l4", [({}, 1, 1), ({"deg_flag": 4}, 0, 0), ({"deg_flag": None}, 0, 0), ({"pai_a0": float("nan")}, None, None), ({"pai_a0": -1.0}, 0, 0), ({"cover_a0": None}, None, None), ({"cover_a0": None, "l2b_qflag_a0": 0}, 0, 0), ({"leafoff_flag": 1}, 0, 0), ({"leafoff_flag": None}, 1, 1), ({"agbd_a0": -9999.0}, 1, 0), ({"agbd_a0": float("nan")}, 1, None), ({"loc_out_umd": 1}, 0, 0)])
+@pytest.mark.parametrize("change,l2,l4", [({}, 1, 1), ({"deg_flag": 4}, 0, 0), ({"deg_flag": None}, 0, 0), ({"pai_a0": float("nan")}, None, None), ({"pai_a0": -1.0}, 0, 0), ({"cover_a0": None}, None, None), ({"cover_a0": None, "l2b_qflag_a0": 0}, 0, 0), ({"leafoff_flag": 1}, 0, 0), ({"leafoff_flag": None}, None, None), ({"leafoff_flag": None, "l2b_qflag_a0": 0}, 0, 0), ({"agbd_a0": -9999.0}, 1, 0), ({"agbd_a0": float("nan")}, 1, None), ({"loc_out_umd": 1}, 0, 0)])
 def test_flags(spark, change, l2, l4):
     r = quality.hq_flags(table(spark, shot(**change))).first()
     assert (r["l2_hqflag"], r["l4a_hqflag"]) == (l2, l4)
@@ -196,6 +196,49 @@ def test_polygons_with_a_shared_edge(spark):
     assert sorted(r["shot_num"] for r in joins.clip_polygons(points, squares).collect()) == ["p", "q", "r"]
 
 
+PROBS = [0.0, 0.05, 0.25, 0.5, 0.75, 0.95, 1.0]
+
+
+@pytest.mark.parametrize("last,parts", [(10_000, 4096), (5, 7), (1, 4096)])
+@pytest.mark.parametrize("keys", [["g"], []])
+def test_percentiles_by_counting(spark, monkeypatch, last, parts, keys):
+    """The numbers of the built-in percentile, for values of every size, with ties, infinities, one value, and null keys."""
+    monkeypatch.setattr(percentiles, "LAST", last)
+    monkeypatch.setattr(percentiles, "PARTS", parts)
+    values = "case when id % 50 = 0 then null when id % 51 = 0 then double('NaN') when id % 53 = 0 then double('inf') when id % 54 = 0 then -double('inf') when id % 7 < 3 then -9999.0 when id % 7 = 3 then cast(id % 11 - 5 as double) else (rand(3) - 0.4) * pow(10, rand(4) * 600 - 300) end"
+    df = spark.range(3000).selectExpr("cast(id % 3 as int) as g", f"{values} as v").unionAll(spark.sql("select null, 1.5D union all select null, 2.5D union all select 9, null union all select 8, -0.0D union all select 8, 0.0D union all select 7, 4.9e-324D"))
+    df = lineage.cut(df)
+    want = {tuple(r[:-1]): r["p"] for r in df.where("v is not null and not isnan(v)").groupBy(*keys).agg(F.percentile("v", F.array(*map(F.lit, PROBS))).alias("p")).collect()}
+    got = {tuple(r[:-2]): r["percentiles"] for r in percentiles.percentiles(df, keys, "v", PROBS).collect()}
+    assert got == want and len(got) == (6 if keys else 1)
+    assert percentiles.percentiles(df.limit(0), keys, "v", PROBS).collect() == []
+
+
+def test_percentiles_of_one_large_group(spark):
+    """Values of one group are never brought together: the most that one task sorts is bounded."""
+    df = spark.range(400_000).selectExpr("double(pmod(id * 7919, 400009)) * 1.5 as v")
+    got = percentiles.percentiles(df, [], "v", PROBS).first()
+    assert got["n"] == 400_000 and got["percentiles"] == df.agg(F.percentile("v", F.array(*map(F.lit, PROBS)))).first()[0]
+
+
+def test_column_profile_of_all_kinds_of_values(spark):
+    """By hand, with codes between smaller and greater values, and a column without any."""
+    values = [1.0, 2.5, -3.0, -9999.0, -9999.0, -20000.0, float("inf"), float("-inf"), float("nan"), None, 255.0, 32767.0, 0.0]
+    df = spark.createDataFrame([("a", v, None) for v in values] + [("b", None, 4)], "chunk_id string, v double, w int")
+    rows = {(r["chunk_id"], r["field_name"]): r for r in chunks.column_profile(df).collect()}
+    r, valid = rows["a", "v"], np.array([1.0, 2.5, -3.0, -20000.0, 255.0, 32767.0, 0.0])
+    fin = np.r_[valid, -9999.0, -9999.0]
+    assert [r[c] for c in "n_all n_notna n_notnafin n_valid n_n9999 n_255 n_32767 n_neg n_neg_valid".split()] == [13, 11, 2, 7, 2, 1, 1, 4, 2]
+    assert (r["min_fin"], r["med_fin"], r["max_fin"]) == (-20000.0, np.median(fin), 32767.0) and (r["min_valid"], r["max_valid"]) == (-20000.0, 32767.0)
+    for p, c in ((5, "p05_valid"), (25, "p25_valid"), (50, "med_valid"), (75, "p75_valid"), (95, "p95_valid")):
+        assert r[c] == pytest.approx(np.percentile(valid, p))
+    assert r["mean_valid"] == pytest.approx(valid.mean()) and r["sd_valid"] == pytest.approx(valid.std(ddof=1)) and r["iqr_valid"] == pytest.approx(r["p75_valid"] - r["p25_valid"])
+    for key in (("a", "w"), ("b", "v")):
+        assert rows[key]["n_valid"] == 0 and all(rows[key][c] is None for c in ("min_fin", "med_fin", "mean_valid", "sd_valid", "med_valid", "iqr_valid"))
+    one_value = rows["b", "w"]
+    assert (one_value["med_valid"], one_value["sd_valid"], one_value["p95_valid"]) == (4.0, None, 4.0)
+
+
 def test_mosaics(spark):
     tiles = spark.createDataFrame([(1, 1, 1, 5.0), (1, 1, 2, None), (1, 1, 3, float("nan")), (2, 2, 1, 7.0), (2, 2, 2, 8.0), (3, 3, 1, None)], "row int, col int, p int, v double")
     assert sorted((r["row"], r["v"]) for r in chunks.union_tiles(tiles, ["row", "col"], "v", "p").collect()) == [(1, 5.0), (2, 8.0), (3, -9999.0)]
