@@ -1,19 +1,25 @@
 """Grouping of spelling variants by a rare-first prefix filter over positional bigrams.
 
 Two words that differ by one inserted, deleted or replaced character share all but two of
-either's bigrams, each at the same place or one further along, in the same order. Order all
-bigrams of a word by (frequency of the bigram among the words, bigram, place). The matched
-bigrams of two near words come in the same order in both, and at most two unmatched ones
-stand before the first of them; so that one is among the three first of either word. It
-is enough, then, to join the three rarest bigrams of each word with the three rarest of the
-others, at places and lengths that one edit allows, and to verify what meets:
-
-* words of equal length: the same bigram at the same place;
-* a word and one that is longer by one: the same bigram at the same place or the next.
-
-The lengths, bigram and place make one key of an equi-join, in which rare bigrams keep
-groups small, and Spark splits what stays skewed. Frequencies are those of whole bigrams,
-of which there are 90 x 90 at most, so the order is a table of bounded size.
+either's bigrams (all but one of the shorter word's), each at the same place or one further
+along, in the same order. Order all bigrams of a word by (frequency of the bigram among the
+words, bigram, place). The matched bigrams of two near words come in the same order in both,
+and only unmatched ones, which touch the edit, stand before the first of them. So that one is
+among the three first of either word, and among the two first of a word that lacks a
+character; and it comes third only if the two before it are neighbours.
+
+What stands before it says on which side of it the edit is, and all of the word on the other
+side is the same in both. So the rarest bigrams are joined on the word's length, the side,
+the place and that whole part of the word, which ends or starts with the bigram:
+
+* words of equal length: the same part at the same place;
+* a word and one that is longer by one: the same part at the same place if it leads up to the
+  bigram, and at the next place if it follows.
+
+Where nothing stands before the bigram the edit may be on either side, and both parts are
+joined. What meets is verified. Rare bigrams and whole parts keep the groups small, and
+Spark splits what stays skewed. Frequencies are those of whole bigrams, of which there are
+90 x 90 at most, so the order is a table of bounded size.
 
 Counting words is a narrow map with a bounded table of counts in each task, and one sum.
 """
@@ -25,6 +31,7 @@ from collections import Counter
 from zlib import crc32
 
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -96,21 +103,42 @@ def bigram_order(words: DataFrame) -> list[str]:
     return [r["gram"] for r in grams.groupBy("gram").agg(F.count("*").alias("n")).orderBy("n", "gram").collect()]
 
 
-def rare_grams(words: DataFrame, order: list[str]) -> DataFrame:
-    """(word, n, size, gram, at): the PREFIX rarest bigrams of each word, by their rank in `order`, with their places."""
-    schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("size", pa.int32()), ("gram", pa.int32()), ("at", pa.int32())])
+def rare_parts(word: str, rank: dict[str, int], most: int = PREFIX) -> list[tuple[str, int, str]]:
+    """(side, place, part) of the `most` rarest bigrams of a word: the part up to each, for an edit after it ("<"), and from it on, for one before it (">")."""
+    grams = sorted((rank[word[i : i + 2]], i) for i in range(len(word) - 1))[:most]
+    places = [i for _, i in grams]
+    out = []
+    for k, i in enumerate(places):
+        if k == 2 and abs(places[0] - places[1]) > 1:  # one edit cannot spoil both
+            break
+        before = places[:k]
+        if all(j > i for j in before):
+            out.append(("<", i, word[: i + 2]))
+        if all(j < i for j in before):
+            out.append((">", i, word[i:]))
+    return out
+
+
+def part_keys(words: DataFrame, order: list[str], asks: bool) -> DataFrame:
+    """(word, n, key): 64-bit keys of a word's parts, those under which it is found, or those under which it asks for words as long as itself or longer by one."""
+    schema = pa.schema([("word", pa.string()), ("n", pa.int64()), ("key", pa.int64())])
+
+    def hashed(size, side, at, part):
+        return xxhash.xxh3_64_intdigest(f"{size}{side}{at} {part}".encode()) - (1 << 63)
 
     def run(batches):
         rank = {g: i for i, g in enumerate(order)}
         for batch in batches:
             rows = []
             for word, n in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                grams = sorted((rank[word[i : i + 2]], i) for i in range(len(word) - 1))
-                rows += [(word, n, len(word), g, i) for g, i in grams[:PREFIX]]
-            columns = zip(*rows, strict=True) if rows else [[]] * 5
+                size = len(word)
+                rows += [(word, n, hashed(size, *p)) for p in rare_parts(word, rank)]
+                if asks:
+                    rows += [(word, n, hashed(size + 1, side, at + (side == ">"), part)) for side, at, part in rare_parts(word, rank, PREFIX - 1)]
+            columns = zip(*rows, strict=True) if rows else [[]] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
-    return words.select("word", "n").mapInArrow(run, "word string, n long, size int, gram int, at int")
+    return words.select("word", "n").mapInArrow(run, "word string, n long, key long")
 
 
 def near_pairs(words: DataFrame) -> DataFrame:
@@ -119,11 +147,10 @@ def near_pairs(words: DataFrame) -> DataFrame:
     words: (word, n), each word once, of four characters or more (shorter ones have too few
     bigrams for the filter).
     """
-    rare = rare_grams(words, bigram_order(words))
-    key = lambda size, at: F.struct((F.col("size") + size).alias("size"), "gram", (F.col("at") + at).alias("at"))
-    asks = rare.select("word", "n", F.explode(F.array(key(0, 0), key(1, 0), key(1, 1))).alias("k")).select("word", "n", "k.*")
-    has = rare.select(F.col("word").alias("near"), F.col("n").alias("near_n"), "size", "gram", "at")
-    met = asks.join(has, ["size", "gram", "at"])
+    order = bigram_order(words)
+    asks = part_keys(words, order, asks=True)
+    has = part_keys(words, order, asks=False).select(F.col("word").alias("near"), F.col("n").alias("near_n"), "key")
+    met = asks.join(has, "key")
     # equal lengths meet from both sides and count from one, as the pairs are turned round below
     met = met.where((F.length("word") < F.length("near")) | (F.col("word") < F.col("near")))
     near = met.where(F.levenshtein("word", "near", 1) == 1).select("word", "n", "near", "near_n").distinct()
