@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -10,9 +11,9 @@ from pyspark.sql import functions as F
 
 from lidarlattice.functions import geo, metrics, names
 from lidarlattice.jobs import workloads
-from lidarlattice.operators import chunks, gridding, joins, quality, validate, vector
+from lidarlattice.operators import chunks, cover, gridding, joins, quality, validate, vector
 from lidarlattice.schema import BINS, COVERAGE_BEAMS, DEGRADE_OK, NODATA_255, NODATA_32767, PAVD, POWER_BEAMS, RH_VALUES, WINDOWS
-from lidarlattice.sources import extract, files
+from lidarlattice.sources import extract, files, stores, zones
 from lidarlattice.sources import shots as src
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -285,6 +286,41 @@ def granule_bbox_query(spark, d):
 register("granule_bbox_query_all", _BBOX)(granule_bbox_query)
 
 
+_BOXES = "select c_custkey as box_id, -112.15e0 + 0.28e0 * ((c_custkey * 7919) % 1009) / 1009e0 as xmin, 34.85e0 + 0.28e0 * ((c_custkey * 104729) % 1013) / 1013e0 as ymin, 0.00001e0 * power(2, c_custkey % 14) as side from customer"
+
+
+@register("granule_boxes_query", f"with {SHOTS}, c as (select orbit, ln, min(lon_lm_a0) as xmin, max(lon_lm_a0) as xmax, min(lat_lm_a0) as ymin, max(lat_lm_a0) as ymax from shots group by orbit, ln, pk % 10), b as ({_BOXES}) select box_id, orbit, count(*) as n from b join c on c.xmin <= b.xmin + side and c.xmax >= b.xmin and c.ymin <= b.ymin + side and c.ymax >= b.ymin group by all")
+def granule_boxes_query(spark, d):
+    """Boxes of many sizes, one for each customer, against the extents of parts of orbits, from points up."""
+    span = {c: f(p) for p, x in (("lon_lm_a0", "x"), ("lat_lm_a0", "y")) for f, c in ((F.min, f"{x}min"), (F.max, f"{x}max"))}
+    catalog = shots(spark, d).groupBy("orbit", "ln", F.expr("pk % 10").alias("part")).agg(*[c.alias(n) for n, c in span.items()])
+    spark.read.parquet(f"{d}/customer.parquet").createOrReplaceTempView("customer")
+    boxes = spark.sql(_BOXES).selectExpr("box_id", "xmin", "ymin", "xmin + side as xmax", "ymin + side as ymax")
+    return joins.granule_boxes_query(catalog, boxes, "orbit").groupBy("box_id", "orbit").agg(F.count("*").alias("n"))
+
+
+@register("checksum_files", "with t as (select doc_id, md5(coalesce(text, '')) as md5 from documents), f as (select doc_id, md5 as found from t where doc_id % 11 <> 0), m as (select doc_id, case when doc_id % 7 = 0 then 'x' else md5 end as want from t where doc_id % 13 <> 0) select coalesce(f.doc_id, m.doc_id) as name, case when want is null then 'unlisted' when found is null then 'missing' when found = want then 'ok' else 'changed' end as status from f full join m on f.doc_id = m.doc_id")
+def checksum_files(spark, d):
+    """Every document as a file of its own but for some, against a list of which some entries are wrong and some are not there."""
+    folder = re.sub("^file:/+", "/", files.shared_folder(spark))
+    texts = spark.read.parquet(f"{d}/documents.parquet").select("doc_id", F.coalesce("text", F.lit("")).alias("text"), F.concat(F.lit(f"{folder}/"), "doc_id", F.lit(".txt")).alias("path"))
+
+    def write(batches):
+        import pyarrow.fs
+
+        pyarrow.fs.LocalFileSystem().create_dir(folder)
+        for pdf in batches:
+            for path, text in zip(pdf["path"], pdf["text"], strict=True):
+                with pyarrow.fs.LocalFileSystem().open_output_stream(path) as out:
+                    out.write(text.encode())
+            yield pdf[["path"]]
+
+    texts.where("doc_id % 11 <> 0").mapInPandas(write, "path string").write.format("noop").mode("overwrite").save()
+    manifest = texts.where("doc_id % 13 <> 0").select("path", F.when(F.col("doc_id") % 7 == 0, "x").otherwise(F.md5("text")).alias("md5"))
+    there = spark.read.format("binaryFile").load(f"file://{folder}").select(F.regexp_replace("path", "^file:/+", "/").alias("path"))
+    return stores.audit_files(manifest, there).select(F.regexp_extract("path", r"(\d+)\.txt$", 1).cast("long").alias("name"), "status")
+
+
 # -- projection and cells --------------------------------------------------------------------
 
 
@@ -348,6 +384,22 @@ def clip_polygon_table(spark, d):
     return joins.polygon_tag(shots(spark, d).select("shot_num", "lon_lm_a0", "lat_lm_a0"), polygons).select("shot_num", "polygon_id")
 
 
+_AROUND = "select c_custkey as polygon_id, -112.15e0 + 0.3e0 * ((c_custkey * 7919) % 1009) / 1009e0 as cx, 34.85e0 + 0.3e0 * ((c_custkey * 104729) % 1013) / 1013e0 as cy, 0.004e0 + 0.001e0 * (c_custkey % 7) as r from customer"
+#: Of each polygon: a diamond, a square hole in it, and a triangle beside it, as corners in radii from the middle.
+_RINGS = [[(1.0, 0.0), (0.0, 1.0), (-1.0, 0.0), (0.0, -1.0)], [(-0.25, -0.25), (0.25, -0.25), (0.25, 0.25), (-0.25, 0.25)], [(1.2, 0.0), (1.6, 0.0), (1.2, 0.4)]]
+_CORNER = lambda p: (f"cx + {lit(p[0])} * r", f"cy + {lit(p[1])} * r")
+_SIDES = ", ".join("{{'x1': {}, 'y1': {}, 'x2': {}, 'y2': {}}}".format(*_CORNER(a), *_CORNER(b)) for ring in _RINGS for a, b in zip(ring, ring[1:] + ring[:1], strict=True))
+
+
+@register("clip_polygon_holes", f"with {SHOTS}, polys as ({_AROUND}), sides as (select polygon_id, s.* from (select polygon_id, unnest([{_SIDES}]) as s from polys)), near as (select shot_num, polygon_id, lon_lm_a0 as px, lat_lm_a0 as py from shots join polys on lon_lm_a0 between cx - 2 * r and cx + 2 * r and lat_lm_a0 between cy - 2 * r and cy + 2 * r) select shot_num, polygon_id from near join sides using (polygon_id) where (y1 > py) <> (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1 group by all having count(*) % 2 = 1")
+def clip_polygon_holes(spark, d):
+    """A polygon for each customer, of three rings, one of them a hole; they overlap."""
+    spark.read.parquet(f"{d}/customer.parquet").createOrReplaceTempView("customer")
+    rings = ", ".join("array({})".format(", ".join("named_struct('x', {}, 'y', {})".format(*_CORNER(p)) for p in ring)) for ring in _RINGS)
+    polygons = spark.sql(_AROUND).selectExpr("polygon_id", f"array({rings}) as rings")
+    return cover.polygon_tag(shots(spark, d).select("shot_num", "lon_lm_a0", "lat_lm_a0"), polygons).select("shot_num", "polygon_id")
+
+
 @register("perc_cover", f"with {VEG}, n as (select {cell_sql(6000)[0]} as row, {cell_sql(6000)[1]} as col, count(*) as n from veg group by all) select row, col, round(n * 490.8738521234052e0 / 36000000e0 * 100, 9) as perccover from n")
 def perc_cover(spark, d):
     n = gridding.with_cell(veg(spark, d), 6000).groupBy("row", "col").agg(F.count("*").alias("n"))
@@ -464,6 +516,16 @@ def join_l2_l4a(spark, d):
     return joins.join_shots(joins.join_shots(a, b, ["shot_num"]), c, ["shot_num"]).select("shot_num", "rh_98_a0", "cover_l1", "agbd_a0")
 
 
+@register("join_bucketed", f"with {SHOTS} select shot_num, rh_98_a0, cover_l1, agbd_a0 from shots where pk % 10 <> 3 and sk % 7 <> 5")
+def join_bucketed(spark, d):
+    """The three products stored in buckets of shots, and joined without an exchange."""
+    path, names_ = files.shared_folder(spark), []
+    for product, df in zip(("l2a", "l2b", "l4a"), src.products(spark, d), strict=True):
+        names_.append(f"{product}_{uuid.uuid4().hex}")
+        stores.write_bucketed(df, names_[-1], f"{path}/{product}", buckets=16)
+    return stores.join_bucketed(spark, names_).select("shot_num", "rh_98_a0", "cover_l1", "agbd_a0")
+
+
 _R72, _C72 = cell_sql(72000, PX, PY)
 TAGGED = f"t0 as (select *, {_R72} as r72, {_C72} as c72 from shots), tagged as (select *, 'r' || cast(r72 as varchar) || 'c' || cast(c72 as varchar) as grid_id, cast(orbit as varchar) || cast(sub_orbit as varchar) || '-r' || cast(r72 as varchar) || 'c' || cast(c72 as varchar) as orbit_grid from t0 where c72 <> (select max(c72) from t0))"
 
@@ -535,6 +597,14 @@ def window_join(spark, d):
     return joins.window_join(shots(spark, d).select("shot_num", "date"), src.windows(spark, WINDOWS)).groupBy("win").agg(F.count("*").alias("n"), F.countDistinct("shot_num").alias("shots"))
 
 
+@register("window_join_many", f"with {SHOTS}, w as (select o_orderkey as win, cast(o_orderdate + INTERVAL 24 YEAR as date) as first_day, cast(o_orderdate + INTERVAL 24 YEAR as date) + cast(o_orderkey % 400 - 5 as int) as last_day from orders), n as (select date, count(*) as n, sum(elev_lm_a0) as e from shots group by date) select win, cast(sum(n) as bigint) as n, round(sum(e) / sum(n), 6) as elev from n join w on date between first_day and last_day group by win")
+def window_join_many(spark, d):
+    """A window for each order, from none to 394 days long, and the shots in each."""
+    w = spark.read.parquet(f"{d}/orders.parquet").selectExpr("o_orderkey as win", "add_months(cast(o_orderdate as date), 288) as first_day", "date_add(add_months(cast(o_orderdate as date), 288), cast(o_orderkey % 400 - 5 as int)) as last_day")
+    days = shots(spark, d).groupBy("date").agg(F.count("*").alias("n"), F.sum("elev_lm_a0").alias("e"))
+    return joins.window_join(days, w).groupBy("win").agg(F.sum("n").alias("n"), F.round(F.sum("e") / F.sum("n"), 6).alias("elev"))
+
+
 @register("metric_date_pairs", f"with {SHOTS}, {WIN}, m as (select distinct 'rh_' || cast(l as varchar) || '_a0' as metric from (select unnest([25, 50, 75, 95, 98, 100]) as l) where exists (select 1 from shots where rh_100_a0 > 0)), r as (select distinct win from shots join windows on date between first_day and last_day) select metric, win from m, r")
 def metric_date_pairs(spark, d):
     """The metrics that the shots have values of, with each window that holds shots."""
@@ -1112,3 +1182,91 @@ def cell_resolution(spark, d):
         cells = s.select(geo.cell_row(y, grid).alias("row"), geo.cell_col(x, grid).alias("col")).distinct()
         parts.append(cells.select(F.lit(metres).alias("res"), F.lit(float(grid.cell_area)).alias("area"), "row", "col"))
     return parts[0].unionByName(parts[1])
+
+
+# -- what a job reports, stored products, updates, sketches, group functions ------------------
+
+_STEPS = {
+    "l2a": "select count(*) as n from shots", "l2a_kept": f"select count(*) from shots where {F2A}", "l2b": "select count(*) from shots where pk % 10 <> 3", "l2b_kept": f"select count(*) from shots where pk % 10 <> 3 and {_BASE} and {_TALL} and l2a_qflag_a0 = 1",
+    "l4a": "select count(*) from shots where sk % 7 <> 5", "l4a_kept": f"select count(*) from shots where sk % 7 <> 5 and {_BASE} and sens_a2 > 0.9e0 and sens_a2 <= 1e0 and l2a_qflag_a0 = 1", "l2_joined": f"select count(*) from shots where {F2A} and pk % 10 <> 3",
+    "joined": f"select count(*) from shots where {F2A} and pk % 10 <> 3 and sk % 7 <> 5", "on_grid": f"select count(*) from tagged where {F2A} and pk % 10 <> 3 and sk % 7 <> 5", "in_chunks": f"select count(*) from tagged where {F2A} and pk % 10 <> 3 and sk % 7 <> 5",
+}
+
+
+@register("condition_counts", f"with {SHOTS}, {TAGGED} " + " union all ".join(f"select '{k}' as step, n from ({q}) as s(n)" for k, q in _STEPS.items()))
+def condition_counts(spark, d):
+    """Rows after each step of conditioning, counted by the one job that conditions them."""
+    counts, (a, b, c) = workloads.StepCounts(), src.products(spark, d)
+    out = workloads.condition_shots(a, b, c, coarse_cells(spark, d), outlier_list(spark, d), max_dem_diff=None, counts=counts)
+    out.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(list(counts.rows().items()), "step string, n long")
+
+
+_COMPLETE = " and ".join(f"{c} is not null" for c in workloads.NEEDED)
+#: Some shots that lack their position, date or orbit.
+_LACKS = {"lon_lm_a0": "case when ok % 59 = 1 then null else lon_lm_a0 end", "date_dec": "case when ok % 61 = 2 then null else date_dec end", "orbit": "case when ok % 67 = 3 then null else orbit end"}
+
+
+@register("split_counts", f"with {SHOTS.replace('shots as (', 'all_shots as (')}, shots as (select * replace ({', '.join(f'{e} as {c}' for c, e in _LACKS.items())}) from all_shots), {FLAGS} select 'shots' as step, count(*) as n from flagged union all select 'complete', count(*) from flagged where {_COMPLETE} union all select 'ground', count(*) from flagged where {_COMPLETE} and loc_out_umd = 0 union all select 'high_quality', count(*) from flagged where {_COMPLETE} and l2_hqflag = 1")
+def split_counts(spark, d):
+    """Rows at each step from flagged shots to ground and high-quality ones, without those that lack what gridding needs."""
+    counts = workloads.StepCounts()
+    s = shots(spark, d).withColumns({c: F.expr(e) for c, e in _LACKS.items()}).selectExpr("*", f"{OUT} as loc_out_umd")
+    ground, vegetation = workloads.split_shots(quality.hq_flags(s), counts)
+    family = lambda df: df.groupBy().agg(F.count("*").alias("n"))
+    vegetation.write.format("noop").mode("overwrite").save()
+    rows = [(k, counts.rows_of(k)) for k in ("shots", "complete", "high_quality")]
+    return spark.createDataFrame([*rows, ("ground", family(ground).first()["n"])], "step string, n long")
+
+
+def _step(v):
+    """Mean change from one value to the next, in time; None for one value."""
+    return float(abs(v[1:] - v[:-1]).mean()) if len(v) > 1 else None
+
+
+_STEP_SQL = f"sq as (select win, {cell_sql(6000)[0]} as row, {cell_sql(6000)[1]} as col, abs(cover_a0 - lag(cover_a0) over (partition by win, {cell_sql(6000)[0]}, {cell_sql(6000)[1]} order by date_dec, shot_num)) as change from firsts where {VALID('cover_a0')}), sp as (select win, row, col, round(avg(change), 6) as step from sq group by all)"
+
+
+@register("stat_group_function", f"with {FIRST}, {_STEP_SQL}, {_bse_sql('cover_a0', 6000)}, g as ({_stats_sql('cover_a0', 6000)}) select win, row, col, metric, mean, countf, meanbse, step from g join sp using (win, row, col) join bse using (win, row, col)")
+def stat_group_function(spark, d):
+    """A user's own function of a cell's values, in time order, and the subsample error, beside built-in aggregates, in one call."""
+    cells = gridding.with_cell(firsts(spark, d, ["cover_a0"]), 6000)
+    out = gridding.grid_stats(cells, ["cover_a0"], stats={"mean": F.avg, "countf": F.count}, functions={"meanbse": vector.subsample_error, "step": _step}, order=["date_dec", "shot_num"])
+    return _rounded(gridding.mask_single(out), ["mean", "meanbse", "step"])
+
+
+@register("update_chunks", f"with {SHOTS} select {CHUNK} as chunk_id, count(*) as n, count(distinct shot_num) as shots, round(sum(elev_lm_a0), 2) as elev from shots group by 1")
+def update_chunks(spark, d):
+    """Chunk tables written in two runs, of which the second brings more granules, hold what one run would have written."""
+    path, s = files.shared_folder(spark), chunks.with_chunk(shots(spark, d).select("shot_num", "orbit", "lon_lm_a0", "lat_lm_a0", "elev_lm_a0")).withColumnRenamed("orbit", "granule")
+    for part in (s.where("granule % 3 <> 1"), s, s):
+        stores.update_chunks(part, f"{path}/chunks", f"{path}/manifest")
+    return spark.read.parquet(f"{path}/chunks").groupBy("chunk_id").agg(F.count("*").alias("n"), F.countDistinct("shot_num").alias("shots"), F.round(F.sum("elev_lm_a0"), 2).alias("elev"))
+
+
+_BOX_OF_CELLS = (2760, 6536, 2775, 6556)
+
+
+@register("grid_box", f"with {FIRST} select * from ({_stats_sql('rh_98_a0', 1000)}) where row between {_BOX_OF_CELLS[0]} and {_BOX_OF_CELLS[2]} and col between {_BOX_OF_CELLS[1]} and {_BOX_OF_CELLS[3]}")
+def grid_box(spark, d):
+    """Cells of a box, read back from grids that are stored by zones."""
+    path = files.shared_folder(spark)
+    files.write_grid(_stats(spark, d, 1000, ["rh_98_a0"]).withColumns({"family": F.lit("vf"), "res": F.lit(1000)}), path)
+    return zones.read_box(spark, path, *_BOX_OF_CELLS).drop("family", "res")
+
+
+_UNIQ = "count(date_dec) as shots_count, count(distinct orbit) as orbits_uniq, count(distinct cast(orbit as varchar) || '-' || beam) as tracks_uniq"
+
+
+@register("count_sketches", f"with {VEG} " + " union all ".join(f"select {res} as res, win, {cell_sql(res)[0]} as row, {cell_sql(res)[1]} as col, {_UNIQ}, true as orbits_near, true as tracks_near from veg group by all" for res in (1000, 6000, 12000)))
+def count_sketches(spark, d):
+    """Exact counts beside those estimated from sketches of 1 km cells, merged for wider ones: whether each estimate lies within four standard errors."""
+    v, limit = veg(spark, d), 4 * 1.04 / 2 ** (gridding.SKETCH_BITS / 2)
+    fine, out = gridding.count_sketches(v, 1000), None
+    for res in (1000, 6000, 12000):
+        exact = gridding.cell_counts(gridding.with_cell(v, res))
+        near = gridding.estimates(gridding.merge_sketches(fine, res // 1000)).withColumnsRenamed({"orbits_uniq": "o", "tracks_uniq": "t", "shots_count": "n"})
+        close = lambda e, c: F.abs(F.col(e) - F.col(c)) <= limit * F.col(c)
+        part = exact.join(near, ["win", "row", "col"]).select(F.lit(res).alias("res"), "win", "row", "col", F.col("n").alias("shots_count"), "orbits_uniq", "tracks_uniq", close("o", "orbits_uniq").alias("orbits_near"), close("t", "tracks_uniq").alias("tracks_near"))
+        out = part if out is None else out.unionByName(part)
+    return out

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from lidarlattice.functions import geo
@@ -10,24 +10,60 @@ from lidarlattice.functions.metrics import nan_to_null, with_metrics
 from lidarlattice.operators.chunks import with_chunk
 from lidarlattice.operators.gridding import CELL, cell_counts, first_shot_per_fine_cell, grid_stats, mask_single, shannon_of, with_cell, with_xy
 from lidarlattice.operators.joins import grid_tag, join_shots, outlier_flag, window_join
-from lidarlattice.operators.quality import filter_l2a, filter_l2b, filter_l4a, hq_flags
-from lidarlattice.operators.vector import nearest_neighbour_index, subsample_errors
+from lidarlattice.operators.quality import drop_missing, filter_l2a, filter_l2b, filter_l4a, ground_veg_split, hq_flags
+from lidarlattice.operators.vector import nearest_neighbour_index, subsample_error
 from lidarlattice.schema import BINS, RESOLUTIONS
 
 
-def condition_shots(l2a: DataFrame, l2b: DataFrame, l4a: DataFrame, cells: DataFrame, outliers: DataFrame, max_dem_diff: float | None = 150) -> DataFrame:
+#: What every gridded shot must have: position, elevation, date and orbit.
+NEEDED = ("lon_lm_a0", "lat_lm_a0", "elev_lm_a0", "date_dec", "orbit")
+
+
+class StepCounts:
+    """Rows after each step of a job, counted by the job itself.
+
+    `note` marks a step; once an action has run on what came of it, `rows` gives the counts.
+    They cost no pass of their own. A task that runs again after a loss may count its rows
+    twice; the rows themselves are not affected.
+    """
+
+    def __init__(self):
+        self.steps: dict[str, Observation] = {}
+
+    def note(self, df: DataFrame, step: str) -> DataFrame:
+        self.steps[step] = Observation(step)
+        return df.observe(self.steps[step], F.count(F.lit(1)).alias("n"))
+
+    def rows_of(self, step: str) -> int:
+        return self.steps[step].get["n"]
+
+    def rows(self) -> dict[str, int]:
+        return {step: self.rows_of(step) for step in self.steps}
+
+
+def condition_shots(l2a: DataFrame, l2b: DataFrame, l4a: DataFrame, cells: DataFrame, outliers: DataFrame, max_dem_diff: float | None = 150, counts: StepCounts | None = None) -> DataFrame:
     """Filter each product, join on the shot, tag the coarse cell, flag outliers and quality, derive metrics, name the chunk.
 
     Filters run before the joins, the products are joined on the shot id, and everything
     after the joins is narrow but for the small tables of cells and outliers. `max_dem_diff`
-    is the second product's limit (None where its table has no elevation model).
+    is the second product's limit (None where its table has no elevation model). `counts`
+    takes the number of rows after each step, in the same job.
     """
-    a = filter_l2a(l2a, apply_deg_flag=False, max_waterp=None, max_urban=None)
-    b = filter_l2b(l2b, apply_l2b_qflag=False, apply_algrun=False, apply_deg_flag=False, max_dem_diff=max_dem_diff, max_waterp=None, max_urban=None)
-    c = filter_l4a(l4a, apply_l4a_qflag=False)
-    joined = join_shots(join_shots(a, b, ["shot_num", "lon_lm_a0", "lat_lm_a0"]), c, ["shot_num"])
-    flagged = hq_flags(outlier_flag(grid_tag(joined.withColumn("elev_diff_dem", F.col("elev_dem_tdx") - F.col("elev_lm_a0")), cells), outliers))
-    return with_chunk(with_metrics(flagged))
+    note = counts.note if counts else lambda df, step: df
+    a = note(filter_l2a(note(l2a, "l2a"), apply_deg_flag=False, max_waterp=None, max_urban=None), "l2a_kept")
+    b = note(filter_l2b(note(l2b, "l2b"), apply_l2b_qflag=False, apply_algrun=False, apply_deg_flag=False, max_dem_diff=max_dem_diff, max_waterp=None, max_urban=None), "l2b_kept")
+    c = note(filter_l4a(note(l4a, "l4a"), apply_l4a_qflag=False), "l4a_kept")
+    joined = note(join_shots(note(join_shots(a, b, ["shot_num", "lon_lm_a0", "lat_lm_a0"]), "l2_joined"), c, ["shot_num"]), "joined")
+    tagged = note(grid_tag(joined.withColumn("elev_diff_dem", F.col("elev_dem_tdx") - F.col("elev_lm_a0")), cells), "on_grid")
+    return note(with_chunk(with_metrics(hq_flags(outlier_flag(tagged, outliers)))), "in_chunks")
+
+
+def split_shots(shots: DataFrame, counts: StepCounts | None = None) -> tuple[DataFrame, DataFrame]:
+    """Ground and high-quality shots of flagged ones, without those that lack position, date or orbit; `counts` takes the rows at each step."""
+    note = counts.note if counts else lambda df, step: df
+    complete = note(drop_missing(note(shots, "shots"), list(NEEDED)), "complete")
+    ground, veg = ground_veg_split(complete)
+    return note(ground, "ground"), note(veg, "high_quality")
 
 
 def with_flagged_biomass(shots: DataFrame) -> DataFrame:
@@ -36,13 +72,13 @@ def with_flagged_biomass(shots: DataFrame) -> DataFrame:
 
 
 def windowed_veg(shots: DataFrame, windows: DataFrame) -> DataFrame:
-    """High-quality shots with projected coordinates, a row per window that holds them."""
-    return window_join(with_xy(hq_flags(shots).where("l2_hqflag = 1")), windows)
+    """Complete high-quality shots with projected coordinates, a row per window that holds them."""
+    return window_join(with_xy(drop_missing(hq_flags(shots).where("l2_hqflag = 1"), list(NEEDED))), windows)
 
 
 def windowed_ground(shots: DataFrame, windows: DataFrame) -> DataFrame:
-    """Shots of granules that are not outliers, with projected coordinates, a row per window that holds them."""
-    return window_join(with_xy(shots.where("loc_out_umd = 0")), windows)
+    """Complete shots of granules that are not outliers, with projected coordinates, a row per window that holds them."""
+    return window_join(with_xy(drop_missing(shots.where("loc_out_umd = 0"), list(NEEDED))), windows)
 
 
 def _grid(shots: DataFrame, metrics: list[str], resolutions: tuple[int, ...], errors: bool) -> DataFrame:
@@ -59,10 +95,8 @@ def _grid(shots: DataFrame, metrics: list[str], resolutions: tuple[int, ...], er
         if 12000 % res:
             raise ValueError("cells must nest in 12 km cells")
         cells = with_cell(dealt, res)
-        part = mask_single(grid_stats(cells, metrics, keys))
+        part = mask_single(grid_stats(cells, metrics, keys, functions={"meanbse": subsample_error} if errors else None, order=order, dealt=True))
         part = part.join(shannon_of(cells, binned, keys), [*keys, "metric"], "left") if binned else part.withColumn("shan", F.lit(None).cast("double"))
-        if errors:
-            part = part.join(subsample_errors(cells, keys, metrics, order, dealt=True), [*keys, "metric"], "left")
         part = part.drop("r12", "c12").withColumn("res", F.lit(res))
         out = part if out is None else out.unionByName(part)
     return out
@@ -105,6 +139,6 @@ def grid_product(shots: DataFrame, windows: DataFrame, metrics: list[str], resol
     """
     flagged = with_flagged_biomass(hq_flags(shots))
     chosen = [*metrics, *(["agbd_a0_qf"] if "agbd_a0" in metrics and "agbd_a0_qf" not in metrics else [])]
-    veg = _grid(window_join(with_xy(flagged.where("l2_hqflag = 1")), windows), chosen, resolutions, True).withColumn("family", F.lit("vf"))
+    veg = _grid(window_join(with_xy(drop_missing(flagged.where("l2_hqflag = 1"), list(NEEDED))), windows), chosen, resolutions, True).withColumn("family", F.lit("vf"))
     ground = _grid(windowed_ground(shots, windows), ["elev_lm_a0"], resolutions, True).withColumn("family", F.lit("gf"))
     return veg.unionByName(ground), count_workload(shots, windows, resolutions)

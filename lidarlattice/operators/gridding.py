@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from lidarlattice.functions import geo
 from lidarlattice.functions.metrics import histogram_bin
 from lidarlattice.operators.quality import valid
+from lidarlattice.operators.vector import GroupStat, group_stats
 from lidarlattice.schema import BINS
 
 CELL = ["win", "row", "col"]
@@ -56,12 +57,15 @@ def approximate(accuracy: int = 10_000) -> dict[str, Stat]:
     return STATS | {"quantiles": lambda c: F.percentile_approx(c, [0.25, 0.5, 0.75, 0.95], accuracy)}
 
 
-def grid_stats(df: DataFrame, metrics: list[str], keys: list[str] = CELL, stats: dict[str, Stat] | None = None, batch: int = 8) -> DataFrame:
+def grid_stats(df: DataFrame, metrics: list[str], keys: list[str] = CELL, stats: dict[str, Stat] | None = None, batch: int = 8, functions: dict[str, GroupStat] | None = None, order: list[str] | None = None, dealt: bool = False) -> DataFrame:
     """One row per cell and metric with the chosen statistics of its valid values.
 
     Metrics are aggregated side by side, `batch` at a time to stay within generated code's
     limits, and turned into rows afterwards. A stat is any function from a column to an
     aggregate, so callers may add their own; one named "quantiles" gives med, iqr and p95.
+    `functions` are statistics that no aggregate expresses: functions of a cell's valid
+    values (a numpy array, in the order of the columns `order`), which run beside the others
+    in a sorted stream. `dealt`: the rows of a cell are in one partition already.
     """
     stats = stats or STATS
     read = lambda m: [f(m["quantiles"]).alias(s) for s, f in OF_QUANTILES.items()] if "quantiles" in stats else []
@@ -73,7 +77,7 @@ def grid_stats(df: DataFrame, metrics: list[str], keys: list[str] = CELL, stats:
     out = parts[0]
     for part in parts[1:]:
         out = out.unionByName(part)
-    return out
+    return out.join(group_stats(df, keys, metrics, functions, order or [], dealt), [*keys, "metric"], "left") if functions else out
 
 
 def shannon(df: DataFrame, metric: str, keys: list[str] = CELL, bins: tuple[float, float, float] | None = None) -> DataFrame:
@@ -118,3 +122,24 @@ def metric_grid(veg: DataFrame, metric: str, res: float) -> DataFrame:
     """All built-in statistics and the diversity of one metric on deduplicated shots (win, x, y, metric)."""
     cells = with_cell(veg, res)
     return mask_single(grid_stats(cells, [metric])).join(shannon(cells, metric), CELL, "left")
+
+
+#: Bits of the sketches' registers: a standard error of about 1.6 % (1.04 / sqrt(2 ** 12)).
+SKETCH_BITS = 12
+
+
+def count_sketches(df: DataFrame, res: float = 1000, keys: tuple[str, ...] = ("win",)) -> DataFrame:
+    """(keys, row, col, shots, orbits, tracks): shots of each cell, and sketches of its different orbits and tracks that can be merged."""
+    track = geo.track_id("orbit", "beam")
+    return with_cell(df, res).groupBy(*keys, "row", "col").agg(F.count("date_dec").alias("shots"), F.hll_sketch_agg(F.col("orbit").cast("long"), SKETCH_BITS).alias("orbits"), F.hll_sketch_agg(track, SKETCH_BITS).alias("tracks"))
+
+
+def merge_sketches(cells: DataFrame, times: int, keys: tuple[str, ...] = ("win",)) -> DataFrame:
+    """Sketches of cells `times` as wide (and high), from those of the cells that nest in them; 1 just estimates nothing anew."""
+    wide = {c: F.floor(F.col(c) / times).cast("long") for c in ("row", "col")}
+    return cells.withColumns(wide).groupBy(*keys, "row", "col").agg(F.sum("shots").alias("shots"), F.hll_union_agg("orbits").alias("orbits"), F.hll_union_agg("tracks").alias("tracks"))
+
+
+def estimates(cells: DataFrame) -> DataFrame:
+    """shots_count, and the estimated numbers of different orbits and tracks, of sketched cells. Up to some hundred different ones, the estimate is nearly always exact; cell_counts() is exact everywhere."""
+    return cells.withColumns({"orbits_uniq": F.hll_sketch_estimate("orbits"), "tracks_uniq": F.hll_sketch_estimate("tracks")}).withColumnRenamed("shots", "shots_count").drop("orbits", "tracks")

@@ -6,6 +6,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lidarlattice.functions import geo, names
+from lidarlattice.operators.cover import BOX, box_join, clip_polygons, interval_join, polygon_tag
+
+__all__ = ["clip_polygons", "polygon_tag"]
 
 #: The coarse grid whose cells tag shots.
 GRID72 = geo.GridSpec(72000.0)
@@ -38,32 +41,6 @@ def grid_tag(df: DataFrame, cells: DataFrame) -> DataFrame:
     return df.join(cells, ["c72", "r72"]).drop("c72", "r72")
 
 
-def polygon_tag(df: DataFrame, polygons: DataFrame, x: str = "lon_lm_a0", y: str = "lat_lm_a0", id_col: str = "polygon_id", step: float = 0.05) -> DataFrame:
-    """Rows with the id of each polygon that holds them; rows in none are dropped. polygons: (id, vertices: array of struct x, y).
-
-    Even-odd rule, half open: a point on a shared edge is in one polygon only. The edges are
-    listed under every band of `step` in y that they cross, so that a point meets those of
-    its band by an equi-join, and a test of x leaves few of them.
-    """
-    closed = F.concat("vertices", F.slice("vertices", 1, 1))
-    ends = F.zip_with(F.slice(closed, F.lit(1), F.size("vertices")), F.slice(closed, F.lit(2), F.size("vertices")), lambda a, b: F.struct(a["x"].alias("ax"), a["y"].alias("ay"), b["x"].alias("bx"), b["y"].alias("by")))
-    edges = polygons.select(F.col(id_col), F.explode(ends).alias("e")).where("e.ay <> e.by")
-    band = lambda c: F.floor(c / F.lit(step)).cast("long")
-    e = F.col("e")
-    listed = edges.withColumn("_band", F.explode(F.sequence(band(F.least(e["ay"], e["by"])), band(F.greatest(e["ay"], e["by"])))))
-    sides = listed.groupBy("_band", id_col).agg(F.collect_list("e").alias("_edges"), F.min(F.least(e["ax"], e["bx"])).alias("_xmin"), F.max(F.greatest(e["ax"], e["bx"])).alias("_xmax"))
-    px, py = F.col(x), F.col(y)
-    crossed = F.filter("_edges", lambda e: ((e["ay"] > py) != (e["by"] > py)) & (px < (e["bx"] - e["ax"]) * (py - e["ay"]) / (e["by"] - e["ay"]) + e["ax"]))
-    met = df.withColumn("_band", band(py)).join(sides, "_band").where(px.between(F.col("_xmin"), F.col("_xmax")))
-    return met.where(F.size(crossed) % 2 == 1).drop("_band", "_edges", "_xmin", "_xmax")
-
-
-def clip_polygons(df: DataFrame, polygons: DataFrame, x: str = "lon_lm_a0", y: str = "lat_lm_a0") -> DataFrame:
-    """Rows that lie in any of the polygons, once each: a row needs a key of its own for that, shot_num."""
-    inside = polygon_tag(df.select("shot_num", x, y), polygons, x, y).select("shot_num").distinct()
-    return df.join(inside, "shot_num", "left_semi")
-
-
 def outlier_flag(df: DataFrame, outliers: DataFrame, remove: bool = False) -> DataFrame:
     """loc_out_umd: 1 where the orbit-grid id is listed. outliers: (orbit_grid). Orbits in text ("O08943") become numbers."""
     if dict(df.dtypes)["orbit"] == "string":
@@ -75,38 +52,33 @@ def outlier_flag(df: DataFrame, outliers: DataFrame, remove: bool = False) -> Da
     return keyed.join(listed.withColumn("hit", F.lit(1)), "orbit_grid", "left").withColumn("loc_out_umd", F.coalesce("hit", F.lit(0))).drop("hit")
 
 
-#: Windows that a plan may list.
+#: Windows that a plan may list; more are joined.
 MOST_WINDOWS = 1000
 
 
 def window_join(df: DataFrame, windows: DataFrame, date_col: str = "date") -> DataFrame:
-    """A row per shot and window that holds its date; windows: (win, first_day, last_day), a configured list of MOST_WINDOWS at most, which the plan turns into an array literal."""
-    listed = windows.limit(MOST_WINDOWS + 1).collect()
-    if len(listed) > MOST_WINDOWS:
-        raise ValueError(f"more than {MOST_WINDOWS} windows")
-    spans = F.array(*[F.when(F.col(date_col).between(F.lit(w["first_day"]), F.lit(w["last_day"])), F.lit(w["win"])) for w in listed])
+    """A row per shot and window that holds its date; windows: (win, first_day, last_day).
+
+    A configured list of MOST_WINDOWS at most becomes an array literal of the plan, which
+    needs no join; any number beyond that is joined by dyadic spans of days (interval_join).
+    """
+    if windows.limit(MOST_WINDOWS + 1).count() > MOST_WINDOWS:
+        return interval_join(df, windows, date_col)
+    spans = F.array(*[F.when(F.col(date_col).between(F.lit(w["first_day"]), F.lit(w["last_day"])), F.lit(w["win"])) for w in windows.collect()])
     return df.withColumn("win", F.explode(F.filter(spans, lambda w: w.isNotNull())))
 
 
 def neighbour_files(summaries: DataFrame, chunks: DataFrame, distance: float = 0.25) -> DataFrame:
     """(chunk_id, file) where the file's extent meets the chunk widened by `distance` degrees.
 
-    An interval join made an equi-join: each extent is listed under every one-degree chunk
-    it may touch, then re-checked.
+    A join of boxes by a quadtree (box_join): an extent of any size is listed under a bounded
+    number of cells.
     """
-    reach = int(distance) + 1
-    lo = {c: F.floor(F.col(f"{c}min_shots") - distance).cast("int") - reach for c in "xy"}
-    hi = {c: F.floor(F.col(f"{c}max_shots") + distance).cast("int") + reach for c in "xy"}
-    spread = summaries.drop("chunk_id").withColumn("cx", F.explode(F.sequence(lo["x"], hi["x"]))).withColumn("cy", F.explode(F.sequence(lo["y"], hi["y"])))
-    b = geo.chunk_bounds("chunk_id")
-    wide = chunks.select("chunk_id").distinct().withColumns(b).withColumns({"cx": F.col("xmin"), "cy": F.col("ymin")}).select("chunk_id", "xmin", "ymin", "xmax", "ymax", F.col("cx").cast("int").alias("cx"), F.col("cy").cast("int").alias("cy"))
+    extents = summaries.select("file", *[F.col(f"{c}_shots").alias(c) for c in BOX])
+    wide = chunks.select("chunk_id").distinct().withColumns(geo.chunk_bounds("chunk_id"))
     d = F.lit(float(distance))
-    return (
-        spread.join(wide, ["cx", "cy"])
-        .where((F.col("xmin_shots") <= F.col("xmax") + d) & (F.col("xmax_shots") >= F.col("xmin") - d) & (F.col("ymin_shots") <= F.col("ymax") + d) & (F.col("ymax_shots") >= F.col("ymin") - d))
-        .select("chunk_id", "file")
-        .distinct()
-    )
+    wide = wide.select("chunk_id", *[(F.col(c) - d if c.endswith("min") else F.col(c) + d).alias(c) for c in BOX])
+    return box_join(wide, extents, "chunk_id", "file").distinct()
 
 
 def with_neighbours(df: DataFrame, distance: float = 0.25) -> DataFrame:
@@ -131,3 +103,8 @@ def checksum_audit(files: DataFrame, manifest: DataFrame) -> DataFrame:
 
 def granule_bbox_query(catalog: DataFrame, xmin: float, ymin: float, xmax: float, ymax: float) -> DataFrame:
     return catalog.where((F.col("xmin") <= xmax) & (F.col("xmax") >= xmin) & (F.col("ymin") <= ymax) & (F.col("ymax") >= ymin))
+
+
+def granule_boxes_query(catalog: DataFrame, boxes: DataFrame, granule: str = "granule", box: str = "box_id") -> DataFrame:
+    """(box, granule) of all boxes asked for at once: granules of the catalog (xmin, ymin, xmax, ymax) that touch each."""
+    return box_join(boxes, catalog, box, granule)

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lidarlattice.functions import geo
 from lidarlattice.operators.percentiles import percentiles
 
 THRESHOLDS = (2, *range(5, 55, 5))
@@ -124,12 +125,36 @@ def union_regions(regions: dict[str, DataFrame]) -> DataFrame:
     return out
 
 
+def ring_of(text) -> Column:
+    """The outer ring of a GeoJSON polygon as an array of projected corners (struct x, y), without the last one, which repeats the first; null for other texts."""
+    parsed = F.from_json(text, "type string, coordinates array<array<array<double>>>")
+    ring = F.when(parsed["type"] == "Polygon", F.get(parsed["coordinates"], F.lit(0)))
+    open_ring = F.slice(ring, F.lit(1), F.greatest(F.size(ring) - 1, F.lit(0)))
+    return F.transform(open_ring, lambda p: F.struct(geo.project_x(F.get(p, F.lit(0))).alias("x"), geo.project_y(F.get(p, F.lit(1))).alias("y")))
+
+
+def ring_corners(ring, res, grid: geo.GridSpec) -> Column:
+    """Corners of a ring as (col, row) of the grid's corners, to the nearest one."""
+    return F.transform(ring, lambda p: F.struct(F.round((p["x"] - F.lit(grid.x0)) / res).cast("long").alias("col"), F.round((F.lit(grid.y0) - p["y"]) / res).cast("long").alias("row")))
+
+
+def with_geo_cell(df: DataFrame, res: str = "res", text: str = ".geo") -> DataFrame:
+    """Add row and col of the cell that a row's polygon is, by its middle, and its corners on the grid; null where there is no polygon. `res` names the column of the cell size."""
+    grid, size = geo.GridSpec(1.0), F.col(res)
+    at = df.withColumn("_ring", ring_of(F.col(f"`{text}`")))
+    middle = lambda a: F.aggregate("_ring", F.lit(0.0), lambda s, p: s + p[a]) / F.nullif(F.size("_ring"), F.lit(0))
+    cells = {"row": F.floor((F.lit(grid.y0) - middle("y")) / size).cast("long"), "col": F.floor((middle("x") - F.lit(grid.x0)) / size).cast("long"), "corners": ring_corners(F.col("_ring"), size, grid)}
+    return at.withColumns(cells).drop("_ring")
+
+
 def read_validation(spark, path: str) -> DataFrame:
     """Validation tables (CSV with quoted polygons) under `path`, each a file or a folder of part files.
 
     Metric, resolution and region come from the names <x>_<metric>_<res>m_val_als_<p>p_<region>.csv.
+    Tables with polygons (`.geo`) also get the row, col and corners of their cells.
     """
     pattern = r"[^/_]*_([^/_]+)_(\d+)m_val_als_[^/_]+_([^/.]+)\.csv"
     part = lambda i: F.regexp_extract(F.col("_metadata.file_path"), pattern, i)
     df = spark.read.option("header", True).option("escape", '"').option("inferSchema", True).option("recursiveFileLookup", True).csv(path)
-    return df.select("*", part(1).alias("metric"), part(2).cast("int").alias("res"), part(3).alias("site"))
+    named = df.select("*", part(1).alias("metric"), part(2).cast("int").alias("res"), part(3).alias("site"))
+    return with_geo_cell(named) if ".geo" in df.columns else named

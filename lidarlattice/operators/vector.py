@@ -226,7 +226,7 @@ def _sets(n: int) -> np.ndarray:
     return np.array(list(subsample(n)), np.int16)
 
 
-def _error(v: np.ndarray) -> float | None:
+def subsample_error(v: np.ndarray) -> float | None:
     n = len(v)
     if n < LEAST:
         return None
@@ -234,10 +234,15 @@ def _error(v: np.ndarray) -> float | None:
     return float(np.std(means, ddof=1)) if len(means) > 1 else None
 
 
-def subsample_errors(df: DataFrame, keys: list[str], metrics: list[str], order: list[str], dealt: bool = False) -> DataFrame:
-    """Per cell and metric: standard deviation of the means of subsamples of its valid values, in order; fewer than LEAST of them give null.
+#: A statistic of the valid values of a cell, in order: a number or None.
+GroupStat = Callable[[np.ndarray], "float | None"]
+
+
+def group_stats(df: DataFrame, keys: list[str], metrics: list[str], functions: dict[str, GroupStat], order: list[str], dealt: bool = False) -> DataFrame:
+    """(keys, metric, a column for each function): functions of each cell's valid values of each metric, in order; cells without any give no row.
 
-    `dealt`: the rows of a cell are in one partition already.
+    Rows stream through sorted partitions, a cell at a time (by_runs). `dealt`: the rows of a
+    cell are in one partition already.
     """
 
     def run(pdf: pd.DataFrame, groups) -> pd.DataFrame:
@@ -245,11 +250,16 @@ def subsample_errors(df: DataFrame, keys: list[str], metrics: list[str], order:
         for m in metrics:
             values = pdf[m].to_numpy(float)
             ok = np.isfinite(values) & (values > MISSING)
-            rows += [[*cells[a], m, _error(values[a:b][ok[a:b]])] for a, b in groups if ok[a:b].any()]
-        return pd.DataFrame(rows, columns=[*keys, "metric", "meanbse"])
+            rows += [[*cells[a], m, *[f(values[a:b][ok[a:b]]) for f in functions.values()]] for a, b in groups if ok[a:b].any()]
+        return pd.DataFrame(rows, columns=[*keys, "metric", *functions])
 
     named = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.select(*keys).schema.fields)
-    return by_runs(df.select(*dict.fromkeys([*keys, *order, *metrics])), keys, order, run, f"{named}, metric string, meanbse double", dealt)
+    return by_runs(df.select(*dict.fromkeys([*keys, *order, *metrics])), keys, order, run, f"{named}, metric string, " + ", ".join(f"{n} double" for n in functions), dealt)
+
+
+def subsample_errors(df: DataFrame, keys: list[str], metrics: list[str], order: list[str], dealt: bool = False) -> DataFrame:
+    """Per cell and metric: standard deviation of the means of subsamples of its valid values, in order; fewer than LEAST of them give null."""
+    return group_stats(df, keys, metrics, {"meanbse": subsample_error}, order, dealt)
 
 
 def mean_subsample_error(df: DataFrame, keys: list[str], metric: str, order: list[str]) -> DataFrame:

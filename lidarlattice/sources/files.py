@@ -12,6 +12,7 @@ from pyspark.sql import types as T
 from lidarlattice.functions.metrics import nodata_recode
 from lidarlattice.functions.names import date_label, metric_label
 from lidarlattice.schema import EXPORT, NODATA_255, NODATA_32767
+from lidarlattice.sources.zones import in_order
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -44,10 +45,9 @@ def write_shots(df: DataFrame, path: str, kind: str = "parquet") -> None:
         df.write.mode("overwrite").parquet(path)
 
 
-def write_chunks(df: DataFrame, path: str, files_per_chunk: int = 1) -> None:
-    """Shots by chunk; rows are brought together by chunk first, split where one chunk needs several files."""
-    spread = F.pmod(F.xxhash64("shot_num"), F.lit(files_per_chunk))
-    df.repartition("chunk_id", spread).write.mode("overwrite").partitionBy("chunk_id").parquet(path)
+def write_chunks(df: DataFrame, path: str) -> None:
+    """Shots by chunk; rows are brought together by chunk first, in parts of about the advisory size: a large chunk is several tasks and files."""
+    df.hint("rebalance", "chunk_id").write.mode("overwrite").partitionBy("chunk_id").parquet(path)
 
 
 def export_shots(df: DataFrame, order: list[str] | None, path: str, codec: str = "gzip") -> None:
@@ -60,7 +60,7 @@ def export_shots(df: DataFrame, order: list[str] | None, path: str, codec: str =
     kept = nodata_recode(df.where("l2_hqflag = 1 and chunk_id is not null"), codes)
     source = lambda c: "orbit_grid" if c == "ease72_og" and c not in kept.columns else c
     columns = [F.col(source(c)).alias(c) if source(c) in kept.columns else F.lit(None).cast("string").alias(c) for c in dict.fromkeys([*(order or EXPORT), "chunk_id"])]
-    kept.select(*columns).repartition("chunk_id").write.mode("overwrite").option("compression", codec).partitionBy("chunk_id").csv(path, header=True)
+    kept.select(*columns).hint("rebalance", "chunk_id").write.mode("overwrite").option("compression", codec).partitionBy("chunk_id").csv(path, header=True)
 
 
 def product_name(metric, family, first, last, res):
@@ -69,13 +69,15 @@ def product_name(metric, family, first, last, res):
 
 
 def write_grid(cells: DataFrame, path: str) -> None:
-    cells.repartition("family", "metric", "win", "res").write.mode("overwrite").partitionBy("family", "metric", "win", "res").parquet(path)
+    """Cells by family, metric, window, resolution and zone; only what `cells` holds is replaced."""
+    keys = ["family", "metric", "win", "res"]
+    in_order(cells, keys).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*keys, "zone").parquet(path)
 
 
 def write_products(cells: DataFrame, windows: DataFrame, path: str) -> None:
-    """Cells (family, metric, win, res, ...) under one folder for each product, named by product_name(); windows: (win, first_day, last_day)."""
+    """Cells (family, metric, win, res, ...) under one folder for each product, named by product_name(), and one in it for each zone; windows: (win, first_day, last_day)."""
     named = cells.join(F.broadcast(windows), "win").withColumn("product", product_name("metric", "family", "first_day", "last_day", "res"))  # a row per window
-    named.drop("first_day", "last_day").repartition("product").write.mode("overwrite").partitionBy("product").parquet(path)
+    in_order(named.drop("first_day", "last_day"), ["product"]).write.mode("overwrite").partitionBy("product", "zone").parquet(path)
 
 
 def write_summaries(summaries: DataFrame, path: str) -> None:
