@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from lidarlattice.functions import geo, metrics, names
 from lidarlattice.jobs import workloads
 from lidarlattice.operators import chunks, cover, gridding, joins, quality, validate, vector
-from lidarlattice.schema import BINS, COVERAGE_BEAMS, DEGRADE_OK, NODATA_255, NODATA_32767, PAVD, POWER_BEAMS, RH_VALUES, WINDOWS
+from lidarlattice.schema import BINS, COVERAGE_BEAMS, DEGRADE_OK, GRID_METRICS, NODATA_255, NODATA_32767, PAVD, POWER_BEAMS, RH_VALUES, WINDOWS
 from lidarlattice.sources import extract, files, stores, zones
 from lidarlattice.sources import shots as src
 
@@ -484,10 +484,15 @@ _H = f"(- list_sum(list_transform({_POS}, lambda v: v / {_TOT} * ln(v / {_TOT}))
 _TOP = f"list_max(list_transform({_ARR}, lambda v, i: case when v > 0 then i else 0 end))"
 _HALF = "cast(case when round_even(rh_100_a0 / 2, 0) > 5 then round_even(rh_100_a0 / 10, 0) else 1 end as int)"
 _BOT = f"coalesce(list_sum(({_ARR})[1:{_HALF}]), 0) / nullif({_SUM}, 0)"
-_RV = lambda e: f"round(case when rh_100_a0 > 5 and rh_98_a0 > 0 and rh_25_a0 >= 0 and rh_50_a0 >= 0 and rh_75_a0 >= 0 then ({e}) / rh_98_a0 else -9999e0 end, 6)"
+_RV = lambda e: f"case when rh_100_a0 > 5 and rh_98_a0 > 0 and rh_25_a0 >= 0 and rh_50_a0 >= 0 and rh_75_a0 >= 0 then ({e}) / rh_98_a0 else -9999e0 end"
+_DERIVED = {
+    "pavd_0_5_frac": f"case when rh_100_a0 > 5 then pavd_0_5 / nullif({_SUM}, 0) when rh_100_a0 <= 5 then 1e0 end", "pavd_max_h": f"cast(list_position({_ARR}, list_max({_ARR})) * 5 as double)", "rhvdr_b": _RV("rh_50_a0"), "rhvdr_m": _RV("rh_75_a0 - rh_25_a0"), "rhvdr_t": _RV("rh_98_a0 - rh_50_a0"),
+    "even_pai_1m_a0": "case when ceil(rh_100_a0) > 1 then fhd_pai_1m_a0 / ln(ceil(rh_100_a0)) end", "fhd_pavd_5m_a0": f"case when not (rh_100_a0 > 5) or len({_POS}) = 0 then -9999e0 when len({_POS}) = 1 then 0e0 else {_H} end",
+    "even_pavd_5m_a0": f"case when not (rh_100_a0 > 5) or {_TOP} = 0 then -9999e0 when {_TOP} = 1 then 0e0 else {_H} / ln(cast({_TOP} as double)) end", "pavd_bot_frac": f"case when rh_100_a0 > 5 then {_BOT} else -9999e0 end", "pavd_top_frac": f"case when rh_100_a0 > 5 then 1 - {_BOT} else -9999e0 end",
+}
 
 
-@register("derived_metrics", f"with {SHOTS} select shot_num, round(case when rh_100_a0 > 5 then pavd_0_5 / nullif({_SUM}, 0) when rh_100_a0 <= 5 then 1e0 end, 6) as pavd_0_5_frac, cast(list_position({_ARR}, list_max({_ARR})) * 5 as double) as pavd_max_h, {_RV('rh_50_a0')} as rhvdr_b, {_RV('rh_75_a0 - rh_25_a0')} as rhvdr_m, {_RV('rh_98_a0 - rh_50_a0')} as rhvdr_t, round(case when ceil(rh_100_a0) > 1 then fhd_pai_1m_a0 / ln(ceil(rh_100_a0)) end, 6) as even_pai_1m_a0, round(case when not (rh_100_a0 > 5) or len({_POS}) = 0 then -9999e0 when len({_POS}) = 1 then 0e0 else {_H} end, 6) as fhd_pavd_5m_a0, round(case when not (rh_100_a0 > 5) or {_TOP} = 0 then -9999e0 when {_TOP} = 1 then 0e0 else {_H} / ln(cast({_TOP} as double)) end, 6) as even_pavd_5m_a0, round(case when rh_100_a0 > 5 then {_BOT} else -9999e0 end, 6) as pavd_bot_frac, round(case when rh_100_a0 > 5 then 1 - {_BOT} else -9999e0 end, 6) as pavd_top_frac from shots")
+@register("derived_metrics", f"with {SHOTS} select shot_num, {', '.join(f'round({e}, 6) as {n}' for n, e in _DERIVED.items())} from shots")
 def derived_metrics(spark, d):
     names_ = ["pavd_0_5_frac", "pavd_max_h", "rhvdr_b", "rhvdr_m", "rhvdr_t", "even_pai_1m_a0", "fhd_pavd_5m_a0", "even_pavd_5m_a0", "pavd_bot_frac", "pavd_top_frac"]
     return metrics.with_metrics(shots(spark, d)).select("shot_num", *[(F.col(n) if n == "pavd_max_h" else r6(n)).alias(n) for n in names_])
@@ -814,6 +819,35 @@ def w2_product(spark, d):
     return _rounded(cells.where("family = 'vf' or res = 6000"), (*_STAT_COLUMNS, "meanbse"))
 
 
+def _whole_product_sql() -> str:
+    """All metrics as rows, so that each statistic is one statement for all of them, all resolutions and both families."""
+    numbers = ", ".join(f"cast({m} as double) as {m}" for m in GRID_METRICS)
+    bins = ", ".join(f"('{m}', {lit(low)}, {lit(high)}, {lit(step)})" for m, (low, high, step) in BINS.items())
+    row, col = cell_sql(1000)[0].replace(lit(1000), "res"), cell_sql(1000)[1].replace(lit(1000), "res")
+    cell = "family, win, res, row, col, metric"
+    ground = f"ground as (select f.*, {PX} as x, {PY} as y, w.win from flagged f join windows w on f.date between w.first_day and w.last_day where loc_out_umd = 0), ground_firsts as (select * from (select *, row_number() over (partition by win, cast(floor(x / 30e0) as bigint), cast(floor(-y / 30e0) as bigint) order by date_dec, shot_num) as rn from ground) where rn = 1)"
+    return (
+        f"with {FIRST}, {ground}, wide as (select win, x, y, date_dec as moment, shot_num, {numbers} from (select *, {', '.join(f'{e} as {n}' for n, e in _DERIVED.items())}, case when l4a_hqflag = 1 then agbd_a0 end as agbd_a0_qf from firsts)), "
+        f"rows_ as (select 'vf' as family, win, x, y, moment, shot_num, metric, v from wide unpivot (v for metric in ({', '.join(GRID_METRICS)})) union all select 'gf', win, x, y, date_dec, shot_num, 'elev_lm_a0', elev_lm_a0 from ground_firsts), "
+        f"cells as materialized (select family, win, res, {row} as row, {col} as col, metric, v, moment, shot_num from rows_, (values (1000e0), (6000e0), (12000e0)) as r(res) where {VALID('v')}), "
+        f"g as (select {cell}, round(avg(v), 6) as mean, round(quantile_cont(v, 0.5), 6) as med, round(stddev_samp(v), 6) as sd, round(quantile_cont(v, 0.75) - quantile_cont(v, 0.25), 6) as iqr, round(quantile_cont(v, 0.95), 6) as p95, count(*) as countf, list(v order by moment, shot_num) as vs from cells group by all having count(*) > 1), "
+        f"bins(metric, low, high, step) as (values {bins}), sb as (select {cell}, greatest(0, cast(ceil((v - low) / step - 1e-7) as bigint) - 1) as bin, count(*) as c, max(cast(v < low or v > high as int)) as bad from cells join bins using (metric) group by all), "
+        f"sc as (select {cell}, sum(c) as n, sum(c * ln(c)) as s, max(bad) as bad from sb group by all), so as (select family, win, metric, max(bad) as bad_ from sc group by all), shan as (select {cell}, case when bad_ = 0 then round(greatest(0e0, ln(n) - s / n), 6) end as shan from sc join so using (family, win, metric)), "
+        "bz as (select distinct countf as n from g where countf >= 10), bk as materialized (select b, i, md5(cast(b as varchar) || ':' || cast(i as varchar)) as k from (select unnest(range(1, 401)) as b), (select unnest(range(1, coalesce((select max(n) from bz), 0) + 1)) as i) where b <= 150 or i <= 12), "
+        "bd as (select n, b, i, row_number() over (partition by n, b order by k, i) as r from bz join bk on i <= n and (b <= 150 or n <= 12)), bs as (select n, b, list_sort(list(i)) as s from bd where r <= round_even(0.7e0 * n, 0) group by n, b), "
+        "bf as (select n, s, row_number() over (partition by n order by min(b)) as k from bs group by n, s), bu as (select n, list(s) as sets from bf where k <= 100 group by n) "
+        f"select family, win, cast(res as int) as res, row, col, metric, mean, med, sd, iqr, p95, countf, shan, case when len(sets) > 1 then round(list_aggregate(list_transform(sets, lambda s: list_avg(list_select(vs, s))), 'stddev_samp'), 6) end as meanbse from g join shan using ({cell}) left join bu on bu.n = countf"
+    )
+
+
+@register("grid_product", _whole_product_sql())
+def grid_product(spark, d):
+    """The whole grid product: all metrics and the flagged biomass, eight statistics, three resolutions, vegetation and ground."""
+    s = metrics.with_metrics(shots(spark, d)).selectExpr("*", f"{OUT} as loc_out_umd")
+    cells, _ = workloads.grid_product(s, src.windows(spark, WINDOWS), GRID_METRICS)
+    return _rounded(cells, (*_STAT_COLUMNS, "meanbse"))
+
+
 def _w2_counts_sql() -> str:
     ground = VEG.replace("where l2_hqflag = 1", "where loc_out_umd = 0").replace("veg as (", "ground as (").split(f"{WIN}, ")[1]
     tables, parts = [ground], []

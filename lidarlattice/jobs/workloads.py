@@ -9,6 +9,7 @@ from lidarlattice.functions import geo
 from lidarlattice.functions.metrics import nan_to_null, with_metrics
 from lidarlattice.operators.chunks import with_chunk
 from lidarlattice.operators.gridding import CELL, cell_counts, first_shot_per_fine_cell, grid_stats, mask_single, shannon_of, with_cell, with_xy
+from lidarlattice.operators.lineage import cut
 from lidarlattice.operators.joins import grid_tag, join_shots, outlier_flag, window_join
 from lidarlattice.operators.quality import drop_missing, filter_l2a, filter_l2b, filter_l4a, ground_veg_split, hq_flags
 from lidarlattice.operators.vector import nearest_neighbour_index, subsample_error
@@ -81,6 +82,10 @@ def windowed_ground(shots: DataFrame, windows: DataFrame) -> DataFrame:
     return window_join(with_xy(drop_missing(shots.where("loc_out_umd = 0"), list(NEEDED))), windows)
 
 
+#: Metrics that are aggregated side by side.
+BATCH = 8
+
+
 def _grid(shots: DataFrame, metrics: list[str], resolutions: tuple[int, ...], errors: bool) -> DataFrame:
     """Statistics of each metric, cell, window and resolution of windowed shots."""
     wide = geo.GridSpec(12000.0)
@@ -88,6 +93,8 @@ def _grid(shots: DataFrame, metrics: list[str], resolutions: tuple[int, ...], er
     order = ["date_dec", "shot_num"] if errors else []
     named = [nan_to_null(m).alias(m) for m in metrics if m not in order]
     dealt = first.select("win", geo.cell_row("y", wide).alias("r12"), geo.cell_col("x", wide).alias("c12"), "x", "y", *order, *named).repartition("win", "r12", "c12")
+    if len(metrics) > BATCH:
+        dealt = cut(dealt)  # each batch of metrics reads other columns, so none could share an exchange with the rest
     keys = ["win", "r12", "c12", "row", "col"]
     binned = [m for m in metrics if m in BINS]
     out = None
@@ -95,7 +102,7 @@ def _grid(shots: DataFrame, metrics: list[str], resolutions: tuple[int, ...], er
         if 12000 % res:
             raise ValueError("cells must nest in 12 km cells")
         cells = with_cell(dealt, res)
-        part = mask_single(grid_stats(cells, metrics, keys, functions={"meanbse": subsample_error} if errors else None, order=order, dealt=True))
+        part = mask_single(grid_stats(cells, metrics, keys, batch=BATCH, functions={"meanbse": subsample_error} if errors else None, order=order, dealt=True))
         part = part.join(shannon_of(cells, binned, keys), [*keys, "metric"], "left") if binned else part.withColumn("shan", F.lit(None).cast("double"))
         part = part.drop("r12", "c12").withColumn("res", F.lit(res))
         out = part if out is None else out.unionByName(part)

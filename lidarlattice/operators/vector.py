@@ -182,33 +182,35 @@ def nearest_neighbour_index(df: DataFrame, keys: list[str], x: str, y: str, area
     return whole.where("_n > 1").select(*keys, (F.col("_s") / F.col("_n") / (0.5 * F.sqrt(F.lit(float(area)) / F.col("_n")))).alias("shots_nni"))
 
 
-#: Columns of the table of draws that a worker keeps; draws of larger cells are made one at a time.
-KEPT = 1 << 15
-_KEYS = np.empty((DRAWS, 0), np.uint64)
+#: Sizes of cells up to which a worker keeps the orders of the draws, in tables of these widths (the last one as wide as is needed, some 100 MB at the 160,000 fine cells of a 12 km cell); draws of larger cells are made one at a time.
+TIERS = (1 << 12, 1 << 15, 1 << 18)
+_ORDERS: dict[int, np.ndarray] = {}
 
 
-def _keys(b: int, start: int, stop: int) -> np.ndarray:
-    """The first 64 bits of md5('b:i') for i from start + 1 to stop."""
-    md5 = hashlib.md5
-    return np.frombuffer(b"".join([md5(f"{b}:{i}".encode()).digest()[:8] for i in range(start + 1, stop + 1)]), ">u8").astype(np.uint64)
+def _keys(b: int, n: int) -> np.ndarray:
+    """The first 64 bits of md5('b:i') for i from 1 to n."""
+    md5, before = hashlib.md5, f"{b}:".encode()
+    return np.frombuffer(b"".join([md5(before + b"%d" % i).digest()[:8] for i in range(1, n + 1)]), ">u8").astype(np.uint64)
 
 
-def _draw(b: int, n: int) -> np.ndarray:
-    """Keys of the draw b for indices up to n: they do not depend on the cell's size, so a table of them serves all cells."""
-    global _KEYS
-    if b > DRAWS or n > KEPT:
-        return _keys(b, 0, n)
-    if _KEYS.shape[1] < n:
-        wide = min(KEPT, max(n, 2 * _KEYS.shape[1], 256))
-        _KEYS = np.concatenate([_KEYS, np.stack([_keys(k, _KEYS.shape[1], wide) for k in range(1, DRAWS + 1)])], axis=1)
-    return _KEYS[b - 1, :n]
+def _order(b: int, n: int) -> np.ndarray:
+    """Indices below n (from 0) by their keys in the draw b: those of a wider table, without the others, so one table serves cells of many sizes."""
+    if b > DRAWS or n > TIERS[-1]:
+        return np.argsort(_keys(b, n))
+    tier = next(t for t in TIERS if n <= t)
+    table = _ORDERS.get(tier)
+    if table is None or table.shape[1] < n:
+        wide = tier if tier < TIERS[-1] else min(tier, -(-n // (1 << 14)) << 14)
+        table = _ORDERS[tier] = np.stack([np.argsort(_keys(k, wide)).astype(np.int32) for k in range(1, DRAWS + 1)])
+    order = table[b - 1]
+    return order[order < n]
 
 
 def subsample(n: int):
     """Yield index sets for a cell of n: draw b takes the share of indices with the least md5 of 'b:i'; the first SETS distinct sets count."""
     size, seen = int(np.rint(SHARE * n)), set()
     for b in range(1, (DRAWS_SMALL if n <= 12 else DRAWS) + 1):
-        chosen = np.sort(np.argpartition(_draw(b, n), size - 1)[:size]) if size < n else np.arange(n)
+        chosen = np.sort(_order(b, n)[:size].astype(np.int64)) if size < n else np.arange(n)
         name = hashlib.md5(chosen.tobytes()).digest()
         if name not in seen:
             seen.add(name)

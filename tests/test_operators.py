@@ -189,6 +189,19 @@ def test_subsamples_and_missing_codes(spark):
     assert got.keys() == {"a", "b"} and got["b"] is None and got["a"] == pytest.approx(np.std([np.mean(np.array(values)[s]) for s in slow(11)], ddof=1))
 
 
+def test_subsamples_of_large_cells():
+    """Draws of all sizes are those of their own keys, and the table of draws serves every metric of a large cell."""
+    for n in (4096, 4097, 6000):
+        for b in (1, 150):
+            key = np.array([int.from_bytes(hashlib.md5(f"{b}:{i}".encode()).digest()[:8], "big") for i in range(1, n + 1)], np.uint64)
+            assert (vector._order(b, n) == np.argsort(key)).all()
+    values = np.random.default_rng(5).normal(10, 3, 160_000)
+    vector.subsample_error(values)
+    start = time.process_time()
+    e = vector.subsample_error(values[:159_000])
+    assert time.process_time() - start < 1 and 0.5 < e / (3 * math.sqrt(0.3 / 0.7 / 159_000)) < 2
+
+
 def test_polygons_with_a_shared_edge(spark):
     squares = spark.createDataFrame([(1, [(0.0, 0.0), (2.0, 0.0), (2.0, 2.0), (0.0, 2.0)]), (2, [(2.0, 0.0), (4.0, 0.0), (4.0, 2.0), (2.0, 2.0)]), (3, [(0.0, 0.0), (4.0, 0.0), (2.0, 1.0)])], "polygon_id int, vertices array<struct<x: double, y: double>>")
     points = spark.createDataFrame([("p", 1.0, 1.5), ("q", 2.0, 1.5), ("r", 2.0, 0.5), ("s", 9.0, 1.0), ("t", None, 1.0)], "shot_num string, lon_lm_a0 double, lat_lm_a0 double")
