@@ -134,6 +134,26 @@ def nearest_distances(x: np.ndarray, y: np.ndarray) -> np.ndarray:
     return out
 
 
+def nearest_in_groups(x: np.ndarray, y: np.ndarray, groups: list[tuple[int, int]]) -> np.ndarray:
+    """nearest_distances() of each group (start, end); small groups of one size are searched together."""
+    starts = np.array([a for a, _ in groups])
+    sizes = np.array([b for _, b in groups]) - starts
+    out = np.full(len(x), np.nan)
+    for n in np.unique(sizes):
+        some = starts[sizes == n]
+        if n > 4 * LEAF:
+            for a in some:
+                out[a : a + n] = nearest_distances(x[a : a + n], y[a : a + n])
+        elif n > 1:
+            most = max(1, (1 << 21) // int(n * n))
+            for k in range(0, len(some), most):
+                at = some[k : k + most, None] + np.arange(n)
+                d = np.hypot(x[at][:, :, None] - x[at][:, None, :], y[at][:, :, None] - y[at][:, None, :])
+                d[:, np.arange(n), np.arange(n)] = np.inf
+                out[at] = d.min(axis=2)
+    return out
+
+
 def nearest_neighbour_index(df: DataFrame, keys: list[str], x: str, y: str, area: float, tile: int = TILE) -> DataFrame:
     """Per cell: mean nearest distance over that expected of n random points in `area`; cells of one point give no row.
 
@@ -153,7 +173,7 @@ def nearest_neighbour_index(df: DataFrame, keys: list[str], x: str, y: str, area
 
     def within(pdf: pd.DataFrame, groups) -> pd.DataFrame:
         px, py = pdf["_x"].to_numpy(), pdf["_y"].to_numpy()
-        d = np.concatenate([nearest_distances(px[a:b], py[a:b]) for a, b in groups])
+        d = nearest_in_groups(px, py, groups)
         return pdf.assign(_d=np.where(pdf["_w"].to_numpy() > 1, 0.0, np.where(np.isnan(d), np.inf, d)))
 
     columns = f"{named}, _x double, _y double, _w long, _cut int, _x0 double, _y0 double, _span double, _tx int, _ty int"

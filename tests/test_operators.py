@@ -142,6 +142,16 @@ def test_nearest_distances():
     assert np.allclose(vector.nearest_distances(np.zeros(4), np.zeros(4)), 0)
 
 
+def test_nearest_distances_of_groups():
+    rng = np.random.default_rng(6)
+    sizes = [1, 2, 2, 3, 1, 40, 40, 128, 129, 500, 3, 2]
+    x, y = rng.uniform(0, 9, sum(sizes)), rng.uniform(0, 9, sum(sizes))
+    edges = np.r_[0, np.cumsum(sizes)].tolist()
+    groups = list(zip(edges, edges[1:], strict=False))
+    want = np.concatenate([vector.nearest_distances(x[a:b], y[a:b]) for a, b in groups])
+    assert np.allclose(vector.nearest_in_groups(x, y, groups), want, equal_nan=True)
+
+
 def test_nearest_distances_on_tracks_and_clusters():
     rng = np.random.default_rng(3)
     for n in (130, 1000, 3000):
