@@ -1,18 +1,18 @@
 """Collocations: phrases that occur more often than the parts they are cut into.
 
-Three passes read the texts. Words and phrases travel as 96-bit keys, made from the 128-bit
+Four passes read the texts. Words and phrases travel as 80-bit keys, made from the 128-bit
 hashes of the words (with their language), and never as text until they are counted:
 
 1. Words: tasks count them, and sums by shard of the key leave the frequent ones, as a bitmap
    of bounded size.
-2. Candidates: tasks send the keys of phrases whose words are all frequent, each once with a
-   count that stops at 255; sums by shard leave those that reach the limit, and no frequent
-   phrase can be among the others, as a phrase is no more frequent than its words (Apriori).
-   Each shard turns its candidates, and the frequent words, into its part of a minimal
-   perfect hash that stores the keys.
-3. Counts: tasks look up every word and phrase, compare the stored key, and count slots in
-   numpy arrays, which are summed block by block in a tree. A task sends the text of a phrase
-   when it meets its slot first.
+2. Candidates of two words: tasks send the keys of phrases whose words are all frequent, each
+   once with a count that stops at 255; sums by shard leave those that reach the limit.
+3. Candidates of three words: the same for phrases whose words and pairs are all frequent. No
+   frequent phrase can be left out, as a phrase is no more frequent than its parts (Apriori).
+4. Counts: each shard turns its words and candidates into its part of a minimal perfect hash
+   that stores the keys. Tasks look up every word and phrase, compare the stored key, and
+   count slots in numpy arrays, which are summed block by block in a tree. A task sends the
+   text of a phrase when it meets its slot first.
 
 Cuts are then read by slot: each phrase looks up the slots of its parts. A perfect hash of
 more than SLOTS keys is used a part at a time, each part with a pass of its own, so what a
@@ -22,7 +22,6 @@ any size.
 
 from __future__ import annotations
 
-import re
 import zlib
 from collections.abc import Iterator
 
@@ -41,15 +40,16 @@ LEAST, TOP, SCALE, HIDES = 10, 2000, 1_000_000, 50
 #: Keys of the perfect hash that are used at a time; bits of the map of frequent words (8 MB); slots of a block; blocks' rows that are summed at a time.
 SLOTS, MAP_BITS, BLOCK, FAN = 1 << 22, 26, 512, 256
 #: Bytes of text that are split at a time, words that a task knows, keys that it sorts at a time.
-SLICE, KNOWN, KEYS = 4 << 20, 400_000, 3_000_000
+SLICE, KNOWN, KEYS = 512 << 10, 250_000, 400_000
 
-#: A to Z to lower case, ends of pieces to one of them, tabs to spaces.
-_PLAIN = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\x0b\x0c\r\t", bytes(range(97, 123)) + b"\n" * 9 + b" ")
-_TOKENS = re.compile(rb"[^ \n]+|\n").findall
+#: The end of a piece: a byte that no UTF-8 text has.
+END = b"\xff"
+#: A to Z to lower case, ends of pieces to that byte, tabs to spaces: no other white space that split() knows is left.
+_PLAIN = bytes.maketrans(bytes(range(65, 91)) + b".,;:!?\n\x0b\x0c\r\t", bytes(range(97, 123)) + END * 10 + b" ")
 
 
 class Reader:
-    """Splits texts into tokens and numbers the words of each language, with their hashes; number 0 is no word (the end of a piece, or one that is not wanted)."""
+    """Splits texts into tokens and numbers the words of each language, with their hashes; number 0 is no word: the end of a piece, or, with a map of wanted words, one that is not on it."""
 
     def __init__(self, wanted: np.ndarray | None = None):
         self.wanted = wanted
@@ -57,36 +57,57 @@ class Reader:
 
     def forget(self) -> None:
         self.words: dict[str, Reader._Words] = {}
-        self.a, self.b = [0], [0]
+        self.n, self.held = 1, 1
+        self.a, self.b, self.number = np.zeros(1024, np.uint64), np.zeros(1024, np.uint64), np.zeros(1024, np.int64)
 
     class _Words(dict):
         """Numbers of one language's words, given out when they are first met."""
 
         def __init__(self, reader: Reader, lang: str):
-            super().__init__({b"\n": 0})
-            self.reader, self.before = reader, lang.encode() + b"\xff"
+            super().__init__({END: 0})
+            self.reader, self.before, self.new = reader, lang.encode() + b"\xff", []
 
         def __missing__(self, word: bytes) -> int:
-            r, h = self.reader, xxhash.xxh3_128_intdigest(self.before + word)
-            a = h & 0xFFFFFFFFFFFFFFFF
-            if r.wanted is not None and not r.wanted[a >> (64 - MAP_BITS + 3)] >> (a >> (64 - MAP_BITS) & 7) & 1:
-                self[word] = 0
-                return 0
-            self[word] = n = len(r.a)
-            r.a.append(a)
-            r.b.append(h >> 64)
+            self.new.append(word)
+            n = self[word] = self.reader.n
+            self.reader.n = n + 1
             return n
 
-    def read(self, lang: str, texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
-        """(tokens, their numbers) of texts of one language, a piece's end between them."""
-        tokens = _TOKENS(b"\n".join(texts).translate(_PLAIN))
+    def of(self, lang: str) -> Reader._Words:
         words = self.words.get(lang)
         if words is None:
             words = self.words[lang] = Reader._Words(self, lang)
-        return tokens, np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
+        return words
+
+    def numbers(self, lang: str, tokens: list[bytes]) -> np.ndarray:
+        """Numbers of one language's tokens; new words are hashed on the way."""
+        words = self.of(lang)
+        ids = np.fromiter(map(words.__getitem__, tokens), np.int64, len(tokens))
+        if words.new:
+            digest, before = xxhash.xxh3_128_digest, words.before
+            raw = np.frombuffer(b"".join([digest(before + w) for w in words.new]), ">u8").astype(np.uint64)
+            words.new = []
+            while self.n > len(self.a):
+                self.a, self.b, self.number = (np.r_[x, np.zeros(len(x), x.dtype)] for x in (self.a, self.b, self.number))
+            here = slice(self.held, self.n)
+            self.b[here], self.a[here] = raw[::2], raw[1::2]
+            self.number[here] = np.arange(self.held, self.n)
+            if self.wanted is not None:
+                self.number[here] *= on_map(self.wanted, raw[1::2])
+            self.held = self.n
+        return ids if self.wanted is None else self.number[ids]
+
+    def read(self, lang: str, texts: list[bytes]) -> tuple[list[bytes], np.ndarray]:
+        """(tokens, their numbers) of texts of one language, a piece's end between them."""
+        tokens = END.join(texts).translate(_PLAIN).replace(END, b" " + END + b" ").split()
+        return tokens, self.numbers(lang, tokens)
+
+    def __len__(self) -> int:
+        return self.n
 
     def hashes(self) -> tuple[np.ndarray, np.ndarray]:
-        return np.array(self.a, np.uint64), np.array(self.b, np.uint64)
+        """The two halves of each word's hash by number."""
+        return self.a[: self.n], self.b[: self.n]
 
 
 def by_language(batches) -> Iterator[tuple[str, list[bytes]]]:
@@ -115,12 +136,30 @@ def phrases_at(ids: np.ndarray, size: int) -> np.ndarray:
     return np.flatnonzero(at) if len(ids) >= size else np.zeros(0, np.int64)
 
 
+def half(b: np.ndarray) -> np.ndarray:
+    """The part of the second hash that keys hold."""
+    return (b >> np.uint64(48)).astype(np.uint16)
+
+
 def keys_at(a: np.ndarray, b: np.ndarray, ids: np.ndarray, at: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
-    """Keys (64 and 32 bits) of the phrases of `size` words at `at`."""
+    """Keys (64 and 16 bits) of the phrases of `size` words at `at`."""
     ka, kb = a[ids[at]], b[ids[at]]
     for k in range(1, size):
         ka, kb = fold(ka, a[ids[at + k]]), fold(kb, b[ids[at + k]])
-    return ka, (kb >> np.uint64(32)).astype(np.uint32)
+    return ka, half(kb)
+
+
+def two_and_three(a: np.ndarray, b: np.ndarray, ids: np.ndarray, pairs: np.ndarray | None = None) -> Iterator[tuple[np.ndarray, tuple[np.ndarray, np.ndarray]]]:
+    """Places and keys of the phrases of two words, then of three, which go on from them; with a map of frequent `pairs`, of those only that may be frequent by it."""
+    two = phrases_at(ids, 2)
+    ka, kb = fold(a[ids[two]], a[ids[two + 1]]), fold(b[ids[two]], b[ids[two + 1]])
+    if pairs is not None:
+        kept = on_map(pairs, ka)
+        two, ka, kb = two[kept], ka[kept], kb[kept]
+    yield two, (ka, half(kb))
+    more = np.flatnonzero(two[1:] == two[:-1] + 1)
+    three = two[more]
+    yield three, (fold(ka[more], a[ids[three + 2]]), half(fold(kb[more], b[ids[three + 2]])))
 
 
 # -- keys by shard ----------------------------------------------------------------------------
@@ -136,41 +175,49 @@ def _rows(rows: list[tuple], names: str) -> pa.RecordBatch:
 
 
 def pack(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> bytes:
-    return a.astype("<u8").tobytes() + b.astype("<u4").tobytes() + n.astype(np.uint8).tobytes()
+    """Keys and counts of one shard; the leading byte of `a` goes with the shard's number, which has as many bits at least (see `unpack`)."""
+    return np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes() + b.astype("<u2").tobytes() + n.astype(np.uint8).tobytes()
 
 
-def unpack(payload: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    k = len(payload) // 13
-    return np.frombuffer(payload, "<u8", k), np.frombuffer(payload, "<u4", k, 8 * k), np.frombuffer(payload, np.uint8, k, 12 * k)
+def unpack(payload: bytes, shard: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    k = len(payload) // 10
+    a = np.zeros((k, 8), np.uint8)
+    a[:, :7] = np.frombuffer(payload, np.uint8, 7 * k).reshape(-1, 7)
+    a[:, 7] = shard >> (bits - 8)
+    return a.view("<u8").ravel(), np.frombuffer(payload, "<u2", k, 7 * k), np.frombuffer(payload, np.uint8, k, 9 * k)
 
 
-def summed(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Equal keys as one, in order."""
-    order = np.lexsort((b, a))
-    a, b, n = a[order], b[order], n[order].astype(np.int64)
+def summed(a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Equal keys as one with the sum of `n` (1 each, if None), in order of the first number."""
+    order = np.argsort(a)
+    a, b = a[order], b[order]
     if not len(a):
-        return a, b, n
-    start = np.flatnonzero(np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])])
-    return a[start], b[start], np.add.reduceat(n, start)
+        return a, b, np.zeros(0, np.int64)
+    same = a[1:] == a[:-1]
+    if (same & (b[1:] != b[:-1])).any():  # different keys share the first number: order them by both
+        again = np.lexsort((b, a))
+        a, b, order = a[again], b[again], order[again]
+        same = a[1:] == a[:-1]
+    start = np.flatnonzero(np.r_[True, ~same | (b[1:] != b[:-1])])
+    return a[start], b[start], np.diff(np.r_[start, len(a)]) if n is None else np.add.reduceat(n[order].astype(np.int32), start)
 
 
-def dealt(a: np.ndarray, b: np.ndarray, n: np.ndarray, bits: int) -> pa.RecordBatch:
+def dealt(a: np.ndarray, b: np.ndarray, n: np.ndarray | None, bits: int) -> pa.RecordBatch:
     """Keys with their counts, each once, as a row for each shard."""
     a, b, n = summed(a, b, n)
-    shard = shard_of(a, bits)
-    edges = np.r_[0, np.flatnonzero(shard[1:] != shard[:-1]) + 1, len(a)] if len(a) else [0]
+    edges = np.r_[0, np.flatnonzero(np.diff(shard_of(a, bits))) + 1, len(a)] if len(a) else [0]
     n = np.minimum(n, 255)
-    return _rows([(int(shard[i]), pack(a[i:j], b[i:j], n[i:j]), None, None) for i, j in zip(edges[:-1], edges[1:], strict=True)], _ROWS)
+    return _rows([(int(a[i]) >> (64 - bits), pack(a[i:j], b[i:j], n[i:j]), None, None) for i, j in zip(edges[:-1], edges[1:], strict=True)], _ROWS)
 
 
-def gathered(rows: DataFrame, finish, schema: str, names: str) -> DataFrame:
+def gathered(rows: DataFrame, bits: int, finish, names: str) -> DataFrame:
     """`finish(shard, a, b, totals)` of each shard's frequent keys and of the totals that it holds, one shard of a task at a time."""
 
     def run(batches):
         shard, parts, totals = None, [], {}
 
         def close():
-            a, b, n = summed(*(np.concatenate(c) for c in zip(*parts, strict=True))) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.uint32), np.zeros(0, np.int64))
+            a, b, n = summed(*(np.concatenate(c) for c in zip(*parts, strict=True))) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.uint16), np.zeros(0, np.int64))
             kept = n >= LEAST
             return _rows(finish(shard, a[kept], b[kept], totals), names)
 
@@ -183,11 +230,17 @@ def gathered(rows: DataFrame, finish, schema: str, names: str) -> DataFrame:
                 if lang is not None:
                     totals[lang] = totals.get(lang, 0) + n
                 else:
-                    parts.append(unpack(payload))
+                    parts.append(unpack(payload, name, bits))
         if shard is not None:
             yield close()
 
-    return rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, schema)
+    return rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, names)
+
+
+def kept_keys(shard: int, a: np.ndarray, b: np.ndarray, totals: dict[str, int]) -> list[tuple]:
+    """Rows of a shard's frequent keys, which count LEAST from here on, and of totals."""
+    rows = [(shard, None, lang, n) for lang, n in totals.items()]
+    return rows + ([(shard, pack(a, b, np.full(len(a), LEAST)), None, len(a))] if len(a) else [])
 
 
 def count_words(docs: DataFrame, bits: int) -> DataFrame:
@@ -198,15 +251,15 @@ def count_words(docs: DataFrame, bits: int) -> DataFrame:
 
         def flush():
             a, b = reader.hashes()
-            return dealt(a[1:], (b[1:] >> np.uint64(32)).astype(np.uint32), np.minimum(counts[1:], 255), bits)
+            return dealt(a[1:], half(b[1:]), np.minimum(counts[1:], 255), bits)
 
         for lang, texts in by_language(batches):
             _, ids = reader.read(lang, texts)
-            found = np.bincount(ids, minlength=len(reader.a))
+            found = np.bincount(ids, minlength=len(reader))
             found[: len(counts)] += counts
             counts = found
             totals[lang] = totals.get(lang, 0) + int((ids > 0).sum())
-            if len(reader.a) > KNOWN:
+            if len(reader) > KNOWN:
                 yield flush()
                 reader.forget()
                 counts = np.zeros(0, np.int64)
@@ -215,61 +268,70 @@ def count_words(docs: DataFrame, bits: int) -> DataFrame:
         # totals travel with the shards, spread by language, on numbers beyond theirs
         yield _rows([((1 << bits) + zlib.crc32(lang.encode()) % 64, None, lang, n) for lang, n in totals.items()], _ROWS)
 
-    def finish(shard, a, b, totals):
-        rows = [(shard, None, lang, n) for lang, n in totals.items()]
-        return rows + ([(shard, pack(a, b, np.full(len(a), LEAST)), None, len(a))] if len(a) else [])
-
-    return gathered(docs.mapInArrow(run, _ROWS), finish, _ROWS, _ROWS)
+    return gathered(docs.mapInArrow(run, _ROWS), bits, kept_keys, _ROWS)
 
 
-def word_map(words: DataFrame, bits: int) -> bytes:
-    """The map of frequent words: a bit for the leading MAP_BITS of each key. A shard makes its own stretch of it."""
+def key_map(keys: DataFrame, bits: int) -> bytes:
+    """A map of frequent words or phrases: a bit for the leading MAP_BITS of each key. A shard makes its own stretch of it."""
 
     def run(batches):
         for batch in batches:
             for shard, payload in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 flags = np.zeros(1 << (MAP_BITS - bits), np.uint8)
-                flags[(unpack(payload)[0] >> np.uint64(64 - MAP_BITS)).astype(np.int64) - (shard << (MAP_BITS - bits))] = 1
+                flags[(unpack(payload, shard, bits)[0] >> np.uint64(64 - MAP_BITS)).astype(np.int64) - (shard << (MAP_BITS - bits))] = 1
                 yield _rows([(shard, zlib.compress(np.packbits(flags, bitorder="little").tobytes(), 1))], "shard int, payload binary")
 
     made = np.zeros(1 << (MAP_BITS - 3), np.uint8)
     wide = 1 << (MAP_BITS - bits - 3)
-    for r in words.where("payload is not null").select("shard", "payload").mapInArrow(run, "shard int, payload binary").toLocalIterator():
+    for r in keys.where("payload is not null").select("shard", "payload").mapInArrow(run, "shard int, payload binary").toLocalIterator():
         made[r["shard"] * wide : (r["shard"] + 1) * wide] = np.frombuffer(zlib.decompress(r["payload"]), np.uint8)
     return made.tobytes()
 
 
-def candidates(docs: DataFrame, words: DataFrame, wanted, bits: int) -> DataFrame:
-    """Phrases of frequent words that may be frequent, and the frequent words: (shard, n, payload), the payload being the shard's part of the perfect hash."""
+def on_map(bitmap: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Whether each key's bit is set."""
+    at = (a >> np.uint64(64 - MAP_BITS)).astype(np.int64)
+    return bitmap[at >> 3] >> (at & 7).astype(np.uint8) & 1 == 1
+
+
+def candidates(docs: DataFrame, words, pairs, bits: int) -> DataFrame:
+    """Keys, by shard, of phrases of two words that may be frequent, given the map of frequent words; given that of frequent pairs too, of phrases of three."""
 
     def run(batches):
-        reader, a, b, n = Reader(np.frombuffer(wanted.value, np.uint8)), [], [], 0
+        reader, a, b, n = Reader(np.frombuffer(words.value, np.uint8)), [], [], 0
+        known = None if pairs is None else np.frombuffer(pairs.value, np.uint8)
         for lang, texts in by_language(batches):
             _, ids = reader.read(lang, texts)
-            ha, hb = reader.hashes()
-            for size in (2, 3):
-                ka, kb = keys_at(ha, hb, ids, phrases_at(ids, size), size)
-                a.append(ka)
-                b.append(kb)
-                n += len(ka)
-            if len(reader.a) > KNOWN:
+            _, (ka, kb) = next(two_and_three(*reader.hashes(), ids)) if known is None else list(two_and_three(*reader.hashes(), ids, known))[1]
+            a.append(ka)
+            b.append(kb)
+            n += len(ka)
+            if len(reader) > KNOWN:
                 reader.forget()
             if n >= KEYS:
-                yield dealt(np.concatenate(a), np.concatenate(b), np.ones(n, np.uint8), bits)
+                yield dealt(np.concatenate(a), np.concatenate(b), None, bits)
                 a, b, n = [], [], 0
         if n:
-            yield dealt(np.concatenate(a), np.concatenate(b), np.ones(n, np.uint8), bits)
+            yield dealt(np.concatenate(a), np.concatenate(b), None, bits)
+
+    return gathered(docs.mapInArrow(run, _ROWS), bits, kept_keys, _ROWS)
+
+
+def hash_shards(keys: DataFrame, bits: int) -> DataFrame:
+    """Frequent keys, each given once with LEAST, by shard -> (shard, n, payload): the shard's part of the perfect hash."""
 
     def finish(shard, a, b, _):
         return [(shard, len(a), build(a, b))] if len(a) else []
 
-    known = words.where("payload is not null").select("shard", "payload", "lang", F.lit(None).cast("long").alias("n"))
-    return gathered(docs.mapInArrow(run, _ROWS).unionAll(known), finish, "shard int, n long, payload binary", "shard int, n long, payload binary")
+    return gathered(keys.where("payload is not null"), bits, finish, "shard int, n long, payload binary")
 
 
 # -- counts by slot ---------------------------------------------------------------------------
 
-_COUNTED = "block int, part int, counts binary, slot long, lang string, phrase string"
+_PACKED = "block int, part int, counts binary, names binary"
+_COUNTED = "block int, counts binary, slot long, lang string, phrase string, a long"
+#: Phrases that a task holds before it sends them on.
+NAMES = 100_000
 _HASHES: dict[int, PerfectHash] = {}
 
 
@@ -304,92 +366,108 @@ class _Id:
         self._held.destroy()
 
 
-def count_slots(docs: DataFrame, wanted, held, bits: int) -> DataFrame:
-    """Counts of the slots of one part of the perfect hash: rows of blocks (counts), and of phrases where a task met them first (slot, lang, phrase)."""
+def pack_names(names: dict[int, tuple[str, str]]) -> bytes:
+    """Slots with language and phrase; neither tabs nor line ends are left in these."""
+    return zlib.compress("\n".join([f"{slot}\t{lang.encode('unicode_escape').decode()}\t{phrase}" for slot, (lang, phrase) in names.items()]).encode(), 1)
+
+
+def unpack_names(payload: bytes) -> dict[int, tuple[str, str]]:
+    rows = (line.split("\t") for line in zlib.decompress(payload).decode().split("\n"))
+    return {int(slot): (lang.encode().decode("unicode_escape"), phrase) for slot, lang, phrase in rows}
+
+
+def count_slots(docs: DataFrame, wanted, pairs, held, bits: int) -> DataFrame:
+    """Counts of the slots of one part of the perfect hash: rows of blocks, with their counts or with the phrases that a task met first in them."""
 
     def run(batches):
         from pyspark import TaskContext
 
         part = TaskContext.get().partitionId()
-        ready = perfect_hash(held, bits)
+        ready, known = perfect_hash(held, bits), np.frombuffer(pairs.value, np.uint8)
         reader, counts, slot = Reader(np.frombuffer(wanted.value, np.uint8)), np.zeros(len(ready), np.int64), np.full(1, -1)
+        names: dict[int, tuple[str, str]] = {}
+
+        def sent():
+            by_block: dict[int, dict[int, tuple[str, str]]] = {}
+            for s, name in names.items():
+                by_block.setdefault(s // BLOCK, {})[s] = name
+            names.clear()
+            return _rows([(block, part, None, pack_names(some)) for block, some in by_block.items()], _PACKED)
+
         for lang, texts in by_language(batches):
             tokens, ids = reader.read(lang, texts)
             ha, hb = reader.hashes()
             new = slice(len(slot), len(ha))
-            slot = np.r_[slot, ready.slots(ha[new], (hb[new] >> np.uint64(32)).astype(np.uint32))]
-            met = []
-            for size in (1, 2, 3):
-                at = phrases_at(ids, size)
-                found = slot[ids[at]] if size == 1 else ready.slots(*keys_at(ha, hb, ids, at, size))
+            slot = np.r_[slot, ready.slots(ha[new], half(hb[new]))]
+            found = slot[ids]
+            counts += np.bincount(found[(ids > 0) & (found >= 0)], minlength=len(counts))
+            for size, (at, keys) in enumerate(two_and_three(ha, hb, ids, known), 2):
+                found = ready.slots(*keys)
                 at, found = at[found >= 0], found[found >= 0]
                 fresh = np.flatnonzero(counts[found] == 0)
                 first, where = np.unique(found[fresh], return_index=True)
-                met += [(s // BLOCK, part, None, s, lang, b" ".join(tokens[i : i + size]).decode()) for s, i in zip(first.tolist(), at[fresh[where]].tolist(), strict=True)]
+                for s, i in zip(first.tolist(), at[fresh[where]].tolist(), strict=True):
+                    names[s] = lang, b" ".join(tokens[i : i + size]).decode()
                 counts += np.bincount(found, minlength=len(counts))
-            if met:
-                yield _rows(met, _COUNTED)
-            if len(reader.a) > KNOWN:
+            if len(names) >= NAMES:
+                yield sent()
+            if len(reader) > KNOWN:
                 reader.forget()
                 slot = np.full(1, -1)
+        if names:
+            yield sent()
         full = np.zeros(-(-len(counts) // BLOCK) * BLOCK, np.int64)
         full[: len(counts)] = counts
         used = np.flatnonzero(full.reshape(-1, BLOCK).any(axis=1))
         for at in range(0, len(used), 1000):
-            yield _rows([(int(k), part, zlib.compress(full[k * BLOCK : (k + 1) * BLOCK].tobytes(), 1), None, None, None) for k in used[at : at + 1000]], _COUNTED)
+            yield _rows([(int(k), part, zlib.compress(full[k * BLOCK : (k + 1) * BLOCK].tobytes(), 1), None) for k in used[at : at + 1000]], _PACKED)
 
-    return docs.mapInArrow(run, _COUNTED)
+    return docs.mapInArrow(run, _PACKED)
 
 
 def tree_sum(rows: DataFrame, parts: int) -> DataFrame:
-    """Blocks of counts summed over all tasks, FAN of them at a time, and each slot's phrase once."""
-
-    def run(batches):
-        key, total, phrases = None, None, {}
-
-        def close():
-            block, part = key
-            payload = None if total is None else zlib.compress(total.tobytes(), 1)
-            return _rows([(block, part, payload, None, None, None), *[(block, part, None, s, *p) for s, p in phrases.items()]], _COUNTED)
-
-        for batch in batches:
-            for block, part, counts, slot, lang, phrase in zip(*[c.to_pylist() for c in batch.columns], strict=True):
-                if (block, part) != key:
-                    if key is not None:
-                        yield close()
-                    key, total, phrases = (block, part), None, {}
-                if slot is not None:
-                    phrases[slot] = (lang, phrase)
-                else:
-                    more = np.frombuffer(zlib.decompress(counts), np.int64)
-                    total = more if total is None else total + more
-        if key is not None:
-            yield close()
+    """Blocks of counts summed over all tasks, FAN of them at a time; in the end a row for each block (counts), and for each phrase that is frequent (slot, lang, phrase, a)."""
+
+    def level(last: bool):
+        def run(batches):
+            key, total, names = None, None, {}
+
+            def close():
+                block, part = key
+                payload = None if total is None else zlib.compress(total.tobytes(), 1)
+                if not last:
+                    return _rows([(block, part, payload, pack_names(names) if names else None)], _PACKED)
+                sums = {s: int(total[s - block * BLOCK]) for s in names}
+                return _rows([(block, payload, None, None, None, None), *[(block, None, s, *names[s], a) for s, a in sums.items() if a >= LEAST]], _COUNTED)
+
+            for batch in batches:
+                for block, part, counts, more in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+                    if (block, part) != key:
+                        if key is not None:
+                            yield close()
+                        key, total, names = (block, part), None, {}
+                    if more is not None:
+                        names |= unpack_names(more)
+                    if counts is not None:
+                        counted = np.frombuffer(zlib.decompress(counts), np.int64)
+                        total = counted if total is None else total + counted
+            if key is not None:
+                yield close()
+
+        return run
 
     while True:
         parts = -(-parts // FAN)
         up = F.lit(0) if parts == 1 else F.floor(F.col("part") / FAN).cast("int")
-        rows = rows.withColumn("part", up).repartition("block", "part").sortWithinPartitions("block", "part").mapInArrow(run, _COUNTED)
+        rows = rows.withColumn("part", up).repartition("block", "part").sortWithinPartitions("block", "part").mapInArrow(level(parts == 1), _COUNTED if parts == 1 else _PACKED)
         if parts == 1:
             return rows
 
 
-def with_counts(rows: DataFrame, held, offset: int) -> DataFrame:
-    """(slot, lang, phrase, a) of frequent phrases and words; `held` are the counts by slot, slots are numbered on from `offset`."""
-
-    def run(batches):
-        counts = np.frombuffer(held.value, np.int64)
-        for batch in batches:
-            slots, langs, phrases = (c.to_pylist() for c in batch.columns)
-            rows = [(s + offset, lang, p, int(counts[s])) for s, lang, p in zip(slots, langs, phrases, strict=True) if counts[s] >= LEAST]
-            yield _rows(rows, "slot long, lang string, phrase string, a long")
-
-    return rows.where("slot is not null").select("slot", "lang", "phrase").mapInArrow(run, "slot long, lang string, phrase string, a long")
-
-
 # -- cuts -------------------------------------------------------------------------------------
 
 _CUT = "slot long, lang string, phrase string, a long, parts array<long>, inner array<long>"
+_SCORED = "slot long, lang string, phrase string, a long, l long, r long, score long, inner array<long>"
 
 
 def parts_of(words: list[bytes]) -> list[tuple[int, int]]:
@@ -398,30 +476,42 @@ def parts_of(words: list[bytes]) -> list[tuple[int, int]]:
     return [span for k in range(1, n) for span in ((0, k), (k, n))]
 
 
-def read_cuts(phrases: DataFrame, held, counts, bits: int, offset: int) -> DataFrame:
-    """Fill in the counts of the parts of each phrase that this part of the perfect hash holds (`parts`), and the slots of the shorter phrases in it (`inner`)."""
+def lowest(a: int, parts: list[int]) -> tuple[int, int, int]:
+    """(l, r, score) of the cut of the lowest score, the first among equals; `parts` are the counts of first part and rest of each cut."""
+    if not all(parts):
+        raise ValueError("a part of a frequent phrase has no count")
+    score, k = min((SCALE * a * a // (parts[k] * parts[k + 1]), k) for k in range(0, len(parts), 2))
+    return parts[k], parts[k + 1], score
+
+
+def read_cuts(phrases: DataFrame, held, counts, bits: int, offset: int, last: bool) -> DataFrame:
+    """Fill in the counts of the parts of each phrase that this part of the perfect hash holds (`parts`), and the slots of the shorter phrases in it (`inner`); the last part gives the scores."""
+    kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), *([pa.int64()] * 3 if last else [pa.list_(pa.int64())]), pa.list_(pa.int64()))
+    schema = _SCORED if last else _CUT
 
     def run(batches):
         ready, number = perfect_hash(held, bits), np.frombuffer(counts.value, np.int64)
         for batch in batches:
             rows = [list(r) for r in zip(*[c.to_pylist() for c in batch.columns], strict=True)]
             reader, tasks = Reader(), []
-            ids, spans = [], {1: ([], []), 2: ([], [])}
+            ids, langs, spans = [], [], {1: ([], []), 2: ([], [])}
             for i, (_, lang, phrase, _, parts, inner) in enumerate(rows):
                 words = phrase.encode().split(b" ")
-                table_ = reader.words.get(lang)
-                if table_ is None:
-                    table_ = reader.words[lang] = Reader._Words(reader, lang)
                 start = len(ids)
-                ids += [table_[w] for w in words]
+                ids += words
+                langs += [lang] * len(words)
                 cuts = parts_of(words)
                 if parts is None:
                     rows[i][4], rows[i][5] = [0] * len(cuts), [-1] * (2 if len(words) == 3 else 0)
                 for j, (x, y) in enumerate(cuts):
                     spans[y - x][0].append(start + x)
                     spans[y - x][1].append((i, j))
-            ids = np.array(ids, np.int64)
-            ha, hb = reader.hashes()
+            numbers = np.zeros(len(ids), np.int64)
+            of = np.array(langs, object)
+            for lang in set(langs):
+                here = np.flatnonzero(of == lang)
+                numbers[here] = reader.numbers(lang, [ids[k] for k in here.tolist()])
+            ids, (ha, hb) = numbers, reader.hashes()
             for size, (at, who) in spans.items():
                 found = ready.slots(*keys_at(ha, hb, ids, np.array(at, np.int64), size)) if at else []
                 tasks += [(i, j, size, int(s)) for (i, j), s in zip(who, found, strict=True) if s >= 0]
@@ -429,30 +519,10 @@ def read_cuts(phrases: DataFrame, held, counts, bits: int, offset: int) -> DataF
                 rows[i][4][j] = int(number[s])
                 if size == 2:  # the rest of a first cut stands second, the first part of a second cut first
                     rows[i][5][0 if j == 2 else 1] = s + offset
-            columns = list(zip(*rows, strict=True)) if rows else [[]] * 6
-            kinds = (pa.int64(), pa.string(), pa.string(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in _CUT.split(", ")])
-
-    return phrases.mapInArrow(run, _CUT)
-
-
-def score_cuts(phrases: DataFrame) -> DataFrame:
-    """(slot, lang, phrase, a, l, r, score, inner) by the cut of the lowest score, the first among equals."""
-    schema = "slot long, lang string, phrase string, a long, l long, r long, score long, inner array<long>"
-
-    def run(batches):
-        for batch in batches:
-            slots, langs, texts, a, parts, inner = (c.to_pylist() for c in batch.columns)
-            l, r, scores = [], [], []
-            for n, p in zip(a, parts, strict=True):
-                if not all(p):
-                    raise ValueError("a part of a frequent phrase has no count")
-                score, k = min((SCALE * n * n // (p[k] * p[k + 1]), k) for k in range(0, len(p), 2))
-                l.append(p[k])
-                r.append(p[k + 1])
-                scores.append(score)
-            kinds = (pa.int64(), pa.string(), pa.string(), *[pa.int64()] * 4, pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip((slots, langs, texts, a, l, r, scores, inner), kinds, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
+            if last:
+                rows = [(*r[:4], *lowest(r[3], r[4]), r[5]) for r in rows]
+            columns = list(zip(*rows, strict=True)) if rows else [[]] * len(kinds)
+            yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(columns, kinds, strict=True)], names=[f.split()[0] for f in schema.split(", ")])
 
     return phrases.mapInArrow(run, schema)
 
@@ -483,30 +553,33 @@ def collocations(docs: DataFrame, top: int = TOP, slots: int = SLOTS) -> DataFra
     spark = docs.sparkSession
     texts = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.col("text"))
     parts = max(1, texts.rdd.getNumPartitions())
-    bits = min(16, max(6, (4 * parts - 1).bit_length()))
+    bits = min(16, max(8, (4 * parts - 1).bit_length()))
     words = cut(count_words(texts, bits))
     totals = words.where("payload is null").groupBy("lang").agg(F.sum("n").alias("n"))
-    wanted = spark.sparkContext.broadcast(word_map(words, bits))
-    shards = cut(candidates(texts, words, wanted, bits))
+    wanted = spark.sparkContext.broadcast(key_map(words, bits))
+    twos = cut(candidates(texts, wanted, None, bits))
+    pairs = spark.sparkContext.broadcast(key_map(twos, bits))
+    threes = candidates(texts, wanted, pairs, bits)
+    shards = cut(hash_shards(words.unionAll(twos).unionAll(threes), bits))
     lots = passes([(r["shard"], r["n"]) for r in shards.select("shard", "n").collect()], slots)
     counted, held, offset = None, [], 0
     for lot in lots:
         part = {r["shard"]: bytes(r["payload"]) for r in (shards.where(F.col("shard").between(lot[0], lot[-1])).select("shard", "payload").collect() if lot else [])}
         ready = _Id(spark, part)
-        blocks = cut(tree_sum(count_slots(texts, wanted, ready, bits), parts))
+        blocks = cut(tree_sum(count_slots(texts, wanted, pairs, ready, bits), parts))
         n = sum(int.from_bytes(p[:4], "little") for p in part.values())
         counts = np.zeros(-(-n // BLOCK) * BLOCK, np.int64)
         for r in blocks.where("slot is null").select("block", "counts").toLocalIterator():
             counts[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
         numbers = spark.sparkContext.broadcast(counts.tobytes())
-        rows = with_counts(blocks, numbers, offset)
+        rows = blocks.where("slot is not null").select((F.col("slot") + offset).alias("slot"), "lang", "phrase", "a")
         counted = rows if counted is None else counted.unionAll(rows)
         held.append((ready, numbers, offset))
         offset += n
-    phrases = counted.where(F.col("phrase").contains(" ")).select("*", F.lit(None).cast("array<long>").alias("parts"), F.lit(None).cast("array<long>").alias("inner"))
+    phrases = counted.select("*", F.lit(None).cast("array<long>").alias("parts"), F.lit(None).cast("array<long>").alias("inner"))
     for ready, numbers, at in held:
-        phrases = read_cuts(phrases, ready, numbers, bits, at)
-    scored = cut(score_cuts(phrases))
+        phrases = read_cuts(phrases, ready, numbers, bits, at, last=at == held[-1][2])
+    scored = cut(phrases)
     longer = scored.select(F.explode("inner").alias("slot"), "a").groupBy("slot").agg(F.max("a").alias("longer"))
     kept = scored.join(longer, "slot", "left").where(F.col("longer").isNull() | (100 * F.col("longer") < HIDES * F.col("a")))
     best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")

@@ -1,6 +1,6 @@
-"""A minimal perfect hash over 96-bit keys, built shard by shard and looked up in numpy arrays.
+"""A minimal perfect hash over 80-bit keys, built shard by shard and looked up in numpy arrays.
 
-A key is two numbers: `a` (64 bits) and `b` (32 bits). The leading bits of `a` name its shard.
+A key is two numbers: `a` (64 bits) and `b` (16 bits). The leading bits of `a` name its shard.
 A shard keeps one bit array for each level: a key's bit is set on the first level on which
 no other key of the shard that is left has the same place. A key's slot is the number of set
 bits before its own, so slots run from 0 without gaps. The keys themselves are stored by slot
@@ -56,7 +56,7 @@ def build(a: np.ndarray, b: np.ndarray) -> bytes:
         left = left[~alone]
     slots = np.concatenate(order) if order else np.zeros(0, np.int64)
     head = struct.pack(f"<II{len(sizes)}I", len(a), len(sizes), *sizes)
-    return head + b"".join(levels) + a[slots].astype("<u8").tobytes() + b[slots].astype("<u4").tobytes()
+    return head + b"".join(levels) + a[slots].astype("<u8").tobytes() + b[slots].astype("<u2").tobytes()
 
 
 class PerfectHash:
@@ -78,12 +78,15 @@ class PerfectHash:
                 levels.append(np.unpackbits(np.frombuffer(blob, np.uint8, wide, at), bitorder="little")[:size])
                 at += wide
             a.append(np.frombuffer(blob, "<u8", n, at))
-            b.append(np.frombuffer(blob, "<u4", n, at + 8 * n))
+            b.append(np.frombuffer(blob, "<u2", n, at + 8 * n))
             counts.append(n)
             sizes.append(of)
             arrays.append(levels)
         self.a = np.concatenate(a) if a else np.zeros(0, np.uint64)
-        self.b = np.concatenate(b) if b else np.zeros(0, np.uint32)
+        self.b = np.concatenate(b) if b else np.zeros(0, np.uint16)
+        # one bit for each key by its trailing bits: most keys that are not stored go no further
+        self.seen = np.zeros(1 << max(10, 3 + int(len(self.a)).bit_length()), bool)
+        self.seen[(self.a & np.uint64(len(self.seen) - 1)).astype(np.int64)] = True
         starts = np.cumsum([0, *counts])[:-1] if counts else np.zeros(0, np.int64)
         # for each level: size and offset of each shard, the bits of all, and the slots before each 64th bit
         self.levels = []
@@ -111,9 +114,9 @@ class PerfectHash:
     def slots(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """The slot of each key; -1 for a key that is not stored."""
         out = np.full(len(a), -1, np.int64)
-        row = self.row[shard_of(a, self.bits)]
-        left = np.flatnonzero(row >= 0)
-        row = row[left]
+        left = np.flatnonzero(self.seen[(a & np.uint64(len(self.seen) - 1)).astype(np.int64)])
+        row = self.row[shard_of(a[left], self.bits)]
+        left, row = left[row >= 0], row[row >= 0]
         for level, (size, offset, words, rank) in enumerate(self.levels):
             if not len(left):
                 break
