@@ -41,6 +41,7 @@ def lit(x: float) -> str:
     return s if "e" in s else s + "e0"
 
 
+_NAMED = lambda columns: ", ".join(f"{e} as {n}" for n, e in columns.items())
 SHOTS = src.shots_sql()
 PX = f"({lit(geo.AXIS * geo.K0)} * radians(lon_lm_a0))"
 _S = "sin(radians(lat_lm_a0))"
@@ -286,16 +287,15 @@ def granule_bbox_query(spark, d):
 register("granule_bbox_query_all", _BBOX)(granule_bbox_query)
 
 
-_BOXES = "select c_custkey as box_id, -112.15e0 + 0.28e0 * ((c_custkey * 7919) % 1009) / 1009e0 as xmin, 34.85e0 + 0.28e0 * ((c_custkey * 104729) % 1013) / 1013e0 as ymin, 0.00001e0 * power(2, c_custkey % 14) as side from customer"
+_BOXES = {"box_id": "c_custkey", "xmin": "-112.15e0 + 0.28e0 * ((c_custkey * 7919) % 1009) / 1009e0", "ymin": "34.85e0 + 0.28e0 * ((c_custkey * 104729) % 1013) / 1013e0", "side": "0.00001e0 * power(2, c_custkey % 14)"}
 
 
-@register("granule_boxes_query", f"with {SHOTS}, c as (select orbit, ln, min(lon_lm_a0) as xmin, max(lon_lm_a0) as xmax, min(lat_lm_a0) as ymin, max(lat_lm_a0) as ymax from shots group by orbit, ln, pk % 10), b as ({_BOXES}) select box_id, orbit, count(*) as n from b join c on c.xmin <= b.xmin + side and c.xmax >= b.xmin and c.ymin <= b.ymin + side and c.ymax >= b.ymin group by all")
+@register("granule_boxes_query", f"with {SHOTS}, c as (select orbit, ln, min(lon_lm_a0) as xmin, max(lon_lm_a0) as xmax, min(lat_lm_a0) as ymin, max(lat_lm_a0) as ymax from shots group by orbit, ln, pk % 10), b as (select {_NAMED(_BOXES)} from customer) select box_id, orbit, count(*) as n from b join c on c.xmin <= b.xmin + side and c.xmax >= b.xmin and c.ymin <= b.ymin + side and c.ymax >= b.ymin group by all")
 def granule_boxes_query(spark, d):
     """Boxes of many sizes, one for each customer, against the extents of parts of orbits, from points up."""
     span = {c: f(p) for p, x in (("lon_lm_a0", "x"), ("lat_lm_a0", "y")) for f, c in ((F.min, f"{x}min"), (F.max, f"{x}max"))}
     catalog = shots(spark, d).groupBy("orbit", "ln", F.expr("pk % 10").alias("part")).agg(*[c.alias(n) for n, c in span.items()])
-    spark.read.parquet(f"{d}/customer.parquet").createOrReplaceTempView("customer")
-    boxes = spark.sql(_BOXES).selectExpr("box_id", "xmin", "ymin", "xmin + side as xmax", "ymin + side as ymax")
+    boxes = spark.read.parquet(f"{d}/customer.parquet").select(*[F.expr(e).alias(n) for n, e in _BOXES.items()]).selectExpr("box_id", "xmin", "ymin", "xmin + side as xmax", "ymin + side as ymax")
     return joins.granule_boxes_query(catalog, boxes, "orbit").groupBy("box_id", "orbit").agg(F.count("*").alias("n"))
 
 
@@ -384,19 +384,18 @@ def clip_polygon_table(spark, d):
     return joins.polygon_tag(shots(spark, d).select("shot_num", "lon_lm_a0", "lat_lm_a0"), polygons).select("shot_num", "polygon_id")
 
 
-_AROUND = "select c_custkey as polygon_id, -112.15e0 + 0.3e0 * ((c_custkey * 7919) % 1009) / 1009e0 as cx, 34.85e0 + 0.3e0 * ((c_custkey * 104729) % 1013) / 1013e0 as cy, 0.004e0 + 0.001e0 * (c_custkey % 7) as r from customer"
+_AROUND = {"polygon_id": "c_custkey", "cx": "-112.15e0 + 0.3e0 * ((c_custkey * 7919) % 1009) / 1009e0", "cy": "34.85e0 + 0.3e0 * ((c_custkey * 104729) % 1013) / 1013e0", "r": "0.004e0 + 0.001e0 * (c_custkey % 7)"}
 #: Of each polygon: a diamond, a square hole in it, and a triangle beside it, as corners in radii from the middle.
 _RINGS = [[(1.0, 0.0), (0.0, 1.0), (-1.0, 0.0), (0.0, -1.0)], [(-0.25, -0.25), (0.25, -0.25), (0.25, 0.25), (-0.25, 0.25)], [(1.2, 0.0), (1.6, 0.0), (1.2, 0.4)]]
 _CORNER = lambda p: (f"cx + {lit(p[0])} * r", f"cy + {lit(p[1])} * r")
 _SIDES = ", ".join("{{'x1': {}, 'y1': {}, 'x2': {}, 'y2': {}}}".format(*_CORNER(a), *_CORNER(b)) for ring in _RINGS for a, b in zip(ring, ring[1:] + ring[:1], strict=True))
 
 
-@register("clip_polygon_holes", f"with {SHOTS}, polys as ({_AROUND}), sides as (select polygon_id, s.* from (select polygon_id, unnest([{_SIDES}]) as s from polys)), near as (select shot_num, polygon_id, lon_lm_a0 as px, lat_lm_a0 as py from shots join polys on lon_lm_a0 between cx - 2 * r and cx + 2 * r and lat_lm_a0 between cy - 2 * r and cy + 2 * r) select shot_num, polygon_id from near join sides using (polygon_id) where (y1 > py) <> (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1 group by all having count(*) % 2 = 1")
+@register("clip_polygon_holes", f"with {SHOTS}, polys as (select {_NAMED(_AROUND)} from customer), sides as (select polygon_id, s.* from (select polygon_id, unnest([{_SIDES}]) as s from polys)), near as (select shot_num, polygon_id, lon_lm_a0 as px, lat_lm_a0 as py from shots join polys on lon_lm_a0 between cx - 2 * r and cx + 2 * r and lat_lm_a0 between cy - 2 * r and cy + 2 * r) select shot_num, polygon_id from near join sides using (polygon_id) where (y1 > py) <> (y2 > py) and px < (x2 - x1) * (py - y1) / (y2 - y1) + x1 group by all having count(*) % 2 = 1")
 def clip_polygon_holes(spark, d):
     """A polygon for each customer, of three rings, one of them a hole; they overlap."""
-    spark.read.parquet(f"{d}/customer.parquet").createOrReplaceTempView("customer")
     rings = ", ".join("array({})".format(", ".join("named_struct('x', {}, 'y', {})".format(*_CORNER(p)) for p in ring)) for ring in _RINGS)
-    polygons = spark.sql(_AROUND).selectExpr("polygon_id", f"array({rings}) as rings")
+    polygons = spark.read.parquet(f"{d}/customer.parquet").select(*[F.expr(e).alias(n) for n, e in _AROUND.items()]).selectExpr("polygon_id", f"array({rings}) as rings")
     return cover.polygon_tag(shots(spark, d).select("shot_num", "lon_lm_a0", "lat_lm_a0"), polygons).select("shot_num", "polygon_id")
 
 
