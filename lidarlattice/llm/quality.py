@@ -104,26 +104,58 @@ def term_counts(text: str | None) -> np.ndarray:
     return out
 
 
+class Sparse:
+    """Rows of terms, each as the places and values that are not zero (bytes); a block of them at a time becomes a matrix."""
+
+    def __init__(self, rows: list[tuple[bytes, bytes]]):
+        self.rows = rows
+
+    def __len__(self) -> int:
+        return len(self.rows)
+
+    def __getitem__(self, some: slice) -> np.ndarray:
+        rows = self.rows[some]
+        out = np.zeros((len(rows), TERMS), np.float32)
+        for line, (at, x) in zip(out, rows, strict=True):
+            line[np.frombuffer(at, np.int16)] = np.frombuffer(x, np.float32)
+        return out
+
+
 class Voter:
     """Term weights, the projection, and the labelled vectors with their labels."""
 
-    def __init__(self, terms: np.ndarray, labels: list[int], rank: int = RANK, seed: int = 11):
-        """`terms` has a row of term_counts() for each label; it is weighted and scaled in place."""
+    #: Labelled rows that are a matrix at a time.
+    BLOCK = 256
+
+    def __init__(self, terms: np.ndarray | Sparse, labels: list[int], rank: int = RANK, seed: int = 11):
+        """`terms` has a row of term_counts() for each label."""
         self.labels = np.array(labels, np.float32)
-        x, n = terms, len(terms)
+        n = len(terms)
         if not n:
             return
-        self.idf = (np.log((1 + n) / (1 + np.count_nonzero(x, axis=0))) + 0.2).astype(np.float32)
-        x *= self.idf
-        x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-9)[:, None]
+        spans = [slice(a, min(a + self.BLOCK, n)) for a in range(0, n, self.BLOCK)]
+        self.idf = (np.log((1 + n) / (1 + sum(np.count_nonzero(terms[s], axis=0) for s in spans))) + 0.2).astype(np.float32)
+
+        def weighted():
+            for s in spans:
+                x = terms[s] * self.idf
+                x /= np.maximum(np.sqrt(np.einsum("ij,ij->i", x, x)), 1e-9)[:, None]
+                yield s, x
+
+        def onto(right: np.ndarray) -> np.ndarray:
+            return np.concatenate([x @ right for _, x in weighted()])
+
+        def back(left: np.ndarray) -> np.ndarray:
+            return sum(x.T @ left[s] for s, x in weighted())
+
         rank = min(rank, n, TERMS)
         draw = np.random.default_rng(seed).standard_normal((TERMS, min(rank + 10, n))).astype(np.float32)
-        basis, _ = np.linalg.qr(x @ draw)
+        basis, _ = np.linalg.qr(onto(draw))
         for _ in range(3):  # power iterations of the randomised SVD
-            basis, _ = np.linalg.qr(x @ (x.T @ basis))
-        _, _, right = np.linalg.svd(basis.T @ x, full_matrices=False)
+            basis, _ = np.linalg.qr(onto(back(basis)))
+        _, _, right = np.linalg.svd(back(basis).T, full_matrices=False)
         self.project = np.ascontiguousarray(right[:rank].T)
-        self.vectors = np.ascontiguousarray(self.unit(x @ self.project).T)
+        self.vectors = np.ascontiguousarray(self.unit(onto(self.project)).T)
 
     @staticmethod
     def unit(x: np.ndarray) -> np.ndarray:
@@ -180,10 +212,7 @@ def fit(docs: DataFrame, labels: DataFrame, label_col: str = "quality", id_col:
 
     some = labelled(docs.where(~held_out(id_col)), labels.where(~held_out(id_col)), label_col, id_col, text_col, rows)
     got = sorted(some.mapInArrow(count, "lid string, y int, at binary, x binary").limit(2 * rows).collect(), key=lambda r: (r["lid"], r["at"], r["x"], r["y"]))
-    terms = np.zeros((len(got), TERMS), np.float32)
-    for out, r in zip(terms, got, strict=True):
-        out[np.frombuffer(r["at"], np.int16)] = np.frombuffer(r["x"], np.float32)
-    return Voter(terms, [r["y"] for r in got])
+    return Voter(Sparse([(bytes(r["at"]), bytes(r["x"])) for r in got]), [r["y"] for r in got])
 
 
 def score_texts(df: DataFrame, model, text_col: str = "text", threshold: float = 0.3, keep_text: bool = False) -> DataFrame:
