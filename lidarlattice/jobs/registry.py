@@ -818,8 +818,8 @@ def w2_product(spark, d):
     return _rounded(cells.where("family = 'vf' or res = 6000"), (*_STAT_COLUMNS, "meanbse"))
 
 
-#: Metrics of few decimals, spread within their bins: their means would lie on ties of rounding, where engines differ.
-_SPREAD = {m: f"{m} * 0.98765432e0" for m in (*PAVD[:16], "pavd_max_h", "fhd_pai_1m_a0")} | {"sens_a0": "sens_a0 * 1.000012345678e0", "num_modes_a0": "1 + (num_modes_a0 - 1) * 0.98765432e0"}
+#: Metrics of few decimals, or ratios of such, spread within their bins: their means would lie on ties of rounding, where engines differ.
+_SPREAD = {m: f"{m} * 0.98765431987654e0" for m in (*PAVD[:16], "pavd_max_h", "fhd_pai_1m_a0")} | {m: f"case when {m} > -9999 then {m} * 0.98765431987654e0 else {m} end" for m in ("pavd_0_5_frac", "pavd_bot_frac", "pavd_top_frac")} | {"sens_a0": "sens_a0 * 1.000012345678e0", "num_modes_a0": "1 + (num_modes_a0 - 1) * 0.98765431987654e0"}
 
 
 def _whole_product_sql() -> str:
