@@ -39,6 +39,8 @@ from lidarlattice.llm.perfect_hash import PerfectHash, build, fold, shard_of
 LEAST, TOP, SCALE, HIDES = 10, 2000, 1_000_000, 50
 #: Keys of the perfect hash that are used at a time; bits of the map of frequent words (8 MB); slots of a block; blocks' rows that are summed at a time.
 SLOTS, MAP_BITS, BLOCK, FAN = 1 << 22, 26, 512, 256
+#: Parts of a language's phrases that are ranked by themselves first, so that what is ranked together in the end is bounded.
+HEATS = 64
 #: Bytes of text that are split at a time, words that a task knows, keys that it sorts at a time.
 SLICE, KNOWN, KEYS = 512 << 10, 250_000, 400_000
 
@@ -384,9 +386,14 @@ def count_slots(docs: DataFrame, wanted, pairs, held, bits: int) -> DataFrame:
 
         part = TaskContext.get().partitionId()
         ready, known = perfect_hash(held, bits), np.frombuffer(pairs.value, np.uint8)
-        reader, counts, slot = Reader(np.frombuffer(wanted.value, np.uint8)), np.zeros(len(ready), np.int64), np.full(1, -1)
+        reader, slot = Reader(np.frombuffer(wanted.value, np.uint8)), np.full(1, -1)
+        counts, seen, met = np.zeros(len(ready), np.int64), np.zeros(len(ready), bool), []
         names: dict[int, tuple[str, str]] = {}
 
+        def counted():
+            np.add(counts, np.bincount(np.concatenate(met), minlength=len(counts)), out=counts)
+            met.clear()
+
         def sent():
             by_block: dict[int, dict[int, tuple[str, str]]] = {}
             for s, name in names.items():
@@ -400,15 +407,18 @@ def count_slots(docs: DataFrame, wanted, pairs, held, bits: int) -> DataFrame:
             new = slice(len(slot), len(ha))
             slot = np.r_[slot, ready.slots(ha[new], half(hb[new]))]
             found = slot[ids]
-            counts += np.bincount(found[(ids > 0) & (found >= 0)], minlength=len(counts))
+            met.append(found[(ids > 0) & (found >= 0)])
             for size, (at, keys) in enumerate(two_and_three(ha, hb, ids, known), 2):
                 found = ready.slots(*keys)
                 at, found = at[found >= 0], found[found >= 0]
-                fresh = np.flatnonzero(counts[found] == 0)
+                fresh = np.flatnonzero(~seen[found])
                 first, where = np.unique(found[fresh], return_index=True)
                 for s, i in zip(first.tolist(), at[fresh[where]].tolist(), strict=True):
                     names[s] = lang, b" ".join(tokens[i : i + size]).decode()
-                counts += np.bincount(found, minlength=len(counts))
+                seen[first] = True
+                met.append(found)
+            if sum(map(len, met)) >= KEYS:
+                counted()
             if len(names) >= NAMES:
                 yield sent()
             if len(reader) > KNOWN:
@@ -416,6 +426,8 @@ def count_slots(docs: DataFrame, wanted, pairs, held, bits: int) -> DataFrame:
                 slot = np.full(1, -1)
         if names:
             yield sent()
+        if met:
+            counted()
         full = np.zeros(-(-len(counts) // BLOCK) * BLOCK, np.int64)
         full[: len(counts)] = counts
         used = np.flatnonzero(full.reshape(-1, BLOCK).any(axis=1))
@@ -582,8 +594,10 @@ def collocations(docs: DataFrame, top: int = TOP, slots: int = SLOTS) -> DataFra
     scored = cut(phrases)
     longer = scored.select(F.explode("inner").alias("slot"), "a").groupBy("slot").agg(F.max("a").alias("longer"))
     kept = scored.join(longer, "slot", "left").where(F.col("longer").isNull() | (100 * F.col("longer") < HIDES * F.col("a")))
-    best = Window.partitionBy("lang").orderBy(F.desc("score"), F.desc("a"), "phrase")
-    ranked = kept.select("lang", "phrase", "a", "l", "r", "score").withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)
+    order = (F.desc("score"), F.desc("a"), F.col("phrase"))
+    dealt_ = kept.select("lang", "phrase", "a", "l", "r", "score", F.pmod(F.xxhash64("phrase"), F.lit(HEATS)).alias("heat"))
+    heats = dealt_.withColumn("rank", F.row_number().over(Window.partitionBy("lang", "heat").orderBy(*order))).where(F.col("rank") <= top)
+    ranked = heats.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order))).where(F.col("rank") <= top)
     return ranked.join(totals, "lang").select("lang", F.col("rank").cast("long").alias("rank"), "phrase", "a", "l", "r", "n", "score")
 
 
