@@ -9,8 +9,8 @@ corrected count decides, and among equal ones the language that sorts first.
 
 Learning counts every n-gram of a bounded sample of labelled rows, per language, on the
 executors; none is dropped. The table has CELLS cells for each n-gram of the richest
-language, filled in blocks on the executors too; only finished blocks reach the driver, and
-what is broadcast grows with the sample alone. A mask has as many words as the languages
+language, within MOST bytes, filled in blocks on the executors too; only finished blocks
+reach the driver, and what is broadcast is bounded. A mask has as many words as the languages
 need. Prediction is one narrow Arrow map; it sees the text only.
 """
 
@@ -31,6 +31,9 @@ LEVELS = (0.0, 3e-5, 3e-4)
 #: Bound of the sample: about so many rows of each language; texts of more characters do not teach.
 ROWS, LONGEST = 1500, 200_000
 
+#: Bytes of the table at most: beyond them cells are shared by more n-grams, which raises the rate at which strangers hit them, and that is corrected for.
+MOST = 1 << 26
+
 #: Characters of texts whose n-grams are looked up together.
 GROUP = 1 << 19
 
@@ -199,8 +202,8 @@ def fit(df: DataFrame, lang_col: str = "lang", text_col: str = "text", id_col: s
     held = cut(some.mapInArrow(collect, "i int, size int, gram long, n long").groupBy("i", "size", "gram").agg(F.sum("n").alias("n")))
     totals = held.groupBy("i", "size").agg(F.sum("n").alias("all"), F.count("*").alias("kinds")).collect()  # a row for each language and order
     most = max((sum(r["kinds"] for r in totals if r["i"] == i) for i in range(len(languages))), default=0)
-    bits = max(BLOCK, int(np.ceil(np.log2(max(1, CELLS * most)))))
     kind, words, per = layout(len(languages))
+    bits = max(BLOCK, min(int(np.ceil(np.log2(max(1, CELLS * most)))), int(np.log2(MOST // (words * kind().itemsize)))))
     all_of = np.ones((len(languages), max(ORDERS) + 1))
     for r in totals:
         all_of[r["i"], r["size"]] = r["all"]
