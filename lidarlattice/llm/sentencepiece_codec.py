@@ -28,8 +28,8 @@ from pyspark.sql import types as T
 from lidarlattice.llm._common import map_text, table
 
 SPACE = "▁"
-#: Bounds of the two tables a worker keeps: words of each, and the longest word that is kept.
-CACHE_WORDS, CACHE_CHARS = 300_000, 48
+#: Bounds of what a worker keeps: words of each of two tables, the longest word that is kept, and answers on pairs of pieces.
+CACHE_WORDS, CACHE_CHARS, CACHE_PAIRS = 120_000, 48, 400_000
 
 
 class Codec:
@@ -84,7 +84,7 @@ class Codec:
         """Whether `b` may follow `a` ("": the start), found by merging both again."""
         key = (a, b)
         if (known := self.fits.get(key)) is None:
-            if len(self.fits) > 2_000_000:
+            if len(self.fits) > CACHE_PAIRS:
                 self.fits.clear()
             known = self.fits[key] = self.merge(a + b) == ([a, b] if a else [b])
         return known
