@@ -19,7 +19,7 @@ LANGUAGE_SCORE = 0.28
 
 def _packed(docs: DataFrame) -> DataFrame:
     """The text beside all other columns as one, so that no name clashes with what a model appends."""
-    return docs.select(F.struct(*[c for c in docs.columns if c != "text"]).alias("doc"), "text")
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("doc"), "text")
 
 
 def _unpacked(kept: DataFrame, columns: list[str]) -> DataFrame:
