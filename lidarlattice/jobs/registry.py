@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lidarlattice.functions import geo, metrics, names
 from lidarlattice.jobs import workloads
-from lidarlattice.operators import chunks, cover, gridding, joins, quality, validate, vector
+from lidarlattice.operators import chunks, cover, gridding, joins, lineage, quality, validate, vector
 from lidarlattice.schema import BINS, COVERAGE_BEAMS, DEGRADE_OK, GRID_METRICS, NODATA_255, NODATA_32767, PAVD, POWER_BEAMS, RH_VALUES, WINDOWS
 from lidarlattice.sources import extract, files, stores, zones
 from lidarlattice.sources import shots as src
@@ -917,6 +917,11 @@ def _profile_sql(c: str, source: str = "shots", more: str = "") -> str:
 
 
 _PROFILE_ROUNDED = ["med_fin", "mean_valid", "med_valid", "sd_valid", "p05_valid", "p25_valid", "p75_valid", "p95_valid", "iqr_valid"]
+def _stored(df: DataFrame) -> DataFrame:
+    """The derived shots as the stored table that profiles read several times."""
+    return lineage.cut(df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+
+
 #: A column with infinities of both signs, beside those with nulls, NaN and missing codes.
 _ENDLESS = "case when ok % 103 = 0 then cast('inf' as double) when ok % 107 = 0 then cast('-inf' as double) else sol_elev end"
 
@@ -924,7 +929,7 @@ _ENDLESS = "case when ok % 103 = 0 then cast('inf' as double) when ok % 107 = 0
 @register("column_profile", f"with {SHOTS}, endless as (select * replace ({_ENDLESS} as sol_elev) from shots) " + " union all ".join(_profile_sql(c, "endless") for c in _PROFILED))
 def column_profile(spark, d):
     s = shots(spark, d).withColumn("sol_elev", F.expr(_ENDLESS))
-    return _rounded(chunks.column_profile(chunks.with_chunk(s.select(*_PROFILED))), _PROFILE_ROUNDED)
+    return _rounded(chunks.column_profile(_stored(chunks.with_chunk(s.select(*_PROFILED)))), _PROFILE_ROUNDED)
 
 
 _RECODED = ", ".join(f"case when {c} = {code} then -9999 else {c} end as {c}" for c, code in (dict.fromkeys(NODATA_255, 255) | dict.fromkeys(NODATA_32767, 32767)).items() if c in _PROFILED)
@@ -934,7 +939,8 @@ _FAMILIES = {"ga": "loc_out_umd = 0", "va": "l2_hqflag = 1"}
 @register("export_profile", f"with {SHOTS}, {FLAGS}, recoded as (select * replace ({_RECODED}) from flagged), " + ", ".join(f"{k} as (select * from recoded where {w})" for k, w in _FAMILIES.items()) + " " + " union all ".join(_profile_sql(c, k, f"'{k}' as family, ") for k in _FAMILIES for c in _PROFILED))
 def export_profile(spark, d):
     """Profiles of the exported ground and vegetation tables, after recoding."""
-    return _rounded(chunks.export_profile(chunks.with_chunk(flagged(spark, d)), _PROFILED), _PROFILE_ROUNDED)
+    f = chunks.with_chunk(flagged(spark, d)).select(*_PROFILED, "chunk_id", "loc_out_umd", "l2_hqflag")
+    return _rounded(chunks.export_profile(_stored(f), _PROFILED), _PROFILE_ROUNDED)
 
 
 _TILE = "select ok % 200 as row, pk % 200 as col, ln as priority, max(case when sk % 5 = 0 then null else qty end) as value from k0 group by 1, 2, 3"

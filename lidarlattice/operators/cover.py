@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lidarlattice.operators.lineage import cut
+
 #: Cells of a polygon's cover, about: four for each edge within these bounds.
 LEAST_CELLS, MOST_CELLS = 64, 4096
 #: Levels of cells, of size 2 ** level.
@@ -100,7 +102,7 @@ def polygon_tag(df: DataFrame, polygons: DataFrame, x: str = "lon_lm_a0", y: str
     needs a test only in the cells on edges. The few different sizes of cells in use are
     listed in the plan.
     """
-    cover = polygon_cover(polygons, id_col)
+    cover = cut(polygon_cover(polygons, id_col))
     levels = [r["level"] for r in cover.select("level").distinct().orderBy("level").collect()]  # COARSEST - FINEST + 1 at most
     met = met_cells(df, cover, levels, x, y)
     kept = F.col("_edges").isNull() | in_rings(F.col(x).cast("double"), F.col(y).cast("double"), "_edges")
@@ -190,8 +192,8 @@ def interval_join(df: DataFrame, windows: DataFrame, date_col: str = "date") ->
     begin, hold nothing, as do null dates.
     """
     day = lambda c: F.unix_date(F.col(c).cast("date")).cast("long")
-    cut = windows.where("first_day <= last_day").select("win", F.explode(spans(day("first_day"), day("last_day"))).alias("s")).select("win", "s.*")
+    pieces = windows.where("first_day <= last_day").select("win", F.explode(spans(day("first_day"), day("last_day"))).alias("s")).select("win", "s.*")
     dates = df.select(F.col(date_col).alias("_date")).where("_date is not null").distinct()
     under = F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.floor(day("_date") / F.lit(2.0**k)).cast("long").alias("span")) for k in range(SPANS + 1)])).alias("s")
-    held = dates.select("_date", under).select("_date", "s.*").join(cut, ["level", "span"]).select("_date", "win")
+    held = dates.select("_date", under).select("_date", "s.*").join(pieces, ["level", "span"]).select("_date", "win")
     return df.join(held, df[date_col] == held["_date"]).drop("_date")
