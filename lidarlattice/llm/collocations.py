@@ -11,8 +11,8 @@ hashes of the words (with their language), and never as text until they are coun
    frequent phrase can be left out, as a phrase is no more frequent than its parts (Apriori).
 4. Counts: each shard turns its words and candidates into its part of a minimal perfect hash
    that stores the keys. Tasks look up every word and phrase, compare the stored key, and
-   count slots in numpy arrays, which are summed block by block in a tree. A task sends the
-   text of a phrase when it meets its slot first.
+   count slots in numpy arrays, which are summed block by block in a tree. One task that has
+   the phrase, noted by the shard that counted it, sends its text.
 
 Cuts are then read by slot: each phrase looks up the slots of its parts. A perfect hash of
 more than SLOTS keys is used a part at a time, each part with a pass of its own, so what a
@@ -22,6 +22,7 @@ any size.
 
 from __future__ import annotations
 
+import struct
 import zlib
 from collections.abc import Iterator
 
@@ -38,11 +39,11 @@ from lidarlattice.llm.perfect_hash import PerfectHash, build, fold, shard_of
 #: Least occurrences of a phrase, rows per language, scale of the scores, share (percent) of a phrase that a longer one must have to hide it.
 LEAST, TOP, SCALE, HIDES = 10, 2000, 1_000_000, 50
 #: Keys of the perfect hash that are used at a time; bits of the map of frequent words (8 MB); slots of a block; blocks' rows that are summed at a time.
-SLOTS, MAP_BITS, BLOCK, FAN = 1 << 22, 26, 512, 256
+SLOTS, MAP_BITS, BLOCK, FAN = 1 << 22, 26, 4096, 256
 #: Parts of a language's phrases that are ranked by themselves first, so that what is ranked together in the end is bounded.
 HEATS = 64
-#: Bytes of text that are split at a time, words that a task knows, keys that it sorts at a time.
-SLICE, KNOWN, KEYS = 512 << 10, 250_000, 400_000
+#: Bytes of text that are split at a time, words that a task knows, keys that it sorts at a time, sorted keys that it holds before it sends them (33 MB).
+SLICE, KNOWN, KEYS, HELD = 512 << 10, 250_000, 400_000, 3_000_000
 
 #: The end of a piece: a byte that no UTF-8 text has.
 END = b"\xff"
@@ -166,7 +167,24 @@ def two_and_three(a: np.ndarray, b: np.ndarray, ids: np.ndarray, pairs: np.ndarr
 
 # -- keys by shard ----------------------------------------------------------------------------
 
-_ROWS = "shard int, payload binary, lang string, n long"
+#: Keys of a shard with the task they come from (n), or, of its frequent keys, with a task that has each (owner); or words of a language (lang, n).
+_ROWS = "shard int, payload binary, lang string, n long, owner binary"
+#: What stands in an owner's place where none is asked for: at words. Tasks go by their number modulo this.
+WORD = 0xFFFF
+
+
+def squeeze(plain: bytes) -> bytes:
+    return struct.pack("<I", len(plain)) + pa.Codec("zstd", compression_level=1).compress(plain, asbytes=True)
+
+
+def unsqueeze(payload: bytes) -> bytes:
+    return pa.Codec("zstd").decompress(payload[4:], decompressed_size=int.from_bytes(payload[:4], "little"), asbytes=True)
+
+
+def task_number() -> int:
+    from pyspark import TaskContext
+
+    return TaskContext.get().partitionId()
 
 
 def _rows(rows: list[tuple], names: str) -> pa.RecordBatch:
@@ -176,55 +194,72 @@ def _rows(rows: list[tuple], names: str) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, type=kinds[t]) for c, (_, t) in zip(columns, fields, strict=True)], names=[n for n, _ in fields])
 
 
-def pack(a: np.ndarray, b: np.ndarray, n: np.ndarray) -> bytes:
-    """Keys and counts of one shard; the leading byte of `a` goes with the shard's number, which has as many bits at least (see `unpack`)."""
-    return np.ascontiguousarray(a.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7]).tobytes() + b.astype("<u2").tobytes() + n.astype(np.uint8).tobytes()
+def pack(a: np.ndarray, b: np.ndarray, n: np.ndarray, shard: int, bits: int) -> bytes:
+    """Keys, in order, and counts of one shard: the steps from key to key, of which the leading three bytes and the counts (mostly small numbers) are compressed."""
+    steps = np.diff(a, prepend=np.uint64(shard << (64 - bits)))
+    plain = [steps.astype("<u4"), (steps >> np.uint64(32)).astype(np.uint8), b.astype("<u2")]
+    small = [(steps >> np.uint64(40)).astype(np.uint8), (steps >> np.uint64(48)).astype("<u2"), n.astype(np.uint8)]
+    return struct.pack("<I", len(a)) + b"".join([x.tobytes() for x in plain]) + squeeze(b"".join([x.tobytes() for x in small]))
 
 
 def unpack(payload: bytes, shard: int, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    k = len(payload) // 10
-    a = np.zeros((k, 8), np.uint8)
-    a[:, :7] = np.frombuffer(payload, np.uint8, 7 * k).reshape(-1, 7)
-    a[:, 7] = shard >> (bits - 8)
-    return a.view("<u8").ravel(), np.frombuffer(payload, "<u2", k, 7 * k), np.frombuffer(payload, np.uint8, k, 9 * k)
+    (k,) = struct.unpack_from("<I", payload)
+    small = unsqueeze(payload[4 + 7 * k :])
+    steps = np.zeros(k, np.uint64)
+    for held, kind, at, up in ((payload, "<u4", 4, 0), (payload, np.uint8, 4 + 4 * k, 32), (small, np.uint8, 0, 40), (small, "<u2", k, 48)):
+        steps |= np.frombuffer(held, kind, k, at).astype(np.uint64) << np.uint64(up)
+    a = np.cumsum(steps, dtype=np.uint64) + np.uint64(shard << (64 - bits))
+    return a, np.frombuffer(payload, "<u2", k, 4 + 5 * k), np.frombuffer(small, np.uint8, k, 3 * k)
+
+
+def grouped(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The order of keys by the first number, and where in it each different key starts."""
+    order = np.argsort(a)
+    a_, b_ = a[order], b[order]
+    same = a_[1:] == a_[:-1]
+    if (same & (b_[1:] != b_[:-1])).any():  # different keys share the first number: order them by both
+        order = np.lexsort((b, a))
+        a_, b_ = a[order], b[order]
+        same = a_[1:] == a_[:-1]
+    return order, np.flatnonzero(np.r_[True, ~same | (b_[1:] != b_[:-1])][: len(a)])
 
 
 def summed(a: np.ndarray, b: np.ndarray, n: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Equal keys as one with the sum of `n` (1 each, if None), in order of the first number."""
-    order = np.argsort(a)
-    a, b = a[order], b[order]
-    if not len(a):
-        return a, b, np.zeros(0, np.int64)
-    same = a[1:] == a[:-1]
-    if (same & (b[1:] != b[:-1])).any():  # different keys share the first number: order them by both
-        again = np.lexsort((b, a))
-        a, b, order = a[again], b[again], order[again]
-        same = a[1:] == a[:-1]
-    start = np.flatnonzero(np.r_[True, ~same | (b[1:] != b[:-1])])
-    return a[start], b[start], np.diff(np.r_[start, len(a)]) if n is None else np.add.reduceat(n[order].astype(np.int32), start)
-
-
-def dealt(a: np.ndarray, b: np.ndarray, n: np.ndarray | None, bits: int) -> pa.RecordBatch:
-    """Keys with their counts, each once, as a row for each shard."""
+    order, start = grouped(a, b)
+    first = order[start]
+    return a[first], b[first], times(n, order, start)
+
+
+def times(n: np.ndarray | None, order: np.ndarray, start: np.ndarray) -> np.ndarray:
+    if n is None or not len(order):
+        return np.diff(np.r_[start, len(order)])
+    return np.add.reduceat(n[order].astype(np.int32), start)
+
+
+def dealt(a: np.ndarray, b: np.ndarray, n: np.ndarray | None, bits: int, part: int) -> pa.RecordBatch:
+    """Keys of a task with their counts, each once, as a row for each shard."""
     a, b, n = summed(a, b, n)
     edges = np.r_[0, np.flatnonzero(np.diff(shard_of(a, bits))) + 1, len(a)] if len(a) else [0]
     n = np.minimum(n, 255)
-    return _rows([(int(a[i]) >> (64 - bits), pack(a[i:j], b[i:j], n[i:j]), None, None) for i, j in zip(edges[:-1], edges[1:], strict=True)], _ROWS)
+    shards = [int(a[i]) >> (64 - bits) for i in edges[:-1]]
+    return _rows([(s, pack(a[i:j], b[i:j], n[i:j], s, bits), None, part % WORD, None) for s, i, j in zip(shards, edges[:-1], edges[1:], strict=True)], _ROWS)
 
 
 def gathered(rows: DataFrame, bits: int, finish, names: str) -> DataFrame:
-    """`finish(shard, a, b, totals)` of each shard's frequent keys and of the totals that it holds, one shard of a task at a time."""
+    """`finish(shard, a, b, owner, totals)` of each shard's frequent keys, with a task that has each, and of the totals that it holds, one shard of a task at a time."""
 
     def run(batches):
         shard, parts, totals = None, [], {}
 
         def close():
-            a, b, n = summed(*(np.concatenate(c) for c in zip(*parts, strict=True))) if parts else (np.zeros(0, np.uint64), np.zeros(0, np.uint16), np.zeros(0, np.int64))
-            kept = n >= LEAST
-            return _rows(finish(shard, a[kept], b[kept], totals), names)
+            a, b, n, owner = (np.concatenate(c) for c in zip(*parts, strict=True)) if parts else (np.zeros(0, t) for t in (np.uint64, np.uint16, np.uint8, np.uint16))
+            order, start = grouped(a, b)
+            kept = order[start[times(n, order, start) >= LEAST]]
+            return _rows(finish(shard, a[kept], b[kept], owner[kept], totals), names)
 
         for batch in batches:
-            for name, payload, lang, n in zip(*[c.to_pylist() for c in batch.columns], strict=True):
+            for name, payload, lang, n, owner in zip(*[c.to_pylist() for c in batch.columns], strict=True):
                 if name != shard:
                     if shard is not None:
                         yield close()
@@ -232,17 +267,23 @@ def gathered(rows: DataFrame, bits: int, finish, names: str) -> DataFrame:
                 if lang is not None:
                     totals[lang] = totals.get(lang, 0) + n
                 else:
-                    parts.append(unpack(payload, name, bits))
+                    keys = unpack(payload, name, bits)
+                    parts.append((*keys, np.full(len(keys[0]), n, np.uint16) if owner is None else np.frombuffer(owner, "<u2")))
         if shard is not None:
             yield close()
 
     return rows.repartition("shard").sortWithinPartitions("shard").mapInArrow(run, names)
 
 
-def kept_keys(shard: int, a: np.ndarray, b: np.ndarray, totals: dict[str, int]) -> list[tuple]:
+def kept_keys(bits: int, word: bool = False):
     """Rows of a shard's frequent keys, which count LEAST from here on, and of totals."""
-    rows = [(shard, None, lang, n) for lang, n in totals.items()]
-    return rows + ([(shard, pack(a, b, np.full(len(a), LEAST)), None, len(a))] if len(a) else [])
+
+    def finish(shard: int, a: np.ndarray, b: np.ndarray, owner: np.ndarray, totals: dict[str, int]) -> list[tuple]:
+        rows = [(shard, None, lang, n, None) for lang, n in totals.items()]
+        owner = np.full(len(a), WORD) if word else owner
+        return rows + ([(shard, pack(a, b, np.full(len(a), LEAST), shard, bits), None, len(a), owner.astype("<u2").tobytes())] if len(a) else [])
+
+    return finish
 
 
 def count_words(docs: DataFrame, bits: int) -> DataFrame:
@@ -253,7 +294,7 @@ def count_words(docs: DataFrame, bits: int) -> DataFrame:
 
         def flush():
             a, b = reader.hashes()
-            return dealt(a[1:], half(b[1:]), np.minimum(counts[1:], 255), bits)
+            return dealt(a[1:], half(b[1:]), np.minimum(counts[1:], 255), bits, task_number())
 
         for lang, texts in by_language(batches):
             _, ids = reader.read(lang, texts)
@@ -268,9 +309,9 @@ def count_words(docs: DataFrame, bits: int) -> DataFrame:
         if len(counts):
             yield flush()
         # totals travel with the shards, spread by language, on numbers beyond theirs
-        yield _rows([((1 << bits) + zlib.crc32(lang.encode()) % 64, None, lang, n) for lang, n in totals.items()], _ROWS)
+        yield _rows([((1 << bits) + zlib.crc32(lang.encode()) % 64, None, lang, n, None) for lang, n in totals.items()], _ROWS)
 
-    return gathered(docs.mapInArrow(run, _ROWS), bits, kept_keys, _ROWS)
+    return gathered(docs.mapInArrow(run, _ROWS), bits, kept_keys(bits, word=True), _ROWS)
 
 
 def key_map(keys: DataFrame, bits: int) -> bytes:
@@ -300,8 +341,20 @@ def candidates(docs: DataFrame, words, pairs, bits: int) -> DataFrame:
     """Keys, by shard, of phrases of two words that may be frequent, given the map of frequent words; given that of frequent pairs too, of phrases of three."""
 
     def run(batches):
-        reader, a, b, n = Reader(np.frombuffer(words.value, np.uint8)), [], [], 0
+        reader, a, b, n, runs = Reader(np.frombuffer(words.value, np.uint8)), [], [], 0, []
         known = None if pairs is None else np.frombuffer(pairs.value, np.uint8)
+
+        def sort():
+            ka, kb, found = summed(np.concatenate(a), np.concatenate(b))
+            runs.append((ka, kb, np.minimum(found, 255).astype(np.uint8)))
+            a.clear()
+            b.clear()
+
+        def sent():
+            rows = dealt(*(np.concatenate(c) for c in zip(*runs, strict=True)), bits, task_number())
+            runs.clear()
+            return rows
+
         for lang, texts in by_language(batches):
             _, ids = reader.read(lang, texts)
             _, (ka, kb) = next(two_and_three(*reader.hashes(), ids)) if known is None else list(two_and_three(*reader.hashes(), ids, known))[1]
@@ -311,21 +364,25 @@ def candidates(docs: DataFrame, words, pairs, bits: int) -> DataFrame:
             if len(reader) > KNOWN:
                 reader.forget()
             if n >= KEYS:
-                yield dealt(np.concatenate(a), np.concatenate(b), None, bits)
-                a, b, n = [], [], 0
+                sort()
+                n = 0
+                if sum(len(r[0]) for r in runs) >= HELD:
+                    yield sent()
         if n:
-            yield dealt(np.concatenate(a), np.concatenate(b), None, bits)
+            sort()
+        if runs:
+            yield sent()
 
-    return gathered(docs.mapInArrow(run, _ROWS), bits, kept_keys, _ROWS)
+    return gathered(docs.mapInArrow(run, _ROWS), bits, kept_keys(bits), _ROWS)
 
 
 def hash_shards(keys: DataFrame, bits: int) -> DataFrame:
-    """Frequent keys, each given once with LEAST, by shard -> (shard, n, payload): the shard's part of the perfect hash."""
+    """Frequent keys, each given once with LEAST, by shard -> (shard, n, phrases, payload): the shard's part of the perfect hash, its keys and those that are phrases."""
 
-    def finish(shard, a, b, _):
-        return [(shard, len(a), build(a, b))] if len(a) else []
+    def finish(shard, a, b, owner, _):
+        return [(shard, len(a), int((owner != WORD).sum()), build(a, b, owner))] if len(a) else []
 
-    return gathered(keys.where("payload is not null"), bits, finish, "shard int, n long, payload binary")
+    return gathered(keys.where("payload is not null"), bits, finish, "shard int, n long, phrases long, payload binary")
 
 
 # -- counts by slot ---------------------------------------------------------------------------
@@ -368,36 +425,60 @@ class _Id:
         self._held.destroy()
 
 
-def pack_names(names: dict[int, tuple[str, str]]) -> bytes:
-    """Slots with language and phrase; neither tabs nor line ends are left in these."""
-    return zlib.compress("\n".join([f"{slot}\t{lang.encode('unicode_escape').decode()}\t{phrase}" for slot, (lang, phrase) in names.items()]).encode(), 1)
+def pack_counts(counts: np.ndarray) -> bytes:
+    """Counts of a block, byte by byte, as many bytes as its largest count has."""
+    wide = max(1, -(-int(counts.max()).bit_length() // 8))
+    return squeeze(counts.astype("<u8").view(np.uint8).reshape(-1, 8).T[:wide].tobytes())
 
 
-def unpack_names(payload: bytes) -> dict[int, tuple[str, str]]:
-    rows = (line.split("\t") for line in zlib.decompress(payload).decode().split("\n"))
-    return {int(slot): (lang.encode().decode("unicode_escape"), phrase) for slot, lang, phrase in rows}
+def unpack_counts(payload: bytes) -> np.ndarray:
+    plain = np.frombuffer(unsqueeze(payload), np.uint8).reshape(-1, BLOCK)
+    counts = np.zeros((BLOCK, 8), np.uint8)
+    counts[:, : len(plain)] = plain.T
+    return counts.view("<u8").ravel().astype(np.int64)
 
 
-def count_slots(docs: DataFrame, wanted, pairs, held, bits: int) -> DataFrame:
-    """Counts of the slots of one part of the perfect hash: rows of blocks, with their counts or with the phrases that a task met first in them."""
+def pack_names(names: list[tuple[str, bytes, int]]) -> bytes:
+    """Language, phrase and place in the block: the places, then a line for each phrase, after one with a tab for its language; neither tabs nor line ends are left in phrases."""
+    lines, before = [], None
+    names = sorted(names)
+    for lang, phrase, _ in names:
+        if lang != before:
+            lines.append(b"\t" + lang.encode("unicode_escape"))
+            before = lang
+        lines.append(phrase)
+    return struct.pack("<I", len(names)) + np.array([at for *_, at in names], "<u2").tobytes() + squeeze(b"\n".join(lines))
 
-    def run(batches):
-        from pyspark import TaskContext
 
-        part = TaskContext.get().partitionId()
+def unpack_names(payload: bytes) -> dict[int, tuple[str, bytes]]:
+    (k,) = struct.unpack_from("<I", payload)
+    places, names, lang = iter(np.frombuffer(payload, "<u2", k, 4).tolist()), {}, None
+    for line in unsqueeze(payload[4 + 2 * k :]).split(b"\n"):
+        if line[:1] == b"\t":
+            lang = line[1:].decode("unicode_escape")
+        else:
+            names[next(places)] = lang, line
+    return names
+
+
+def count_slots(docs: DataFrame, wanted, pairs, held, bits: int, everyone: bool = False) -> DataFrame:
+    """Counts of the slots of one part of the perfect hash: rows of blocks, with their counts or with the phrases of which the task is the owner, or, for `everyone`, that it met."""
+
+    def run(batches):
+        part = task_number()
         ready, known = perfect_hash(held, bits), np.frombuffer(pairs.value, np.uint8)
         reader, slot = Reader(np.frombuffer(wanted.value, np.uint8)), np.full(1, -1)
-        counts, seen, met = np.zeros(len(ready), np.int64), np.zeros(len(ready), bool), []
-        names: dict[int, tuple[str, str]] = {}
+        counts, asked, met = np.zeros(len(ready), np.int64), np.full(len(ready), True) if everyone else ready.tags == part % WORD, []
+        names: dict[int, tuple[str, bytes]] = {}
 
         def counted():
             np.add(counts, np.bincount(np.concatenate(met), minlength=len(counts)), out=counts)
             met.clear()
 
         def sent():
-            by_block: dict[int, dict[int, tuple[str, str]]] = {}
+            by_block: dict[int, list[tuple[str, bytes, int]]] = {}
             for s, name in names.items():
-                by_block.setdefault(s // BLOCK, {})[s] = name
+                by_block.setdefault(s // BLOCK, []).append((*name, s % BLOCK))
             names.clear()
             return _rows([(block, part, None, pack_names(some)) for block, some in by_block.items()], _PACKED)
 
@@ -411,11 +492,11 @@ def count_slots(docs: DataFrame, wanted, pairs, held, bits: int) -> DataFrame:
             for size, (at, keys) in enumerate(two_and_three(ha, hb, ids, known), 2):
                 found = ready.slots(*keys)
                 at, found = at[found >= 0], found[found >= 0]
-                fresh = np.flatnonzero(~seen[found])
+                fresh = np.flatnonzero(asked[found])
                 first, where = np.unique(found[fresh], return_index=True)
                 for s, i in zip(first.tolist(), at[fresh[where]].tolist(), strict=True):
-                    names[s] = lang, b" ".join(tokens[i : i + size]).decode()
-                seen[first] = True
+                    names[s] = lang, b" ".join(tokens[i : i + size])
+                asked[first] = False
                 met.append(found)
             if sum(map(len, met)) >= KEYS:
                 counted()
@@ -432,7 +513,7 @@ def count_slots(docs: DataFrame, wanted, pairs, held, bits: int) -> DataFrame:
         full[: len(counts)] = counts
         used = np.flatnonzero(full.reshape(-1, BLOCK).any(axis=1))
         for at in range(0, len(used), 1000):
-            yield _rows([(int(k), part, zlib.compress(full[k * BLOCK : (k + 1) * BLOCK].tobytes(), 1), None) for k in used[at : at + 1000]], _PACKED)
+            yield _rows([(int(k), part, pack_counts(full[k * BLOCK : (k + 1) * BLOCK]), None) for k in used[at : at + 1000]], _PACKED)
 
     return docs.mapInArrow(run, _PACKED)
 
@@ -446,11 +527,11 @@ def tree_sum(rows: DataFrame, parts: int) -> DataFrame:
 
             def close():
                 block, part = key
-                payload = None if total is None else zlib.compress(total.tobytes(), 1)
+                payload = None if total is None else pack_counts(total)
                 if not last:
-                    return _rows([(block, part, payload, pack_names(names) if names else None)], _PACKED)
-                sums = {s: int(total[s - block * BLOCK]) for s in names}
-                return _rows([(block, payload, None, None, None, None), *[(block, None, s, *names[s], a) for s, a in sums.items() if a >= LEAST]], _COUNTED)
+                    return _rows([(block, part, payload, pack_names([(*name, at) for at, name in names.items()]) if names else None)], _PACKED)
+                found = [(at, lang, phrase.decode(), int(total[at])) for at, (lang, phrase) in names.items() if total[at] >= LEAST]
+                return _rows([(block, payload, None, None, None, None), *[(block, None, block * BLOCK + at, *rest) for at, *rest in found]], _COUNTED)
 
             for batch in batches:
                 for block, part, counts, more in zip(*[c.to_pylist() for c in batch.columns], strict=True):
@@ -461,7 +542,7 @@ def tree_sum(rows: DataFrame, parts: int) -> DataFrame:
                     if more is not None:
                         names |= unpack_names(more)
                     if counts is not None:
-                        counted = np.frombuffer(zlib.decompress(counts), np.int64)
+                        counted = unpack_counts(counts)
                         total = counted if total is None else total + counted
             if key is not None:
                 yield close()
@@ -573,16 +654,19 @@ def collocations(docs: DataFrame, top: int = TOP, slots: int = SLOTS) -> DataFra
     pairs = spark.sparkContext.broadcast(key_map(twos, bits))
     threes = candidates(texts, wanted, pairs, bits)
     shards = cut(hash_shards(words.unionAll(twos).unionAll(threes), bits))
-    lots = passes([(r["shard"], r["n"]) for r in shards.select("shard", "n").collect()], slots)
+    sizes = {r["shard"]: (r["n"], r["phrases"]) for r in shards.select("shard", "n", "phrases").collect()}
+    lots = passes([(shard, n) for shard, (n, _) in sizes.items()], slots)
     counted, held, offset = None, [], 0
     for lot in lots:
         part = {r["shard"]: bytes(r["payload"]) for r in (shards.where(F.col("shard").between(lot[0], lot[-1])).select("shard", "payload").collect() if lot else [])}
         ready = _Id(spark, part)
         blocks = cut(tree_sum(count_slots(texts, wanted, pairs, ready, bits), parts))
+        if blocks.where("slot is not null").count() < sum(sizes[shard][1] for shard in lot):  # rows have changed tasks since: any task with a phrase sends its text
+            blocks = cut(tree_sum(count_slots(texts, wanted, pairs, ready, bits, everyone=True), parts))
         n = sum(int.from_bytes(p[:4], "little") for p in part.values())
         counts = np.zeros(-(-n // BLOCK) * BLOCK, np.int64)
         for r in blocks.where("slot is null").select("block", "counts").toLocalIterator():
-            counts[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = np.frombuffer(zlib.decompress(r["counts"]), np.int64)
+            counts[r["block"] * BLOCK : (r["block"] + 1) * BLOCK] = unpack_counts(r["counts"])
         numbers = spark.sparkContext.broadcast(counts.tobytes())
         rows = blocks.where("slot is not null").select((F.col("slot") + offset).alias("slot"), "lang", "phrase", "a")
         counted = rows if counted is None else counted.unionAll(rows)

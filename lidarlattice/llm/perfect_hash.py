@@ -4,7 +4,7 @@ A key is two numbers: `a` (64 bits) and `b` (16 bits). The leading bits of `a` n
 A shard keeps one bit array for each level: a key's bit is set on the first level on which
 no other key of the shard that is left has the same place. A key's slot is the number of set
 bits before its own, so slots run from 0 without gaps. The keys themselves are stored by slot
-and compared, so that a key that was not put in is told apart.
+and compared, so that a key that was not put in is told apart. Each has a tag of 16 bits.
 """
 
 from __future__ import annotations
@@ -40,8 +40,9 @@ def _place(a: np.ndarray, b: np.ndarray, level: int, size) -> np.ndarray:
     return ((h >> np.uint64(32)) * size >> np.uint64(32)).astype(np.int64)
 
 
-def build(a: np.ndarray, b: np.ndarray) -> bytes:
-    """One shard of different keys, as bytes: the sizes of its levels, their bits, and the keys by slot."""
+def build(a: np.ndarray, b: np.ndarray, tags: np.ndarray | None = None) -> bytes:
+    """One shard of different keys, as bytes: the sizes of its levels, their bits, and the keys and tags (0, if None) by slot."""
+    tags = np.zeros(len(a), np.uint16) if tags is None else tags
     sizes, levels, order = [], [], []
     left = np.arange(len(a))
     while len(left):
@@ -56,7 +57,7 @@ def build(a: np.ndarray, b: np.ndarray) -> bytes:
         left = left[~alone]
     slots = np.concatenate(order) if order else np.zeros(0, np.int64)
     head = struct.pack(f"<II{len(sizes)}I", len(a), len(sizes), *sizes)
-    return head + b"".join(levels) + a[slots].astype("<u8").tobytes() + b[slots].astype("<u2").tobytes()
+    return head + b"".join(levels) + a[slots].astype("<u8").tobytes() + b[slots].astype("<u2").tobytes() + tags[slots].astype("<u2").tobytes()
 
 
 class PerfectHash:
@@ -66,7 +67,7 @@ class PerfectHash:
         self.bits, names = bits, sorted(shards)
         self.row = np.full(1 << bits, -1, np.int64)
         self.row[names] = np.arange(len(names))
-        counts, sizes, arrays, a, b = [], [], [], [], []
+        counts, sizes, arrays, a, b, tags = [], [], [], [], [], []
         for name in names:
             blob = shards[name]
             n, depth = struct.unpack_from("<II", blob)
@@ -79,11 +80,13 @@ class PerfectHash:
                 at += wide
             a.append(np.frombuffer(blob, "<u8", n, at))
             b.append(np.frombuffer(blob, "<u2", n, at + 8 * n))
+            tags.append(np.frombuffer(blob, "<u2", n, at + 10 * n))
             counts.append(n)
             sizes.append(of)
             arrays.append(levels)
         self.a = np.concatenate(a) if a else np.zeros(0, np.uint64)
         self.b = np.concatenate(b) if b else np.zeros(0, np.uint16)
+        self.tags = np.concatenate(tags) if tags else np.zeros(0, np.uint16)
         # one bit for each key by its trailing bits: most keys that are not stored go no further
         self.seen = np.zeros(1 << max(10, 3 + int(len(self.a)).bit_length()), bool)
         self.seen[(self.a & np.uint64(len(self.seen) - 1)).astype(np.int64)] = True

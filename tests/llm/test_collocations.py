@@ -7,6 +7,7 @@ from collections import Counter
 import duckdb
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lidarlattice.llm import collocations, perfect_hash
 
@@ -64,6 +65,56 @@ def test_tree_sums_in_levels(spark, monkeypatch):
     assert sorted(map(tuple, collocations.collocations(df).collect())) == by_hand(rows)
 
 
+def test_text_of_a_phrase_is_sent_once(spark, tmp_path):
+    """What tasks shuffle beside their keys and counts does not grow with the number of tasks that have a phrase."""
+    rows = rows_of(3, 400)
+    spark.createDataFrame(rows, "lang string, text string").repartition(8).write.parquet(str(tmp_path / "docs"))
+    docs = spark.read.parquet(str(tmp_path / "docs")).select(F.coalesce("lang", F.lit("und")).alias("lang"), "text")
+    assert docs.rdd.getNumPartitions() > 1
+    share, bits = spark.sparkContext.broadcast, 8
+    words = collocations.count_words(docs, bits).localCheckpoint()
+    wanted = share(collocations.key_map(words, bits))
+    twos = collocations.candidates(docs, wanted, None, bits).localCheckpoint()
+    pairs = share(collocations.key_map(twos, bits))
+    shards = collocations.hash_shards(words.unionAll(twos).unionAll(collocations.candidates(docs, wanted, pairs, bits)), bits).localCheckpoint()
+    ready = collocations._Id(spark, {r["shard"]: bytes(r["payload"]) for r in shards.collect()})
+    for everyone in (False, True):
+        sent = collocations.count_slots(docs, wanted, pairs, ready, bits, everyone).where("names is not null").collect()
+        slots = [(r["block"], at) for r in sent for at in collocations.unpack_names(bytes(r["names"]))]
+        phrases = shards.agg(F.sum("phrases")).first()[0]
+        assert len(set(slots)) == phrases > 100 and (len(slots) == phrases) is not everyone
+
+
+def test_rows_that_change_tasks(spark):
+    """Where each reading deals the rows to other tasks, no phrase is lost."""
+    rows = rows_of(4, 300)
+    anywhere = F.udf(lambda: random.randrange(1 << 30), "int").asNondeterministic()
+    df = spark.createDataFrame(rows, "lang string, text string").repartition(6, anywhere())
+    assert sorted(map(tuple, collocations.collocations(df).collect())) == by_hand(rows)
+
+
+@pytest.mark.parametrize("k,bits,shard", [(0, 8, 3), (1, 8, 255), (5, 16, 65535), (12000, 8, 200)])
+def test_packed_keys(k, bits, shard):
+    """Keys of a shard come back as they were, in less than the ten bytes that a key and its count have."""
+    rng = np.random.default_rng(k)
+    a = np.sort((rng.integers(0, 2**64, k, dtype=np.uint64) >> np.uint64(bits)) | np.uint64(shard << (64 - bits)))
+    if k > 2:
+        a[1], a[-1] = a[0], np.uint64(((shard + 1) << (64 - bits)) - 1)
+    b, n = rng.integers(0, 2**16, k).astype(np.uint16), np.minimum(rng.geometric(0.8, k), 255)
+    packed = collocations.pack(a, b, n, shard, bits)
+    assert all((x == y).all() and len(x) == k for x, y in zip(collocations.unpack(packed, shard, bits), (a, b, n), strict=True))
+    assert k < 1000 or len(packed) < 8 * k
+
+
+def test_packed_counts_and_names():
+    for most in (0, 1, 255, 256, 2**40):
+        counts = np.zeros(collocations.BLOCK, np.int64)
+        counts[7] = most
+        assert (collocations.unpack_counts(collocations.pack_counts(counts)) == counts).all()
+    names = [("a\tb\n", b"x y", 3), ("", b"q r", 0), ("a\tb\n", b"\xc3\xa9 z", 4095), ("日本", b"v w", 9)]
+    assert collocations.unpack_names(collocations.pack_names(names)) == {at: (lang, phrase) for lang, phrase, at in names}
+
+
 def test_counts_beyond_64_bits():
     """Scores are Python integers: a * a * SCALE passes 64 bits from three million on."""
     a = 5_000_000_000
