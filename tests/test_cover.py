@@ -81,6 +81,32 @@ def test_boxes(spark):
     assert cover.box_join(left.limit(0), right, "a", "b").collect() == []
 
 
+@pytest.mark.parametrize("limits", [(4096, 4096, 1 << 16), (7, 20, 3)])
+def test_boxes_counted_by_group(spark, monkeypatch, limits):
+    """Without a row for each pair, in blocks and shares of any size; ids and boxes may repeat, groups may be null."""
+    for name, limit in zip(("BLOCK", "PART", "SENT"), limits, strict=True):
+        monkeypatch.setattr(cover, name, limit)
+    rng = random.Random(5)
+
+    def box():
+        x, y, w, h = rng.uniform(-20, 20), rng.uniform(-20, 20), 10 ** rng.uniform(-4, 1.5), 10 ** rng.uniform(-4, 1.5)
+        return (x, y, x + w, y + h)
+
+    a = [(i, *box()) for i in range(200)] + [(900, 0.0, 0.0, 1.0, 1.0), (901, 1.0, 1.0, 1.0, 1.0), (902, -2e4, -2e4, 2e4, 2e4), (903, None, 0.0, 1.0, 1.0), (904, 2.0, 0.0, 1.0, 1.0)]
+    b = [(f"g{i % 9}", *box()) for i in range(300)] + [("h", 1.0, 1.0, 2.0, 2.0)] * 5 + [(None, 0.5, 0.5, 0.5, 0.5), ("g1", 0.0, float("nan"), 1.0, 1.0)]
+    ok = lambda t: [r for r in t if None not in r[1:] and all(map(math.isfinite, r[1:])) and r[1] <= r[3] and r[2] <= r[4]]
+    for more in ([], [(3, *box()), (5, *a[5][1:])]):
+        want = {}
+        for p in ok(a + more):
+            for q in ok(b):
+                if p[1] <= q[3] and p[3] >= q[1] and p[2] <= q[4] and p[4] >= q[2]:
+                    want[p[0], q[0]] = want.get((p[0], q[0]), 0) + 1
+        left, right = (spark.createDataFrame(t, f"{n}, xmin double, ymin double, xmax double, ymax double") for n, t in (("a int", a + more), ("g string", b)))
+        got = cover.box_counts(left, right, "a", "g").collect()
+        assert {(r["a"], r["g"]): r["n"] for r in got} == want and len(got) == len(want) > 300
+    assert cover.box_counts(left.limit(0), right, "a", "g").collect() == cover.box_counts(left, right.limit(0), "a", "g").collect() == []
+
+
 def test_a_file_that_spans_the_domain_is_listed_under_few_cells(spark):
     s = spark.createDataFrame([("f", "000E00N", -180.0, 180.0, -52.0, 52.0), ("g", "000E00N", 0.1, 0.2, 0.1, 0.2)], "file string, chunk_id string, xmin_shots double, xmax_shots double, ymin_shots double, ymax_shots double")
     chunks = spark.createDataFrame([("000E00N",), ("001W01S",), ("112W34N",)], "chunk_id string")
