@@ -63,6 +63,18 @@ def test_points_meet_few_polygons(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_few_polygons_are_dealt_over_tasks_and_met_in_shares(spark, monkeypatch):
+    """A small table of polygons has a large cover; points and polygons of a cell meet in shares, equal points and polygons included."""
+    for name, limit in (("POINTS", 40), ("POLYGONS", 3), ("AT_ONCE", 50)):
+        monkeypatch.setattr(cover, name, limit)
+    triangles = spark.range(60).selectExpr("id as polygon_id", "double(id % 4) / 8 as x").selectExpr("polygon_id", "array(named_struct('x', x, 'y', 0d), named_struct('x', x + 1, 'y', 0d), named_struct('x', x, 'y', 1d)) as vertices")
+    assert cover.polygon_cover(triangles).rdd.getNumPartitions() == 8
+    points = spark.range(2000).selectExpr("id", "array(id) as more", "double(id % 97) / 64 as lon_lm_a0", "double(id % 89) / 64 as lat_lm_a0")
+    got = [(r["polygon_id"], r["id"]) for r in cover.polygon_tag(points, triangles).collect() if r["more"] == [r["id"]]]
+    ring = lambda i: [(i % 4 / 8, 0.0), (i % 4 / 8 + 1, 0.0), (i % 4 / 8, 1.0)]
+    assert sorted(got) == [(i, k) for i in range(60) for k in range(2000) if even_odd(k % 97 / 64, k % 89 / 64, [ring(i)])]
+
+
 def test_boxes(spark):
     rng = random.Random(2)
 
