@@ -174,3 +174,11 @@ def test_export_profile_recodes_first(spark):
     got = {(r["family"], r["field_name"]): r for r in chunks.export_profile(df, ["urb_prop", "leafon_doy"]).collect()}
     assert (got["ga", "urb_prop"]["n_n9999"], got["ga", "urb_prop"]["n_255"], got["ga", "urb_prop"]["med_valid"]) == (1, 0, 3.0)
     assert (got["va", "leafon_doy"]["n_all"], got["va", "leafon_doy"]["n_n9999"], got["va", "leafon_doy"]["med_valid"]) == (1, 1, None)
+
+
+def test_count_bands_read_stored_shots(spark, tiny):
+    """The shots are derived once: no band of any family or resolution goes back to the given table."""
+    from lidarlattice.jobs import registry
+
+    out = registry.w2_counts(spark, tiny)
+    assert "lineitem" not in out._jdf.queryExecution().optimizedPlan().toString() and {r[0] for r in out.select("family").distinct().collect()} == {"ga", "va"}
