@@ -182,3 +182,13 @@ def test_count_bands_read_stored_shots(spark, tiny):
 
     out = registry.w2_counts(spark, tiny)
     assert "lineitem" not in out._jdf.queryExecution().optimizedPlan().toString() and {r[0] for r in out.select("family").distinct().collect()} == {"ga", "va"}
+
+
+def test_profiles_read_compressed_tables(spark, tiny):
+    """What profiles read several times is kept as columns, not as whole rows."""
+    from lidarlattice.jobs import registry
+
+    s = registry.shots(spark, tiny).select(*registry._PROFILED)
+    kept = registry._stored(s)
+    assert kept.inputFiles() and all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
+    assert kept.schema.simpleString() == s.schema.simpleString() and sorted(map(str, kept.collect())) == sorted(map(str, s.collect()))
