@@ -192,3 +192,12 @@ def test_profiles_read_compressed_tables(spark, tiny):
     kept = registry._stored(s)
     assert kept.inputFiles() and all(f.endswith(".zstd.parquet") for f in kept.inputFiles())
     assert kept.schema.simpleString() == s.schema.simpleString() and sorted(map(str, kept.collect())) == sorted(map(str, s.collect()))
+
+
+def test_profiles_of_beam_records_are_written_small(spark, tmp_path):
+    """Height profiles that repeat from row to row take less than a byte a value."""
+    df = spark.range(0, 20000, 1, 2).selectExpr("id", "transform(sequence(0, 100), p -> double(id * 7919 % 50) * p / 100e0) as rh")
+    files.write_shots(df, f"{tmp_path}/t")
+    size = sum(f.stat().st_size for f in (tmp_path / "t").glob("*.parquet"))
+    assert all(f.name.endswith(".zstd.parquet") for f in (tmp_path / "t").glob("*.parquet")) and size < 20000 * 101
+    assert sorted(map(str, files.read_shots(spark, f"{tmp_path}/t").collect())) == sorted(map(str, df.collect()))
